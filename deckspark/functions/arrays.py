@@ -69,8 +69,15 @@ def zip_map(keys, values) -> Column:
 
 
 def map_merge(*maps) -> Column:
-    """Right wins on duplicate keys (needs mapKeyDedupPolicy=LAST_WIN)."""
-    return F.map_concat(*[_c(m) for m in maps])
+    """Merge maps left to right; on a duplicate key the right value wins.
+    Keys of the right map are filtered out of the left one first, so no
+    session-wide dedup policy is needed."""
+    out = _c(maps[0])
+    for m in maps[1:]:
+        right = _c(m)
+        left = F.map_filter(out, lambda k, v: ~F.array_contains(F.map_keys(right), k))
+        out = F.map_concat(left, right)
+    return out
 
 
 # MAP-02
