@@ -1 +1,398 @@
-"""Queries for the fractional index, ordering, windows, checks and deck jobs."""
+"""Queries for sources and sinks (SRC-*, SNK-*).
+
+Each query writes its input (derived from the driver tables) under the shared
+checkpoint folder with the sink under test, reads it back with the matching
+reader and returns what was read, so the oracle checks the round trip.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import arrays as A
+from ..functions import text as S
+from ..operators import window as W
+from ..session import scratch_path
+from ..sources import readers as R
+from ..sources import sinks as K
+from .catalog import query
+from .views import V_LINE_SQL, table, v_line
+
+D = "decimal(18,6)"
+
+
+def _orders_deck(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select(
+        F.col("o_orderkey").cast(D).alias("idx"),
+        F.col("o_orderstatus").alias("word"),
+        F.col("o_orderpriority").alias("translation"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("pending")).alias("note"),
+    )
+
+
+ORDERS_DECK_SQL = f"""select cast(o_orderkey as {D}) as idx, o_orderstatus as word, o_orderpriority as translation,
+       case when o_orderstatus = 'P' then 'pending' end as note from orders"""
+
+
+# --------------------------------------------------------------- SRC ------
+
+@query("src01_read_deck", ORDERS_DECK_SQL)
+def src01(spark, sf):
+    path = scratch_path(spark, "deck")
+    # ragged lines: rows without a note end after the translation
+    d = _orders_deck(spark, sf)
+    header = spark.createDataFrame([("idx|word|translation|note",)], "value string")
+    body = K.ragged_lines(d, ["idx", "word", "translation", "note"], keep=["idx"]).withColumnRenamed("idx", "__o")
+    lines = header.withColumn("__o", F.lit(-1).cast(D)).unionByName(body)
+    lines.orderBy("__o").select("value").write.mode("overwrite").text(path)
+    return R.read_deck(spark, path, ["word", "translation", "note"]).where(F.col("idx").isNotNull())
+
+
+@query("src02_read_delimited", "select p_partkey, p_name, p_brand, p_size from part")
+def src02(spark, sf):
+    path = scratch_path(spark, "part")
+    table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size").write.csv(path, sep="|", header=False)
+    return R.read_delimited(spark, path, ["p_partkey", "p_name", "p_brand", "p_size"], "|", {"p_partkey": T.LongType(), "p_size": T.IntegerType()})
+
+
+@query("src03_read_id_value", "select cast(c_custkey as integer) as id, c_name as name from customer")
+def src03(spark, sf):
+    path = scratch_path(spark, "idvalue")
+    table(spark, sf, "customer").select("c_custkey", "c_name").write.csv(path, sep="|", header=False)
+    return R.read_id_value(spark, path, "name")
+
+
+@query("src04_read_dictionary", "select p_name, p_brand from part")
+def src04(spark, sf):
+    path = scratch_path(spark, "dict")
+    p = table(spark, sf, "part")
+    p.write.csv(path, sep=",", header=True)
+    return R.read_dictionary(spark, path, p.columns, ["p_name", "p_brand"])
+
+
+@query(
+    "src05_read_matrix",
+    """select lang, label, value from (
+         select lang, 'n_docs' as label, cast(count(*) as varchar) as value from documents group by lang
+         union all select lang, 'n_sources', cast(count(distinct source) as varchar) from documents group by lang)""",
+)
+def src05(spark, sf):
+    from ..operators.joins import unpivot_matrix
+
+    path = scratch_path(spark, "matrix")
+    d = table(spark, sf, "documents")
+    m = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.countDistinct("source").alias("n_sources"))
+    m.write.csv(path, sep=";", header=True)
+    back = R.read_matrix(spark, path, ["lang", "n_docs", "n_sources"], ";")
+    return unpivot_matrix(back, "lang", ["n_docs", "n_sources"], "label", "value")
+
+
+@query(
+    "src06_read_all_string",
+    "select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, cast(c_acctbal as varchar) as c_acctbal from customer",
+)
+def src06(spark, sf):
+    path = scratch_path(spark, "allstr")
+    table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal").write.csv(path, sep="|", header=True)
+    return R.read_delimited(spark, path, ["c_custkey", "c_name", "c_nationkey", "c_acctbal"], "|", header=True)
+
+
+@query(
+    "src07_read_lines",
+    f"select row_number() over (order by doc_id, pos) as line_no, sentence as line from {V_LINE_SQL}",
+)
+def src07(spark, sf):
+    path = scratch_path(spark, "lines")
+    K.write_lines(v_line(spark, sf), "sentence", ["doc_id", "pos"], path)
+    return R.read_lines(spark, path)
+
+
+STORY_SQL = f"""(select l.doc_id, string_agg(l.sentence, chr(10) order by l.pos) filter (where l.pos > 1) as body,
+                        max(case when l.pos = 1 then l.sentence end) as header
+                 from {V_LINE_SQL} l group by l.doc_id)"""
+
+
+def _stories(spark, sf):
+    l = v_line(spark, sf)
+    sentences = l.where(F.col("pos") > 1).select("doc_id", "pos", "sentence")
+    headers = l.where(F.col("pos") == 1).select("doc_id", F.col("sentence").alias("header"))
+    return sentences, headers
+
+
+@query(
+    "src08_read_stories",
+    f"""select cast(doc_id as integer) as n, regexp_replace(replace(trim(header), chr(10), ' '), '^\\s+|\\s+$', '', 'g') as header, body
+       from {STORY_SQL} where body is not null""",
+)
+def src08(spark, sf):
+    path = scratch_path(spark, "stories")
+    sentences, headers = _stories(spark, sf)
+    K.write_stories(sentences, headers, "doc_id", "pos", "sentence", "header", path)
+    st = R.read_stories(spark, path)
+    return st.select("n", "header", F.array_join("body", "\n").alias("body"))
+
+
+@query(
+    "src09_read_blocks",
+    """select cast(doc_id // 20 as integer) as block_index, string_split(text, chr(10))[1] as line from documents
+       where doc_id in (select max(doc_id) from documents group by doc_id // 20)""",
+)
+def src09(spark, sf):
+    path = scratch_path(spark, "blocks")
+    d = table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 20).cast("int").alias("b"), F.split("text", "\n")[0].alias("line"))
+    rec = F.format_string("<block>\n<index>%04d</index>\n<body>\n%s\n</body>\n</block>", F.col("b"), F.col("line"))
+    d.orderBy("doc_id").select(rec.alias("value")).write.text(path)
+    b = R.read_blocks(spark, path)
+    return b.select("block_index", F.array_join("lines", "\n").alias("line"))
+
+
+def _results(spark, sf):
+    c = table(spark, sf, "conversations")
+    req = F.to_json(F.struct(F.lit("gpt-4o-mini").alias("model"), F.col("conv_id").alias("id"), F.col("turn").alias("turn")))
+    resp = F.when(F.col("role") == "system", F.to_json(F.array(F.lit("rate limited"), F.lit("timeout")))).otherwise(
+        F.to_json(F.struct(F.col("text").alias("content")))
+    )
+    meta = F.when(F.col("role") == "user", F.to_json(F.struct(F.col("conv_id").alias("row"))))
+    return c.select("conv_id", "turn", "role", A.pack_result(req, resp, meta).alias("line"))
+
+
+@query(
+    "src10_read_responses",
+    """select cast(conv_id as bigint) as conv_id, cast(turn as bigint) as turn, role = 'system' as failed,
+              case when role = 'system' then null else text end as content,
+              case when role = 'user' then conv_id end as meta_row
+       from conversations""",
+)
+def src10(spark, sf):
+    path = scratch_path(spark, "responses")
+    _results(spark, sf).select("line").write.text(path)
+    r = R.read_responses(spark, path)
+    return r.select(
+        F.get_json_object("request", "$.id").cast("bigint").alias("conv_id"),
+        F.get_json_object("request", "$.turn").cast("bigint").alias("turn"),
+        "failed",
+        F.when(~F.col("failed"), F.get_json_object("response", "$.content")).alias("content"),
+        F.get_json_object("metadata", "$.row").cast("bigint").alias("meta_row"),
+    )
+
+
+@query("src11_read_records", "select source as author, cast(doc_id as varchar) as title, text from documents")
+def src11(spark, sf):
+    path = scratch_path(spark, "records")
+    d = table(spark, sf, "documents").select(F.col("source").alias("author"), F.col("doc_id").cast("string").alias("title"), "text")
+    K.write_records(d, path)
+    return R.read_records(spark, path)
+
+
+@query(
+    "src12_read_lines_header",
+    "select row_number() over (order by item_id) as line_no, replace(text, chr(10), ' ') as line from benchmark",
+)
+def src12(spark, sf):
+    path = scratch_path(spark, "withheader")
+    b = table(spark, sf, "benchmark").select(F.col("item_id").cast("bigint").alias("o"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
+    hdr = spark.createDataFrame([(-1, "text")], "o bigint, line string")
+    hdr.unionByName(b).orderBy("o").select("line").write.text(path)
+    return R.read_lines(spark, path, skip_header=True)
+
+
+@query("src13_read_or_empty", "select doc_id, quality, toxic from labels")
+def src13(spark, sf):
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType())])
+    present = scratch_path(spark, "labels")
+    table(spark, sf, "labels").write.parquet(present)
+    missing = scratch_path(spark, "absent")
+    return R.read_or_empty(spark, present, schema, "parquet").unionByName(R.read_or_empty(spark, missing, schema, "parquet"))
+
+
+@query(
+    "src14_read_note_file",
+    """select '{{c1::' || cast(l_linenumber as varchar) || '}} × {{c2::' || cast(cast(l_quantity as bigint) as varchar) || '}} = {{c3::'
+              || cast(l_linenumber * cast(l_quantity as bigint) as varchar) || '}}' as text, l_returnflag as tags from lineitem""",
+)
+def src14(spark, sf):
+    from ..operators.cards import cloze_note
+
+    path = scratch_path(spark, "notes")
+    li = table(spark, sf, "lineitem")
+    a = F.col("l_linenumber").cast("bigint")
+    b = F.col("l_quantity").cast("bigint")
+    notes = li.select(F.lit(1).alias("o"), F.concat_ws("\t", cloze_note(a, b, a * b), F.col("l_returnflag")).alias("value"))
+    directives = spark.createDataFrame([(0, "#separator:tab"), (0, "#html:true")], "o int, value string")
+    directives.unionByName(notes).orderBy("o").select("value").write.text(path)
+    return R.read_note_file(spark, path, ["text", "tags"])
+
+
+@query("src15_read_pages", "select page_id, url, length(html) as n from pages")
+def src15(spark, sf):
+    p = R.read_pages(spark, f"{sf}/pages.parquet")
+    return p.select("page_id", "url", F.char_length("html").cast("bigint").alias("n"))
+
+
+# --------------------------------------------------------------- SNK ------
+
+@query(
+    "snk01_write_deck",
+    f"""select 'idx|word|translation|note' as line union all
+        select cast(idx as varchar) || '|' || word || '|' || translation || '|' || coalesce(note, '') from ({ORDERS_DECK_SQL})""",
+)
+def snk01(spark, sf):
+    path = scratch_path(spark, "deckout")
+    K.write_deck(_orders_deck(spark, sf), path)
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    # one header per part file: keep a single header row
+    hdr = lines.where(F.col("line").startswith("idx|")).distinct()
+    return hdr.unionByName(lines.where(~F.col("line").startswith("idx|")))
+
+
+@query(
+    "snk02_ragged_lines",
+    """select regexp_replace(cast(c_custkey as varchar) || '|' || c_name || '|' || case when c_acctbal > 5000 then c_mktsegment else '' end || '|', '\\|+$', '') as line
+       from customer""",
+)
+def snk02(spark, sf):
+    path = scratch_path(spark, "ragged")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", F.when(F.col("c_acctbal") > 5000, F.col("c_mktsegment")).alias("seg"), F.lit(None).cast("string").alias("note"))
+    K.write_ragged(c, ["c_custkey", "c_name", "seg", "note"], path, ["c_custkey"])
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("snk03_write_id_value", "select cast(row_number() over (order by p_partkey) - 1 as integer) as id, p_name as value from part")
+def snk03(spark, sf):
+    path = scratch_path(spark, "idv")
+    K.write_id_value(table(spark, sf, "part"), "p_name", ["p_partkey"], path)
+    return R.read_id_value(spark, path, "value")
+
+
+@query("snk04_write_columns", "select s_name, cast(s_nationkey as varchar) as s_nationkey from supplier")
+def snk04(spark, sf):
+    path = scratch_path(spark, "cols")
+    K.write_columns(table(spark, sf, "supplier"), ["s_name", "s_nationkey"], path)
+    return R.read_delimited(spark, path, ["s_name", "s_nationkey"], "|", header=True)
+
+
+@query(
+    "snk05_write_unquoted",
+    "select cast(doc_id as varchar) || '|' || string_split(text, chr(10))[1] as line from documents",
+)
+def snk05(spark, sf):
+    path = scratch_path(spark, "unq")
+    d = table(spark, sf, "documents").select("doc_id", F.split("text", "\n")[0].alias("first"))
+    K.write_unquoted(d, ["doc_id", "first"], path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query(
+    "snk06_write_parts",
+    "select cast(p_partkey as varchar) as p_partkey, case when p_size <= 17 then 1 when p_size <= 34 then 2 else 3 end as part from part",
+)
+def snk06(spark, sf):
+    path = scratch_path(spark, "parts")
+    K.write_parts(table(spark, sf, "part").select("p_partkey", "p_size"), "p_size", [17, 34], path)
+    back = spark.read.csv(path, sep="|", header=True)
+    return back.select("p_partkey", F.col("part").cast("int"))
+
+
+BLOCKS_SQL = f"""(select doc_id, pos, sentence, floor((row_number() over (order by doc_id, pos) - 1) / 70) as block from {V_LINE_SQL})"""
+
+
+def _blocks(spark, sf):
+    return W.fixed_blocks(v_line(spark, sf), ["doc_id", "pos"], 70)
+
+
+@query(
+    "snk07_write_requests",
+    f"""select cast(block as bigint) as block, json_object('model', 'gpt-4o-mini', 'messages',
+              [json_object('role', 'user', 'content', 'Fill the table:' || chr(10) || payload)])::varchar as request
+       from (select block, string_agg(cast(doc_id as varchar) || '|' || cast(pos as varchar), chr(10) order by doc_id, pos) as payload
+             from {BLOCKS_SQL} group by block)""",
+)
+def snk07(spark, sf):
+    path = scratch_path(spark, "requests")
+    b = _blocks(spark, sf).withColumn("__o", F.col("doc_id") * 100000 + F.col("pos"))
+    payload = K.block_payload(b, "block", "__o", ["doc_id", "pos"])
+    req = payload.select("block", A.to_request(F.lit("Fill the table:\n"), F.col("payload"), "gpt-4o-mini").alias("request"))
+    K.write_requests(req.select(F.to_json(F.struct("block", "request")).alias("j")), "j", path)
+    back = spark.read.text(path).select(F.from_json("value", "block bigint, request string").alias("r"))
+    return back.select("r.block", "r.request")
+
+
+@query(
+    "snk08_append_results",
+    """select conv_id, turn from conversations where role = 'user' union all select conv_id, turn from conversations where role <> 'user'""",
+)
+def snk08(spark, sf):
+    path = scratch_path(spark, "results")
+    res = _results(spark, sf)
+    K.append_results(res.where(F.col("role") == "user"), "line", path)
+    K.append_results(res.where(F.col("role") != "user"), "line", path)
+    r = R.read_responses(spark, path)
+    return r.select(F.get_json_object("request", "$.id").cast("bigint").alias("conv_id"), F.get_json_object("request", "$.turn").cast("bigint").alias("turn"))
+
+
+@query(
+    "snk09_write_lines",
+    "select row_number() over (order by length(p_name), p_partkey) as line_no, p_name as line from part",
+)
+def snk09(spark, sf):
+    path = scratch_path(spark, "plines")
+    p = table(spark, sf, "part").withColumn("__l", F.char_length("p_name"))
+    K.write_lines(p, "p_name", ["__l", "p_partkey"], path)
+    return R.read_lines(spark, path)
+
+
+@query(
+    "snk10_write_stories",
+    f"""select doc_id, '<txt>' || chr(10) || '<n>' || cast(doc_id as varchar) || '</n>' || chr(10) || '<header>' || replace(trim(header), chr(10), ' ')
+              || '</header>' || chr(10) || '<body>' || chr(10) || body || chr(10) || '</body>' || chr(10) || '</txt>' as value
+       from {STORY_SQL} where body is not null""",
+)
+def snk10(spark, sf):
+    sentences, headers = _stories(spark, sf)
+    return K.story_blocks(sentences, headers, "doc_id", "pos", "sentence", "header")
+
+
+@query(
+    "snk12_block_payload",
+    """select cast(block as bigint) as block, string_agg(cast(o_orderkey as varchar) || '|' || o_orderstatus, chr(10) order by o_orderkey) as payload
+       from (select o_orderkey, o_orderstatus, floor((row_number() over (order by o_orderkey) - 1) / 70) as block from orders) group by block""",
+)
+def snk12(spark, sf):
+    b = W.fixed_blocks(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"], 70)
+    return K.block_payload(b, "block", "o_orderkey", ["o_orderkey", "o_orderstatus"])
+
+
+@query("snk13_write_records", "select cast(doc_id as varchar) as title, lang as author, text from documents")
+def snk13(spark, sf):
+    path = scratch_path(spark, "recs")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("title"), F.col("lang").alias("author"), S.clean_lines("text").alias("text"))
+    K.write_records(d, path)
+    return R.read_records(spark, path).select("title", "author", "text")
+
+
+@query(
+    "snk14_write_rendered",
+    """select cast(band as integer) as part, 'Part ' || cast(band as varchar) || ': the ' || cast(min(p_size) as varchar) || 'st to the ' || cast(max(p_size) as varchar) || 'th' as value
+       from (select p_size, case when p_size <= 17 then 1 when p_size <= 34 then 2 else 3 end as band from part) group by band""",
+)
+def snk14(spark, sf):
+    from ..operators.cards import render_template
+
+    path = scratch_path(spark, "rendered")
+    p = K.with_part(table(spark, sf, "part"), "p_size", [17, 34])
+    g = p.groupBy("part").agg(F.min("p_size").alias("lo"), F.max("p_size").alias("hi"))
+    r = render_template(g, "Part {{part}}: the {{lo}}st to the {{hi}}th", ["part", "lo", "hi"], "value")
+    K.write_rendered(r, "part", "value", path)
+    back = spark.read.text(path)
+    return back.select(F.col("part").cast("int"), "value")
+
+
+@query("snk15_truncate_table", "select doc_id, quality, toxic from labels where false")
+def snk15(spark, sf):
+    path = scratch_path(spark, "trunc")
+    lab = table(spark, sf, "labels")
+    lab.write.parquet(path)
+    K.truncate_table(spark, path, lab.schema)
+    return spark.read.schema(lab.schema).parquet(path)
