@@ -67,8 +67,8 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = False, line_c
         numbered = numbered.where(F.col("line_no") > 1).withColumn("line_no", F.col("line_no") - 1)
     if across_files:
         sizes = numbered.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
-        offs = running_sum(sizes, [], ["__file"], F.col("__n"), "__off", inclusive=False, bucket=F.lit(0))
-        numbered = numbered.join(offs.select("__file", "__off"), "__file").withColumn("line_no", F.col("line_no") + F.col("__off"))
+        offs = running_sum(sizes, [], ["__file"], F.col("__n"), "__file_off", inclusive=False, bucket=F.lit(0))
+        numbered = numbered.join(offs.select("__file", "__file_off"), "__file").withColumn("line_no", F.col("line_no") + F.col("__file_off"))
     return numbered.select(F.col("line_no").cast("bigint").alias("line_no"), line_col)
 
 
