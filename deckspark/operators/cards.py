@@ -62,7 +62,7 @@ def render_cards(notes: DataFrame, templates: list[tuple[str, str, str]], fields
 # [...], the others shown as their text.
 def expand_cloze(notes: DataFrame, text: str, out_n: str = "cloze") -> DataFrame:
     ids = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(r"\{\{c(\d+)::"), 1))
-    x = notes.withColumn(out_n, F.explode(ids).cast("int"))
+    x = notes.withColumn(out_n, F.explode(ids)).withColumn(out_n, F.col(out_n).cast("int"))
     active = F.concat(F.lit(r"\{\{c"), F.col(out_n).cast("string"), F.lit(r"::[^}]*\}\}"))
     hidden = F.regexp_replace(F.col(text), active, F.lit("[...]"))
     front = F.regexp_replace(hidden, F.lit(r"\{\{c\d+::([^}]*)\}\}"), F.lit("$1"))
