@@ -169,13 +169,16 @@ def url_join(base, number, width: int = 3) -> Column:
     return F.concat(_c(base), pad(number, width))
 
 
-# STR-24 -- percent-encoding with %20 for a space (Python quote semantics)
-def url_quote(c) -> Column:
+# STR-24 -- percent-encoding with Python quote semantics (safe="/" default)
+def url_quote(c, safe: str = "/") -> Column:
     enc = F.url_encode(_c(c))
     # Java's encoder: space -> '+', '*' kept, '~' encoded; Python quote: '%20', '*' -> %2A, '~' kept
     enc = F.replace(enc, F.lit("+"), F.lit("%20"))
     enc = F.replace(enc, F.lit("*"), F.lit("%2A"))
-    return F.replace(enc, F.lit("%7E"), F.lit("~"))
+    enc = F.replace(enc, F.lit("%7E"), F.lit("~"))
+    for ch in safe:
+        enc = F.replace(enc, F.lit("%%%02X" % ord(ch)), F.lit(ch))
+    return enc
 
 
 # STR-25 -- path after the API version segment, two patterns tried in order
