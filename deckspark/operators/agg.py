@@ -104,12 +104,16 @@ def block_chars(df: DataFrame, key, line: str) -> DataFrame:
     return df.groupBy(*_cols(key)).agg(F.sum(F.char_length(line) + 1).cast("bigint").alias("chars"))
 
 
-# AGG-11 -- per sentence, tokens other than the target word with deck count <= n
-def rare_tokens(tokens: DataFrame, counts: DataFrame, sent_key, token: str, target: str, n: int) -> DataFrame:
+# AGG-11 -- per sentence, tokens other than the target word with deck count <= n.
+# Only rare words matter, so the (small) rare-word set is matched against the
+# tokens -- a broadcast when the planner measures it small -- and only the
+# hits are aggregated; sentences without hits get 0.
+def rare_tokens(tokens: DataFrame, counts: DataFrame, sentences: DataFrame, sent_key, token: str, target: str, n: int) -> DataFrame:
     keys = _cols(sent_key)
-    j = tokens.join(counts.select(F.col("word").alias(token), F.col("count").alias("__cnt")), token, "left")
-    rare = (F.col(token) != F.col(target)) & (F.col("__cnt") <= n)
-    return j.groupBy(*keys).agg(F.count_if(F.coalesce(rare, F.lit(False))).cast("bigint").alias("rare"))
+    rare = counts.where(F.col("count") <= n).select(F.col("word").alias(token))
+    hits = tokens.join(rare, token, "left_semi").where(F.col(token) != F.col(target))
+    per = hits.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("rare"))
+    return sentences.select(*keys).join(per, keys, "left").select(*keys, F.coalesce("rare", F.lit(0)).cast("bigint").alias("rare"))
 
 
 # AGG-12 / DQ-07 -- line count per block in two tables, and the blocks that differ

@@ -59,23 +59,36 @@ def render_cards(notes: DataFrame, templates: list[tuple[str, str, str]], fields
 
 
 # TXT-08 -- one card per distinct cloze number; that deletion hidden as
-# [...], the others shown as their text.
+# [...], the others shown as their text.  All regexes are constants (compiled
+# once per task); the per-card substitution is a literal replace over the
+# note's own list of deletions.
+CLOZE_FULL = r"(\{\{c\d+::[^}]*\}\})"
+CLOZE_ID = r"\{\{c(\d+)::[^}]*\}\}"
+CLOZE_TEXT = r"\{\{c\d+::([^}]*)\}\}"
+
+
 def expand_cloze(notes: DataFrame, text: str, out_n: str = "cloze") -> DataFrame:
-    ids = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(r"\{\{c(\d+)::"), 1))
-    x = notes.withColumn(out_n, F.explode(ids)).withColumn(out_n, F.col(out_n).cast("int"))
-    active = F.concat(F.lit(r"\{\{c"), F.col(out_n).cast("string"), F.lit(r"::[^}]*\}\}"))
-    hidden = F.regexp_replace(F.col(text), active, F.lit("[...]"))
-    front = F.regexp_replace(hidden, F.lit(r"\{\{c\d+::([^}]*)\}\}"), F.lit("$1"))
-    back = F.regexp_replace(F.col(text), F.lit(r"\{\{c\d+::([^}]*)\}\}"), F.lit("$1"))
-    return x.withColumn("front", front).withColumn("back", back)
+    t = F.col(text)
+    dels = F.arrays_zip(
+        F.regexp_extract_all(t, F.lit(CLOZE_FULL), 1).alias("m"),
+        F.regexp_extract_all(t, F.lit(CLOZE_ID), 1).alias("n"),
+        F.regexp_extract_all(t, F.lit(CLOZE_TEXT), 1).alias("v"),
+    )
+    x = notes.withColumn("__d", dels)
+    x = x.withColumn(out_n, F.explode(F.array_distinct(F.transform("__d", lambda d: d["n"])))).withColumn(out_n, F.col(out_n).cast("int"))
+    n = F.col(out_n).cast("string")
+    front = F.aggregate("__d", t, lambda acc, d: F.replace(acc, d["m"], F.when(d["n"] == n, F.lit("[...]")).otherwise(d["v"])))
+    back = F.aggregate("__d", t, lambda acc, d: F.replace(acc, d["m"], d["v"]))
+    return x.withColumn("front", front).withColumn("back", back).drop("__d")
 
 
 # TXT-09 -- the typed answer of cloze n
 def cloze_answer(text, n) -> Column:
     t = F.col(text) if isinstance(text, str) else text
-    nn = F.col(n) if isinstance(n, str) else F.lit(n)
-    pat = F.concat(F.lit(r"\{\{c"), nn.cast("string"), F.lit(r"::([^}]*)\}\}"))
-    return F.call_function("regexp_extract", t, pat, F.lit(1))
+    nn = (F.col(n) if isinstance(n, str) else F.lit(n)).cast("string")
+    dels = F.arrays_zip(F.regexp_extract_all(t, F.lit(CLOZE_ID), 1).alias("n"), F.regexp_extract_all(t, F.lit(CLOZE_TEXT), 1).alias("v"))
+    hit = F.filter(dels, lambda d: d["n"] == nn)
+    return F.coalesce(F.try_element_at(hit, F.lit(1))["v"], F.lit(""))
 
 
 def cloze_note(a, b, c, op: str = "×") -> Column:

@@ -1,12 +1,11 @@
 """WN-07: greedy packing of consecutive lines into translation blocks.
 
-The rule is sequential inside one text, so it runs as one fold per text with
-``applyInPandas``: Spark shuffles the (text, position, length) triples by
-text and every task folds its texts independently.  Only positions and
-lengths enter Python -- the line text stays in the JVM and is attached to the
-block ranges afterwards with an equi-join -- so a task holds three numbers per
-line of one text.  A text is a bounded unit (the corpus caps a document at
-20,000 words); the fold never sees more than one text at a time.
+The rule is sequential inside one text, so it runs as one fold per text:
+Spark shuffles (text, position, cost) by text and folds every text with a
+higher-order ``aggregate`` expression.  Only positions and costs are gathered
+-- the line text stays in its rows and is attached to the block ranges
+afterwards with an equi-join -- so a group holds two numbers per line of one
+text.  A text is a bounded unit (the corpus caps a document at 20,000 words).
 
 Rule (positions are in the padded sequence: ``margin`` blank lines, the
 stripped lines, ``margin`` blank lines; every line costs ``len + 1``):
@@ -21,23 +20,11 @@ lines.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import strip
 
-BLOCK_SCHEMA = T.StructType(
-    [
-        T.StructField("key", T.LongType()),
-        T.StructField("block", T.LongType()),
-        T.StructField("start", T.LongType()),
-        T.StructField("end", T.LongType()),
-    ]
-)
-
-
 def block_borders(lengths: list[int], margin: int, max_symbols: int) -> list[tuple[int, int]]:
     """Reference fold on plain Python lists (costs already include the +1)."""
     cost = [1] * margin + list(lengths) + [1] * margin
@@ -66,31 +53,49 @@ def block_borders(lengths: list[int], margin: int, max_symbols: int) -> list[tup
 
 
 def pack_blocks(lines: DataFrame, key: str, pos: str, line: str, max_symbols: int = 3000, margin: int = 3) -> DataFrame:
-    """Returns ``(key, block, start, end, n_lines)``; ``start``/``end`` are
-    inclusive positions in the padded sequence (line ``pos`` sits at
-    ``pos - 1 + margin`` for 1-based ``pos``)."""
+    """Returns ``(key, block, start, end)``; ``start``/``end`` are inclusive
+    positions in the padded sequence (line ``pos`` sits at ``pos - 1 +
+    margin`` for 1-based ``pos``).
+
+    The fold runs inside the JVM: one ``groupBy`` gathers each text's line
+    costs in order, and ``aggregate`` walks them with the state (symbols,
+    block start, borders); the look-ahead is a sum over a ``slice`` of at
+    most ``margin + 2`` costs.  No Python worker is involved."""
+    m = margin
     slim = lines.select(
-        F.col(key).cast("bigint").alias("key"),
-        F.col(pos).cast("bigint").alias("pos"),
-        (F.char_length(strip(F.col(line))) + 1).cast("bigint").alias("cost"),
+        F.col(key).alias("__key"),
+        F.struct(F.col(pos).cast("bigint").alias("p"), (F.char_length(strip(F.col(line))) + 1).cast("bigint").alias("c")).alias("__pc"),
+    )
+    per_text = slim.groupBy("__key").agg(F.sort_array(F.collect_list("__pc")).alias("__pcs"))
+    pad = F.array_repeat(F.lit(1).cast("bigint"), m)
+    cost = F.concat(pad, F.transform("__pcs", lambda x: x["c"]), pad)
+    x = per_text.select("__key", cost.alias("__c"))
+    n = F.size("__c") - 2 * m
+
+    def seg_sum(start0, length):
+        # sum of costs[start0 : start0 + length] (0-based, clamped like a slice)
+        return F.aggregate(F.slice("__c", (start0 + 1).cast("int"), length.cast("int")), F.lit(0).cast("bigint"), lambda a, v: a + v)
+
+    border = lambda s, e: F.struct(s.cast("bigint").alias("start"), e.cast("bigint").alias("end"))
+    init = F.struct(
+        F.lit(0).cast("bigint").alias("sym"),
+        F.lit(0).cast("bigint").alias("start"),
+        F.array().cast("array<struct<start:bigint,end:bigint>>").alias("borders"),
     )
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        borders = block_borders(pdf["cost"].tolist(), margin, max_symbols)
-        k = int(pdf["key"].iloc[0])
-        return pd.DataFrame(
-            {
-                "key": [k] * len(borders),
-                "block": list(range(len(borders))),
-                "start": [b[0] for b in borders],
-                "end": [b[1] for b in borders],
-            },
-            columns=["key", "block", "start", "end"],
-        ).astype("int64")
-
-    out = slim.groupBy("key").applyInPandas(fold, BLOCK_SCHEMA)
-    return out.withColumnRenamed("key", key)
+    def step(st, k):
+        k = k.cast("bigint")
+        close = st["sym"] + seg_sum(k, F.lit(m + 2)) > max_symbols
+        borders1 = F.when(close, F.concat(st["borders"], F.array(border(st["start"], k + m)))).otherwise(st["borders"])
+        start1 = F.when(close, k + 1 - m).otherwise(st["start"])
+        sym1 = F.when(close, seg_sum(k + 1 - m, F.lit(m))).otherwise(st["sym"] + F.element_at("__c", (k + 1).cast("int")))
+        last = k == (n + m)
+        borders2 = F.when(last, F.concat(borders1, F.array(border(start1, k + m)))).otherwise(borders1)
+        return F.struct(sym1.cast("bigint").alias("sym"), start1.cast("bigint").alias("start"), borders2.alias("borders"))
+
+    folded = x.select("__key", F.aggregate(F.sequence(F.lit(m), n + m), init, step)["borders"].alias("__b"))
+    out = folded.select("__key", F.posexplode("__b").alias("block", "__x"))
+    return out.select(F.col("__key").alias(key), F.col("block").cast("bigint"), F.col("__x.start").alias("start"), F.col("__x.end").alias("end"))
 
 
 def block_lines(blocks: DataFrame, lines: DataFrame, key: str, pos: str, line: str, margin: int = 3) -> DataFrame:

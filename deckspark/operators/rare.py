@@ -9,17 +9,23 @@ A row depends only on rows with a higher index, so its decision is a
 function of the rejections above it, and iterating "evaluate every row given
 the previous round's rejections" from "nothing rejected" reaches the unique
 sequential answer (row i is final after at most i rounds; in practice a
-handful).  One round is a distributed plan:
+handful).
 
-* ``occ``: (row, token, n) -- occurrences per row, aggregated once;
-* rejected occurrences from higher rows: a per-token running sum ordered by
-  index descending (skew-safe two-level sum), computed only for tokens whose
-  status can change this round (``total <= max_occ`` is always rare,
-  ``total - all rejected > max_occ`` is never rare);
-* per row: rare occurrences, accept/reject.
+Work per round is kept to what can change:
 
-Each round's decisions are checkpointed into ``spark.checkpoint.dir`` so the
-lineage stays one round deep and a lost executor recomputes one round.
+* tokens seen ``<= max_occ`` times in the whole deck are rare for every row,
+  forever -- their contribution per row is computed once (``static``);
+* a token whose count minus *all* currently rejected occurrences is still
+  above ``max_occ`` is rare for no row this round -- skipped;
+* only the remaining *live* tokens need, per occurrence, the rejected
+  occurrences in rows above it: a per-token running sum ordered by index
+  descending (skew-safe two-level sum from ``operators.window``);
+* the per-token total of rejected occurrences is maintained incrementally
+  from the rows whose decision flipped in the last round.
+
+Each round's decisions and token totals are written as tables under
+``spark.checkpoint.dir``: lineage stays one round deep and a lost executor
+recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -46,66 +52,67 @@ def filter_rare_sentences(
     max_rounds: int | None = None,
 ) -> DataFrame:
     """Returns ``deck`` (rows with lemmas) plus ``accepted``.  ``idx`` must be
-    unique.  ``irregular`` (idx, word, baseform) overrides the base form for
-    rows whose index it lists."""
-    spark = deck.sparkSession
+    a unique ``decimal(18,6)`` index.  ``irregular`` (idx, word, baseform)
+    overrides the base form for rows whose index it lists."""
     rows = deck.where(F.col(lemmas).isNotNull())
     target = base_form(F.col(word))
     if irregular is not None:
         irr = irregular.select(F.col(idx).alias("__iidx"), F.col(word).alias("__iword"), F.col("baseform").alias("__ibase"))
         rows = rows.join(irr, (rows[idx] == irr["__iidx"]) & (rows[word] == irr["__iword"]), "left")
-        target = F.coalesce(F.col("__ibase"), target)
-        rows = rows.withColumn("__target", target).drop("__iidx", "__iword", "__ibase")
+        rows = rows.withColumn("__target", F.coalesce(F.col("__ibase"), target)).drop("__iidx", "__iword", "__ibase")
     else:
         rows = rows.withColumn("__target", target)
 
-    toks = rows.select(F.col(idx).alias("r"), "__target", F.explode(split_literal(lemmas, sep)).alias("t"))
-    occ = toks.groupBy("r", "t").agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.first("__target").alias("target"))
-    occ = cut_lineage(occ)
-    total = cut_lineage(occ.groupBy("t").agg(F.sum("n").alias("total")))
-    in_sent = cut_lineage(
-        occ.groupBy("r").agg(F.max(F.col("t") == F.col("target")).alias("in_sentence"))
+    # the index as its exact unscaled long: cheap keys, same order
+    rkey = (F.col(idx).cast("decimal(18,6)") * F.lit(1_000_000)).cast("bigint")
+    toks = rows.select(rkey.alias("r"), F.col("__target").alias("target"), F.explode(split_literal(lemmas, sep)).alias("t"))
+    occ = toks.groupBy("r", "t", "target").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    total = occ.groupBy("t").agg(F.sum("n").alias("total"))
+    occ_tot = cut_lineage(occ.join(total, "t"), "rare-occ")
+
+    other = F.coalesce(F.col("t") != F.col("target"), F.lit(True))
+    base = cut_lineage(
+        occ_tot.groupBy("r").agg(
+            F.coalesce(F.max(F.col("t") == F.col("target")), F.lit(False)).alias("in_sentence"),
+            F.sum(F.when((F.col("total") <= max_occ) & other, F.col("n")).otherwise(0)).cast("bigint").alias("static"),
+        ),
+        "rare-rows",
     )
+    occ_dyn = cut_lineage(occ_tot.where(F.col("total") > max_occ), "rare-dyn")
+    dyn_tokens = cut_lineage(occ_dyn.select("t", "total").distinct(), "rare-tokens")
 
-    rejected = in_sent.select("r", F.lit(False).alias("rej"))
+    rejected = base.select("r", F.lit(False).alias("rej"))
+    rej_tot = dyn_tokens.select("t", F.lit(0).cast("bigint").alias("rej_total"))
     rounds = 0
     while True:
         rounds += 1
-        occ_r = occ.join(rejected, "r")
-        rej_tot = occ_r.where("rej").groupBy("t").agg(F.sum("n").alias("rej_total"))
-        status = total.join(rej_tot, "t", "left").select(
-            "t",
-            "total",
-            (F.col("total") <= max_occ).alias("always"),
-            (F.col("total") - F.coalesce(F.col("rej_total"), F.lit(0)) > max_occ).alias("never"),
-        )
-        o = occ_r.join(status, "t")
-        fixed = o.where(F.col("always") | F.col("never")).withColumn("is_rare", F.col("always"))
-        live = o.where(~(F.col("always") | F.col("never")))
-        # rejected occurrences of the same token in rows with a higher index
-        live = running_sum(
-            live,
+        live = dyn_tokens.join(rej_tot, "t").where(F.col("total") - F.col("rej_total") <= max_occ).select("t")
+        occ_live = occ_dyn.join(live, "t", "left_semi").join(rejected, "r")
+        occ_live = running_sum(
+            occ_live,
             ["t"],
             [F.col("r").desc()],
             F.when(F.col("rej"), F.col("n")).otherwise(F.lit(0)),
             "__above",
             inclusive=False,
-            bucket=-F.floor(F.col("r") / 1024),
+            bucket=-F.floor(F.col("r") / (1 << 40)),
         )
-        live = live.withColumn("is_rare", (F.col("total") - F.col("__above")) <= max_occ).drop("__above")
-        cols = ["r", "t", "n", "target", "is_rare"]
-        scored = fixed.select(*cols).unionByName(live.select(*cols))
-        rare = scored.groupBy("r").agg(
-            F.sum(F.when(F.col("is_rare") & (F.col("t") != F.col("target")), F.col("n")).otherwise(0)).alias("rare")
+        hits = occ_live.where(((F.col("total") - F.col("__above")) <= max_occ) & other)
+        rare_dyn = hits.groupBy("r").agg(F.sum("n").alias("__dyn"))
+        new = base.join(rare_dyn, "r", "left").select(
+            "r", (~(F.col("in_sentence") & ((F.col("static") + F.coalesce(F.col("__dyn"), F.lit(0))) >= min_rare))).alias("rej")
         )
-        new = in_sent.join(rare, "r", "left").select(
-            "r", (~(F.col("in_sentence") & (F.coalesce(F.col("rare"), F.lit(0)) >= min_rare))).alias("rej")
-        )
-        new = cut_lineage(new)
-        changed = new.join(rejected.withColumnRenamed("rej", "old"), "r").where(F.col("rej") != F.col("old")).limit(1).count()
-        rejected = new
-        if changed == 0 or (max_rounds is not None and rounds >= max_rounds):
+        new = new.join(rejected.withColumnRenamed("rej", "__old"), "r").withColumn("__changed", F.col("rej") != F.col("__old")).drop("__old")
+        new = cut_lineage(new, "rare-round")
+        flipped = new.where("__changed").select("r", F.when(F.col("rej"), 1).otherwise(-1).alias("__sign"))
+        rejected = new.drop("__changed")
+        if flipped.limit(1).count() == 0 or (max_rounds is not None and rounds >= max_rounds):
             break
-    del spark
-    out = rows.join(rejected.withColumnRenamed("r", idx), idx, "left").withColumn("accepted", ~F.col("rej"))
-    return out.drop("rej", "__target")
+        delta = occ_dyn.join(flipped, "r").groupBy("t").agg(F.sum(F.col("n") * F.col("__sign")).alias("__d"))
+        rej_tot = cut_lineage(
+            rej_tot.join(delta, "t", "left").select("t", (F.col("rej_total") + F.coalesce(F.col("__d"), F.lit(0))).alias("rej_total")),
+            "rare-rejtot",
+        )
+    decided = rejected.select(F.col("r").alias("__r"), F.col("rej"))
+    out = rows.withColumn("__r", rkey).join(decided, "__r", "left").withColumn("accepted", ~F.col("rej"))
+    return out.drop("rej", "__target", "__r")

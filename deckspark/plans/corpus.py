@@ -26,22 +26,24 @@ HTML_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
 def lemmatize(tokens: DataFrame, lemmas: DataFrame, sent: str = "sent", sep: str = ";") -> DataFrame:
     """``tokens``: (sent, i, token, dep, pos, head); ``lemmas``: (form, lemma).
     Lemma = dictionary lemma or the token; a separable prefix (dep 'svp' whose
-    head is a VERB) is glued in front of its verb's lemma; dropped tokens
-    are removed; the sentence is rejoined in token order."""
+    head is a VERB) is glued in front of its verb's lemma (the last such
+    prefix wins); dropped tokens are removed; the sentence is rejoined in
+    token order (a sentence whose tokens all drop gets an empty string).
+
+    The prefix pairs are found from the few ``svp`` tokens (a small side the
+    planner broadcasts), so the token table is shuffled once, by sentence,
+    for the final ordered join."""
     d = G.first_per_key(lemmas, "form", ["lemma"]).select(F.col("form").alias("token"), F.col("lemma").alias("__lemma"))
     t = tokens.join(d, "token", "left").withColumn("lemma", F.coalesce("__lemma", "token")).drop("__lemma")
-    prefixes = t.where(F.col("dep") == "svp").select(
-        F.col(sent).alias("__s"), F.col("head").alias("__h"), F.col("token").alias("__prefix"), F.col("i").alias("__pi")
-    )
-    heads = t.select(F.col(sent).alias("__s2"), F.col("i").alias("__h2"), F.col("pos").alias("__hpos"))
-    svp = prefixes.join(heads, (prefixes["__s"] == heads["__s2"]) & (prefixes["__h"] == heads["__h2"])).where(F.col("__hpos") == "VERB")
-    # several prefixes on one head: the last one (highest position) wins
-    svp = G.last_per_key(svp.select("__s", "__h", "__prefix", "__pi"), ["__s", "__h"], ["__pi"]).drop("__pi")
-    j = t.join(svp, (t[sent] == svp["__s"]) & (t["i"] == svp["__h"]), "left")
-    j = j.withColumn("lemma", F.when(F.col("__prefix").isNotNull(), F.concat("__prefix", "lemma")).otherwise(F.col("lemma")))
-    j = j.where(~F.col("lemma").isin(*DROPPED_TOKENS))
-    g = j.groupBy(sent).agg(F.sort_array(F.collect_list(F.struct("i", "lemma"))).alias("__l"))
-    return g.select(sent, F.array_join(F.transform("__l", lambda s: s["lemma"]), sep).alias("lemmas"))
+    svp = t.where(F.col("dep") == "svp").select(F.col(sent).alias("__s"), F.col("head").alias("__h"), F.col("token").alias("__prefix"), F.col("i").alias("__pi"))
+    verbs = t.where(F.col("pos") == "VERB").select(F.col(sent).alias("__s"), F.col("i").alias("__h"))
+    pairs = svp.join(verbs, ["__s", "__h"], "left_semi")
+    pairs = G.last_per_key(pairs, ["__s", "__h"], ["__pi"]).drop("__pi")
+    j = t.join(pairs, (t[sent] == pairs["__s"]) & (t["i"] == pairs["__h"]), "left")
+    lemma = F.concat(F.coalesce(F.col("__prefix"), F.lit("")), F.col("lemma"))
+    kept = F.when(~lemma.isin(*DROPPED_TOKENS), F.struct(F.col("i").alias("i"), lemma.alias("lemma")))
+    g = j.groupBy(sent).agg(F.sort_array(F.collect_list(kept)).alias("__l"))
+    return g.select(sent, F.array_join(F.col("__l.lemma"), sep).alias("lemmas"))
 
 
 # TXT-02 -- keep stored lemmas by (author, title); lemmatise only new texts

@@ -605,10 +605,12 @@ def agg10(spark, sf):
        group by t.doc_id, t.pos""",
 )
 def agg11(spark, sf):
-    t = v_tok(spark, sf)
-    counts = G.word_counts(v_line(spark, sf), "sentence", " ")
-    tg = t.where(F.col("i") == 1).select("doc_id", "pos", F.col("token").alias("target"))
-    return G.rare_tokens(t.join(tg, ["doc_id", "pos"]), counts, ["doc_id", "pos"], "token", "target", 3)
+    l = v_line(spark, sf)
+    counts = G.word_counts(l, "sentence", " ")
+    # the target (first token) comes from the same line, so no join back
+    # substring_index stays cheap even where the optimizer re-evaluates it per token
+    t = l.select("doc_id", "pos", F.substring_index("sentence", " ", 1).alias("target"), F.explode(F.split("sentence", " ")).alias("token"))
+    return G.rare_tokens(t, counts, l, ["doc_id", "pos"], "token", "target", 3)
 
 
 @query(

@@ -55,7 +55,7 @@ LEMMA_DICT_SQL = "(select form, min(lower(form)) as lemma from (select unnest(st
                     where p.dep = 'svp' and h.pos = 'VERB' group by p.sent, p.head),
             j as (select tl.sent, tl.i, case when svp.prefix is not null then svp.prefix || tl.lemma else tl.lemma end as lemma
                   from tl left join svp on tl.sent = svp.sent and tl.i = svp.head)
-       select sent, string_agg(lemma, ';' order by i) as lemmas from j where lemma not in {DROPPED_SQL} group by sent""",
+       select sent, coalesce(string_agg(lemma, ';' order by i) filter (where lemma not in {DROPPED_SQL}), '') as lemmas from j group by sent""",
 )
 def txt01(spark, sf):
     return CP.lemmatize(_token_table(spark, sf), _lemma_dict(spark, sf))
