@@ -65,15 +65,16 @@ def filter_rare_sentences(
 
     # the index as its exact unscaled long: cheap keys, same order
     rkey = (F.col(idx).cast("decimal(18,6)") * F.lit(1_000_000)).cast("bigint")
-    toks = rows.select(rkey.alias("r"), F.col("__target").alias("target"), F.explode(split_literal(lemmas, sep)).alias("t"))
-    occ = toks.groupBy("r", "t", "target").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    toks = rows.select(rkey.alias("r"), F.col("__target").alias("__target"), F.explode(split_literal(lemmas, sep)).alias("t"))
+    # is_target: the occurrence is the row's own word (null when the word is null)
+    occ = toks.groupBy("r", "t", (F.col("t") == F.col("__target")).alias("is_target")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     total = occ.groupBy("t").agg(F.sum("n").alias("total"))
     occ_tot = cut_lineage(occ.join(total, "t"), "rare-occ")
 
-    other = F.coalesce(F.col("t") != F.col("target"), F.lit(True))
+    other = F.coalesce(~F.col("is_target"), F.lit(True))
     base = cut_lineage(
         occ_tot.groupBy("r").agg(
-            F.coalesce(F.max(F.col("t") == F.col("target")), F.lit(False)).alias("in_sentence"),
+            F.coalesce(F.max("is_target"), F.lit(False)).alias("in_sentence"),
             F.sum(F.when((F.col("total") <= max_occ) & other, F.col("n")).otherwise(0)).cast("bigint").alias("static"),
         ),
         "rare-rows",
