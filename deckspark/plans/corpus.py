@@ -82,7 +82,7 @@ def sentence_cards(from_lines: DataFrame, to_lines: DataFrame, headers: DataFram
 
 
 # TXT-11 -- picture cards: words paired by position, topic joined, media tag
-def picture_cards(words_en: DataFrame, words_ru: DataFrame, topics: DataFrame, prefix: str = "en-ru-pictures") -> DataFrame:
+def picture_cards(words_en: DataFrame, words_ru: DataFrame, topics: DataFrame, prefix: str = "pictures") -> DataFrame:
     """``words_*``: (id, topic_id, word); ``topics``: (topic_id, topic)."""
     w = words_en.select("id", "topic_id", F.col("word").alias("word_en")).join(words_ru.select("id", F.col("word").alias("word_ru")), "id")
     j = w.join(topics, "topic_id", "left")

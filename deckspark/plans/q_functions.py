@@ -58,19 +58,19 @@ def str06(spark, sf):
     return p.select("p_partkey", S.interpolate("%s (%s, size %s)", "p_name", "p_brand", F.col("p_size").cast("string")).alias("label"))
 
 
-MEDIA_SQL = "'en-ru-pictures___' || replace(lower(p_type), ' ', '-') || '___' || replace(lower(p_name), ' ', '-') || '.jpg'"
+MEDIA_SQL = "'pictures___' || replace(lower(p_type), ' ', '-') || '___' || replace(lower(p_name), ' ', '-') || '.jpg'"
 
 
 @query("str07_media_name", f"select p_partkey, {MEDIA_SQL} as media from part")
 def str07(spark, sf):
     p = table(spark, sf, "part")
-    return p.select("p_partkey", S.media_name("p_type", "p_name", "en-ru-pictures").alias("media"))
+    return p.select("p_partkey", S.media_name("p_type", "p_name", "pictures").alias("media"))
 
 
 @query("str08_image_tag", f"select p_partkey, '<img src=\"' || {MEDIA_SQL} || '\">' as image from part")
 def str08(spark, sf):
     p = table(spark, sf, "part")
-    return p.select("p_partkey", S.image_tag(S.media_name("p_type", "p_name", "en-ru-pictures")).alias("image"))
+    return p.select("p_partkey", S.image_tag(S.media_name("p_type", "p_name", "pictures")).alias("image"))
 
 
 @query("str09_length", "select doc_id, cast(length(text) as bigint) as len, n_chars from documents")

@@ -293,7 +293,7 @@ def snk11(spark, sf):
 @query(
     "txt11_picture_cards",
     """select p_partkey as id, p_type as topic, p_name as word_en, upper(p_name) as word_ru,
-              '<img src="en-ru-pictures___' || replace(lower(p_type), ' ', '-') || '___' || replace(lower(p_name), ' ', '-') || '.jpg">' as image
+              '<img src="pictures___' || replace(lower(p_type), ' ', '-') || '___' || replace(lower(p_name), ' ', '-') || '.jpg">' as image
        from part""",
 )
 def txt11(spark, sf):
