@@ -53,8 +53,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     info = _row_groups(path)
     key = TABLE_KEYS.get(name)
     if info and key and info[1] >= MIN_ROWS_TO_SPREAD and info[0] < spark.sparkContext.defaultParallelism:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(n, key)
+        # by column without a count: AQE may coalesce, but keeps >= 1 MB
+        # partitions spread over the cores (parallelism first)
+        df = df.repartition(key)
     return df
 
 

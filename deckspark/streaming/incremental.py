@@ -18,6 +18,7 @@ from ..operators import agg as G
 from ..operators import joins as J
 from ..operators import window as W
 from ..schema import COOLDOWN_SECONDS, LIMIT_REQUESTS_PER_MINUTE, LIMIT_TOKENS_PER_MINUTE, MAX_ATTEMPTS
+from ..functions.timefn import epoch_micros, epoch_seconds
 from ..session import cut_lineage
 
 
@@ -74,7 +75,7 @@ def stream_responses(
 # never collects more than max_attempts items.
 def retry_state(results: DataFrame, task: str, ts: str, ok: str, error: str, max_attempts: int = MAX_ATTEMPTS, bucket_seconds: int = 3600) -> DataFrame:
     errs = results.where(~F.col(ok))
-    numbered = W.number_rows(errs, [task], [ts, error], "__n", bucket=F.floor(F.unix_timestamp(ts) / bucket_seconds))
+    numbered = W.number_rows(errs, [task], [ts, error], "__n", bucket=F.floor(epoch_seconds(ts) / bucket_seconds))
     first_errs = numbered.where(F.col("__n") <= max_attempts)
     agg_err = first_errs.groupBy(task).agg(F.sort_array(F.collect_list(F.struct(F.col("__n"), F.col(error).cast("string").alias("e")))).alias("__e"))
     counts = results.groupBy(task).agg(
@@ -123,7 +124,7 @@ def rate_audit(df: DataFrame, ts: str, tokens: str, rpm: int = LIMIT_REQUESTS_PE
         F.count(F.lit(1)).cast("bigint").alias("requests"), F.sum(tokens).cast("bigint").alias("tokens")
     )
     return g.select(
-        F.unix_timestamp(F.col("w.start")).alias("minute"),
+        epoch_seconds(F.col("w.start")).alias("minute"),
         "requests",
         "tokens",
         ((F.col("requests") > rpm) | (F.col("tokens") > tpm)).alias("over_limit"),
@@ -140,7 +141,7 @@ def rate_audit_stream(stream: DataFrame, ts: str, tokens: str, rpm: int = LIMIT_
 # question answered as a binned range join: each error covers [t, t+secs),
 # spread over the <= 2 time bins it touches; events join on their bin.
 def cooldown_flags(df: DataFrame, key: str, ts: str, is_error, secs: int = COOLDOWN_SECONDS) -> DataFrame:
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    t = epoch_micros(ts)
     ev = df.select(key, t.alias("__t"))
     errs = df.where(is_error).select(t.alias("__lo")).withColumn("__hi", F.col("__lo") + F.lit(secs * 1_000_000))
     hits = J.range_join(ev, errs, "__t", "__lo", "__hi", bin_width=secs * 1_000_000).select(key).distinct()
