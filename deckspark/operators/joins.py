@@ -35,8 +35,13 @@ def left_join(a: DataFrame, b: DataFrame, keys, suffix: str = "_r") -> DataFrame
     return a.join(b2, keys, "left")
 
 
-def lookup(df: DataFrame, col: str, dictionary: DataFrame, dict_key: str, value_cols: list[str]) -> DataFrame:
+def lookup(df: DataFrame, col: str, dictionary: DataFrame, dict_key: str, value_cols: list[str], broadcast_max_rows: int | None = None) -> DataFrame:
+    """Left join a keyed dictionary.  With ``broadcast_max_rows`` the
+    dictionary is broadcast only after a bounded count proves it that small;
+    otherwise (or when larger) the planner picks the join."""
     d = dictionary.select(F.col(dict_key).alias(col), *value_cols)
+    if broadcast_max_rows is not None:
+        d = maybe_broadcast(d, broadcast_max_rows)
     return df.join(d, col, "left")
 
 

@@ -370,7 +370,8 @@ def jn02(spark, sf):
 def jn03(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer")
-    return J.lookup(o, "o_custkey", c, "c_custkey", ["c_name", "c_mktsegment"]).drop("o_custkey")
+    # the customer dictionary is broadcast only if it provably has <= 1M rows
+    return J.lookup(o, "o_custkey", c, "c_custkey", ["c_name", "c_mktsegment"], broadcast_max_rows=1_000_000).drop("o_custkey")
 
 
 @query(
@@ -642,8 +643,7 @@ def agg13(spark, sf):
 )
 def agg14(spark, sf):
     counts = G.word_counts(v_line(spark, sf), "sentence", " ")
-    hits = counts.where(F.col("count") >= 11)
-    return W.number_rows(hits, [], [F.col("count").desc(), F.col("word")], "rank", bucket=-F.col("count"))
+    return G.too_frequent(counts, 11)
 
 
 STATUS_SQL = "case event_type when 'purchase' then 'succeeded' when 'error' then 'failed' when 'click' then 'rate_limited' else 'other' end"

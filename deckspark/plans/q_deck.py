@@ -145,7 +145,7 @@ def or04(spark, sf):
 )
 def or05(spark, sf):
     counts = G.word_counts(v_line(spark, sf), "sentence", " ")
-    return W.number_rows(counts, [], [F.col("count").desc(), F.col("word")], "rank", bucket=-F.col("count"))
+    return G.rank_words(counts)
 
 
 @query("or06_sample_rows")

@@ -60,3 +60,32 @@ def test_missing_meanings(spark):
     wanted = spark.createDataFrame([(3, "go"), (3, "run"), (3, "move"), (4, "dine")], "block long, translation string")
     out = {(r.block, r.translation): r.new_idx for r in W.missing_meanings(deck, wanted).collect()}
     assert out == {(3, "move"): Decimal("3.002"), (3, "run"): Decimal("3.003"), (4, "dine"): Decimal("4.001")}
+
+
+def test_first_per_key_and_suffix_on_a_hot_key(spark):
+    """One key holding most rows: results must equal the plain definitions."""
+    from decimal import Decimal
+
+    from deckspark.operators import agg as G
+
+    rows = [("hot", i, f"v{i % 97}") for i in range(6000)] + [(f"k{i}", i, "x") for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, o long, v string")
+    first = {r.k: r.o for r in G.first_per_key(df, "k", ["o"]).collect()}
+    assert first["hot"] == 0 and first["k7"] == 7
+    last = {r.k: r.o for r in G.last_per_key(df, "k", ["o"]).collect()}
+    assert last["hot"] == 5999
+    idx = df.withColumn("idx", F.lit(Decimal(1)).cast("decimal(18,6)"))
+    out = W.suffix_occurrences(idx.where(F.col("k") == "hot"), "idx", ["o"], "0.0001", bucket_width=500)
+    got = sorted(r.idx for r in out.collect())
+    assert got == [Decimal(1) + Decimal(i) / 10000 for i in range(6000)]
+
+
+def test_maybe_broadcast_respects_the_bound(spark):
+    from deckspark.operators.joins import lookup
+
+    big = spark.range(0, 50).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    facts = spark.range(0, 200).withColumn("k", F.col("id") % 50)
+    small_plan = lookup(facts, "k", big, "k", ["v"], broadcast_max_rows=100)._jdf.queryExecution().toString()
+    assert "broadcast" in small_plan.lower()
+    out = lookup(facts, "k", big, "k", ["v"], broadcast_max_rows=10)
+    assert out.where(F.col("v") == F.col("k") * 2).count() == 200
