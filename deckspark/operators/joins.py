@@ -125,9 +125,15 @@ def times_table(df: DataFrame, col: str, lo: int, hi: int) -> DataFrame:
     return x.withColumn("b", F.col("b").cast("bigint")).withColumn("c", F.col("a") * F.col("b"))
 
 
-# JN-15 -- ordered pairs i < j of a (small, distinct) set
-def ordered_pairs(df: DataFrame, col: str) -> DataFrame:
+# JN-15 -- ordered pairs i < j of a small domain (languages).  The pairs of
+# a set grow quadratically, so the distinct set must provably hold at most
+# `max_values` members (a bounded count) before it is paired.
+def ordered_pairs(df: DataFrame, col: str, max_values: int = 1000) -> DataFrame:
     d = df.select(col).distinct()
+    n = d.limit(max_values + 1).count()
+    if n > max_values:
+        raise ValueError(f"ordered_pairs: more than {max_values} distinct values of {col}")
+    d = F.broadcast(d)
     a = d.select(F.col(col).alias("a"))
     b = d.select(F.col(col).alias("b"))
     return a.join(b, F.col("a") < F.col("b"))

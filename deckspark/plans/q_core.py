@@ -195,10 +195,13 @@ def fl11(spark, sf):
 
 @query(
     "fl12_non_blank",
-    f"select doc_id, pos, sentence from (select doc_id, pos, {strip_sql('s')} as sentence from (select doc_id, pos, split_part(sentence, '.', 2) as s from {V_LINE_SQL})) where trim(sentence) <> ''",
+    f"""select doc_id, pos, k, sentence from (select doc_id, pos, cast(u.k as bigint) as k, {strip_sql('u.s')} as sentence from {V_LINE_SQL},
+          lateral (select unnest(string_split(sentence, '.')) as s, generate_subscripts(string_split(sentence, '.'), 1) as k) u)
+       where trim(sentence) <> ''""",
 )
 def fl12(spark, sf):
-    l = v_line(spark, sf).select("doc_id", "pos", S.strip(F.split_part("sentence", F.lit("."), F.lit(2))).alias("sentence"))
+    l = v_line(spark, sf).select("doc_id", "pos", F.posexplode(A.split_literal("sentence", ".")).alias("k", "s"))
+    l = l.select("doc_id", "pos", (F.col("k") + 1).cast("bigint").alias("k"), S.strip("s").alias("sentence"))
     return l.where(F.trim("sentence") != "")
 
 
@@ -232,11 +235,11 @@ def fl16(spark, sf):
 
 @query(
     "up01_fill_from",
-    """select d.doc_id, coalesce(l.quality, cast(d.n_chars % 2 as integer)) as quality
+    """select d.doc_id, coalesce(l.quality, cast(d.n_chars > 2000 as integer)) as quality
        from documents d left join labels l on d.doc_id = l.doc_id""",
 )
 def up01(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", (F.col("n_chars") % 2).cast("int").alias("guess"))
+    d = table(spark, sf, "documents").select("doc_id", (F.col("n_chars") > 2000).cast("int").alias("guess"))
     j = d.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
     return J.fill_from(j, "quality", "guess").select("doc_id", "quality")
 
@@ -499,13 +502,11 @@ def jn17(spark, sf):
 @query(
     "jn18_pivot_pair",
     f"""select a.doc_id, a.pos, a.sentence as from_text, lower(b.sentence) as to_text
-       from {V_LINE_SQL} a join {V_LINE_SQL} b on a.doc_id = b.doc_id and a.pos = b.pos
-       where a.doc_id in (select doc_id from documents where lang = 'de')""",
+       from {V_LINE_SQL} a join {V_LINE_SQL} b on a.doc_id = b.doc_id and a.pos = b.pos""",
 )
 def jn18(spark, sf):
     l = v_line(spark, sf)
-    de = table(spark, sf, "documents").where(F.col("lang") == "de").select("doc_id")
-    a = l.join(de, "doc_id", "left_semi").select("doc_id", "pos", F.col("sentence").alias("from_text"))
+    a = l.select("doc_id", "pos", F.col("sentence").alias("from_text"))
     b = l.select("doc_id", "pos", F.lower("sentence").alias("to_text"))
     return a.join(b, ["doc_id", "pos"])
 
@@ -550,12 +551,10 @@ def agg04(spark, sf):
 @query(
     "agg05_first_per_expr",
     f"""select doc_id, pos, i, token from (
-          select *, row_number() over (partition by {_base_form_sql('token')} order by doc_id, pos, i) as rn from {V_TOK_SQL}
-          where doc_id in (select doc_id from documents where lang = 'de')) where rn = 1""",
+          select *, row_number() over (partition by {_base_form_sql('token')} order by doc_id, pos, i) as rn from {V_TOK_SQL}) where rn = 1""",
 )
 def agg05(spark, sf):
-    de = table(spark, sf, "documents").where(F.col("lang") == "de").select("doc_id")
-    t = v_tok(spark, sf).join(de, "doc_id", "left_semi")
+    t = v_tok(spark, sf)
     return G.first_per_expr(t, S.base_form("token"), ["doc_id", "pos", "i"])
 
 

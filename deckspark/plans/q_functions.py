@@ -93,14 +93,22 @@ def str11(spark, sf):
     return v_line(spark, sf).select("doc_id", "pos", S.cut_annotation("sentence").alias("head"))
 
 
-PHRASE_SQL = f"(select doc_id, pos, split_part(sentence, ' ', 1) || ' ' || split_part(sentence, ' ', 2) || ' ' || split_part(sentence, ' ', 3) as phrase from {V_LINE_SQL})"
+BIGRAM_SQL = f"""(select doc_id, pos, cast(u.k as bigint) as k, u.phrase from
+    (select doc_id, pos, string_split(sentence, ' ') as t from {V_LINE_SQL}),
+    lateral (select unnest(list_transform(range(1, len(t) + 1), lambda k: t[k] || coalesce(' ' || t[k + 1], ''))) as phrase,
+                    unnest(range(1, len(t) + 1)) as k) u)"""
 
 
-@query("str12_base_form", f"select doc_id, pos, phrase, {_base_form_sql('phrase')} as base from {PHRASE_SQL}")
+def _bigrams(spark, sf):
+    """Every token with its successor ("der Hund", "Hund bellt", ...)."""
+    l = v_line(spark, sf).withColumn("t", F.split("sentence", " "))
+    ph = F.transform("t", lambda x, i: F.concat_ws(" ", x, F.try_element_at("t", i + 2)))
+    return l.select("doc_id", "pos", F.posexplode(ph).alias("k", "phrase")).withColumn("k", (F.col("k") + 1).cast("bigint"))
+
+
+@query("str12_base_form", f"select doc_id, pos, k, phrase, {_base_form_sql('phrase')} as base from {BIGRAM_SQL}")
 def str12(spark, sf):
-    l = v_line(spark, sf)
-    ph = F.concat_ws(" ", *[F.split_part("sentence", F.lit(" "), F.lit(i)) for i in (1, 2, 3)])
-    return l.select("doc_id", "pos", ph.alias("phrase")).withColumn("base", S.base_form("phrase"))
+    return _bigrams(spark, sf).withColumn("base", S.base_form("phrase"))
 
 
 @query(
@@ -168,16 +176,16 @@ def str19(spark, sf):
 @query(
     "str20_fix_sentence",
     f"""select doc_id, pos, case when ends_with(s, '"') then replace(s, '/', '.') || '.' else replace(s, '/', '.') end as fixed
-       from (select doc_id, pos, sentence || case when pos % 3 = 0 then '/x "q"' else '' end as s from {V_LINE_SQL})""",
+       from (select doc_id, pos, sentence || case when contains(sentence, ',') then '/x "q"' else '' end as s from {V_LINE_SQL})""",
 )
 def str20(spark, sf):
-    l = v_line(spark, sf).withColumn("s", F.concat("sentence", F.when(F.col("pos") % 3 == 0, F.lit('/x "q"')).otherwise(F.lit(""))))
+    l = v_line(spark, sf).withColumn("s", F.concat("sentence", F.when(F.col("sentence").contains(","), F.lit('/x "q"')).otherwise(F.lit(""))))
     return l.select("doc_id", "pos", S.fix_sentence("s").alias("fixed"))
 
 
-@query("str21_escape_quotes", "select page_id, replace(substr(html, 1, 200), '\"', '\"\"') as head from pages")
+@query("str21_escape_quotes", "select page_id, replace(html, '\"', '\"\"') as html from pages")
 def str21(spark, sf):
-    return table(spark, sf, "pages").select("page_id", S.escape_quotes(F.substring("html", 1, 200)).alias("head"))
+    return table(spark, sf, "pages").select("page_id", S.escape_quotes("html").alias("html"))
 
 
 @query(
@@ -250,11 +258,11 @@ def str28(spark, sf):
 
 @query(
     "str29_mkrange",
-    """select o_orderkey, '[ ' || cast(o_orderkey * 10 + 5 as varchar) || ' ; ' || cast(least(o_orderkey * 10 + 5 + o_custkey % 20, 500000) as varchar) || ' )' as label from orders""",
+    """select o_orderkey, '[ ' || cast(o_orderkey * 10 + 5 as varchar) || ' ; ' || cast(least(o_orderkey * 10 + 5 + o_custkey // 100, 500000) as varchar) || ' )' as label from orders""",
 )
 def str29(spark, sf):
     o = table(spark, sf, "orders")
-    lab = S.mkrange(F.col("o_orderkey") * 10, F.col("o_orderkey") * 10 + F.col("o_custkey") % 20, maxi=500000, offset=5)
+    lab = S.mkrange(F.col("o_orderkey") * 10, F.col("o_orderkey") * 10 + F.floor(F.col("o_custkey") / 100).cast("bigint"), maxi=500000, offset=5)
     return o.select("o_orderkey", lab.alias("label"))
 
 
@@ -323,14 +331,15 @@ def arr06(spark, sf):
 
 @query(
     "arr07_zip",
-    """select doc_id, cast(least(len(string_split(text, chr(10))), len(string_split(text, '. '))) as bigint) as n_pairs,
-              string_split(text, chr(10))[1] || ' <> ' || string_split(text, '. ')[1] as first_pair from documents""",
+    """select doc_id, cast(least(len(a), len(b)) as bigint) as n_pairs,
+              array_to_string(list_transform(list_slice(list_zip(a, b), 1, least(len(a), len(b))), lambda p: p[1] || ' <> ' || p[2]), chr(10)) as pairs
+       from (select doc_id, string_split(text, chr(10)) as a, string_split(text, '. ') as b from documents)""",
 )
 def arr07(spark, sf):
     d = table(spark, sf, "documents")
     z = A.zip_shortest(F.split("text", "\n"), F.split("text", r"\. "))
-    first = F.element_at(z, 1)
-    return d.select("doc_id", F.size(z).cast("bigint").alias("n_pairs"), F.concat_ws(" <> ", first.getField("0"), first.getField("1")).alias("first_pair"))
+    pairs = F.array_join(F.transform(z, lambda p: F.concat_ws(" <> ", p.getField("0"), p.getField("1"))), "\n")
+    return d.select("doc_id", F.size(z).cast("bigint").alias("n_pairs"), pairs.alias("pairs"))
 
 
 @query(

@@ -136,12 +136,12 @@ def src08(spark, sf):
 
 @query(
     "src09_read_blocks",
-    """select cast(doc_id // 20 as integer) as block_index, string_split(text, chr(10))[1] as line from documents
+    """select cast(doc_id // 20 as integer) as block_index, regexp_replace(text, '^\s+|\s+$', '', 'g') as line from documents
        where doc_id in (select max(doc_id) from documents group by doc_id // 20)""",
 )
 def src09(spark, sf):
     path = scratch_path(spark, "blocks")
-    d = table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 20).cast("int").alias("b"), F.split("text", "\n")[0].alias("line"))
+    d = table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 20).cast("int").alias("b"), F.col("text").alias("line"))
     rec = F.format_string("<block>\n<index>%04d</index>\n<body>\n%s\n</body>\n</block>", F.col("b"), F.col("line"))
     d.orderBy("doc_id").select(rec.alias("value")).write.text(path)
     b = R.read_blocks(spark, path)
@@ -275,12 +275,11 @@ def snk04(spark, sf):
 
 @query(
     "snk05_write_unquoted",
-    "select cast(doc_id as varchar) || '|' || string_split(text, chr(10))[1] as line from documents",
+    f"select cast(doc_id as varchar) || '|' || cast(pos as varchar) || '|' || sentence as line from {V_LINE_SQL}",
 )
 def snk05(spark, sf):
     path = scratch_path(spark, "unq")
-    d = table(spark, sf, "documents").select("doc_id", F.split("text", "\n")[0].alias("first"))
-    K.write_unquoted(d, ["doc_id", "first"], path)
+    K.write_unquoted(v_line(spark, sf), ["doc_id", "pos", "sentence"], path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 

@@ -14,6 +14,7 @@ from . import corpus as CP
 from . import deck_jobs as DJ
 from .catalog import query
 from .q_core import _base_form_sql, strip_sql
+from .q_functions import BIGRAM_SQL
 from .views import V_LINE_SQL, V_NOTE_SQL, V_TOK_SQL, table, v_line, v_note, v_tok
 
 D = "decimal(18,6)"
@@ -601,17 +602,19 @@ def txt25(spark, sf):
 
 @query(
     "txt26_split_article",
-    f"""select doc_id, pos, phrase,
+    f"""select doc_id, pos, k, phrase,
               nullif(regexp_extract(phrase, '^(der|die|das) (.+)$', 1), '') as article,
               case when regexp_extract(phrase, '^(der|die|das) (.+)$', 2) = '' then phrase else regexp_extract(phrase, '^(der|die|das) (.+)$', 2) end as noun,
               string_split({strip_sql('phrase')}, ' ')[-1] as last_word
-       from (select doc_id, pos, lower(split_part(sentence, ' ', 1)) || ' ' || split_part(sentence, ' ', 2) as phrase from {V_LINE_SQL})""",
+       from (select doc_id, pos, k, lower(split_part(phrase, ' ', 1)) || substr(phrase, length(split_part(phrase, ' ', 1)) + 1) as phrase from {BIGRAM_SQL})""",
 )
 def txt26(spark, sf):
-    l = v_line(spark, sf).select(
-        "doc_id", "pos", F.concat_ws(" ", F.lower(F.split_part("sentence", F.lit(" "), F.lit(1))), F.split_part("sentence", F.lit(" "), F.lit(2))).alias("phrase")
-    )
-    return CP.split_articles(l, "phrase")
+    from .q_functions import _bigrams
+
+    b = _bigrams(spark, sf)
+    first = F.substring_index("phrase", " ", 1)
+    low = F.concat(F.lower(first), F.expr("substring(phrase, length(substring_index(phrase, ' ', 1)) + 1)"))
+    return CP.split_articles(b.select("doc_id", "pos", "k", low.alias("phrase")), "phrase")
 
 
 # ------------------------------------------------------------- TXT-27 -----
