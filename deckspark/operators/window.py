@@ -48,8 +48,7 @@ def running_sum(
     keys = _cols(keys)
     order = _cols(order)
     val = F.col(value) if isinstance(value, str) else value
-    first = F.col(order[0]) if isinstance(order[0], str) else order[0]
-    b = bucket if bucket is not None else F.floor(first / F.lit(bucket_width)).cast("bigint")
+    b = bucket if bucket is not None else _default_bucket(df, order[0], bucket_width)
     kcols = [F.col(k) for k in keys]  # keys are column names
     x = df.withColumn("__b", b).withColumn("__v", val)
     frame = Window.partitionBy(*kcols, F.col("__b")).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -64,6 +63,18 @@ def running_sum(
     return joined.withColumn(out, res).drop("__b", "__v", "__local", "__off")
 
 
+def _default_bucket(df: DataFrame, first, width: int) -> Column:
+    """Slices that follow an ascending first order column: a numeric range,
+    or a two-character prefix for strings.  Other orders (descending,
+    expressions) must pass an explicit, order-preserving ``bucket``."""
+    if not isinstance(first, str):
+        raise ValueError("running_sum: pass `bucket` when the first order key is an expression")
+    dtype = df.schema[first].dataType.typeName()
+    if dtype in ("string", "varchar", "char"):
+        return F.substring(F.col(first), 1, 2)
+    return F.floor(F.col(first) / F.lit(width)).cast("bigint")
+
+
 def number_rows(df: DataFrame, keys, order, out: str = "row_number", bucket=None, bucket_width: int = 65536) -> DataFrame:
     """WN-04 / OR-12: 1-based row numbers within ``keys`` (global if none),
     without funnelling a group through one task."""

@@ -124,7 +124,12 @@ def _doc_labels(spark, sf):
 @query("or03_complete_first", _numbered_sql("quality is null, doc_id", DOC_LABEL_SQL, "doc_id, quality"))
 def or03(spark, sf):
     x = _doc_labels(spark, sf).withColumn("__g", F.col("quality").isNull().cast("int"))
-    return W.number_rows(x, [], ["__g", "doc_id"], "pos", bucket=F.col("__g")).drop("__g")
+    return W.number_rows(x, [], ["__g", "doc_id"], "pos", bucket=_group_bucket()).drop("__g")
+
+
+def _group_bucket():
+    """Slices for the order (group, doc_id): the group and a doc_id range."""
+    return F.struct(F.col("__g").alias("g"), F.floor(F.col("doc_id") / 65536).alias("r"))
 
 
 @query(
@@ -134,7 +139,7 @@ def or03(spark, sf):
 def or04(spark, sf):
     g = F.when(F.col("quality") == 1, 0).when(F.col("quality").isNotNull(), 1).otherwise(2)
     x = _doc_labels(spark, sf).withColumn("__g", g)
-    return W.number_rows(x, [], ["__g", "doc_id"], "pos", bucket=F.col("__g")).drop("__g")
+    return W.number_rows(x, [], ["__g", "doc_id"], "pos", bucket=_group_bucket()).drop("__g")
 
 
 @query(
@@ -181,7 +186,8 @@ def or09(spark, sf):
 @query("or10_by_length", _numbered_sql("length(sentence), doc_id, pos", V_LINE_SQL, "doc_id, pos", "rank"))
 def or10(spark, sf):
     l = v_line(spark, sf).withColumn("__len", F.char_length("sentence"))
-    return W.number_rows(l, [], ["__len", "doc_id", "pos"], "rank").select("doc_id", "pos", "rank")
+    bucket = F.struct(F.col("__len").alias("l"), F.floor(F.col("doc_id") / 65536).alias("r"))
+    return W.number_rows(l, [], ["__len", "doc_id", "pos"], "rank", bucket=bucket).select("doc_id", "pos", "rank")
 
 
 @query("or11_by_topic_word", _numbered_sql("c_mktsegment, c_name, c_custkey", "customer", "c_custkey"))
@@ -190,13 +196,15 @@ def or11(spark, sf):
     # topic = segment, a small domain: number the topics, use them as buckets
     topics = W.number_rows(c.select("c_mktsegment").distinct(), [], ["c_mktsegment"], "__t", bucket=F.lit(0))
     x = c.join(topics, "c_mktsegment")
-    return W.number_rows(x, [], ["__t", "c_name", "c_custkey"], "pos", bucket=F.col("__t")).select("c_custkey", "pos")
+    # slices: topic and a name prefix (prefixes sort like the names)
+    bucket = F.struct(F.col("__t").alias("t"), F.substring("c_name", 1, 15).alias("p"))
+    return W.number_rows(x, [], ["__t", "c_name", "c_custkey"], "pos", bucket=bucket).select("c_custkey", "pos")
 
 
 @query("or12_renumber", "select s_suppkey, row_number() over (order by s_name, s_suppkey) - 1 as pos from supplier")
 def or12(spark, sf):
-    s = table(spark, sf, "supplier").withColumn("__k", F.split_part("s_name", F.lit("#"), F.lit(2)).cast("bigint"))
-    x = W.number_rows(s, [], ["s_name", "s_suppkey"], "pos", bucket=F.floor(F.col("__k") / 65536))
+    s = table(spark, sf, "supplier")
+    x = W.number_rows(s, [], ["s_name", "s_suppkey"], "pos", bucket=F.substring("s_name", 1, 15))
     return x.select("s_suppkey", (F.col("pos") - 1).alias("pos"))
 
 
