@@ -70,7 +70,6 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 # AGG-07 -- per key, distinct non-null values of several columns joined by
 # `sep`, in row-major first-seen order.
 def collect_distinct_wide(df: DataFrame, key: str, cols: list[str], order: str, sep: str = ";") -> DataFrame:
-    n = len(cols)
     cells = df.select(
         key,
         F.posexplode(F.array(*[F.col(c).cast("string") for c in cols])).alias("__j", "__v"),
@@ -79,7 +78,6 @@ def collect_distinct_wide(df: DataFrame, key: str, cols: list[str], order: str,
     # first position of each value: (row order, column position)
     firsts = cells.groupBy(key, "__v").agg(F.min(F.struct("__o", "__j")).alias("__pos"))
     agg = firsts.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("__pos", "__v"))).alias("__vals"))
-    del n
     return agg.select(key, F.array_join(F.transform("__vals", lambda s: s["__v"]), sep).alias("values"))
 
 

@@ -25,10 +25,6 @@ def _cols(x) -> list:
     return list(x) if isinstance(x, (list, tuple)) else [x]
 
 
-def _name(c) -> str:
-    return c if isinstance(c, str) else str(c)
-
-
 def running_sum(
     df: DataFrame,
     keys,

@@ -26,6 +26,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> dict:
     # importing the modules registers their queries
-    from . import q_core, q_deck, q_functions, q_io, q_stream, q_text_jobs  # noqa: F401
+    from . import q_core, q_deck, q_functions, q_io, q_stream, q_text_jobs  # noqa: F401  (registration)
 
     return REGISTRY

@@ -136,7 +136,7 @@ def src08(spark, sf):
 
 @query(
     "src09_read_blocks",
-    """select cast(doc_id // 20 as integer) as block_index, regexp_replace(text, '^\s+|\s+$', '', 'g') as line from documents
+    r"""select cast(doc_id // 20 as integer) as block_index, regexp_replace(text, '^\s+|\s+$', '', 'g') as line from documents
        where doc_id in (select max(doc_id) from documents group by doc_id // 20)""",
 )
 def src09(spark, sf):

@@ -13,7 +13,7 @@ from ..schema import DROPPED_TOKENS
 from . import corpus as CP
 from . import deck_jobs as DJ
 from .catalog import query
-from .q_core import _base_form_sql, strip_sql
+from .q_core import strip_sql
 from .q_functions import BIGRAM_SQL
 from .views import V_LINE_SQL, V_NOTE_SQL, V_TOK_SQL, table, v_line, v_note, v_tok
 
