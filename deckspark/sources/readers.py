@@ -60,7 +60,7 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = False, line_c
     from ..operators.window import number_rows, running_sum
 
     raw = spark.read.text(path).select(
-        F.input_file_name().alias("__file"), F.monotonically_increasing_id().alias("__mid"), F.col("value").alias(line_col)
+        F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__mid"), F.col("value").alias(line_col)
     )
     numbered = number_rows(raw, ["__file"], ["__mid"], "line_no", bucket=F.shiftright(F.col("__mid"), 33))
     if skip_header:
@@ -90,7 +90,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     from ..operators.agg import last_per_key
 
     raw = spark.read.text(path, lineSep="</block>").select(
-        F.input_file_name().alias("__file"), F.monotonically_increasing_id().alias("__mid"), "value"
+        F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__mid"), "value"
     )
     raw = raw.where(F.col("value").contains("<block>"))
     idx = F.regexp_extract("value", r"<index>\s*(\d+)\s*</index>", 1).cast("int")
