@@ -63,9 +63,7 @@ def inc02(spark, sf):
     return res.select("idx", "turn")
 
 
-@query(
-    "inc03_retry_state",
-    """with e as (select user_id, ts, event_id from events where event_type = 'error'),
+INC03_SQL = """with e as (select user_id, ts, event_id from events where event_type = 'error'),
             n as (select *, row_number() over (partition by user_id order by ts, event_id) as rn from e),
             ae as (select user_id, string_agg(cast(event_id as varchar), ';' order by rn) as errors from n where rn <= 3 group by user_id),
             c as (select user_id, cast(count(*) filter (where event_type = 'error') as bigint) as attempts,
@@ -73,7 +71,12 @@ def inc02(spark, sf):
        select c.user_id, c.attempts, cast(greatest(3 - c.attempts, 0) as bigint) as attempts_left,
               case when succeeded then 'succeeded' when attempts >= 3 then 'failed' else 'retry' end as status,
               coalesce(ae.errors, '') as errors
-       from c left join ae on c.user_id = ae.user_id""",
+       from c left join ae on c.user_id = ae.user_id"""
+
+
+@query(
+    "inc03_retry_state",
+    INC03_SQL,
 )
 def inc03(spark, sf):
     e = table(spark, sf, "events").withColumn("ok", F.col("event_type") != "error")
@@ -99,6 +102,21 @@ def inc03b(spark, sf):
     return I.retry_state(e, "event_type", "ts", "ok", "event_id", 3)
 
 
+@query("inc03_retry_state_stream", INC03_SQL)
+def inc03s(spark, sf):
+    """The same bounded-retry state kept by a stateful stream: events are
+    replayed as parquet files, ``applyInPandasWithState`` keeps per-user
+    state, and the last update per user is the result."""
+    src = scratch_path(spark, "retry-src")
+    out = scratch_path(spark, "retry-out")
+    ckpt = scratch_path(spark, "retry-ckpt")
+    e = table(spark, sf, "events").select("user_id", "ts", "event_id", (F.col("event_type") != "error").alias("ok"))
+    e.write.parquet(src)
+    stream = spark.readStream.schema(e.schema).parquet(src)
+    state = I.retry_state_stream(stream, "user_id", "ok", "event_id", 3, order=["ts", "event_id"])
+    return I.latest_state(spark, state, "user_id", out, ckpt)
+
+
 @query(
     "inc04_rate_audit",
     """select cast(epoch(date_trunc('minute', ts)) as bigint) as minute, cast(count(*) as bigint) as requests,
@@ -165,3 +183,20 @@ def udf06(spark, sf):
         F.array_join(F.split(F.lower("line"), " "), ";").alias("lemmas"),
     )
     return filter_rare_sentences(deck, "idx", "word", "lemmas").select("idx", "accepted")
+
+
+@query("inc04_rate_audit_stream")
+def inc04s(spark, sf):
+    """Event-time minutes with a watermark, append mode: every minute is
+    emitted once it is closed (the minutes newer than the watermark at the
+    end of the replay stay open)."""
+    src = scratch_path(spark, "rate-src")
+    out = scratch_path(spark, "rate-out")
+    ckpt = scratch_path(spark, "rate-ckpt")
+    e = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.floor(F.col("value") * 1000).cast("bigint").alias("tokens"))
+    e.write.parquet(src)
+    stream = spark.readStream.schema(e.schema).parquet(src)
+    q = (I.rate_audit_stream(stream, "ts", "tokens").writeStream.outputMode("append").format("parquet")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.parquet(out)

@@ -92,23 +92,26 @@ def retry_state(results: DataFrame, task: str, ts: str, ok: str, error: str, max
 RETRY_STATE_SCHEMA = "attempts long, succeeded boolean, errors string"
 
 
-def retry_state_stream(events: DataFrame, task: str, ok: str, error: str, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def retry_state_stream(events: DataFrame, task: str, ok: str, error: str, max_attempts: int = MAX_ATTEMPTS, order: list[str] | None = None) -> DataFrame:
     """Streaming form: state per task (attempts, success, first errors) kept
     in the state store with ``applyInPandasWithState``; emits the task's
-    current status every time it receives events."""
+    current status every time it receives events.  Within a micro-batch the
+    task's events are taken in ``order`` (default: arrival order)."""
     out_schema = f"{task} long, attempts long, attempts_left long, status string, errors string"
 
     def update(key, pdfs, state):
         attempts, succeeded, errors = (state.get if state.exists else (0, False, ""))
         errs = [e for e in errors.split(";") if e] if errors else []
-        for pdf in pdfs:
-            for okv, err in zip(pdf[ok], pdf[error]):
-                if bool(okv):
-                    succeeded = True
-                else:
-                    attempts += 1
-                    if len(errs) < max_attempts:
-                        errs.append(str(err))
+        batch = pd.concat(list(pdfs), ignore_index=True)
+        if order:
+            batch = batch.sort_values(order, kind="stable")
+        for okv, err in zip(batch[ok], batch[error]):
+            if bool(okv):
+                succeeded = True
+            else:
+                attempts += 1
+                if len(errs) < max_attempts:
+                    errs.append(str(err))
         state.update((attempts, succeeded, ";".join(errs)))
         status = "succeeded" if succeeded else ("failed" if attempts >= max_attempts else "retry")
         yield pd.DataFrame(
@@ -118,6 +121,19 @@ def retry_state_stream(events: DataFrame, task: str, ok: str, error: str, max_at
     return events.groupBy(task).applyInPandasWithState(update, out_schema, RETRY_STATE_SCHEMA, "update", "NoTimeout")
 
 
+def latest_state(spark: SparkSession, stream: DataFrame, key: str, out: str, checkpoint: str) -> DataFrame:
+    """Run an update-mode stream to completion (availableNow) and return the
+    last emitted row per key: every micro-batch's updates are appended with
+    their batch id, then the latest one wins."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
+
+    q = stream.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return G.last_per_key(spark.read.parquet(out), key, ["batch_id"]).drop("batch_id")
+
+
 # INC-04 -- requests and tokens per minute against the limits
 def rate_audit(df: DataFrame, ts: str, tokens: str, rpm: int = LIMIT_REQUESTS_PER_MINUTE, tpm: int = LIMIT_TOKENS_PER_MINUTE) -> DataFrame:
     g = df.groupBy(F.window(ts, "1 minute").alias("w")).agg(
