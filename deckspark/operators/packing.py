@@ -19,39 +19,11 @@ lines.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
-def block_borders(lengths: list[int], margin: int, max_symbols: int) -> list[tuple[int, int]]:
-    """Reference fold on plain Python lists (costs already include the +1)."""
-    cost = [1] * margin + list(lengths) + [1] * margin
-    csum = np.concatenate([[0], np.cumsum(cost)])
-
-    def seg(a, b):  # sum(cost[a:b]) with Python slice clamping
-        a = max(0, min(a, len(cost)))
-        b = max(0, min(b, len(cost)))
-        return int(csum[b] - csum[a]) if b > a else 0
-
-    borders = []
-    symbols = 0
-    start = 0
-    after_last = len(cost) - margin + 1
-    for k in range(margin, after_last):
-        j = k + 1
-        if symbols + seg(k, j + margin + 1) > max_symbols:
-            borders.append((start, k + margin))
-            start = j - margin
-            symbols = seg(j - margin, j)
-        else:
-            symbols += cost[k]
-        if j == after_last:
-            borders.append((start, k + margin))
-    return borders
-
-
 def pack_blocks(lines: DataFrame, key: str, pos: str, line: str, max_symbols: int = 3000, margin: int = 3) -> DataFrame:
     """Returns ``(key, block, start, end)``; ``start``/``end`` are inclusive
     positions in the padded sequence (line ``pos`` sits at ``pos - 1 +
