@@ -455,11 +455,11 @@ def jsn02(spark, sf):
 
 @query(
     "jsn03_to_request",
-    "select conv_id, turn, json_object('model', 'gpt-4o-mini', 'messages', [json_object('role', 'user', 'content', 'Translate:' || chr(10) || text)])::varchar as request from conversations where role = 'user'",
+    "select conv_id, turn, json_object('model', 'text-generator', 'messages', [json_object('role', 'user', 'content', 'Translate:' || chr(10) || text)])::varchar as request from conversations where role = 'user'",
 )
 def jsn03(spark, sf):
     c = table(spark, sf, "conversations").where(F.col("role") == "user")
-    return c.select("conv_id", "turn", A.to_request(F.lit("Translate:\n"), F.col("text"), "gpt-4o-mini").alias("request"))
+    return c.select("conv_id", "turn", A.to_request(F.lit("Translate:\n"), F.col("text"), "text-generator").alias("request"))
 
 
 @query(

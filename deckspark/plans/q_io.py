@@ -150,7 +150,7 @@ def src09(spark, sf):
 
 def _results(spark, sf):
     c = table(spark, sf, "conversations")
-    req = F.to_json(F.struct(F.lit("gpt-4o-mini").alias("model"), F.col("conv_id").alias("id"), F.col("turn").alias("turn")))
+    req = F.to_json(F.struct(F.lit("text-generator").alias("model"), F.col("conv_id").alias("id"), F.col("turn").alias("turn")))
     resp = F.when(F.col("role") == "system", F.to_json(F.array(F.lit("rate limited"), F.lit("timeout")))).otherwise(
         F.to_json(F.struct(F.col("text").alias("content")))
     )
@@ -303,7 +303,7 @@ def _blocks(spark, sf):
 
 @query(
     "snk07_write_requests",
-    f"""select cast(block as bigint) as block, json_object('model', 'gpt-4o-mini', 'messages',
+    f"""select cast(block as bigint) as block, json_object('model', 'text-generator', 'messages',
               [json_object('role', 'user', 'content', 'Fill the table:' || chr(10) || payload)])::varchar as request
        from (select block, string_agg(cast(doc_id as varchar) || '|' || cast(pos as varchar), chr(10) order by doc_id, pos) as payload
              from {BLOCKS_SQL} group by block)""",
@@ -312,7 +312,7 @@ def snk07(spark, sf):
     path = scratch_path(spark, "requests")
     b = _blocks(spark, sf).withColumn("__o", F.col("doc_id") * 100000 + F.col("pos"))
     payload = K.block_payload(b, "block", "__o", ["doc_id", "pos"])
-    req = payload.select("block", A.to_request(F.lit("Fill the table:\n"), F.col("payload"), "gpt-4o-mini").alias("request"))
+    req = payload.select("block", A.to_request(F.lit("Fill the table:\n"), F.col("payload"), "text-generator").alias("request"))
     K.write_requests(req.select(F.to_json(F.struct("block", "request")).alias("j")), "j", path)
     back = spark.read.text(path).select(F.from_json("value", "block bigint, request string").alias("r"))
     return back.select("r.block", "r.request")

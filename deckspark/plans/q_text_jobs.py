@@ -670,7 +670,7 @@ def txt16(spark, sf):
         F.split_part("sentence", F.lit(" "), F.lit(1)).alias("word"),
         F.when(S.length_between("sentence", 60, 70), F.col("sentence")).alias("sentence"),
     )
-    return CP.prepare_requests(deck, "idx", ["word"], "sentence", "Write one sentence per word:\n", "gpt-4o-mini", 70, seed=7)
+    return CP.prepare_requests(deck, "idx", ["word"], "sentence", "Write one sentence per word:\n", "text-generator", 70, seed=7)
 
 
 @query(
