@@ -89,3 +89,17 @@ def test_maybe_broadcast_respects_the_bound(spark):
     assert "broadcast" in small_plan.lower()
     out = lookup(facts, "k", big, "k", ["v"], broadcast_max_rows=10)
     assert out.where(F.col("v") == F.col("k") * 2).count() == 200
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """A key holding a third of all rows: the two-level running count puts
+    its rows into many partitions, where a plain window would use one."""
+    hot = spark.range(0, 30000).select(F.lit("hot").alias("k"), F.col("id").alias("o"))
+    rest = spark.range(0, 60000).select(F.concat(F.lit("k"), (F.col("id") % 600).cast("string")).alias("k"), F.col("id").alias("o"))
+    df = hot.unionByName(rest)
+    out = W.number_rows(df, ["k"], ["o"], "rn", bucket_width=2000).withColumn("pid", F.spark_partition_id())
+    spread = out.where(F.col("k") == "hot").select("pid").distinct().count()
+    assert spread >= 2
+    # correctness of the numbering for the hot key
+    got = [r.rn for r in out.where(F.col("k") == "hot").orderBy("o").select("rn").collect()]
+    assert got == list(range(1, 30001))
