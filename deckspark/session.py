@@ -26,10 +26,14 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "deckspark") -> SparkSession:
+def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "deckspark", event_log_dir: str | None = None) -> SparkSession:
+    """A local session with the library's defaults.  ``event_log_dir``
+    turns on Spark's event log (stage and task timings) in that folder."""
     builder = SparkSession.builder.master(master).appName(app)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", "16g")
     spark = builder.getOrCreate()
