@@ -68,8 +68,9 @@ def filter_rare_sentences(
     toks = rows.select(rkey.alias("r"), F.col("__target").alias("__target"), F.explode(split_literal(lemmas, sep)).alias("t"))
     # is_target: the occurrence is the row's own word (null when the word is null)
     occ = toks.groupBy("r", "t", (F.col("t") == F.col("__target")).alias("is_target")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    total = occ.groupBy("t").agg(F.sum("n").alias("total"))
-    occ_tot = cut_lineage(occ.join(total, "t"), "rare-occ")
+    occ = cut_lineage(occ, "rare-occ")
+    total = cut_lineage(occ.groupBy("t").agg(F.sum("n").alias("total")), "rare-total")
+    occ_tot = occ.join(total, "t")
 
     other = F.coalesce(~F.col("is_target"), F.lit(True))
     base = cut_lineage(
@@ -80,7 +81,7 @@ def filter_rare_sentences(
         "rare-rows",
     )
     occ_dyn = cut_lineage(occ_tot.where(F.col("total") > max_occ), "rare-dyn")
-    dyn_tokens = cut_lineage(occ_dyn.select("t", "total").distinct(), "rare-tokens")
+    dyn_tokens = total.where(F.col("total") > max_occ)
 
     rejected = base.select("r", F.lit(False).alias("rej"))
     rej_tot = dyn_tokens.select("t", F.lit(0).cast("bigint").alias("rej_total"))
