@@ -54,3 +54,49 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op2_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines_removed")
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import held_out, predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out(4, 2)))
+    found = predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import held_out
+    from .toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = ~held_out(3, 1)
+    model = train(docs.where(learn), table(spark, sf_dir, "labels").where(learn).select("doc_id", "toxic"))
+    found = score(docs, model).select("doc_id", held_out(3, 1).alias("held_out"), "score")
+    return found.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op6_decontaminate")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
+
+
+@query("op7_warc")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_archives, write_archives
+
+    found = read_archives(spark, write_archives(table(spark, sf_dir, "pages")))
+    page = lambda c: F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1).try_cast("long")
+    pages = found.where("record_type in ('response', 'revisit')")
+    return pages.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
