@@ -6,11 +6,11 @@ whose record batches all hold ``rows_per_batch`` rows (the last may hold
 fewer) of three fixed-size lists of ``seq_len`` items:
 
 ``input_ids``       uint16 (uint32 for vocabularies over 65,536)
-``attention_mask``  uint8, 1 for an id and 0 for padding at the shard's end
-``document_end``    uint8, 1 at the end id of each document
+``attention_mask``  bits, 1 for an id and 0 for padding at the shard's end
+``document_end``    bits, 1 at the end id of each document
 
 Fixed sizes make row ``i`` of a memory-mapped file reachable by arithmetic
-alone, without a copy (:func:`open_sequences`).  The mask of document ends is
+alone, without a copy (:func:`open_sequences`, :func:`sequence`).  The mask of document ends is
 needed because the end id may also be an ordinary id.  A companion stream
 file holds (doc_id, start, n_tokens) per document, ``start`` counted from the
 shard's first id; the manifest table has one row per shard with its place in
@@ -48,8 +48,8 @@ def _stream_schema(seq_len: int, id_type) -> pa.Schema:
     return pa.schema(
         [
             pa.field("input_ids", pa.list_(id_type, seq_len)),
-            pa.field("attention_mask", pa.list_(pa.uint8(), seq_len)),
-            pa.field("document_end", pa.list_(pa.uint8(), seq_len)),
+            pa.field("attention_mask", pa.list_(pa.bool_(), seq_len)),
+            pa.field("document_end", pa.list_(pa.bool_(), seq_len)),
         ]
     )
 
@@ -69,7 +69,7 @@ class _ShardWriter:
         fs, path, self.index_path = own_file(folder, ".index.arrow")
         self.index_sink = fs.open_output_stream(path)
         self.index = pa.ipc.new_stream(self.index_sink, _INDEX)
-        self.ids, self.ends = np.zeros(self.width, self.dtype), np.zeros(self.width, np.uint8)
+        self.ids, self.ends = np.zeros(self.width, self.dtype), np.zeros(self.width, bool)
         self.fill = self.total = self.sequences = self.docs = 0
         self.entries: list[tuple] = []
 
@@ -93,7 +93,7 @@ class _ShardWriter:
     def _flush(self) -> None:
         rows = -(-self.fill // self.seq_len)
         n = rows * self.seq_len
-        mask = np.zeros(n, np.uint8)
+        mask = np.zeros(n, bool)
         mask[: self.fill] = 1
         self.ids[self.fill : n] = 0
         fixed = lambda x, f: pa.FixedSizeListArray.from_arrays(pa.array(x[:n].copy()), type=f.type)
@@ -131,8 +131,19 @@ def library_encoder(tokenizer_path: str, dtype, disputed: str):
     tok.no_truncation()
     tok.no_padding()
 
-    def many(texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    size = np.dtype(dtype).itemsize
+
+    def many(new: list[str]) -> list[bytes]:
+        """Each piece's ids: one call encodes a list of pieces, each split
+        by itself, and says which id comes from which piece."""
+        out = []
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            found = tok.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.asarray(found.ids, dtype).tobytes()
+            cuts = (size * np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))).tolist()
+            out += [ids[i:j] for i, j in zip(cuts, cuts[1:])]
+        return out
 
     memo, odd = Memo(many), set(disputed)
 
@@ -141,7 +152,7 @@ def library_encoder(tokenizer_path: str, dtype, disputed: str):
         out = memo.encode([[] if w else pieces(t) for t, w in zip(texts, whole)])
         for i, w in enumerate(whole):
             if w:
-                out[i] = many([texts[i]])[0]
+                out[i] = np.asarray(tok.encode(texts[i], add_special_tokens=False).ids, dtype).tobytes()
         return out
 
     return encode
@@ -211,14 +222,15 @@ def open_sequences(path: str) -> list:
     return list(pa.ipc.open_stream(source))
 
 
-def sequence(batches: list, row: int, column: str = "input_ids") -> np.ndarray:
-    """Row ``row`` of a shard as a numpy view (no copy): all batches but the
-    last have the same number of rows, so its place follows by division."""
+def sequence(batches: list, row: int, column: str = "input_ids") -> pa.Array:
+    """Row ``row`` of a shard as a slice of the mapped file (no copy; ids
+    become a numpy view by ``to_numpy()``, masks stay bits): all batches but
+    the last have the same number of rows, so its place follows by division."""
     per = batches[0].num_rows
     col = batches[row // per].column(batches[0].schema.get_field_index(column))
     size = col.type.list_size
     at = (col.offset + row % per) * size
-    return col.values.to_numpy(zero_copy_only=True)[at : at + size]
+    return col.values.slice(at, size)
 
 
 def read_documents(spark: SparkSession, manifest: DataFrame) -> DataFrame:
@@ -247,7 +259,8 @@ def read_shard(m: dict):
     crc, size, start, k, out = 0, 0, m["first_token"], 0, []
     with fs.open_input_stream(p) as f:
         for b in pa.ipc.open_stream(f):
-            ids, mask, ends = (b.column(c).flatten().to_numpy(zero_copy_only=True) for c in range(3))
+            ids = b.column(0).flatten().to_numpy(zero_copy_only=True)
+            mask, ends = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in (1, 2))
             ids = ids[: int(mask.sum())].astype("<u4")
             at = 0
             for e in np.flatnonzero(ends):
