@@ -100,3 +100,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = lambda c: F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1).try_cast("long")
     pages = found.where("record_type in ('response', 'revisit')")
     return pages.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
+@query("op8_vector_graph")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import removed_digests
+
+    return removed_digests(table(spark, sf_dir, "documents"))
