@@ -241,25 +241,31 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def encode_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def encode_digests(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> DataFrame:
     """Per document: number of ids, digests of the ids and of the text that
-    they decode to.  One scan, no shuffle; ids never leave the task."""
+    they decode to, and the ids themselves if asked for.  One scan, no
+    shuffle."""
     codec = _encoder(tokenizer_path)
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches):
         c = codec()
         for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            n, a, d = [], [], []
+            doc_ids, texts = b.column("doc_id"), b.column("text").to_pylist()
             for at in range(0, len(texts), 256):
-                for ids in c.encode(texts[at : at + 256]):
-                    n.append(len(ids) // 4)
-                    a.append(hashlib.sha256(ids).hexdigest())
-                    d.append(hashlib.sha256(c.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())], names=names)
-
-    return _read(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                ids = c.encode([t or "" for t in texts[at : at + 256]])
+                cols = [
+                    doc_ids.slice(at, 256),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(c.decode(x)).hexdigest() for x in ids], pa.string()),
+                ]
+                if with_ids:
+                    cols.append(pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _read(docs).mapInArrow(run, schema)
 
 
 def _read(docs: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from . import hamming
 from .components import components
@@ -238,7 +239,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = removed_lines(docs).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "removed")
     gone = cut_lineage(gone.withColumnRenamed("removed", "__gone"), "removed-lines")
     key = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__th"))
-    rows = docs.join(gone, key, "left")
+    rows, names = docs.join(gone, key, "left"), [*docs.columns, "n_lines_removed"]
 
     def cut(texts, removed):
         for t, r in zip(texts, removed):
@@ -254,9 +255,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             new = pa.array(cut(b.column(i).to_pylist(), b.column("__gone").to_pylist()), pa.string())
             n = pa.array([len(r or ()) for r in b.column("__gone").to_pylist()], pa.int64())
             b = b.set_column(i, "text", new).set_column(b.schema.get_field_index("__gone"), "n_lines_removed", n)
-            yield b.select([*docs.columns, "n_lines_removed"])
-
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
+            yield b.select(names)
 
     fields = [StructField(f.name, StringType() if f.name == "text" else f.dataType) for f in docs.schema]
     return rows.drop("__id", "__th").mapInArrow(run, StructType([*fields, StructField("n_lines_removed", LongType())]))
