@@ -59,6 +59,7 @@ class Automaton:
         # the cuts of the state each label leads to: the start state has none
         self.cuts: list[tuple] = [((i, -1),) for i in range(size)]
         self.shift = size
+        self.dead: set[int] = set()  # labels without an arc
         for r, (a, b) in enumerate(merges):
             u, v, w = vocab[a], vocab[b], vocab[a + b]
             self._gadget(r, u, v, w)
@@ -66,6 +67,11 @@ class Automaton:
         self.table: dict[int, bool] = {}
 
     def _gadget(self, r: int, u: int, v: int, w: int) -> None:
+        if self.born[w] >= 0:
+            raise ValueError(f"two merges make label {w}")
+        if u in self.dead or v in self.dead or not self.step(u, v):  # never side by side
+            self.dead.add(w)
+            return
         # w leads where v led, before u's arcs are led to the new copy; w's
         # own later cuts come on top of what it takes over
         self.cuts[w] = ((w, r), *self.cuts[v])
@@ -80,6 +86,8 @@ class Automaton:
         self.next: list[dict[int, int]] = [{}]
         self.at: list[int] = [-1]
         for i, label in self.labels.items():
+            if i in self.dead:
+                continue
             node = 0
             for b in label:
                 if b not in self.next[node]:
