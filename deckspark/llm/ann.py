@@ -127,6 +127,35 @@ class Graph:
             self.links[p] = self.prune(p, ids)
             self._back(p)
             done += len(p)
+        self._reach_all()
+
+    def reached(self) -> np.ndarray:
+        """Which nodes a walk from the centre can reach."""
+        seen = np.zeros(len(self.x), bool)
+        front = np.array([self.centre])
+        while len(front):
+            seen[front] = True
+            near = np.unique(self.links[front])
+            front = near[near >= 0]
+            front = front[~seen[front]]
+        return seen
+
+    def _reach_all(self) -> None:
+        """A link to every node that pruning has cut off, from the nearest
+        reached node with room for it."""
+        lost = np.flatnonzero(~self.reached())
+        while len(lost):
+            found, _ = self.beam(self.x[lost], BUILD_BEAM)
+            for p, near in zip(lost, found):
+                near = near[near >= 0]
+                room = near[self.links[near, -1] < 0]
+                at = room[0] if len(room) else near[0]
+                free = np.flatnonzero(self.links[at] < 0)
+                self.links[at, free[0] if len(free) else -1] = p
+            now = np.flatnonzero(~self.reached())
+            if len(now) >= len(lost):  # full lists only: searches that miss scan instead
+                break
+            lost = now
 
     def _back(self, p: np.ndarray) -> None:
         """Links back to ``p`` from its neighbours, pruned where too many."""
