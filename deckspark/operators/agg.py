@@ -122,23 +122,11 @@ def block_mismatch(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return j.where(F.col("n_a") != F.col("n_b"))
 
 
-def rank_bucket(count: str = "count", word: str = "word") -> Column:
-    """Order-preserving slice id for the order (count desc, word asc): the
-    count plus the first two code points of the word, so the many words
-    sharing a small count are spread over many slices."""
-    w = F.col(word)
-    return F.struct(
-        (-F.col(count)).alias("c"),
-        F.ascii(w).alias("a"),
-        F.ascii(F.substring(w, 2, 1)).alias("b"),
-    )
-
-
 def rank_words(counts: DataFrame, word: str = "word", count: str = "count", out: str = "rank") -> DataFrame:
     """OR-05: 1-based rank by count descending, ties by word."""
     from .window import number_rows
 
-    return number_rows(counts, [], [F.col(count).desc(), F.col(word)], out, bucket=rank_bucket(count, word))
+    return number_rows(counts, [], [F.col(count).desc(), F.col(word)], out)
 
 
 # AGG-14 -- words seen at least `min_count` times, with their rank

@@ -97,7 +97,6 @@ def filter_rare_sentences(
             F.when(F.col("rej"), F.col("n")).otherwise(F.lit(0)),
             "__above",
             inclusive=False,
-            bucket=-F.floor(F.col("r") / (1 << 40)),
         )
         hits = occ_live.where(((F.col("total") - F.col("__above")) <= max_occ) & other)
         rare_dyn = hits.groupBy("r").agg(F.sum("n").alias("__dyn"))

@@ -1,14 +1,17 @@
 """Ordered and windowed operators (WN-*) plus skew-safe numbering.
 
-Running sums and row numbers inside a group are computed in two levels so a
-hot group (say a third of all rows) never lands in one task:
-
-1. rows are cut into ``(group, bucket)`` slices, where ``bucket`` is a range
-   of the (numeric) order column; each slice gets a local window;
-2. slice totals (a partial aggregate, combined map-side) are prefix-summed
-   per group over the buckets -- a small table;
-3. offsets join back on ``(group, bucket)``, which is the partitioning the
-   local window already produced, so no further shuffle of the rows.
+Running sums and row numbers never put a group into one task:
+
+1. rows are range-partitioned by (group, order); Spark samples the bounds,
+   so the ranges follow the density of the data and a hot group is spread
+   over as many of them as it needs;
+2. the ranges are written once as a table with each row's place, and all
+   further steps read that table: the input is read once;
+3. sums are local to (group, range); the sums of earlier ranges are added
+   from a table with at most one row per range, since only a range's first
+   group can begin in an earlier one.
+
+Null groups and null order values are kept and sort first.
 """
 
 from __future__ import annotations
@@ -17,6 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import index as ix
+from ..session import cut_lineage
+
+_ROW_BITS = 33  # of monotonically_increasing_id: the row's place in its range
 
 
 def _cols(x) -> list:
@@ -25,85 +31,99 @@ def _cols(x) -> list:
     return list(x) if isinstance(x, (list, tuple)) else [x]
 
 
-def running_sum(
-    df: DataFrame,
-    keys,
-    order,
-    value: Column | str,
-    out: str,
-    inclusive: bool = True,
-    bucket: Column | None = None,
-    bucket_width: int = 65536,
-) -> DataFrame:
-    """``sum(value)`` over rows of the same ``keys`` ordered by ``order``.
-
-    ``order`` must be a total order within ``keys``.  ``bucket`` is an
-    order-preserving slice id (monotone in ``order``); by default the floor of
-    the first order column divided by ``bucket_width``.
-    """
-    keys = _cols(keys)
-    order = _cols(order)
+def _ranged(df: DataFrame, keys: list, order: list) -> DataFrame:
+    """``df`` written in the order of keys and ``order``, with ``__p`` (range)
+    and ``__n`` (place in it, from 0)."""
+    by = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in [*keys, *order]]
+    at = F.monotonically_increasing_id()
+    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__at", at)
+    p = F.shiftright("__at", _ROW_BITS).cast("int")
+    n = F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return cut_lineage(ordered.withColumn("__p", p).withColumn("__n", n).drop("__at"), "ordered")
+
+
+def _same(a: DataFrame, b: DataFrame, keys: list) -> Column:
+    on = a["__p"] == b["__p_"]
+    for k in keys:
+        on = on & a[k].eqNullSafe(b[f"{k}_"])
+    return on
+
+
+def _add_earlier(x: DataFrame, t: DataFrame, keys: list, local: Column, value: Column) -> tuple[DataFrame, Column]:
+    """(x joined, sum): ``local`` plus the sums of the group's earlier ranges."""
+    if keys:
+        first = t.where("__n = 0").select(*[F.col(k).alias(f"{k}_") for k in keys]).distinct()
+        on = None
+        for k in keys:
+            c = t[k].eqNullSafe(first[f"{k}_"])
+            on = c if on is None else on & c
+        part = t.join(F.broadcast(first), on, "left_semi")  # at most one row per range
+    else:
+        part = t
+    totals = part.groupBy(*keys, "__p").agg(F.sum(value).alias("__tot"))
+    before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    off = totals.withColumn("__off", F.sum("__tot").over(before)).where("__off is not null")
+    off = off.select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("__p").alias("__p_"), "__off")
+    j = x.join(F.broadcast(off), _same(x, off, keys), "left")  # at most one row per range
+    return j, F.coalesce(F.col("__off"), F.lit(0)) + local
+
+
+def running_sum(df: DataFrame, keys, order, value: Column | str, out: str, inclusive: bool = True) -> DataFrame:
+    """``sum(value)`` over rows of the same ``keys`` ordered by ``order``,
+    which must be a total order within ``keys``.  Keys are column names;
+    order may hold expressions such as ``F.col(c).desc()``."""
+    keys, order = _cols(keys), _cols(order)
     val = F.col(value) if isinstance(value, str) else value
-    b = bucket if bucket is not None else _default_bucket(df, order[0], bucket_width)
-    kcols = [F.col(k) for k in keys]  # keys are column names
-    x = df.withColumn("__b", b).withColumn("__v", val)
-    frame = Window.partitionBy(*kcols, F.col("__b")).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("__local", F.sum("__v").over(frame))
-    totals = x.groupBy(*kcols, F.col("__b")).agg(F.sum("__v").alias("__tot"))
-    prev = Window.partitionBy(*kcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(prev), F.lit(0))).drop("__tot")
-    joined = x.join(offsets, [*keys, "__b"])
-    res = F.col("__off") + F.col("__local")
+    t = _ranged(df.withColumn("__v", val), keys, order)
+    frame = Window.partitionBy(*keys, "__p").orderBy("__n").rowsBetween(Window.unboundedPreceding, 0)
+    x = t.withColumn("__local", F.sum("__v").over(frame))
+    j, res = _add_earlier(x, t, keys, F.col("__local"), F.col("__v"))
     if not inclusive:
-        res = res - F.col("__v")
-    return joined.withColumn(out, res).drop("__b", "__v", "__local", "__off")
-
-
-def _default_bucket(df: DataFrame, first, width: int) -> Column:
-    """Slices that follow an ascending first order column: a numeric range,
-    or a two-character prefix for strings.  Other orders (descending,
-    expressions) must pass an explicit, order-preserving ``bucket``."""
-    if not isinstance(first, str):
-        raise ValueError("running_sum: pass `bucket` when the first order key is an expression")
-    dtype = df.schema[first].dataType.typeName()
-    if dtype in ("string", "varchar", "char"):
-        return F.substring(F.col(first), 1, 2)
-    return F.floor(F.col(first) / F.lit(width)).cast("bigint")
+        res = res - F.coalesce(F.col("__v"), F.lit(0))
+    return j.withColumn("__out", res).select(*[c for c in df.columns if c != out], F.col("__out").alias(out))
 
 
-def number_rows(df: DataFrame, keys, order, out: str = "row_number", bucket=None, bucket_width: int = 65536) -> DataFrame:
+def number_rows(df: DataFrame, keys, order, out: str = "row_number") -> DataFrame:
     """WN-04 / OR-12: 1-based row numbers within ``keys`` (global if none),
-    without funnelling a group through one task."""
-    return running_sum(df, keys, order, F.lit(1).cast("bigint"), out, True, bucket, bucket_width)
+    without funnelling a group through one task.  Global numbers follow from
+    each row's place in its range and need no window over the rows."""
+    keys, order = _cols(keys), _cols(order)
+    if keys:
+        return running_sum(df, keys, order, F.lit(1).cast("bigint"), out)
+    t = _ranged(df, [], order)
+    j, res = _add_earlier(t, t, [], F.col("__n") + 1, F.lit(1).cast("bigint"))
+    return j.withColumn("__out", res).select(*[c for c in df.columns if c != out], F.col("__out").alias(out))
 
 
 # WN-01 -- n-th occurrence of an index gets +step*n (n from 0)
-def suffix_occurrences(df: DataFrame, idx: str, order, step: str = "0.001", out: str | None = None, **kw) -> DataFrame:
+def suffix_occurrences(df: DataFrame, idx: str, order, step: str = "0.001", out: str | None = None) -> DataFrame:
     out = out or idx
-    numbered = number_rows(df, [idx], order, "__occ", **kw)
+    numbered = number_rows(df, [idx], order, "__occ")
     return numbered.withColumn(out, ix.suffix(F.col(idx), F.col("__occ") - 1, step)).drop("__occ")
 
 
-# WN-02 -- previous / next element within a group, "" at the edges.
-# Positions are dense, so neighbours are an equi-join on (group, pos +- 1):
-# no window partition, no skew on a long group.
+# WN-02 -- previous / next element within a group, "" at the edges.  Each
+# position is sent a copy of its neighbours' values and its own row in one
+# aggregation: one shuffle, no window partition, no task per group.
 def with_context(df: DataFrame, key: str, pos: str, cols: list[str], blank: str = "") -> DataFrame:
-    base = df
-    for direction, shift in (("prev", 1), ("next", -1)):
-        side = df.select(
-            F.col(key).alias("__k"),
-            (F.col(pos) + shift).alias("__p"),
-            *[F.col(c).alias(f"{c}_{direction}") for c in cols],
-        )
-        base = base.join(side, (base[key] == side["__k"]) & (base[pos] == side["__p"]), "left").drop("__k", "__p")
-        for c in cols:
-            base = base.withColumn(f"{c}_{direction}", F.coalesce(F.col(f"{c}_{direction}"), F.lit(blank)))
-    return base
+    """Positions are dense within ``key``; rows are unique by (key, pos)."""
+    own = F.struct(*[F.col(c) for c in df.columns])
+    near = F.struct(*[F.col(c) for c in cols])
+    at = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), (F.col(pos) + s).alias("p")) for s in (-1, 0, 1)]))
+    sent = df.select(F.col(key).alias("__k"), at.alias("__at"), own.alias("__row"), near.alias("__near"))
+    shift = F.col("__at.s")
+    met = sent.groupBy("__k", F.col("__at.p").alias("__p")).agg(
+        F.max(F.when(shift == 0, F.col("__row"))).alias("__row"),
+        F.max(F.when(shift == 1, F.col("__near"))).alias("__prev"),
+        F.max(F.when(shift == -1, F.col("__near"))).alias("__next"),
+    )
+    sides = [F.coalesce(F.col(f"__{d}.{c}"), F.lit(blank)).alias(f"{c}_{d}") for d in ("prev", "next") for c in cols]
+    return met.where("__row is not null").select("__row.*", *sides)
 
 
 # WN-03 -- start / end line offset of every story (exclusive running sum)
-def line_offsets(sizes: DataFrame, order: str, size: str, **kw) -> DataFrame:
-    x = running_sum(sizes, [], order, F.col(size).cast("bigint"), "start_line", inclusive=False, **kw)
+def line_offsets(sizes: DataFrame, order: str, size: str) -> DataFrame:
+    x = running_sum(sizes, [], order, F.col(size).cast("bigint"), "start_line", inclusive=False)
     return x.withColumn("end_line", F.col("start_line") + F.col(size))
 
 
@@ -135,8 +155,8 @@ def with_margins(df: DataFrame, key: str, pos: str, col: str, margin: int, blank
 
 
 # WN-09 -- consecutive fixed-size blocks of `size` rows, at most max_blocks
-def fixed_blocks(df: DataFrame, order, size: int, max_blocks: int | None = None, **kw) -> DataFrame:
-    x = number_rows(df, [], order, "__rn", **kw).withColumn("block", F.floor((F.col("__rn") - 1) / size).cast("bigint"))
+def fixed_blocks(df: DataFrame, order, size: int, max_blocks: int | None = None) -> DataFrame:
+    x = number_rows(df, [], order, "__rn").withColumn("block", F.floor((F.col("__rn") - 1) / size).cast("bigint"))
     if max_blocks is not None:
         x = x.where(F.col("block") < max_blocks)
     return x.drop("__rn")
@@ -147,18 +167,9 @@ def assign_round_robin(df: DataFrame, block: str, k: int, out: str = "worker") -
     return df.withColumn(out, F.pmod(F.col(block), F.lit(k)).cast("int"))
 
 
-# WN-12 -- minute slots under request and token limits: slot = the larger of
-# floor(running requests / rpm) and floor(running tokens / tpm)
-def budget_slots(df: DataFrame, order, tokens: str, rpm: int, tpm: int, **kw) -> DataFrame:
-    x = running_sum(df, [], order, F.lit(1).cast("bigint"), "__req", True, **kw)
-    x = running_sum(x, [], order, F.col(tokens).cast("bigint"), "__tok", True, **kw)
-    slot = F.greatest(F.floor((F.col("__req") - 1) / rpm), F.floor((F.col("__tok") - 1) / tpm)).cast("bigint")
-    return x.withColumn("slot", slot).drop("__req", "__tok")
-
-
 # WN-13 -- line range [start ; end) of every block from block sizes
-def block_ranges(blocks: DataFrame, order: str, size: str, **kw) -> DataFrame:
-    x = running_sum(blocks, [], order, F.col(size).cast("bigint"), "start", inclusive=False, **kw)
+def block_ranges(blocks: DataFrame, order: str, size: str) -> DataFrame:
+    x = running_sum(blocks, [], order, F.col(size).cast("bigint"), "start", inclusive=False)
     return x.withColumn("end", F.col("start") + F.col(size))
 
 
@@ -171,7 +182,7 @@ def missing_meanings(deck: DataFrame, wanted: DataFrame, idx: str = "idx", word:
     have = deck.select(ix.root(idx).alias("block"), F.col(word).alias("translation"))
     missing = wanted.join(have, ["block", "translation"], "left_anti").distinct()
     bmax = deck.groupBy(ix.root(idx).alias("block")).agg(F.max(idx).alias("block_max"))
-    numbered = number_rows(missing, ["block"], ["translation"], "__k", bucket=F.lit(0))
+    numbered = number_rows(missing, ["block"], ["translation"], "__k")
     res = numbered.join(bmax, "block").withColumn(
         "new_idx", ix.suffix(F.col("block_max"), F.col("__k"), "0.001")
     )

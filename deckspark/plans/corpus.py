@@ -100,7 +100,7 @@ def combine_wide(a: DataFrame, b: DataFrame, names_a: list[str], names_b: list[s
 # hash, cut into blocks, one JSON request per block
 def prepare_requests(deck: DataFrame, idx: str, cols: list[str], missing: str, prompt: str, model: str, size: int = 70, seed: int = 0) -> DataFrame:
     todo = deck.where(F.col(missing).isNull()).withColumn("__h", F.xxhash64(F.col(idx), F.lit(seed)))
-    blocks = W.fixed_blocks(todo, ["__h", idx], size, bucket=F.floor(F.col("__h") / F.lit(1 << 40)))
+    blocks = W.fixed_blocks(todo, ["__h", idx], size)
     from ..sources.sinks import block_payload
 
     payload = block_payload(blocks.withColumn("__o", F.struct("__h", idx)), "block", "__o", [idx, *cols])

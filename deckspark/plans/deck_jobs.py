@@ -85,7 +85,7 @@ def expand_translations(deck: DataFrame, idx: str = "idx") -> tuple[DataFrame, D
         F.posexplode(A.split_literal("word_translations_en", ",")).alias("__p", "__w"),
     ).withColumn("word_en", J.normalize_verb(S.strip("__w"), F.col("part_of_speech")))
     # n-th occurrence of a root index gets +0.001*n (positions are dense per row)
-    exploded = W.suffix_occurrences(exploded.withColumn("__ord", F.col("__p")), idx, ["sentence_de", "__ord"], "0.001", bucket=F.lit(0))
+    exploded = W.suffix_occurrences(exploded.withColumn("__ord", F.col("__p")), idx, ["sentence_de", "__ord"], "0.001")
     exploded = exploded.drop("__p", "__w", "__ord")
     # existing examples per block: first row per index, then first per word
     ex = G.first_per_key(multi.withColumn("__block", ix.root(idx)), idx, ["word_en", "sentence_de"])

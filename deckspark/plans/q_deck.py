@@ -111,7 +111,7 @@ def or01(spark, sf):
 def or02(spark, sf):
     n = v_note(spark, sf).withColumn("__r", ix.root("idx"))
     key = [F.col("__r"), ix.leading_zeros("idx"), ix.frac("idx"), *NOTE_ORDER]
-    return W.number_rows(n, [], key, "pos", bucket=F.floor(F.col("__r") / 65536)).select("idx", "word", "pos")
+    return W.number_rows(n, [], key, "pos").select("idx", "word", "pos")
 
 
 DOC_LABEL_SQL = "(select d.doc_id, l.quality from documents d left join labels l on d.doc_id = l.doc_id)"
@@ -124,12 +124,7 @@ def _doc_labels(spark, sf):
 @query("or03_complete_first", _numbered_sql("quality is null, doc_id", DOC_LABEL_SQL, "doc_id, quality"))
 def or03(spark, sf):
     x = _doc_labels(spark, sf).withColumn("__g", F.col("quality").isNull().cast("int"))
-    return W.number_rows(x, [], ["__g", "doc_id"], "pos", bucket=_group_bucket()).drop("__g")
-
-
-def _group_bucket():
-    """Slices for the order (group, doc_id): the group and a doc_id range."""
-    return F.struct(F.col("__g").alias("g"), F.floor(F.col("doc_id") / 65536).alias("r"))
+    return W.number_rows(x, [], ["__g", "doc_id"], "pos").drop("__g")
 
 
 @query(
@@ -139,7 +134,7 @@ def _group_bucket():
 def or04(spark, sf):
     g = F.when(F.col("quality") == 1, 0).when(F.col("quality").isNotNull(), 1).otherwise(2)
     x = _doc_labels(spark, sf).withColumn("__g", g)
-    return W.number_rows(x, [], ["__g", "doc_id"], "pos", bucket=_group_bucket()).drop("__g")
+    return W.number_rows(x, [], ["__g", "doc_id"], "pos").drop("__g")
 
 
 @query(
@@ -180,31 +175,25 @@ def or08(spark, sf):
 def or09(spark, sf):
     n = v_note(spark, sf)
     order = [F.col("idx").desc(), F.col("word").desc(), F.col("translation").desc(), F.col("rank").desc()]
-    return W.number_rows(n, [], order, "pos", bucket=-F.floor(F.col("idx") / 65536)).select("idx", "word", "pos")
+    return W.number_rows(n, [], order, "pos").select("idx", "word", "pos")
 
 
 @query("or10_by_length", _numbered_sql("length(sentence), doc_id, pos", V_LINE_SQL, "doc_id, pos", "rank"))
 def or10(spark, sf):
     l = v_line(spark, sf).withColumn("__len", F.char_length("sentence"))
-    bucket = F.struct(F.col("__len").alias("l"), F.floor(F.col("doc_id") / 65536).alias("r"))
-    return W.number_rows(l, [], ["__len", "doc_id", "pos"], "rank", bucket=bucket).select("doc_id", "pos", "rank")
+    return W.number_rows(l, [], ["__len", "doc_id", "pos"], "rank").select("doc_id", "pos", "rank")
 
 
 @query("or11_by_topic_word", _numbered_sql("c_mktsegment, c_name, c_custkey", "customer", "c_custkey"))
 def or11(spark, sf):
     c = table(spark, sf, "customer")
-    # topic = segment, a small domain: number the topics, use them as buckets
-    topics = W.number_rows(c.select("c_mktsegment").distinct(), [], ["c_mktsegment"], "__t", bucket=F.lit(0))
-    x = c.join(topics, "c_mktsegment")
-    # slices: topic and a name prefix (prefixes sort like the names)
-    bucket = F.struct(F.col("__t").alias("t"), F.substring("c_name", 1, 15).alias("p"))
-    return W.number_rows(x, [], ["__t", "c_name", "c_custkey"], "pos", bucket=bucket).select("c_custkey", "pos")
+    return W.number_rows(c, [], ["c_mktsegment", "c_name", "c_custkey"], "pos").select("c_custkey", "pos")
 
 
 @query("or12_renumber", "select s_suppkey, row_number() over (order by s_name, s_suppkey) - 1 as pos from supplier")
 def or12(spark, sf):
     s = table(spark, sf, "supplier")
-    x = W.number_rows(s, [], ["s_name", "s_suppkey"], "pos", bucket=F.substring("s_name", 1, 15))
+    x = W.number_rows(s, [], ["s_name", "s_suppkey"], "pos")
     return x.select("s_suppkey", (F.col("pos") - 1).alias("pos"))
 
 
@@ -219,7 +208,7 @@ def or12(spark, sf):
 )
 def wn01(spark, sf):
     t = v_trans(spark, sf).withColumn("idx", F.col("p_partkey").cast(D))
-    return W.suffix_occurrences(t, "idx", ["i"], "0.001", bucket=F.floor(F.col("i") / 65536))
+    return W.suffix_occurrences(t, "idx", ["i"], "0.001")
 
 
 @query(
@@ -341,17 +330,6 @@ def _rare_deck(spark, sf):
     )
 
 
-@query(
-    "wn12_budget_slots",
-    """select conv_id, turn, cast(greatest(floor((row_number() over w - 1) / 1500),
-                                         floor((sum(len(string_split(text, ' '))) over w - 1) / 125000)) as bigint) as slot
-       from conversations window w as (order by conv_id, turn rows between unbounded preceding and current row)""",
-)
-def wn12(spark, sf):
-    c = table(spark, sf, "conversations").withColumn("tokens", F.size(F.split("text", " ")))
-    return W.budget_slots(c, ["conv_id", "turn"], "tokens", 1500, 125000).select("conv_id", "turn", "slot")
-
-
 @query(
     "wn13_block_ranges",
     f"""select doc_id, '[ ' || cast(s as varchar) || ' ; ' || cast(least(s + n, 100000000) as varchar) || ' )' as block_range from (

@@ -523,7 +523,7 @@ def udf04(spark, sf):
 
     n = v_note(spark, sf).withColumn("__r", ix.root("idx"))
     key = U.order_by_key(F.col("idx"))
-    x = number_rows(n, [], [*key, "word", "translation", "rank"], "pos", bucket=F.floor(F.col("__r") / 65536))
+    x = number_rows(n, [], [*key, "word", "translation", "rank"], "pos")
     return x.select("idx", "pos")
 
 

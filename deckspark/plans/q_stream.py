@@ -168,23 +168,6 @@ def inc06(spark, sf):
     return out.select("doc_id", "pos", "sentence")
 
 
-@query("udf06_sequential_state")
-def udf06(spark, sf):
-    """The order-dependent row function with shared mutable state of the
-    reference (a counter updated while walking rows) is the WN-11 fixpoint;
-    here on the conversation lines."""
-    from ..operators.rare import filter_rare_sentences
-
-    c = table(spark, sf, "conversations")
-    lines = c.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("k", "line"))
-    deck = lines.select(
-        (F.col("conv_id").cast(D) + F.col("turn").cast(D) * F.lit(0.001).cast(D) + F.col("k").cast(D) * F.lit(0.000001).cast(D)).cast(D).alias("idx"),
-        F.split_part("line", F.lit(" "), F.lit(2)).alias("word"),
-        F.array_join(F.split(F.lower("line"), " "), ";").alias("lemmas"),
-    )
-    return filter_rare_sentences(deck, "idx", "word", "lemmas").select("idx", "accepted")
-
-
 @query("inc04_rate_audit_stream")
 def inc04s(spark, sf):
     """Event-time minutes with a watermark, append mode: every minute is

@@ -113,8 +113,7 @@ ARTICLES_RULE_SQL = "case when ends_with(word, 'ung') then 'f;m' when ends_with(
 
 def _nouns(spark, sf):
     t = v_tok(spark, sf).where(F.col("token").rlike(r"^\p{Lu}\p{Ll}+$")).select(F.col("token").alias("word")).distinct()
-    # one bucket per leading code point (monotone in the word order)
-    return W.number_rows(t, [], ["word"], "n", bucket=F.ascii("word"))
+    return W.number_rows(t, [], ["word"], "n")
 
 
 def _articles_of(col):
@@ -300,7 +299,7 @@ def snk11(spark, sf):
 def txt11(spark, sf):
     p = table(spark, sf, "part")
     topics = p.select("p_type").distinct()
-    topics = W.number_rows(topics, [], ["p_type"], "topic_id", bucket=F.lit(0)).select("topic_id", F.col("p_type").alias("topic"))
+    topics = W.number_rows(topics, [], ["p_type"], "topic_id").select("topic_id", F.col("p_type").alias("topic"))
     pt = p.join(topics.withColumnRenamed("topic", "p_type"), "p_type")
     en = pt.select(F.col("p_partkey").alias("id"), "topic_id", F.col("p_name").alias("word"))
     ru = pt.select(F.col("p_partkey").alias("id"), "topic_id", F.upper("p_name").alias("word"))

@@ -53,7 +53,7 @@ def read_matrix(spark: SparkSession, path: str, columns: list[str], sep: str = "
 # SRC-07 / SRC-12 -- one record per line with its 1-based line number.
 # Within one file the text source yields lines in split order, and
 # monotonically_increasing_id keeps (split, offset) order, so the numbering is
-# a per-file running count bucketed by split -- no whole-file task.
+# a per-file running count over sampled ranges -- no whole-file task.
 def read_lines(spark: SparkSession, path: str, skip_header: bool = False, line_col: str = "line", across_files: bool = True) -> DataFrame:
     """``line_no`` counts within each file; with ``across_files`` the files
     (part files of one ordered write) are chained in name order."""
@@ -62,12 +62,12 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = False, line_c
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__mid"), F.col("value").alias(line_col)
     )
-    numbered = number_rows(raw, ["__file"], ["__mid"], "line_no", bucket=F.shiftright(F.col("__mid"), 33))
+    numbered = number_rows(raw, ["__file"], ["__mid"], "line_no")
     if skip_header:
         numbered = numbered.where(F.col("line_no") > 1).withColumn("line_no", F.col("line_no") - 1)
     if across_files:
         sizes = numbered.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
-        offs = running_sum(sizes, [], ["__file"], F.col("__n"), "__file_off", inclusive=False, bucket=F.lit(0))
+        offs = running_sum(sizes, [], ["__file"], F.col("__n"), "__file_off", inclusive=False)
         numbered = numbered.join(offs.select("__file", "__file_off"), "__file").withColumn("line_no", F.col("line_no") + F.col("__file_off"))
     return numbered.select(F.col("line_no").cast("bigint").alias("line_no"), line_col)
 

@@ -73,9 +73,9 @@ def stream_responses(
 # with their (first max_attempts) errors.  Numbering errors per task is
 # skew-safe (two-level running count), so a task with a huge error history
 # never collects more than max_attempts items.
-def retry_state(results: DataFrame, task: str, ts: str, ok: str, error: str, max_attempts: int = MAX_ATTEMPTS, bucket_seconds: int = 3600) -> DataFrame:
+def retry_state(results: DataFrame, task: str, ts: str, ok: str, error: str, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     errs = results.where(~F.col(ok))
-    numbered = W.number_rows(errs, [task], [ts, error], "__n", bucket=F.floor(epoch_seconds(ts) / bucket_seconds))
+    numbered = W.number_rows(errs, [task], [ts, error], "__n")
     first_errs = numbered.where(F.col("__n") <= max_attempts)
     agg_err = first_errs.groupBy(task).agg(F.sort_array(F.collect_list(F.struct(F.col("__n"), F.col(error).cast("string").alias("e")))).alias("__e"))
     counts = results.groupBy(task).agg(

@@ -6,14 +6,13 @@ from pyspark.sql import functions as F
 from deckspark.operators import window as W
 
 
-def test_running_sum_matches_pandas_across_buckets(spark):
+def test_running_sum_matches_pandas_across_ranges(spark):
     rng = random.Random(5)
     rows = []
     for k in ["hot"] * 3000 + [f"k{i}" for i in range(200)]:
         rows.append((k, rng.randint(0, 10_000_000), rng.randint(1, 9)))
     df = spark.createDataFrame(rows, "k string, o long, v long").dropDuplicates(["k", "o"])
-    # tiny bucket width -> the hot key spans many buckets
-    out = W.running_sum(df, ["k"], ["o"], "v", "cum", bucket_width=50_000).toPandas()
+    out = W.running_sum(df, ["k"], ["o"], "v", "cum").toPandas()
     pdf = df.toPandas().sort_values(["k", "o"])
     pdf["cum"] = pdf.groupby("k")["v"].cumsum()
     m = out.merge(pdf, on=["k", "o", "v"], suffixes=("", "_pd"))
@@ -23,9 +22,9 @@ def test_running_sum_matches_pandas_across_buckets(spark):
 
 def test_number_rows_global_exclusive(spark):
     df = spark.range(0, 5000).withColumn("o", (F.col("id") * 7919) % 5003)
-    out = W.number_rows(df, [], ["o"], "rn", bucket_width=100).toPandas().sort_values("o")
+    out = W.number_rows(df, [], ["o"], "rn").toPandas().sort_values("o")
     assert out["rn"].tolist() == list(range(1, len(out) + 1))
-    ex = W.running_sum(df, [], ["o"], F.lit(1).cast("bigint"), "before", inclusive=False, bucket_width=100).toPandas()
+    ex = W.running_sum(df, [], ["o"], F.lit(1).cast("bigint"), "before", inclusive=False).toPandas()
     assert sorted(ex["before"].tolist()) == list(range(len(out)))
 
 
@@ -43,14 +42,6 @@ def test_with_margins(spark):
     assert out[5] == (["l3", "l4"], ["", ""])
 
 
-def test_budget_slots(spark):
-    df = spark.createDataFrame([(i, 40) for i in range(10)], "o int, tokens int")
-    out = W.budget_slots(df, ["o"], "tokens", rpm=4, tpm=100).orderBy("o").toPandas()
-    # requests: slot = (n-1)//4 ; tokens: cumulative 40,80,120.. -> (cum-1)//100
-    exp = [max((i) // 4, (40 * (i + 1) - 1) // 100) for i in range(10)]
-    assert out["slot"].tolist() == exp
-
-
 def test_missing_meanings(spark):
     from decimal import Decimal
 
@@ -75,7 +66,7 @@ def test_first_per_key_and_suffix_on_a_hot_key(spark):
     last = {r.k: r.o for r in G.last_per_key(df, "k", ["o"]).collect()}
     assert last["hot"] == 5999
     idx = df.withColumn("idx", F.lit(Decimal(1)).cast("decimal(18,6)"))
-    out = W.suffix_occurrences(idx.where(F.col("k") == "hot"), "idx", ["o"], "0.0001", bucket_width=500)
+    out = W.suffix_occurrences(idx.where(F.col("k") == "hot"), "idx", ["o"], "0.0001")
     got = sorted(r.idx for r in out.collect())
     assert got == [Decimal(1) + Decimal(i) / 10000 for i in range(6000)]
 
@@ -92,14 +83,52 @@ def test_maybe_broadcast_respects_the_bound(spark):
 
 
 def test_hot_key_is_spread_over_tasks(spark):
-    """A key holding a third of all rows: the two-level running count puts
-    its rows into many partitions, where a plain window would use one."""
+    """A key holding a third of all rows, with dense order values: sampled
+    ranges put its rows into several of them, where a plain window uses one."""
     hot = spark.range(0, 30000).select(F.lit("hot").alias("k"), F.col("id").alias("o"))
     rest = spark.range(0, 60000).select(F.concat(F.lit("k"), (F.col("id") % 600).cast("string")).alias("k"), F.col("id").alias("o"))
     df = hot.unionByName(rest)
-    out = W.number_rows(df, ["k"], ["o"], "rn", bucket_width=2000).withColumn("pid", F.spark_partition_id())
-    spread = out.where(F.col("k") == "hot").select("pid").distinct().count()
-    assert spread >= 2
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = W._ranged(df, ["k"], ["o"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = {r["__p"]: r["count"] for r in ranged.groupBy("__p").count().collect()}
+    hot_in = ranged.where(F.col("k") == "hot").select("__p").distinct().count()
+    assert hot_in >= 2 and max(sizes.values()) < 45000
+    out = W.number_rows(df, ["k"], ["o"], "rn")
     # correctness of the numbering for the hot key
     got = [r.rn for r in out.where(F.col("k") == "hot").orderBy("o").select("rn").collect()]
     assert got == list(range(1, 30001))
+
+
+def test_null_groups_and_null_orders_are_kept(spark):
+    rows = [(None, 1, 5), (None, 2, 7), ("a", None, 1), ("a", 3, 2), ("b", 1, None), (None, None, 4)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    got = {(r.k, r.o): r.cum for r in W.running_sum(df, ["k"], ["o"], "v", "cum").collect()}
+    assert got == {(None, None): 4, (None, 1): 9, (None, 2): 16, ("a", None): 1, ("a", 3): 3, ("b", 1): None}
+    rn = {(r.k, r.o): r.rn for r in W.number_rows(df, ["k"], ["o"], "rn").collect()}
+    assert rn == {(None, None): 1, (None, 1): 2, (None, 2): 3, ("a", None): 1, ("a", 3): 2, ("b", 1): 1}
+    flat = W.number_rows(df, [], ["k", "o"], "rn").collect()
+    assert sorted(r.rn for r in flat) == [1, 2, 3, 4, 5, 6]
+    assert W.number_rows(df.limit(0), [], ["o"], "rn").count() == 0
+
+
+def test_the_input_is_read_once(spark, sf):
+    """The numbering reads its input in one scan; what follows reads the
+    table written from it."""
+    from deckspark.plans.views import v_line
+
+    plan = W.number_rows(v_line(spark, sf), [], ["doc_id", "pos"], "rn")._jdf.queryExecution().optimizedPlan().toString()
+    assert "documents.parquet" not in plan
+
+
+def test_sums_over_many_ranges(spark):
+    """Forced into many ranges: hot and small groups, ties in the key."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 4000).select((F.col("id") % 7 % 3).alias("k"), ((F.col("id") * 7919) % 4001).alias("o"), (F.col("id") % 10).alias("v"))
+        out = W.running_sum(df, ["k"], ["o"], "v", "cum", inclusive=False).toPandas().sort_values(["k", "o"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert (out["cum"] == out.groupby("k")["v"].cumsum() - out["v"]).all() and len(out) == 4000
