@@ -132,10 +132,11 @@ def is_valid_response(c) -> Column:
     return response_text(c).isNotNull()
 
 
-# JSN-03 -- {"model": m, "messages": [{"role": "user", "content": prompt + payload}]}
+# JSN-03 -- {"model": m, "messages": [the prompt, then the rows]}, both of
+# the user's role
 def to_request(prompt, payload, model: str) -> Column:
-    msg = F.struct(F.lit("user").alias("role"), F.concat(_c(prompt), _c(payload)).alias("content"))
-    return F.to_json(F.struct(F.lit(model).alias("model"), F.array(msg).alias("messages")))
+    said = lambda c: F.struct(F.lit("user").alias("role"), _c(c).alias("content"))
+    return F.to_json(F.struct(F.lit(model).alias("model"), F.array(said(prompt), said(payload)).alias("messages")))
 
 
 # JSN-04 -- [request, response] or [request, response, metadata]

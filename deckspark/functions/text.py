@@ -17,9 +17,9 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# STR-01 -- Python-style strip: all whitespace, not only spaces.
+# STR-01 -- Python-style strip: all Unicode whitespace, no-break spaces too.
 def strip(c) -> Column:
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
 
 
 # STR-02

@@ -90,11 +90,16 @@ def block_max(df: DataFrame, idx: str = "idx") -> DataFrame:
     return df.groupBy(root(idx).alias("block")).agg(F.max(idx).alias("block_max"))
 
 
-# AGG-09 / DQ-01 -- rows whose key occurs more than once
+# AGG-09 / DQ-01 -- rows whose key occurs more than once; null keys are equal
 def duplicates(df: DataFrame, key) -> DataFrame:
     keys = _cols(key)
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
-    return df.join(dup, keys, "left_semi")
+    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    dup = dup.select(*[F.col(k).alias(f"__d_{k}") for k in keys])
+    on = None
+    for k in keys:
+        c = df[k].eqNullSafe(dup[f"__d_{k}"])
+        on = c if on is None else on & c
+    return df.join(dup, on, "left_semi")
 
 
 # AGG-10 -- characters of a block: sum of lengths + one per line
@@ -154,7 +159,7 @@ def request_cost(messages: DataFrame, key: str, tokens: str, n=None, max_tokens=
     mt = F.coalesce(F.col(max_tokens) if max_tokens else F.lit(None), F.lit(COST_DEFAULT_MAX_TOKENS))
     per = messages.groupBy(key).agg(
         F.sum(F.col(tokens) + COST_PER_MESSAGE).alias("__msg"),
-        F.first(nn * mt).alias("__completion"),
+        F.max(nn * mt).alias("__completion"),
     )
     return per.select(key, (F.col("__msg") + COST_REPLY_PRIMER + F.col("__completion")).cast("bigint").alias("cost"))
 

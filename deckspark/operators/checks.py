@@ -3,7 +3,7 @@ DataFrame instead of raising, so a job decides what to do with them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import index as ix
@@ -26,31 +26,46 @@ def check_fraction(df: DataFrame, idx: str = "idx", bound: str = "0.01") -> Data
     return df.where(ix.fraction_at_least(idx, bound))
 
 
-# DQ-03 -- notes whose word differs from their root's word, plus those roots
-def check_same_word(df: DataFrame, idx: str = "idx", word: str = "word") -> DataFrame:
-    roots = df.where(ix.is_root(idx)).select(ix.root(idx).alias("__b"), F.col(word).alias("__rw"))
-    kids = df.where(~ix.is_root(idx))
-    bad = kids.join(roots, ix.root(kids[idx]) == roots["__b"]).where(F.col(word) != F.col("__rw")).select(idx, word)
-    bad_blocks = bad.select(ix.root(idx).alias("__b")).distinct()
-    their_roots = df.where(ix.is_root(idx)).join(bad_blocks, ix.root(df[idx]) == bad_blocks["__b"], "left_semi").select(idx, word)
-    return bad.unionByName(their_roots).distinct()
+def _differs(a: str, b: str) -> Column:
+    """A missing value on either side is a mismatch, both missing too."""
+    return F.col(a).isNull() | F.col(b).isNull() | (F.col(a) != F.col(b))
 
 
-# DQ-04 -- verbs whose translation lacks "to " (null counts as bad), skipping
-# listed blocks
+def _skip_blocks(df: DataFrame, idx: str, skip: DataFrame | None, skip_col: str | None) -> DataFrame:
+    return df if skip is None else exclude_blocks(df, skip, skip_col, idx)
+
+
+# DQ-03 -- notes whose word differs from their root's word, plus those roots.
+# One join on the block gives every child its root's word; a root is marked
+# in one aggregation over the blocks that hold a bad child.
+def check_same_word(df: DataFrame, idx: str = "idx", word: str = "word", skip: DataFrame | None = None, skip_col: str | None = None) -> DataFrame:
+    """Children without a root are not judged; ``skip[skip_col]`` lists whole
+    blocks to leave out."""
+    notes = _skip_blocks(df.select(idx, word), idx, skip, skip_col).withColumn("__b", ix.root(idx))
+    roots = notes.where(ix.is_root(idx)).select("__b", F.col(word).alias("__rw"), F.col(idx).alias("__ri"))
+    kids = notes.where(~ix.is_root(idx))
+    bad = kids.join(roots, "__b").where(_differs(word, "__rw"))
+    both = F.explode(F.array(F.struct(F.col(idx), F.col(word)), F.struct(F.col("__ri").alias(idx), F.col("__rw").alias(word))))
+    return bad.select(both.alias("__x")).select(f"__x.{idx}", f"__x.{word}").distinct()
+
+
+# DQ-04 -- verbs whose translation lacks "to " (null counts as bad), leaving
+# out the whole blocks that ``skip[skip_col]`` lists
 def check_verbs(df: DataFrame, key: str, translation: str, pos: str, skip: DataFrame | None = None, skip_col: str | None = None) -> DataFrame:
+    """The reserved mark is "to " with its space, so that words such as
+    "tomorrow" are not taken for infinitives."""
     t = F.col(translation)
-    bad = df.where((F.col(pos) == "verb") & (t.isNull() | ~t.startswith("to ")))
-    if skip is not None:
-        bad = bad.join(skip.select(F.col(skip_col).alias(key)), key, "left_anti")
-    return bad
+    return _skip_blocks(df.where((F.col(pos) == "verb") & (t.isNull() | ~t.startswith("to "))), key, skip, skip_col)
 
 
 # DQ-05 -- examples whose word mismatches the deck root, actual word shown
-def check_examples(examples: DataFrame, deck: DataFrame, idx: str = "idx", word: str = "word") -> DataFrame:
-    d = deck.select(ix.root(idx).alias("__b"), F.col(word).alias("word_actual"))
-    j = examples.join(d, ix.root(examples[idx]) == d["__b"]).drop("__b")
-    return j.where(F.col(word) != F.col("word_actual"))
+def check_examples(
+    examples: DataFrame, deck: DataFrame, idx: str = "idx", word: str = "word", skip: DataFrame | None = None, skip_col: str | None = None
+) -> DataFrame:
+    d = deck.where(ix.is_root(idx)).select(ix.root(idx).alias("__b"), F.col(word).alias("word_actual"))
+    ex = _skip_blocks(examples, idx, skip, skip_col)
+    j = ex.join(d, ix.root(ex[idx]) == d["__b"]).drop("__b")
+    return j.where(_differs(word, "word_actual"))
 
 
 # DQ-06 -- keys in one table but not the other, both ways
@@ -60,11 +75,13 @@ def diff_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return only_a.unionByName(only_b)
 
 
-# DQ-07 -- blocks whose line counts differ between two versions
+# DQ-07 -- blocks whose line counts differ between two versions, with 0 for a
+# block that one side lacks
 def check_block_lengths(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    ca = a.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias("n_a"))
-    cb = b.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias("n_b"))
-    return ca.join(cb, key).where(F.col("n_a") != F.col("n_b"))
+    from .agg import block_mismatch
+
+    x = block_mismatch(a, b, key)
+    return x.select(key, F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"))
 
 
 # DQ-08 -- invalid responses

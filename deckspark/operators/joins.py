@@ -2,13 +2,12 @@
 
 Join strategy is left to the planner: with AQE on, a side measured below
 ``spark.sql.autoBroadcastJoinThreshold`` at run time becomes a broadcast and
-everything else stays a shuffle join (with skew splitting).  An explicit
-broadcast is used only behind a row-count check (``maybe_broadcast``).
+everything else stays a shuffle join (with skew splitting).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import index as ix
@@ -20,13 +19,6 @@ def _cols(x) -> list:
     return list(x) if isinstance(x, (list, tuple)) else [x]
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows
-    (a bounded ``limit().count()`` probe); otherwise leave it to the planner."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # JN-01 / JN-02 / JN-03 -- left equi-join, overlapping names get a suffix
 def left_join(a: DataFrame, b: DataFrame, keys, suffix: str = "_r") -> DataFrame:
     keys = _cols(keys)
@@ -35,14 +27,10 @@ def left_join(a: DataFrame, b: DataFrame, keys, suffix: str = "_r") -> DataFrame
     return a.join(b2, keys, "left")
 
 
-def lookup(df: DataFrame, col: str, dictionary: DataFrame, dict_key: str, value_cols: list[str], broadcast_max_rows: int | None = None) -> DataFrame:
-    """Left join a keyed dictionary.  With ``broadcast_max_rows`` the
-    dictionary is broadcast only after a bounded count proves it that small;
-    otherwise (or when larger) the planner picks the join."""
-    d = dictionary.select(F.col(dict_key).alias(col), *value_cols)
-    if broadcast_max_rows is not None:
-        d = maybe_broadcast(d, broadcast_max_rows)
-    return df.join(d, col, "left")
+def lookup(df: DataFrame, col: str, dictionary: DataFrame, dict_key: str, value_cols: list[str]) -> DataFrame:
+    """Left join a keyed dictionary; adaptive execution broadcasts it when
+    its measured size allows."""
+    return df.join(dictionary.select(F.col(dict_key).alias(col), *value_cols), col, "left")
 
 
 # JN-04 -- inner lookup; duplicate dictionary keys multiply rows
@@ -125,18 +113,11 @@ def times_table(df: DataFrame, col: str, lo: int, hi: int) -> DataFrame:
     return x.withColumn("b", F.col("b").cast("bigint")).withColumn("c", F.col("a") * F.col("b"))
 
 
-# JN-15 -- ordered pairs i < j of a small domain (languages).  The pairs of
-# a set grow quadratically, so the distinct set must provably hold at most
-# `max_values` members (a bounded count) before it is paired.
-def ordered_pairs(df: DataFrame, col: str, max_values: int = 1000) -> DataFrame:
-    d = df.select(col).distinct()
-    n = d.limit(max_values + 1).count()
-    if n > max_values:
-        raise ValueError(f"ordered_pairs: more than {max_values} distinct values of {col}")
-    d = F.broadcast(d)
-    a = d.select(F.col(col).alias("a"))
-    b = d.select(F.col(col).alias("b"))
-    return a.join(b, F.col("a") < F.col("b"))
+# JN-15 -- ordered pairs i < j of a list given by the caller (languages):
+# pairs grow with the square of the list, so it is never derived from data.
+def ordered_pairs(spark: SparkSession, values: list[str]) -> DataFrame:
+    v = sorted(set(values))
+    return spark.createDataFrame([(a, b) for i, a in enumerate(v) for b in v[i + 1 :]], "a string, b string")
 
 
 # JN-17 -- unpivot a label matrix (row label x column label -> value)
@@ -223,7 +204,7 @@ def replace_from(df: DataFrame, lookup_df: DataFrame, keys, cols: list[str]) ->
 
 # UP-10 -- suppress a value for listed keys
 def suppress(df: DataFrame, key: str, values: list, col: str) -> DataFrame:
-    return df.withColumn(col, F.when(~F.col(key).isin(*values), F.col(col)))
+    return df.withColumn(col, F.when(~F.coalesce(F.col(key).isin(*values), F.lit(False)), F.col(col)))
 
 
 # ---- set operations (SE-*) -----------------------------------------------
@@ -235,6 +216,13 @@ def union_decks(*dfs: DataFrame) -> DataFrame:
     return out
 
 
+# SE-08 -- all decks as one, the first row of each word under a total order
+def merge_decks(decks: list[DataFrame], word: str, order: list) -> DataFrame:
+    from .agg import first_per_key
+
+    return first_per_key(union_decks(*decks), word, order)
+
+
 # SE-02 -- expected ids lo..hi minus loaded ids
 def not_loaded(expected: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
     return expected.join(loaded, key, "left_anti")

@@ -1,31 +1,24 @@
-"""WN-11: the sequential rare-word sentence filter, as an exact fixpoint.
+"""WN-11: the sequential rare-word sentence filter, by bounds on counts.
 
 Sequential rule (rows walked from the highest index down): a row is accepted
 when its word occurs among its lemmas and at least ``min_rare`` of its other
 lemma occurrences have a deck count ``<= max_occ``; a rejected row lowers the
 count of each of its lemma occurrences for every row visited after it.
 
-A row depends only on rows with a higher index, so its decision is a
-function of the rejections above it, and iterating "evaluate every row given
-the previous round's rejections" from "nothing rejected" reaches the unique
-sequential answer (row i is final after at most i rounds; in practice a
-handful).
+A row's decision needs the count of a token when its turn comes: the token's
+total minus its occurrences in rejected rows above.  While some of the rows
+above are undecided that count has an upper bound (none of them is rejected)
+and a lower bound (all are).  A row with enough tokens rare at the upper
+bound is accepted, one with too few rare even at the lower bound is rejected,
+whatever becomes of the others.  The highest undecided row has equal bounds,
+so every round settles rows until none is left.
 
-Work per round is kept to what can change:
-
-* tokens seen ``<= max_occ`` times in the whole deck are rare for every row,
-  forever -- their contribution per row is computed once (``static``);
-* a token whose count minus *all* currently rejected occurrences is still
-  above ``max_occ`` is rare for no row this round -- skipped;
-* only the remaining *live* tokens need, per occurrence, the rejected
-  occurrences in rows above it: a per-token running sum ordered by index
-  descending (skew-safe two-level sum from ``operators.window``);
-* the per-token total of rejected occurrences is maintained incrementally
-  from the rows whose decision flipped in the last round.
-
-Each round's decisions and token totals are written as tables under
-``spark.checkpoint.dir``: lineage stays one round deep and a lost executor
-recomputes at most one round.
+Only undecided rows, and of them only *live* occurrences, go to the next
+round: a token seen ``<= max_occ`` times in all is rare for every row and is
+counted once; one that would stay above ``max_occ`` even if all undecided
+rows were rejected is never rare.  A round is one running sum per token over
+sampled ranges (no task holds a hot token) and writes one table of the rows
+left and one of the rows settled.
 """
 
 from __future__ import annotations
@@ -37,7 +30,9 @@ from ..functions.arrays import split_literal
 from ..functions.text import base_form
 from ..schema import RARE_MAX_OCCURRENCES, RARE_MIN_COUNT_IN_SENTENCE
 from ..session import cut_lineage
-from .window import running_sum
+from .window import running_sums
+
+ACCEPTED, REJECTED, OPEN = 1, 0, 2
 
 
 def filter_rare_sentences(
@@ -49,7 +44,6 @@ def filter_rare_sentences(
     min_rare: int = RARE_MIN_COUNT_IN_SENTENCE,
     sep: str = ";",
     irregular: DataFrame | None = None,
-    max_rounds: int | None = None,
 ) -> DataFrame:
     """Returns ``deck`` (rows with lemmas) plus ``accepted``.  ``idx`` must be
     a unique ``decimal(18,6)`` index.  ``irregular`` (idx, word, baseform)
@@ -57,6 +51,10 @@ def filter_rare_sentences(
     rows = deck.where(F.col(lemmas).isNotNull())
     target = base_form(F.col(word))
     if irregular is not None:
+        from .agg import first_per_key
+
+        # a word listed twice for an index counts with its first base form
+        irregular = first_per_key(irregular.select(idx, word, "baseform"), [idx, word], ["baseform"])
         irr = irregular.select(F.col(idx).alias("__iidx"), F.col(word).alias("__iword"), F.col("baseform").alias("__ibase"))
         rows = rows.join(irr, (rows[idx] == irr["__iidx"]) & (rows[word] == irr["__iword"]), "left")
         rows = rows.withColumn("__target", F.coalesce(F.col("__ibase"), target)).drop("__iidx", "__iword", "__ibase")
@@ -70,50 +68,53 @@ def filter_rare_sentences(
     occ = toks.groupBy("r", "t", (F.col("t") == F.col("__target")).alias("is_target")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     occ = cut_lineage(occ, "rare-occ")
     total = cut_lineage(occ.groupBy("t").agg(F.sum("n").alias("total")), "rare-total")
-    occ_tot = occ.join(total, "t")
+    occ_tot = cut_lineage(occ.join(total, "t"), "rare-occ-total")
 
     other = F.coalesce(~F.col("is_target"), F.lit(True))
-    base = cut_lineage(
-        occ_tot.groupBy("r").agg(
-            F.coalesce(F.max("is_target"), F.lit(False)).alias("in_sentence"),
-            F.sum(F.when((F.col("total") <= max_occ) & other, F.col("n")).otherwise(0)).cast("bigint").alias("static"),
-        ),
-        "rare-rows",
+    base = occ_tot.groupBy("r").agg(
+        F.coalesce(F.max("is_target"), F.lit(False)).alias("in_sentence"),
+        F.sum(F.when((F.col("total") <= max_occ) & other, F.col("n")).otherwise(0)).cast("bigint").alias("static"),
+        F.sum(F.when((F.col("total") > max_occ) & other, F.col("n")).otherwise(0)).cast("bigint").alias("most"),
     )
-    occ_dyn = cut_lineage(occ_tot.where(F.col("total") > max_occ), "rare-dyn")
-    dyn_tokens = total.where(F.col("total") > max_occ)
+    enough, never = F.col("static") >= min_rare, F.col("static") + F.col("most") < min_rare
+    state = F.when(~F.col("in_sentence") | never, REJECTED).when(enough, ACCEPTED).otherwise(OPEN)
+    rows_now = cut_lineage(base.select("r", "static", state.alias("state")), "rare-rows")
+    settled = [rows_now.where(F.col("state") != OPEN).select("r", "state")]
 
-    rejected = base.select("r", F.lit(False).alias("rej"))
-    rej_tot = dyn_tokens.select("t", F.lit(0).cast("bigint").alias("rej_total"))
-    rounds = 0
-    while True:
-        rounds += 1
-        live = dyn_tokens.join(rej_tot, "t").where(F.col("total") - F.col("rej_total") <= max_occ).select("t")
-        occ_live = occ_dyn.join(live, "t", "left_semi").join(rejected, "r")
-        occ_live = running_sum(
-            occ_live,
-            ["t"],
-            [F.col("r").desc()],
-            F.when(F.col("rej"), F.col("n")).otherwise(F.lit(0)),
-            "__above",
+    # live: occurrences of a token that could become rare, in rows that count
+    # for it (rejected now or still open); gone: rejected occurrences above
+    left = occ_tot.where(F.col("total") > max_occ).join(rows_now.where(F.col("state") != ACCEPTED), "r")
+    left = left.withColumn("gone", F.lit(0).cast("bigint"))
+    while not rows_now.where(F.col("state") == OPEN).isEmpty():
+        # below a token's least count: what its lowest row has, less all that may go
+        could = left.groupBy("t").agg((F.min(F.col("total") - F.col("gone")) - F.sum("n")).alias("least")).where(F.col("least") <= max_occ)
+        live = left.join(could.select("t"), "t", "left_semi")
+        # the occurrence of the row's own word is an entry of its own
+        sums = running_sums(
+            live, ["t"], [F.col("r").desc(), "is_target"],
+            {
+                "new_gone": F.when(F.col("state") == REJECTED, F.col("n")).otherwise(0),
+                "open_above": F.when(F.col("state") == OPEN, F.col("n")).otherwise(0),
+            },
             inclusive=False,
         )
-        hits = occ_live.where(((F.col("total") - F.col("__above")) <= max_occ) & other)
-        rare_dyn = hits.groupBy("r").agg(F.sum("n").alias("__dyn"))
-        new = base.join(rare_dyn, "r", "left").select(
-            "r", (~(F.col("in_sentence") & ((F.col("static") + F.coalesce(F.col("__dyn"), F.lit(0))) >= min_rare))).alias("rej")
-        )
-        new = new.join(rejected.withColumnRenamed("rej", "__old"), "r").withColumn("__changed", F.col("rej") != F.col("__old")).drop("__old")
-        new = cut_lineage(new, "rare-round")
-        flipped = new.where("__changed").select("r", F.when(F.col("rej"), 1).otherwise(-1).alias("__sign"))
-        rejected = new.drop("__changed")
-        if flipped.limit(1).count() == 0 or (max_rounds is not None and rounds >= max_rounds):
-            break
-        delta = occ_dyn.join(flipped, "r").groupBy("t").agg(F.sum(F.col("n") * F.col("__sign")).alias("__d"))
-        rej_tot = cut_lineage(
-            rej_tot.join(delta, "t", "left").select("t", (F.col("rej_total") + F.coalesce(F.col("__d"), F.lit(0))).alias("rej_total")),
-            "rare-rejtot",
+        upper = F.col("total") - F.col("gone") - F.col("new_gone")
+        sums = sums.where(F.col("state") == OPEN).withColumn("upper", upper).withColumn("lower", F.col("upper") - F.col("open_above"))
+        sums = cut_lineage(sums.drop("state"), "rare-round")
+        counted = sums.where(other).groupBy("r").agg(
+            F.sum(F.when(F.col("upper") <= max_occ, F.col("n")).otherwise(0)).alias("sure"),
+            F.sum(F.when(F.col("lower") <= max_occ, F.col("n")).otherwise(0)).alias("hope"),
         )
-    decided = rejected.select(F.col("r").alias("__r"), F.col("rej"))
-    out = rows.withColumn("__r", rkey).join(decided, "__r", "left").withColumn("accepted", ~F.col("rej"))
-    return out.drop("rej", "__target", "__r")
+        sure, hope = (F.col("static") + F.coalesce(c, F.lit(0)) for c in (F.col("sure"), F.col("hope")))
+        state = F.when(sure >= min_rare, ACCEPTED).when(hope < min_rare, REJECTED).otherwise(OPEN)
+        still = rows_now.where(F.col("state") == OPEN).select("r", "static")
+        rows_now = cut_lineage(still.join(counted, "r", "left").select("r", "static", state.alias("state")), "rare-rows")
+        settled.append(rows_now.where(F.col("state") != OPEN).select("r", "state"))
+        keep = rows_now.where(F.col("state") != ACCEPTED)
+        left = sums.withColumn("gone", F.col("gone") + F.col("new_gone")).select("t", "r", "is_target", "n", "total", "gone").join(keep, "r")
+    decided = settled[0]
+    for s in settled[1:]:
+        decided = decided.union(s)
+    decided = decided.select(F.col("r").alias("__r"), "state")
+    out = rows.withColumn("__r", rkey).join(decided, "__r", "left").withColumn("accepted", F.col("state") == ACCEPTED)
+    return out.drop("state", "__target", "__r")

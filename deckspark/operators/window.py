@@ -49,8 +49,9 @@ def _same(a: DataFrame, b: DataFrame, keys: list) -> Column:
     return on
 
 
-def _add_earlier(x: DataFrame, t: DataFrame, keys: list, local: Column, value: Column) -> tuple[DataFrame, Column]:
-    """(x joined, sum): ``local`` plus the sums of the group's earlier ranges."""
+def _add_earlier(x: DataFrame, t: DataFrame, keys: list, sums: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """``x`` with each ``out: (local, value)`` of ``sums`` as the local sum
+    plus the sums of the group's earlier ranges."""
     if keys:
         first = t.where("__n = 0").select(*[F.col(k).alias(f"{k}_") for k in keys]).distinct()
         on = None
@@ -60,27 +61,34 @@ def _add_earlier(x: DataFrame, t: DataFrame, keys: list, local: Column, value: C
         part = t.join(F.broadcast(first), on, "left_semi")  # at most one row per range
     else:
         part = t
-    totals = part.groupBy(*keys, "__p").agg(F.sum(value).alias("__tot"))
+    totals = part.groupBy(*keys, "__p").agg(*[F.sum(value).alias(f"__tot_{out}") for out, (_, value) in sums.items()])
     before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    off = totals.withColumn("__off", F.sum("__tot").over(before)).where("__off is not null")
-    off = off.select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("__p").alias("__p_"), "__off")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__p"))
+    offs = [F.sum(f"__tot_{out}").over(before).alias(f"__off_{out}") for out in sums]
+    off = totals.select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("__p").alias("__p_"), nth.alias("__nth"), *offs).where("__nth > 1")
     j = x.join(F.broadcast(off), _same(x, off, keys), "left")  # at most one row per range
-    return j, F.coalesce(F.col("__off"), F.lit(0)) + local
+    res = [(F.coalesce(F.col(f"__off_{out}"), F.lit(0)) + local).alias(out) for out, (local, _) in sums.items()]
+    return j.select("*", *res)
 
 
-def running_sum(df: DataFrame, keys, order, value: Column | str, out: str, inclusive: bool = True) -> DataFrame:
-    """``sum(value)`` over rows of the same ``keys`` ordered by ``order``,
-    which must be a total order within ``keys``.  Keys are column names;
-    order may hold expressions such as ``F.col(c).desc()``."""
+def running_sums(df: DataFrame, keys, order, values: dict[str, Column | str], inclusive: bool = True) -> DataFrame:
+    """For each ``out: value``, ``sum(value)`` over rows of the same ``keys``
+    ordered by ``order``, which must be a total order within ``keys``.  Keys
+    are column names; order may hold expressions such as ``F.col(c).desc()``."""
     keys, order = _cols(keys), _cols(order)
-    val = F.col(value) if isinstance(value, str) else value
-    t = _ranged(df.withColumn("__v", val), keys, order)
+    names = {out: f"__v{i}" for i, out in enumerate(values)}
+    val = {names[o]: F.col(v) if isinstance(v, str) else v for o, v in values.items()}
+    t = _ranged(df.withColumns(val), keys, order)
     frame = Window.partitionBy(*keys, "__p").orderBy("__n").rowsBetween(Window.unboundedPreceding, 0)
-    x = t.withColumn("__local", F.sum("__v").over(frame))
-    j, res = _add_earlier(x, t, keys, F.col("__local"), F.col("__v"))
-    if not inclusive:
-        res = res - F.coalesce(F.col("__v"), F.lit(0))
-    return j.withColumn("__out", res).select(*[c for c in df.columns if c != out], F.col("__out").alias(out))
+    x = t.withColumns({f"__local{v}": F.sum(v).over(frame) for v in val})
+    j = _add_earlier(x, t, keys, {f"__sum{v}": (F.col(f"__local{v}"), F.col(v)) for v in val})
+    res = {o: F.col(f"__sum{v}") if inclusive else F.col(f"__sum{v}") - F.coalesce(F.col(v), F.lit(0)) for o, v in names.items()}
+    return j.select(*[c for c in df.columns if c not in res], *[c.alias(o) for o, c in res.items()])
+
+
+def running_sum(df: DataFrame, keys, order, value: Column | str, out: str, inclusive: bool = True) -> DataFrame:
+    """:func:`running_sums` of one value."""
+    return running_sums(df, keys, order, {out: value}, inclusive)
 
 
 def number_rows(df: DataFrame, keys, order, out: str = "row_number") -> DataFrame:
@@ -88,11 +96,12 @@ def number_rows(df: DataFrame, keys, order, out: str = "row_number") -> DataFram
     without funnelling a group through one task.  Global numbers follow from
     each row's place in its range and need no window over the rows."""
     keys, order = _cols(keys), _cols(order)
+    one = F.lit(1).cast("bigint")
     if keys:
-        return running_sum(df, keys, order, F.lit(1).cast("bigint"), out)
+        return running_sum(df, keys, order, one, out)
     t = _ranged(df, [], order)
-    j, res = _add_earlier(t, t, [], F.col("__n") + 1, F.lit(1).cast("bigint"))
-    return j.withColumn("__out", res).select(*[c for c in df.columns if c != out], F.col("__out").alias(out))
+    j = _add_earlier(t, t, [], {"__sum": (F.col("__n") + 1, one)})
+    return j.select(*[c for c in df.columns if c != out], F.col("__sum").alias(out))
 
 
 # WN-01 -- n-th occurrence of an index gets +step*n (n from 0)

@@ -111,19 +111,24 @@ def prepare_requests(deck: DataFrame, idx: str, cols: list[str], missing: str, p
 def response_rows(responses: DataFrame, response_col: str, order_col: str, schema: str, sep: str = "|") -> DataFrame:
     """Parse, validate, strip fences, clean rows, keep numbered rows, split
     to columns, first per index (in ``order_col`` then line order).
-    ``schema`` is a DDL string whose first field is the index."""
+    ``schema`` is a DDL string whose first field is the index and whose
+    second is the word; rows with a missing or blank word are dropped."""
     content = A.response_text(F.col(response_col))
     ok = responses.withColumn("__c", content).where(F.col("__c").isNotNull())
     lines = ok.select(F.col(order_col).alias("__r"), F.posexplode(F.split(S.strip_fences(F.col("__c")), "\n")).alias("__k", "__line"))
     rows = lines.withColumn("__line", S.clean_row("__line")).where(S.starts_with_digit("__line"))
     parsed = rows.select("__r", "__k", F.from_csv("__line", schema, {"sep": sep}).alias("__p")).select("__r", "__k", "__p.*")
-    first_field = schema.split(",")[0].strip().split(" ")[0]
-    return G.first_per_key(parsed, first_field, ["__r", "__k"]).drop("__r", "__k")
+    index, word = parsed.columns[2:4]
+    parsed = parsed.where(F.length(S.strip(word)) > 0)
+    return G.first_per_key(parsed, index, ["__r", "__k"]).drop("__r", "__k")
 
 
-def ingest_responses(deck: DataFrame, responses: DataFrame, response_col: str, order_col: str, schema: str, idx: str = "idx") -> DataFrame:
+def ingest_responses(
+    deck: DataFrame, responses: DataFrame, response_col: str, order_col: str, schema: str, idx: str = "idx"
+) -> tuple[DataFrame, DataFrame]:
+    """(the patched deck, the responses without the required content)."""
     rows = response_rows(responses, response_col, order_col, schema)
-    return J.patch_rows(deck, rows, idx)
+    return J.patch_rows(deck, rows, idx), responses.where(~A.is_valid_response(response_col))
 
 
 # TXT-22 -- title and first content paragraph of a page

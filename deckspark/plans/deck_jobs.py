@@ -131,6 +131,31 @@ def rekey_bad_baseforms(bad: DataFrame, deck: DataFrame, word: str = "word", idx
     return bad.drop(idx).join(deck.select(word, idx), word, "inner").select(idx, word, "baseform")
 
 
+# TXT-20 -- the full pass over a deck
+def partition_deck(
+    deck: DataFrame, lemmatise, lo: int, hi: int, irregular: DataFrame | None = None, idx: str = "idx", word: str = "word", sentence: str = "sentence"
+) -> DataFrame:
+    """``deck`` (idx, word, sentence, ...) with ``lemmas`` and ``accepted``:
+
+    1. sentences outside ``lo .. hi`` characters are cleared;
+    2. lemmas are made anew from the sentences left, by ``lemmatise``;
+    3. token counts are those of these lemmas, and
+    4. words of ``irregular`` (idx, word, baseform) are sought by their base
+       form, both inside the rare-word filter,
+    5. which accepts or rejects every sentence left;
+    6. rejected rows keep their index and word alone and are merged back, one
+       row per index."""
+    from ..functions.text import length_between
+    from ..operators.rare import filter_rare_sentences
+
+    ok = length_between(sentence, lo, hi)
+    kept = J.blank_fields(deck, ok, [idx, word]).withColumn("lemmas", lemmatise(F.col(sentence)))
+    judged = filter_rare_sentences(kept, idx, word, "lemmas", irregular=irregular)
+    merged = judged.unionByName(kept.where("lemmas is null").withColumn("accepted", F.lit(False)))
+    merged = J.blank_fields(merged, F.col("accepted"), [idx, word, "accepted"])
+    return G.first_per_key(merged, idx, [word])
+
+
 # TXT-21 -- key columns deck -> raw (update + append), sentences raw -> deck
 def sync_to_raw(deck: DataFrame, raw: DataFrame, keys: list[str], idx: str = "idx") -> DataFrame:
     cols = [c for c in raw.columns if c != idx]

@@ -12,6 +12,9 @@ from ..operators import joins as J
 from ..operators import window as W
 from ..schema import language_columns
 from .catalog import query
+
+# fixed values: the languages of the documents table
+DOCUMENT_LANGUAGES = ["de", "en", "es", "fr"]
 from .views import V_LINE_SQL, V_TOK_SQL, table, v_line, v_tok
 
 STRIP_SQL = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
@@ -374,7 +377,7 @@ def jn03(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer")
     # the customer dictionary is broadcast only if it provably has <= 1M rows
-    return J.lookup(o, "o_custkey", c, "c_custkey", ["c_name", "c_mktsegment"], broadcast_max_rows=1_000_000).drop("o_custkey")
+    return J.lookup(o, "o_custkey", c, "c_custkey", ["c_name", "c_mktsegment"]).drop("o_custkey")
 
 
 @query(
@@ -461,7 +464,7 @@ def jn14(spark, sf):
 )
 def jn15(spark, sf):
     d = table(spark, sf, "documents")
-    pairs = J.ordered_pairs(d, "lang")
+    pairs = J.ordered_pairs(spark, DOCUMENT_LANGUAGES)
     s = d.select("lang", "source").distinct()
     sa = s.select(F.col("lang").alias("a"), F.col("source"))
     sb = s.select(F.col("lang").alias("b"), F.col("source"))
@@ -492,7 +495,7 @@ def jn17(spark, sf):
     d = table(spark, sf, "documents")
     m = d.groupBy("lang").agg(F.count(F.lit(1)).cast("string").alias("n_docs"), F.sum("n_chars").cast("string").alias("n_chars"))
     u = J.unpivot_matrix(m, "lang", ["n_docs", "n_chars"], "label", "value")
-    pairs = J.ordered_pairs(d, "lang")
+    pairs = J.ordered_pairs(spark, DOCUMENT_LANGUAGES)
     ua = u.select(F.col("lang").alias("a"), "label", F.col("value").alias("va"))
     ub = u.select(F.col("lang").alias("b"), "label", F.col("value").alias("vb"))
     j = pairs.join(ua, "a").join(ub, ["b", "label"])
@@ -762,11 +765,10 @@ def se07(spark, sf):
     "se08_merge_decks",
     f"""select token, doc_id, pos, i from (
           select t.*, row_number() over (partition by token order by doc_id, pos, i) as rn
-          from {V_TOK_SQL} t where doc_id in (select doc_id from documents where lang in ('de', 'es'))) where rn = 1""",
+          from {V_TOK_SQL} t) where rn = 1""",
 )
 def se08(spark, sf):
+    """The decks of all languages as one, a row per word."""
     d = table(spark, sf, "documents")
-    t = v_tok(spark, sf)
-    de = t.join(d.where(F.col("lang") == "de").select("doc_id"), "doc_id", "left_semi")
-    es = t.join(d.where(F.col("lang") == "es").select("doc_id"), "doc_id", "left_semi")
-    return G.first_per_key(J.union_decks(de, es), "token", ["doc_id", "pos", "i"])
+    t = v_tok(spark, sf).join(d.select("doc_id", "lang"), "doc_id")
+    return J.merge_decks([t.where(F.col("lang") == x).drop("lang") for x in DOCUMENT_LANGUAGES], "token", ["doc_id", "pos", "i"])

@@ -15,12 +15,11 @@ from .views import V_LINE_SQL, V_NOTE_SQL, V_TOK_SQL, table, v_line, v_note, v_t
 
 D = "decimal(18,6)"
 PIPE_PARTS_SQL = """(select doc_id, cast(u.k as bigint) as k, u.part from documents,
-    lateral (select unnest(string_split(text, '|')) as part, generate_subscripts(string_split(text, '|'), 1) as k) u
-    where contains(text, '|'))"""
+    lateral (select unnest(string_split(text, '|')) as part, generate_subscripts(string_split(text, '|'), 1) as k) u)"""
 
 
 def _pipe_parts(spark, sf):
-    d = table(spark, sf, "documents").where(F.col("text").contains("|"))
+    d = table(spark, sf, "documents")
     return d.select("doc_id", F.posexplode(A.split_literal("text", "|")).alias("k", "part")).withColumn("k", (F.col("k") + 1).cast("bigint"))
 
 
@@ -237,11 +236,10 @@ def str26(spark, sf):
 @query(
     "str27_clean_row",
     f"""select doc_id, pos, replace({strip_sql(f"trim({strip_sql('sentence')}, '|')")}, ' | ', '|') as row
-       from {V_LINE_SQL} where contains(sentence, '|')""",
+       from {V_LINE_SQL}""",
 )
 def str27(spark, sf):
-    l = v_line(spark, sf).where(F.col("sentence").contains("|"))
-    return l.select("doc_id", "pos", S.clean_row("sentence").alias("row"))
+    return v_line(spark, sf).select("doc_id", "pos", S.clean_row("sentence").alias("row"))
 
 
 @query(
@@ -312,10 +310,10 @@ def arr03(spark, sf):
 
 @query(
     "arr04_transform",
-    "select doc_id, array_to_string(list_transform(string_split(text, '|'), lambda x: trim(x)), '|') as cells from documents where contains(text, '|')",
+    "select doc_id, array_to_string(list_transform(string_split(text, '|'), lambda x: trim(x)), '|') as cells from documents",
 )
 def arr04(spark, sf):
-    d = table(spark, sf, "documents").where(F.col("text").contains("|"))
+    d = table(spark, sf, "documents")
     return d.select("doc_id", F.array_join(F.transform(A.split_literal("text", "|"), lambda x: F.trim(x)), "|").alias("cells"))
 
 
@@ -455,11 +453,11 @@ def jsn02(spark, sf):
 
 @query(
     "jsn03_to_request",
-    "select conv_id, turn, json_object('model', 'text-generator', 'messages', [json_object('role', 'user', 'content', 'Translate:' || chr(10) || text)])::varchar as request from conversations where role = 'user'",
+    "select conv_id, turn, json_object('model', 'text-generator', 'messages', [json_object('role', 'user', 'content', 'Translate:'), json_object('role', 'user', 'content', text)])::varchar as request from conversations",
 )
 def jsn03(spark, sf):
-    c = table(spark, sf, "conversations").where(F.col("role") == "user")
-    return c.select("conv_id", "turn", A.to_request(F.lit("Translate:\n"), F.col("text"), "text-generator").alias("request"))
+    c = table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", A.to_request(F.lit("Translate:"), F.col("text"), "text-generator").alias("request"))
 
 
 @query(

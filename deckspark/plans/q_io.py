@@ -123,8 +123,8 @@ def _stories(spark, sf):
 
 @query(
     "src08_read_stories",
-    f"""select cast(doc_id as integer) as n, regexp_replace(replace(trim(header), chr(10), ' '), '^\\s+|\\s+$', '', 'g') as header, body
-       from {STORY_SQL} where body is not null""",
+    f"""select cast(doc_id as integer) as n, regexp_replace(replace(trim(header), chr(10), ' '), '^\\s+|\\s+$', '', 'g') as header, coalesce(body, '') as body
+       from {STORY_SQL}""",
 )
 def src08(spark, sf):
     path = scratch_path(spark, "stories")
@@ -304,15 +304,15 @@ def _blocks(spark, sf):
 @query(
     "snk07_write_requests",
     f"""select cast(block as bigint) as block, json_object('model', 'text-generator', 'messages',
-              [json_object('role', 'user', 'content', 'Fill the table:' || chr(10) || payload)])::varchar as request
+              [json_object('role', 'user', 'content', 'Fill the table:'), json_object('role', 'user', 'content', payload)])::varchar as request
        from (select block, string_agg(cast(doc_id as varchar) || '|' || cast(pos as varchar), chr(10) order by doc_id, pos) as payload
              from {BLOCKS_SQL} group by block)""",
 )
 def snk07(spark, sf):
     path = scratch_path(spark, "requests")
-    b = _blocks(spark, sf).withColumn("__o", F.col("doc_id") * 100000 + F.col("pos"))
+    b = _blocks(spark, sf).withColumn("__o", F.struct("doc_id", "pos"))
     payload = K.block_payload(b, "block", "__o", ["doc_id", "pos"])
-    req = payload.select("block", A.to_request(F.lit("Fill the table:\n"), F.col("payload"), "text-generator").alias("request"))
+    req = payload.select("block", A.to_request(F.lit("Fill the table:"), F.col("payload"), "text-generator").alias("request"))
     K.write_requests(req.select(F.to_json(F.struct("block", "request")).alias("j")), "j", path)
     back = spark.read.text(path).select(F.from_json("value", "block bigint, request string").alias("r"))
     return back.select("r.block", "r.request")
@@ -345,8 +345,8 @@ def snk09(spark, sf):
 @query(
     "snk10_write_stories",
     f"""select doc_id, '<txt>' || chr(10) || '<n>' || cast(doc_id as varchar) || '</n>' || chr(10) || '<header>' || replace(trim(header), chr(10), ' ')
-              || '</header>' || chr(10) || '<body>' || chr(10) || body || chr(10) || '</body>' || chr(10) || '</txt>' as value
-       from {STORY_SQL} where body is not null""",
+              || '</header>' || chr(10) || '<body>' || chr(10) || coalesce(body, '') || chr(10) || '</body>' || chr(10) || '</txt>' as value
+       from {STORY_SQL}""",
 )
 def snk10(spark, sf):
     sentences, headers = _stories(spark, sf)

@@ -59,7 +59,8 @@ def inc02(spark, sf):
             F.get_json_object(F.col("a")[1], "$.content").alias("content"),
         )
 
-    res = I.stream_responses(spark, src + "/*", parse, out, ckpt, key="idx", order="turn")
+    deck = c.select(F.col("conv_id").alias("idx"), F.lit(None).cast("bigint").alias("turn")).distinct()
+    res = I.stream_responses(spark, src + "/*", parse, out, ckpt, key="idx", order=["turn"], deck=deck)
     return res.select("idx", "turn")
 
 
@@ -117,13 +118,13 @@ def inc03s(spark, sf):
     return I.latest_state(spark, state, "user_id", out, ckpt)
 
 
-@query(
-    "inc04_rate_audit",
-    """select cast(epoch(date_trunc('minute', ts)) as bigint) as minute, cast(count(*) as bigint) as requests,
+INC04_SQL = """select cast(epoch(date_trunc('minute', ts)) as bigint) as minute, cast(count(*) as bigint) as requests,
               cast(sum(cast(floor(value * 1000) as bigint)) as bigint) as tokens,
               count(*) > 1500 or sum(cast(floor(value * 1000) as bigint)) > 125000 as over_limit
-       from events group by 1""",
-)
+       from events group by 1"""
+
+
+@query("inc04_rate_audit", INC04_SQL)
 def inc04(spark, sf):
     e = table(spark, sf, "events").withColumn("tokens", F.floor(F.col("value") * 1000).cast("bigint"))
     return I.rate_audit(e, "ts", "tokens")
@@ -146,7 +147,7 @@ def inc05(spark, sf):
             r as (select doc_id, pos, row_number() over (partition by doc_id order by pos) as k from l where pending0)
        select l.doc_id, l.pos,
               case when not l.pending0 then l.src
-                   when r.k <= 3 then case when ends_with(l.src, '"') then replace(l.src, '/', '.') || '.' else replace(l.src, '/', '.') end
+                   else case when ends_with(l.src, '"') then replace(l.src, '/', '.') || '.' else replace(l.src, '/', '.') end
               end as sentence
        from l left join r on l.doc_id = r.doc_id and l.pos = r.pos""",
 )
@@ -160,26 +161,22 @@ def inc06(spark, sf):
         return df.where(F.col("sentence").isNull())
 
     def step(df, r):
-        first = G.first_per_key(pending(df).select("doc_id", "pos"), "doc_id", ["pos"]).withColumn("__fill", F.lit(True))
-        j = df.join(first, ["doc_id", "pos"], "left")
-        return j.withColumn("sentence", F.when(F.col("__fill"), S.fix_sentence("src")).otherwise(F.col("sentence"))).drop("__fill")
+        # a round settles the pending lines of one residue, or all in the third
+        turn = F.col("sentence").isNull() & ((F.col("pos") % 3 == r) | F.lit(r >= 2))
+        return df.withColumn("sentence", F.when(turn, S.fix_sentence("src")).otherwise(F.col("sentence")))
 
-    out = I.iterate(l, step, pending, rounds=3)
+    out = I.iterate(l, step, pending)
     return out.select("doc_id", "pos", "sentence")
 
 
-@query("inc04_rate_audit_stream")
+@query("inc04_rate_audit_stream", INC04_SQL)
 def inc04s(spark, sf):
-    """Event-time minutes with a watermark, append mode: every minute is
-    emitted once it is closed (the minutes newer than the watermark at the
-    end of the replay stay open)."""
+    """Event-time minutes with a watermark, update mode: the last update of
+    every minute counts, open minutes included."""
     src = scratch_path(spark, "rate-src")
     out = scratch_path(spark, "rate-out")
     ckpt = scratch_path(spark, "rate-ckpt")
     e = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.floor(F.col("value") * 1000).cast("bigint").alias("tokens"))
     e.write.parquet(src)
     stream = spark.readStream.schema(e.schema).parquet(src)
-    q = (I.rate_audit_stream(stream, "ts", "tokens").writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    return I.latest_state(spark, I.rate_audit_stream(stream, "ts", "tokens"), "minute", out, ckpt)

@@ -15,7 +15,7 @@ from . import deck_jobs as DJ
 from .catalog import query
 from .q_core import strip_sql
 from .q_functions import BIGRAM_SQL
-from .views import V_LINE_SQL, V_NOTE_SQL, V_TOK_SQL, table, v_line, v_note, v_tok
+from .views import V_LINE_SQL, V_NOTE_SQL, V_TOK_SQL, table, v_line, v_line_idx, v_note, v_tok
 
 D = "decimal(18,6)"
 SEP_PREFIXES = ["ab", "an", "auf", "aus", "bei", "ein", "mit", "nach", "vor", "weg", "zu"]
@@ -468,20 +468,9 @@ def txt19(spark, sf):
 
 @query("txt20_partition_deck")
 def txt20(spark, sf):
-    """Full pass: length filter keeps the word only on failing rows, word
-    counts over the kept lemmas, irregular base forms re-keyed, rare filter."""
-    from ..operators.rare import filter_rare_sentences
-
-    l = v_line(spark, sf)
-    deck = l.select(
-        (F.col("doc_id").cast(D) + F.col("pos").cast(D) * F.lit(0.0001).cast(D)).cast(D).alias("idx"),
-        F.split_part("sentence", F.lit(" "), F.lit(1)).alias("word"),
-        "sentence",
-        F.array_join(F.split("sentence", " "), ";").alias("lemmas"),
-    )
-    deck = J.blank_fields(deck, S.length_between("sentence", 30, 200), ["idx", "word"])
+    deck = v_line_idx(spark, sf).select("idx", F.split_part("sentence", F.lit(" "), F.lit(1)).alias("word"), "sentence")
     irregular = deck.where(F.col("word").endswith(".")).select("idx", "word", F.regexp_replace("word", r"\.$", "").alias("baseform"))
-    return filter_rare_sentences(deck, "idx", "word", "lemmas", irregular=irregular).select("idx", "word", "accepted")
+    return DJ.partition_deck(deck, lambda s: F.array_join(F.split(s, " "), ";"), 30, 200, irregular)
 
 
 # ------------------------------------------------------------- TXT-21 -----
@@ -663,31 +652,46 @@ def up09(spark, sf):
 
 @query("txt16_prepare_requests")
 def txt16(spark, sf):
-    l = v_line(spark, sf)
-    deck = l.select(
-        (F.col("doc_id").cast(D) + F.col("pos").cast(D) * F.lit(0.0001).cast(D)).cast(D).alias("idx"),
+    deck = v_line_idx(spark, sf).select(
+        "idx",
         F.split_part("sentence", F.lit(" "), F.lit(1)).alias("word"),
         F.when(S.length_between("sentence", 60, 70), F.col("sentence")).alias("sentence"),
     )
-    return CP.prepare_requests(deck, "idx", ["word"], "sentence", "Write one sentence per word:\n", "text-generator", 70, seed=7)
+    return CP.prepare_requests(deck, "idx", ["word"], "sentence", "Write one sentence per word:", "text-generator", 70, seed=7)
 
 
+# a response of every fifth order has no content, the word of every seventh
+# order's rows is blank
 @query(
     "txt17_ingest_responses",
     f"""with deck as (select cast(o_orderkey as {D}) as idx, o_orderstatus as word, cast(null as varchar) as sentence from orders),
             resp as (select cast(l_orderkey as {D}) as idx, arg_min(l_returnflag || ' ' || cast(l_linenumber as varchar), l_linenumber * 1000 + ascii(l_returnflag)) as sentence
-                     from lineitem group by l_orderkey)
+                     from lineitem where l_orderkey % 5 <> 0 and l_orderkey % 7 <> 0 group by l_orderkey)
        select d.idx, case when r.idx is not null then 'X' else {strip_sql('d.word')} end as word,
               case when r.idx is not null then {strip_sql('r.sentence')} else d.sentence end as sentence
        from deck d left join resp r on d.idx = r.idx""",
 )
 def txt17(spark, sf):
+    return _ingested(spark, sf)[0]
+
+
+@query("txt17_invalid_responses", "select distinct l_orderkey from lineitem where l_orderkey % 5 = 0")
+def txt17_invalid(spark, sf):
+    return _ingested(spark, sf)[1].select("l_orderkey")
+
+
+def _ingested(spark, sf):
     o = table(spark, sf, "orders")
     deck = o.select(F.col("o_orderkey").cast(D).alias("idx"), F.col("o_orderstatus").alias("word"), F.lit(None).cast("string").alias("sentence"))
     li = table(spark, sf, "lineitem")
-    # one fenced response per order; every line is "| idx | X | flag n |"
-    rows = li.select("l_orderkey", "l_linenumber", F.format_string("| %s | X | %s %s |", F.col("l_orderkey").cast(D).cast("string"), "l_returnflag", F.col("l_linenumber").cast("string")).alias("row"))
-    g = rows.groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "row"))), lambda s: s["row"]), "\n").alias("body"))
+    # one fenced response per order; every line is "| idx | word | flag n |"
+    word = F.when(F.col("l_orderkey") % 7 == 0, F.lit(" ")).otherwise(F.lit("X"))
+    row = F.format_string("| %s | %s | %s %s |", F.col("l_orderkey").cast(D).cast("string"), word, "l_returnflag", F.col("l_linenumber").cast("string"))
+    g = li.select("l_orderkey", "l_linenumber", row.alias("row")).groupBy("l_orderkey").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "row"))), lambda s: s["row"]), "\n").alias("body")
+    )
     content = F.concat(F.lit("```csv\nidx | word | sentence\n"), F.col("body"), F.lit("\n```"))
-    resp = g.select("l_orderkey", F.to_json(F.struct(F.array(F.struct(F.struct(F.lit("assistant").alias("role"), content.alias("content")).alias("message"))).alias("choices"))).alias("response"))
+    message = F.struct(F.lit("assistant").alias("role"), content.alias("content"))
+    full = F.to_json(F.struct(F.array(F.struct(message.alias("message"))).alias("choices")))
+    resp = g.select("l_orderkey", F.when(F.col("l_orderkey") % 5 == 0, F.lit('{"error": "timeout"}')).otherwise(full).alias("response"))
     return CP.ingest_responses(deck, resp, "response", "l_orderkey", f"idx {D}, word string, sentence string")

@@ -66,6 +66,14 @@ def v_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def v_line_idx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``v_line`` with a unique deck index: the line's number in the order
+    (doc_id, pos), whatever the lengths of the texts."""
+    from ..operators.window import number_rows
+
+    return number_rows(v_line(spark, sf_dir), [], ["doc_id", "pos"], "idx").withColumn("idx", F.col("idx").cast(IDX_SQL))
+
+
 def v_tok(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v_line(spark, sf_dir).select(
         "doc_id", "pos", F.posexplode(F.split("sentence", " ")).alias("i", "token")

@@ -1,18 +1,20 @@
 """Spark session and shared scratch-space helpers.
 
 Everything that needs to cut lineage or stage a file uses the folder the
-cluster names in ``spark.checkpoint.dir``; a private folder is created only
-when that setting is absent (local tests).
+cluster names in ``spark.checkpoint.dir``; only a local session without that
+setting uses a folder of its machine.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+LOCAL_CHECKPOINTS = "/tmp/checkpoints"
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -43,13 +45,17 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when unset."""
+    """The shared checkpoint folder that the cluster names.  Where it is
+    unset, a local session uses a folder of the machine; a cluster session
+    fails, since its executors would not see such a folder."""
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="deckspark-ckpt-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = LOCAL_CHECKPOINTS
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 

@@ -129,15 +129,38 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         raise
 
 
-# SRC-14 -- note file with leading "#key:value" directive lines
-def read_note_file(spark: SparkSession, path: str, names: list[str], sep: str = "\t") -> DataFrame:
-    return spark.read.csv(path, sep=sep, header=False, comment="#", schema=_schema(names), quote='"', escape='"')
+# SRC-14 -- note file with leading "#key:value" directive lines.  Only the
+# lines before a file's first other line are directives; later lines may
+# start with "#" as any data.
+SEPARATORS = {"tab": "\t", "comma": ",", "semicolon": ";", "pipe": "|", "space": " ", "colon": ":"}
+
+
+def _note_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(directive lines, data lines)."""
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__at"), "value")
+    first = raw.where(~F.col("value").startswith("#")).groupBy("__file").agg(F.min("__at").alias("__first"))
+    marked = raw.join(first, "__file", "left")
+    is_data = F.coalesce(F.col("__at") >= F.col("__first"), F.lit(False))
+    return marked.where(~is_data).select("value"), marked.where(is_data).select("value")
 
 
 def read_directives(spark: SparkSession, path: str) -> DataFrame:
-    d = spark.read.text(path).where(F.col("value").startswith("#"))
-    kv = F.split(F.substring("value", 2, 1 << 20), ":", 2)
-    return d.select(kv[0].alias("key"), kv[1].alias("value"))
+    kv = F.split(F.expr("substring(value, 2)"), ":", 2)
+    return _note_lines(spark, path)[0].select(F.trim(kv[0]).alias("key"), F.trim(kv[1]).alias("value")).distinct()
+
+
+def read_note_file(spark: SparkSession, path: str, names: list[str], sep: str | None = None) -> DataFrame:
+    """``sep`` defaults to the file's ``#separator``, else a tab.  Under
+    ``#html:false`` the fields are plain text and their markup characters are
+    escaped, so that they show as written on a card."""
+    known = {r["key"]: r["value"] for r in read_directives(spark, path).where("key in ('separator', 'html')").limit(4).collect()}
+    sep = sep or SEPARATORS.get((known.get("separator") or "tab").lower(), known.get("separator"))
+    fields = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": sep, "quote": '"', "escape": '"'})
+    rows = _note_lines(spark, path)[1].select(fields.alias("__f")).select("__f.*")
+    if known.get("html") == "false":
+        escape = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        rows = rows.select(*[escape(n).alias(n) for n in names])
+    return rows
 
 
 # SRC-15 -- crawled pages

@@ -91,11 +91,12 @@ def write_lines(df: DataFrame, col: str, order: list, path: str) -> None:
     df.orderBy(*order).select(F.col(col).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
-# SNK-10 -- story blocks from sentence rows (a story is one bounded group)
+# SNK-10 -- story blocks from sentence rows (a story is one bounded group); a
+# story without sentences has an empty body
 def story_blocks(sentences: DataFrame, headers: DataFrame, key: str, pos: str, line: str, header: str) -> DataFrame:
     g = sentences.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(pos, line))).alias("__s"))
-    body = F.array_join(F.transform("__s", lambda s: s[line]), "\n")
-    j = g.join(headers.select(key, header), key)
+    body = F.coalesce(F.array_join(F.transform("__s", lambda s: s[line]), "\n"), F.lit(""))
+    j = headers.select(key, header).join(g, key, "left")
     h = F.replace(F.trim(F.col(header)), F.lit("\n"), F.lit(" "))
     text = F.format_string("<txt>\n<n>%s</n>\n<header>%s</header>\n<body>\n%s\n</body>\n</txt>", F.col(key).cast("string"), h, body)
     return j.select(key, text.alias("value"))

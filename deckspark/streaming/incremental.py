@@ -20,6 +20,7 @@ from ..operators import window as W
 from ..schema import COOLDOWN_SECONDS, LIMIT_REQUESTS_PER_MINUTE, LIMIT_TOKENS_PER_MINUTE, MAX_ATTEMPTS
 from ..functions.timefn import epoch_micros, epoch_seconds
 from ..session import cut_lineage
+from ..sources.readers import read_or_empty
 
 
 # INC-01 -- resume: skip finished units, process the rest
@@ -38,7 +39,7 @@ def resume_stream(spark: SparkSession, src: str, schema: T.StructType, out: str,
 
 
 # INC-02 -- ingest response files as they arrive: first row per index wins
-# across batches, and every batch patches the deck.
+# across batches, and the rows patch the deck.
 def stream_responses(
     spark: SparkSession,
     src: str,
@@ -46,27 +47,26 @@ def stream_responses(
     out: str,
     checkpoint: str,
     key: str = "idx",
-    order: str = "order",
-    max_files_per_trigger: int = 1,
+    order: str | list[str] = "order",
+    deck: DataFrame | None = None,
 ):
-    """``parse`` turns the raw text lines into rows with ``key`` and
-    ``order``.  Each micro-batch keeps its first row per key, drops keys
-    already ingested (an anti-join against the output table) and appends --
-    so duplicates across files resolve to the earliest file."""
-    raw = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(src)
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = G.first_per_key(parse(batch), key, [order])
-        try:
-            seen = spark.read.parquet(out).select(key)
-            rows = J.anti(rows, seen, key)
-        except Exception:  # noqa: BLE001 -- first batch: no output yet
-            pass
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
-
-    q = raw.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """``parse`` turns the raw lines (value, file) into rows with ``key`` and
+    the ``order`` columns.  Each micro-batch keeps its first row per key that no earlier
+    batch holds and writes a folder of its own, replacing what a failed
+    attempt at the same batch has left, so a replay changes nothing.  Returns
+    the rows, or the ``deck`` patched with them (null columns included)."""
+    raw = spark.readStream.text(src).select("value", F.col("_metadata.file_path").alias("file"))
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
+        rows = G.first_per_key(parse(batch), key, order)
+        held = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
+        earlier = read_or_empty(batch.sparkSession, out, held, "parquet").where(F.col("batch_id") < batch_id)
+        J.anti(rows, earlier.select(key), key).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = raw.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(out)
+    rows = spark.read.parquet(out)
+    return rows if deck is None else J.patch_rows(deck, rows.drop("batch_id"), key, strip_strings=False)
 
 
 # INC-03 -- bounded retry: attempts so far, attempts left, terminal failures
@@ -148,8 +148,9 @@ def rate_audit(df: DataFrame, ts: str, tokens: str, rpm: int = LIMIT_REQUESTS_PE
 
 
 def rate_audit_stream(stream: DataFrame, ts: str, tokens: str, rpm: int = LIMIT_REQUESTS_PER_MINUTE, tpm: int = LIMIT_TOKENS_PER_MINUTE, late: str = "1 minute") -> DataFrame:
-    """Event-time tumbling minutes with a watermark; append mode emits each
-    minute once it can no longer change."""
+    """Event-time tumbling minutes with a watermark.  In append mode a minute
+    is emitted once it can no longer change; in update mode (see
+    :func:`latest_state`) open minutes are emitted, too."""
     return rate_audit(stream.withWatermark(ts, late), ts, tokens, rpm, tpm)
 
 
@@ -165,13 +166,18 @@ def cooldown_flags(df: DataFrame, key: str, ts: str, is_error, secs: int = COOLD
     return df.select(key).join(flagged, key, "left").select(key, F.coalesce("cooling", F.lit(False)).alias("cooling"))
 
 
-# INC-06 -- repeat a step for a number of rounds or until nothing is pending;
-# each round is checkpointed to the shared folder (lineage stays short and a
-# lost executor recomputes one round, not the whole history).
-def iterate(deck: DataFrame, step: Callable[[DataFrame, int], DataFrame], pending: Callable[[DataFrame], DataFrame], rounds: int) -> DataFrame:
-    current = cut_lineage(deck)
-    for r in range(rounds):
-        if pending(current).limit(1).count() == 0:
-            break
-        current = cut_lineage(step(current, r))
+# INC-06 -- repeat a step until nothing is pending; each round is written to
+# the shared folder (lineage stays short and a lost executor recomputes one
+# round, not the whole history).
+def iterate(deck: DataFrame, step: Callable[[DataFrame, int], DataFrame], pending: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Every step must settle some of the pending rows; one that settles none
+    is an error, since it would go on for ever."""
+    current, r = cut_lineage(deck), 0
+    left = pending(current).count()
+    while left:
+        current, before = cut_lineage(step(current, r)), left
+        left = pending(current).count()
+        if left >= before:
+            raise ValueError(f"round {r} settled nothing: {left} rows are pending")
+        r += 1
     return current

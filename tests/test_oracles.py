@@ -57,6 +57,7 @@ def test_query_matches_oracle(spark, sf, con, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQLS)))
-def test_rows_only_queries_run(spark, sf, name):
+def test_rows_only_queries_give_rows(spark, sf, name):
+    """Their contents are tested against brute force elsewhere."""
     df = QUERIES[name](spark, sf)
-    assert df.count() >= 0
+    assert df.count() > 0 and len(df.columns) > 0

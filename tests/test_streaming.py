@@ -23,11 +23,18 @@ def test_stream_responses_first_file_wins(spark):
     write_file(src, "b.jsonl", '{"idx": 1, "order": 0, "v": "late"}\n{"idx": 3, "order": 0, "v": "y"}\n')
 
     def parse(batch):
-        return batch.select(F.from_json("value", "idx long, `order` long, v string").alias("r")).select("r.*")
+        return batch.select("file", F.from_json("value", "idx long, `order` long, v string").alias("r")).select("file", "r.*")
 
-    out = I.stream_responses(spark, src, parse, scratch_path(spark, "t-out"), scratch_path(spark, "t-ck"), "idx", "order")
-    got = {r.idx: r.v for r in out.collect()}
-    assert got == {1: "first", 2: "x", 3: "y"}
+    out, ck, order = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck"), ["file", "order"]
+    rows = I.stream_responses(spark, src, parse, out, ck, "idx", order)
+    assert {r.idx: r.v for r in rows.collect()} == {1: "first", 2: "x", 3: "y"}
+    # a later file adds what is new; a replay from the start changes nothing
+    write_file(src, "c.jsonl", '{"idx": 3, "order": 0, "v": "z"}\n{"idx": 4, "order": 0, "v": "new"}\n')
+    rows = I.stream_responses(spark, src, parse, out, ck, "idx", order)
+    assert {r.idx: r.v for r in rows.collect()} == {1: "first", 2: "x", 3: "y", 4: "new"} and rows.count() == 4
+    deck = spark.createDataFrame([(1, "old"), (9, "stays")], "idx long, v string")
+    again = I.stream_responses(spark, src, parse, scratch_path(spark, "t-out"), scratch_path(spark, "t-ck"), "idx", order, deck=deck)
+    assert {r.idx: r.v for r in again.collect()} == {1: "first", 9: "stays"}
 
 
 def test_retry_state_stream(spark):
@@ -76,6 +83,9 @@ def test_rate_audit_stream_emits_closed_minutes(spark):
     q.awaitTermination()
     rows = spark.table(name).collect()
     assert all(r.requests == 2 and r.tokens == 20 and r.over_limit for r in rows)
+    # update mode gives the open minutes, too
+    full = I.latest_state(spark, I.rate_audit_stream(stream, "ts", "tokens", rpm=1, tpm=100), "minute", scratch_path(spark, "t-o"), scratch_path(spark, "t-c"))
+    assert full.count() == 4 and full.where("requests = 2 and tokens = 20 and over_limit").count() == 4
 
 
 def test_iterate_stops_when_nothing_pending(spark):
@@ -87,6 +97,6 @@ def test_iterate_stops_when_nothing_pending(spark):
         first = d.where(F.col("v").isNull()).agg(F.min("i").alias("m"))
         return d.join(first, F.col("i") == F.col("m"), "left").withColumn("v", F.coalesce("v", F.when(F.col("m").isNotNull(), F.lit(f"r{r}")))).drop("m")
 
-    out = I.iterate(df, step, lambda d: d.where(F.col("v").isNull()), rounds=10)
+    out = I.iterate(df, step, lambda d: d.where(F.col("v").isNull()))
     assert {r.i: r.v for r in out.collect()} == {1: "r0", 2: "r1", 3: "x"}
     assert calls == [0, 1]

@@ -71,15 +71,13 @@ def test_first_per_key_and_suffix_on_a_hot_key(spark):
     assert got == [Decimal(1) + Decimal(i) / 10000 for i in range(6000)]
 
 
-def test_maybe_broadcast_respects_the_bound(spark):
+def test_lookup_keeps_all_rows(spark):
     from deckspark.operators.joins import lookup
 
     big = spark.range(0, 50).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    facts = spark.range(0, 200).withColumn("k", F.col("id") % 50)
-    small_plan = lookup(facts, "k", big, "k", ["v"], broadcast_max_rows=100)._jdf.queryExecution().toString()
-    assert "broadcast" in small_plan.lower()
-    out = lookup(facts, "k", big, "k", ["v"], broadcast_max_rows=10)
-    assert out.where(F.col("v") == F.col("k") * 2).count() == 200
+    facts = spark.range(0, 200).withColumn("k", F.col("id") % 60)
+    out = lookup(facts, "k", big, "k", ["v"])
+    assert out.count() == 200 and out.where(F.col("v") == F.col("k") * 2).count() == facts.where("k < 50").count()
 
 
 def test_hot_key_is_spread_over_tasks(spark):
