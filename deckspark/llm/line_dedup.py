@@ -1,7 +1,7 @@
 """Operator 2: fuzzy line dedup over all documents.
 
 1. Lines are normalised (lower case, digits as 0, white space collapsed) and
-   fingerprinted by SimHash over words and word pairs.  One scan leaves
+   fingerprinted by SimHash over their different words.  One scan leaves
    (document, line number, line hash, fingerprint).
 2. Distinct fingerprints meet in pigeonhole blocks (``hamming.nodes``); those
    with another within ``radius`` bits keep the nodes where they met.
@@ -40,42 +40,122 @@ FP_LIMIT = 2048  # distinct fingerprints of a node
 TEXT_LIMIT = 512  # lines verified together
 
 _DIGIT = re.compile(r"\d")
-_WORD = re.compile(r"[^\W_]")
+_RUNS = re.compile(r"[^\W_]+")
+MEMO = 500_000  # words of some 150 bytes
 
 
 def normalise(line: str) -> str:
-    line = " ".join(line.lower().split())
-    return _DIGIT.sub("0", line) if not line.isalpha() else line
-
-
-def line_fingerprint(line: str) -> int:
-    """SimHash of a normalised line's words and adjacent word pairs."""
-    h = np.array([xxhash.xxh64_intdigest(w) for w in line.split(" ")], np.uint64)
-    h = np.concatenate([h, h[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ h[1:]])
-    counts, n = np.zeros(64, np.int64), len(h)
-    for at in range(0, n, 1 << 16):
-        bits = np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
+    return " ".join(_DIGIT.sub("0", line.lower()).split())
+
+
+class _Hashes(dict):
+    """word -> hash of its letters and digits, 0 without any; emptied when
+    full, which bounds a worker's memory."""
+
+    def __missing__(self, word: str) -> int:
+        bare = "".join(_RUNS.findall(word))
+        if len(self) >= MEMO:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(bare) if bare else 0
+        return h
+
+
+_HASHES = _Hashes()
+
+
+def line_fingerprints(lines: list[str]) -> np.ndarray:
+    """SimHash of each normalised line's different words (punctuation
+    aside), as signed integers."""
+    known = _HASHES.__getitem__
+    flat: list[int] = []
+    ends = []
+    for line in lines:
+        flat += filter(None, map(known, set(line.split(" "))))
+        ends.append(len(flat))
+    ends = np.array(ends)
+    h = np.array(flat, np.uint64)
+    out = np.zeros(len(lines), np.uint64)
+    first = 0
+    while first < len(lines):  # about 100,000 words at a time
+        start = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, start + 100_000)))
+        part, cut = h[start : ends[last - 1]], np.append(0, ends[first:last] - start)
+        size = np.diff(cut)
+        some = size > 0
+        if some.any():
+            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts = np.add.reduceat(bits, cut[:-1][some], axis=0, dtype=np.int32)
+            marks = np.packbits(2 * counts > size[some][:, None], axis=1, bitorder="little")
+            out[first:last][some] = marks.view(np.uint64).ravel()
+        first = last
+    return out.view(np.int64)
+
+
+def _equal_run(a: str, i: int, b: str, j: int) -> int:
+    """Length of the common prefix of a[i:] and b[j:], by growing slices."""
+    n, got, step = min(len(a) - i, len(b) - j), 0, 16
+    while got < n:
+        s = min(step, n - got)
+        if a[i + got : i + got + s] == b[j + got : j + got + s]:
+            got += s
+            step *= 2
+        elif s == 1:
+            break
+        else:
+            step = s // 2
+            n = got + s - 1  # the difference lies within
+            while step and got < n:
+                if a[i + got : i + got + step] == b[j + got : j + got + step]:
+                    got += step
+                    step = min(step, n - got)
+                else:
+                    n = got + step - 1
+                    step //= 2
+            break
+    return got
+
+
+def _by_diagonals(a: str, b: str, most: int) -> int | None:
+    """Distance, if at most ``most``: the furthest point on each diagonal
+    that e edits reach, for e = 0, 1, ...; cheap for nearly equal strings."""
+    goal, reach = len(b) - len(a), {0: _equal_run(a, 0, b, 0)}
+    for e in range(most + 1):
+        if reach.get(goal, -1) >= len(a):
+            return e
+        new = {}
+        for k in range(-e - 1, e + 2):
+            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -1), reach.get(k + 1, -2) + 1)
+            i = min(i, len(a), len(b) - k)
+            if i >= 0 and i + k >= 0:
+                new[k] = i + _equal_run(a, i, b, i + k)
+        reach = new
+    return None
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance, or ``most + 1`` if it is larger.  Equal ends are
-    cut off first; the rest is Myers' bit-vector method on long integers."""
+    cut off first.  Long strings are tried by diagonals up to the distance
+    where Myers' bit-vector method on long integers, which does the rest,
+    takes less time."""
     if abs(len(a) - len(b)) > most:
         return most + 1
-    n = min(len(a), len(b))
-    lo = 0
-    while lo < n and a[lo] == b[lo]:
-        lo += 1
-    hi = 0
-    while hi < n - lo and a[-1 - hi] == b[-1 - hi]:
-        hi += 1
-    a, b = a[lo : len(a) - hi], b[lo : len(b) - hi]
+    lo = _equal_run(a, 0, b, 0)
+    a, b = a[lo:][::-1], b[lo:][::-1]
+    hi = _equal_run(a, 0, b, 0)
+    a, b = a[hi:], b[hi:]
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return min(len(b), most + 1)
+    if len(a) > 500:
+        few = min(most, 64 + len(a) // 50)
+        found = _by_diagonals(a, b, few)
+        if found is not None or few == most:
+            return most + 1 if found is None else found
+    return _by_bits(a, b, most)
+
+
+def _by_bits(a: str, b: str, most: int) -> int:
     m, places = len(a), {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
@@ -105,19 +185,29 @@ def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, th, pos, lh, fp) of every line that can be a duplicate; th is
     a hash of the whole text, which tells rows with equal ids apart."""
     schema = "doc_id long, th long, pos int, lh binary, fp long"
+    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+
+    def batch(places: list[tuple], found: list[str]) -> pa.RecordBatch:
+        cols = [*zip(*places), [xxhash.xxh3_128_digest(x) for x in found], line_fingerprints(found)]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     def run(batches):
-        names = [f.split()[0] for f in schema.split(", ")]
         for b in batches:
-            out: list[tuple] = []
+            places: list[tuple] = []
+            found: list[str] = []
             for doc_id, th, text in zip(*(b.column(c).to_pylist() for c in range(3))):
-                for pos, line in enumerate(text.split("\n")):
-                    if _WORD.search(line):
-                        line = normalise(line)
-                        out.append((doc_id, th, pos, xxhash.xxh3_128_digest(line), line_fingerprint(line)))
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+                # lower case and digits of a whole text at once, as by line
+                for pos, line in enumerate(_DIGIT.sub("0", text.lower()).split("\n")):
+                    line = " ".join(line.split())
+                    if _RUNS.search(line):
+                        places.append((doc_id, th, pos))
+                        found.append(line)
+                if len(found) >= 5000:
+                    yield batch(places, found)
+                    places, found = [], []
+            if found:
+                yield batch(places, found)
 
     return _keyed(docs).where("text is not null").mapInArrow(run, schema)
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import xxhash
 
 from deckspark.llm import line_dedup as L
 
@@ -16,17 +17,21 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def slow_fingerprint(line):
+    bare = {"".join(c for c in w if c.isalnum()) for w in line.split(" ")} - {""}
+    h = [xxhash.xxh64_intdigest(w) for w in bare]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
 def by_hand(rows):
     """Groups of lines by comparing all pairs; the first occurrence stays."""
-    import xxhash  # noqa: F401
-
     places = []
     for doc_id, th, text in rows:
         for pos, line in enumerate((text or "").split("\n")):
             if text is not None and any(c.isalnum() for c in line):
                 places.append(((doc_id is not None, doc_id or 0, th, pos), L.normalise(line)))
     different = sorted({line for _, line in places})
-    fp = {line: L.line_fingerprint(line) & (1 << 64) - 1 for line in different}
+    fp = {line: slow_fingerprint(line) for line in different}
     group = {line: line for line in different}
     for i, a in enumerate(different):
         for b in different[i + 1 :]:
@@ -54,6 +59,16 @@ def test_edit_distance():
         d = levenshtein(a, b)
         for most in (0, 2, 5, 20):
             assert L.edit_distance(a, b, most) == (d if d <= most else most + 1)
+            assert L._by_diagonals(a, b, most) == (d if d <= most else None)
+    for n in (600, 3000):
+        a = "".join(rnd.choice("abcdefgh ") for _ in range(n))
+        for edits in (1, 9, 150):
+            b = list(a)
+            for _ in range(edits):
+                i = rnd.randrange(len(b))
+                b[i : i + rnd.randrange(3)] = rnd.choice(["", "x", "yz"])
+            b = "".join(b)
+            assert L.edit_distance(a, b, n) == L._by_bits(a, b, n) == L._by_diagonals(a, b, n)
 
 
 @pytest.mark.parametrize("limit", [512, 3])
