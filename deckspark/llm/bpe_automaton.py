@@ -34,23 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import SPECIAL, Memo, disputed_characters, pieces, split_words
+from .words import Disputed, Memo, byte_alphabet, disputed_characters, split_words
 
 NEVER = 1 << 60
 TABLE = 2_000_000
 
 
-def _byte_alphabet() -> dict[str, int]:
-    """The public byte-level alphabet: printable Latin-1 stands for itself,
-    the other bytes for the code points from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Automaton:
     def __init__(self, vocab: dict[str, int], merges: list):
-        alphabet = _byte_alphabet()
+        alphabet = byte_alphabet()
         self.labels: dict[int, bytes] = {i: bytes(alphabet[c] for c in t) for t, i in vocab.items()}
         size = max(self.labels) + 1
         self.born = [-1] * size  # rank of the merge that made a label
@@ -172,21 +164,19 @@ class Codec:
 
         self.machine, self.special = compile_file(path)
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.odd, self.pre = set(disputed), Tokenizer.from_file(path).pre_tokenizer
-        self.memo = Memo(self._pieces)
+        self.disputed, self.pre = Disputed(disputed), Tokenizer.from_file(path).pre_tokenizer
+        piece = lambda p: self._words(split_words(p))
+        self.memo = Memo(piece, lambda new: list(map(piece, new)))
 
     def _words(self, words) -> bytes:
         encode = self.machine.encode_word
         return np.array([i for w in words for i in encode(w.encode())], "<u4").tobytes()
 
-    def _pieces(self, new: list[str]) -> list[bytes]:
-        return [self._words(split_words(p)) for p in new]
-
     def _plain(self, texts: list[str]) -> list[bytes]:
-        odd = [not (t.isascii() or self.odd.isdisjoint(t)) for t in texts]
-        out = self.memo.encode([[] if o else pieces(t) for t, o in zip(texts, odd)])
-        for i, o in enumerate(odd):
-            if o:  # words as the library's splitter has them
+        free = [self.disputed.free(t) for t in texts]
+        out = self.memo.encode([t if f else "" for t, f in zip(texts, free)])
+        for i, f in enumerate(free):
+            if not f:  # words as the library's splitter has them
                 out[i] = self._words(texts[i][a:b] for _, (a, b) in self.pre.pre_tokenize_str(texts[i]))
         return out
 

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import cut_lineage, file_system, own_file, shared_folder
-from .words import SPECIAL, Memo, disputed_characters, pieces
+from .words import SPECIAL, Disputed, Memo, disputed_characters
 
 SEQ_LEN = 2048
 ROWS_PER_BATCH = 64
+SAMPLE = 40  # rows sampled for a shard's bounds
+MOST_SAMPLED = 1_000_000
 SHARD_ROWS = "shard long, first_doc long, path string, index_path string, n_docs long, n_sequences long, n_tokens long"
 
 
@@ -119,9 +122,10 @@ class _ShardWriter:
 
 @functools.lru_cache(maxsize=2)
 def library_encoder(tokenizer_path: str, dtype, disputed: str):
-    """Kept per worker.  A function texts -> list of id bytes, by the tokenizers library.
-    Pieces repeat, so each is encoded once per memo; texts with a special
-    string or a disputed character go to the library whole."""
+    """Kept per worker.  A function texts -> list of id bytes, by the
+    tokenizers library.  Pieces repeat and come from a memo; new ones are
+    encoded as one text, whose ids are cut by the bytes they stand for.
+    Texts with a special string or a disputed character are encoded whole."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -130,34 +134,68 @@ def library_encoder(tokenizer_path: str, dtype, disputed: str):
     tok = Tokenizer.from_file(tokenizer_path)
     tok.no_truncation()
     tok.no_padding()
+    vocab, size = tok.get_vocab(), np.dtype(dtype).itemsize
+    n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+    for token, i in vocab.items():  # byte-level: a character is a byte
+        n_bytes[i] = len(token)
 
-    size = np.dtype(dtype).itemsize
+    def whole(text: str) -> bytes:
+        return np.array(tok.encode(text, add_special_tokens=False).ids, dtype).tobytes()
 
     def many(new: list[str]) -> list[bytes]:
-        """Each piece's ids: one call encodes a list of pieces, each split
-        by itself, and says which id comes from which piece."""
         out = []
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            found = tok.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.asarray(found.ids, dtype).tobytes()
-            cuts = (size * np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))).tolist()
-            out += [ids[i:j] for i, j in zip(cuts, cuts[1:])]
+            ids = np.array(tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype)
+            ends = np.cumsum([len(p.encode()) for p in part])
+            cuts = (size * np.searchsorted(np.cumsum(n_bytes[ids]), ends, side="right")).tolist()
+            data = ids.tobytes()
+            out += [data[i:j] for i, j in zip([0, *cuts], cuts)]
         return out
 
-    memo, odd = Memo(many), set(disputed)
+    memo, odd = Memo(functools.lru_cache(100_000)(whole), many), Disputed(disputed)
 
     def encode(texts: list[str]) -> list[bytes]:
-        whole = [SPECIAL in t or not (t.isascii() or odd.isdisjoint(t)) for t in texts]
-        out = memo.encode([[] if w else pieces(t) for t, w in zip(texts, whole)])
-        for i, w in enumerate(whole):
-            if w:
-                out[i] = np.asarray(tok.encode(texts[i], add_special_tokens=False).ids, dtype).tobytes()
+        plain = [SPECIAL not in t and odd.free(t) for t in texts]
+        out = memo.encode([t if p else "" for t, p in zip(texts, plain)])
+        for i, p in enumerate(plain):
+            if not p:
+                out[i] = whole(texts[i])
         return out
 
     return encode
 
 
+def _bounds(docs: DataFrame, shards: int) -> list[tuple]:
+    """Upper bounds of all shards but the last, as (has an id, id, hash),
+    from a sample of SAMPLE rows a shard, MOST_SAMPLED at most."""
+    most = min(SAMPLE * shards, MOST_SAMPLED)
+    share = min(1.0, most / max(docs.count(), 1))
+    rows = docs.sample(False, share, 17).select("doc_id", F.xxhash64("text").alias("h")).collect()
+    keys = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["h"]) for r in rows)
+    return [keys[i * len(keys) // shards] for i in range(1, shards)] if keys else []
+
+
+def _packed(docs: DataFrame, shards: int) -> DataFrame:
+    """(shard, doc_id, h, size, z): texts compressed for the shuffle, with
+    their range of ids."""
+    bounds = _bounds(docs, shards)
+    names = ["shard", "doc_id", "h", "size", "z"]
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+
+    def run(batches):
+        codec = pa.Codec("zstd", compression_level=3)
+        for b in batches:
+            out = []
+            for doc_id, h, text in zip(*(b.column(c).to_pylist() for c in range(3))):
+                data = text.encode()
+                out.append((bisect_right(bounds, (doc_id is not None, doc_id or 0, h)), doc_id, h, len(data), codec.compress(data, asbytes=True)))
+            cols = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(run, "shard int, doc_id long, h long, size int, z binary")
+
+
 def write_token_files(
     docs: DataFrame,
     tokenizer_path: str,
@@ -179,34 +217,35 @@ def write_token_files(
     tok = Tokenizer.from_file(tokenizer_path)
     id_type, disputed = _id_type(tok.get_vocab_size()), disputed_characters(tok)
 
-    def write(batches):
-        from pyspark import TaskContext
+    names = [f.split()[0] for f in SHARD_ROWS.split(", ")]
+
+    def closed(writer, shard, first) -> pa.RecordBatch:
+        writer.close()
+        row = [shard, first, writer.path, writer.index_path, writer.docs, writer.sequences, writer.total]
+        return pa.RecordBatch.from_pylist([dict(zip(names, row))])
 
-        writer, first = None, None
+    def write(batches):
         dtype = id_type.to_pandas_dtype()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if writer is None:
-                writer = _ShardWriter(folder, seq_len, rows_per_batch, id_type)
-                encode = library_encoder(tokenizer_path, dtype, disputed)
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            first = ids[0] if writer.docs == 0 else first
-            for at in range(0, len(texts), 64):
-                for doc_id, b in zip(ids[at : at + 64], encode([t or "" for t in texts[at : at + 64]])):
-                    writer.add(doc_id, np.append(np.frombuffer(b, dtype), np.array([end_id], dtype)))
+        encode, codec, end = library_encoder(tokenizer_path, dtype, disputed), pa.Codec("zstd"), np.array([end_id], dtype)
+        writer, shard, first = None, None, None
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                rows = [b.column(c).slice(at, 256).to_pylist() for c in range(4)]
+                texts = [codec.decompress(z, size, asbytes=True).decode() for size, z in zip(rows[2], rows[3])]
+                for s, doc_id, ids in zip(rows[0], rows[1], encode(texts)):
+                    if writer is not None and s != shard:
+                        yield closed(writer, shard, first)
+                        writer = None
+                    if writer is None:
+                        writer, shard, first = _ShardWriter(folder, seq_len, rows_per_batch, id_type), s, doc_id
+                    writer.add(doc_id, np.append(np.frombuffer(ids, dtype), end))
         if writer is not None:
-            writer.close()
-            row = [TaskContext.get().partitionId(), first, writer.path, writer.index_path, writer.docs, writer.sequences, writer.total]
-            yield pa.RecordBatch.from_pylist([dict(zip([f.split()[0] for f in SHARD_ROWS.split(", ")], row))])
-
-    ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .withColumn("__h", F.xxhash64("text"))
-        .repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "__h")
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "__h")
-    )
-    manifest = cut_lineage(ordered.select("doc_id", "text").mapInArrow(write, SHARD_ROWS), "token-manifest")
+            yield closed(writer, shard, first)
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    packed = _packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text), n)
+    ordered = packed.repartitionById(n, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "h")
+    manifest = cut_lineage(ordered.select("shard", "doc_id", "size", "z").mapInArrow(write, SHARD_ROWS), "token-manifest")
     # one row per shard: a small table, whatever the number of documents
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("first_token", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).withColumn(

@@ -2,7 +2,7 @@
 
 The public split pattern never joins text across a single space that a
 non-space follows, so a text is cut there first and each piece (with its
-leading space) is looked up in a memo; only pieces not met before are split
+space before it) is looked up in a memo; only pieces not met before are split
 by the pattern and encoded.  The memo is emptied when full, which bounds a
 worker's memory and never changes a result.
 """
@@ -10,7 +10,6 @@ worker's memory and never changes a result.
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import regex
 
@@ -19,7 +18,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 SPECIAL = "<|endoftext|>"
 
 _CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" \s| \Z")
+_ODD = re.compile(r" (?!\S)")
 MEMO = 800_000  # entries of some 200 bytes
 
 
@@ -32,14 +31,17 @@ _split = regex.compile(SPLIT).findall
 
 
 def pieces(text: str) -> list[str]:
-    """Cut before every single space that a non-space follows; the pieces
-    join back to the text."""
-    if not text:
-        return []
-    parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-    out = [" " + p for p in parts]
-    out[0] = parts[0]
-    return out if parts[0] else out[1:]
+    """``text`` cut before every single space that a non-space follows,
+    without that space: " ".join of the pieces is the text."""
+    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The public byte-level alphabet: printable Latin-1 stands for itself,
+    the other bytes for the code points from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 def disputed_characters(tokenizer) -> str:
@@ -65,21 +67,38 @@ def disputed_characters(tokenizer) -> str:
     return "".join(out)
 
 
-class Memo(dict):
-    """piece -> encoded bytes, emptied when full."""
+class Disputed:
+    """Tests texts for disputed characters."""
+
+    def __init__(self, characters: str):
+        self.odd = set(characters)
+        self.high = re.compile(f"[{re.escape(min(characters))}-\U0010ffff]").search if characters else None
+
+    def free(self, text: str) -> bool:
+        return not self.odd or text.isascii() or not self.high(text) or self.odd.isdisjoint(text)
+
+
+class Memo:
+    """Encodes texts piece by piece.  ``encode_first`` gives the bytes of a
+    text's first piece, ``encode_many`` those of a list of later pieces, each
+    with the space before it."""
 
-    def __init__(self, encode_many, limit: int = MEMO):
-        super().__init__()
-        self.encode_many, self.limit = encode_many, limit
+    def __init__(self, encode_first, encode_many, limit: int = MEMO):
+        self.encode_first, self.encode_many, self.limit = encode_first, encode_many, limit
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, texts_pieces: list[list[str]]) -> list[bytes]:
-        met = set(chain.from_iterable(texts_pieces))
-        new = met.difference(self)
-        if len(self) + len(new) > self.limit:
-            self.clear()
-            new = met
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [pieces(t) for t in texts]
+        found = [[None, *map(self.known.get, c[1:])] for c in cut]
+        for c, f in zip(cut, found):
+            f[0] = self.encode_first(c[0])
+        holes = [[i for i, x in enumerate(f) if x is None] for f in found]
+        new = list({c[i] for c, h in zip(cut, holes) for i in h})
+        if len(self.known) + len(new) > self.limit:
+            self.known = {}
         if new:
-            new = list(new)
-            self.update(zip(new, self.encode_many(new)))
-        get = self.__getitem__
-        return [b"".join(map(get, ps)) for ps in texts_pieces]
+            self.known.update(zip(new, self.encode_many([" " + p for p in new])))
+        for c, f, h in zip(cut, found, holes):
+            for i in h:
+                f[i] = self.known[c[i]]
+        return list(map(b"".join, found))
