@@ -16,47 +16,9 @@ from pyspark.sql import functions as F
 from ..schema import IDX_SQL
 
 
-# key column of every driver table (first column)
-TABLE_KEYS = {
-    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey",
-    "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
-    "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
-    "labels": "doc_id", "conversations": "conv_id",
-}
-MIN_ROWS_TO_SPREAD = 10_000
-
-
-def _row_groups(path: str):
-    """(row groups, rows) from the parquet footer of a single local file;
-    None for directories / remote paths (many files: nothing to fix)."""
-    import os
-
-    if not os.path.isfile(path):
-        return None
-    try:
-        import pyarrow.parquet as pq
-
-        md = pq.ParquetFile(path).metadata
-        return md.num_row_groups, md.num_rows
-    except Exception:  # noqa: BLE001
-        return None
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table.  A scan runs one task per parquet row group; an
-    input stored as fewer row groups than the cluster has cores (a single
-    small file) would run everything before its first shuffle in a few
-    tasks, so such an input is hash-partitioned by its key column.  Inputs
-    made of many files/row groups (the large-scale case) are read as is."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    info = _row_groups(path)
-    key = TABLE_KEYS.get(name)
-    if info and key and info[1] >= MIN_ROWS_TO_SPREAD and info[0] < spark.sparkContext.defaultParallelism:
-        # by column without a count: AQE may coalesce, but keeps >= 1 MB
-        # partitions spread over the cores (parallelism first)
-        df = df.repartition(key)
-    return df
+    """A driver table, as its files split it."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def v_line(spark: SparkSession, sf_dir: str) -> DataFrame:
