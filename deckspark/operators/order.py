@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import index as ix
@@ -22,11 +22,16 @@ def complete_first(df: DataFrame, col: str, idx: str = "idx") -> DataFrame:
     return df.orderBy(F.col(col).isNull(), F.col(idx))
 
 
+def seeded_hash(key: str, seed: int) -> Column:
+    """A shuffle order that any engine can repeat."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+
+
 # OR-06 -- deterministic shuffle and take n: order by a seeded hash.  The
 # top-n is taken per partition first (TakeOrderedAndProject), so only n rows
 # per task reach the final merge.
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = seeded_hash(key, seed)
     return df.withColumn("__h", h).orderBy("__h", key).limit(n).drop("__h")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A
 from ..functions import text as S
+from ..operators.order import seeded_hash
 from ..operators import agg as G
 from ..operators import joins as J
 from ..operators import window as W
@@ -99,7 +100,7 @@ def combine_wide(a: DataFrame, b: DataFrame, names_a: list[str], names_b: list[s
 # TXT-16 -- generation batches: rows without a sentence, shuffled by a seeded
 # hash, cut into blocks, one JSON request per block
 def prepare_requests(deck: DataFrame, idx: str, cols: list[str], missing: str, prompt: str, model: str, size: int = 70, seed: int = 0) -> DataFrame:
-    todo = deck.where(F.col(missing).isNull()).withColumn("__h", F.xxhash64(F.col(idx), F.lit(seed)))
+    todo = deck.where(F.col(missing).isNull()).withColumn("__h", seeded_hash(idx, seed))
     blocks = W.fixed_blocks(todo, ["__h", idx], size)
     from ..sources.sinks import block_payload
 

@@ -148,7 +148,10 @@ def or05(spark, sf):
     return G.rank_words(counts)
 
 
-@query("or06_sample_rows")
+@query(
+    "or06_sample_rows",
+    "select o_orderkey, o_totalprice from orders order by md5(cast(o_orderkey as varchar) || ':42'), o_orderkey limit 70",
+)
 def or06(spark, sf):
     from ..operators.order import sample_rows
 

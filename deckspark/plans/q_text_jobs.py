@@ -650,7 +650,15 @@ def up09(spark, sf):
     return J.replace_from(kids, lookup, "block", ["translation"]).select("idx", "word", "translation")
 
 
-@query("txt16_prepare_requests")
+@query(
+    "txt16_prepare_requests",
+    f"""with l as (select cast(row_number() over (order by doc_id, pos) as {D}) as idx, sentence from {V_LINE_SQL}),
+            todo as (select idx, string_split(sentence, ' ')[1] as word, md5(cast(idx as varchar) || ':7') as h from l where not length(sentence) between 60 and 70),
+            b as (select *, cast(floor((row_number() over (order by h, idx) - 1) / 70) as bigint) as block from todo)
+       select block, json_object('model', 'text-generator', 'messages', [json_object('role', 'user', 'content', 'Write one sentence per word:'),
+              json_object('role', 'user', 'content', string_agg(cast(idx as varchar) || '|' || word, chr(10) order by h, idx))])::varchar as request
+       from b group by block""",
+)
 def txt16(spark, sf):
     deck = v_line_idx(spark, sf).select(
         "idx",
