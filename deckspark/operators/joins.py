@@ -125,6 +125,23 @@ def unpivot_matrix(df: DataFrame, row_col: str, value_cols: list[str], col_name:
     return df.unpivot([row_col], value_cols, col_name, value_name)
 
 
+# JN-17 -- a title per language pair and label from a long label table
+def deck_titles(pairs: DataFrame, labels: DataFrame, lang: str, label: str, value: str, sep: str = " - ") -> DataFrame:
+    """``pairs`` (a, b); a pair has a title for each label both sides have."""
+    left = labels.select(F.col(lang).alias("a"), label, F.col(value).alias("__l"))
+    right = labels.select(F.col(lang).alias("b"), label, F.col(value).alias("__r"))
+    j = pairs.join(left, "a").join(right, ["b", label])
+    return j.select("a", "b", label, F.concat_ws(sep, "__l", "__r").alias("title"))
+
+
+# JN-18 -- the texts of two languages side by side, from one row per language;
+# one aggregation, rows that lack a side are dropped
+def pivot_pair(df: DataFrame, keys, lang: str, text: str, a: str, b: str) -> DataFrame:
+    side = lambda x: F.max(F.when(F.col(lang) == x, F.col(text)))
+    both = df.where(F.col(lang).isin(a, b)).groupBy(*_cols(keys)).agg(side(a).alias("from_text"), side(b).alias("to_text"))
+    return both.where("from_text is not null and to_text is not null")
+
+
 # ---- masked updates (UP-*) -----------------------------------------------
 
 # UP-01

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions import text as S
 from ..operators import agg as G
+from ..operators import columns as P
 from ..operators import joins as J
 from ..operators import window as W
 from ..schema import language_columns
@@ -62,9 +63,7 @@ def pj05(spark, sf):
 )
 def pj06(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    cols = o.columns
-    pos = 2
-    return o.select(*cols[:pos], F.col("o_orderstatus").alias("word_actual"), *cols[pos:])
+    return P.insert_column(o, 2, "word_actual", F.col("o_orderstatus"))
 
 
 @query(
@@ -81,13 +80,18 @@ def pj07(spark, sf):
 @query("pj08_promote_index", "select cast(o_orderkey as decimal(18,6)) as idx, o_orderstatus, o_totalprice from orders")
 def pj08(spark, sf):
     o = table(spark, sf, "orders")
-    return o.select(F.col("o_orderkey").cast("decimal(18,6)").alias("idx"), "o_orderstatus", "o_totalprice")
+    return P.promote_index(o.select("o_orderkey", "o_orderstatus", "o_totalprice"), "o_orderkey")
+
+
+@query("pj08_demote_index", "select o_orderstatus, cast(o_orderkey as bigint) as o_orderkey from orders")
+def pj08_back(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return P.demote_index(P.promote_index(o, "o_orderkey"), "o_orderkey")
 
 
 @query("pj09_trim_all", f"select item_id, {strip_sql('text')} as text from benchmark")
 def pj09(spark, sf):
-    b = table(spark, sf, "benchmark")
-    return b.select(*[S.strip(c).alias(c) if t == "string" else F.col(c) for c, t in b.dtypes])
+    return P.trim_all(table(spark, sf, "benchmark"))
 
 
 @query(
@@ -177,9 +181,7 @@ def fl06(spark, sf):
         where l.pos between 2 and least(5, c.n)""",
 )
 def fl10(spark, sf):
-    l = v_line(spark, sf)
-    n = l.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return l.join(n, "doc_id").where(F.col("pos").between(F.lit(2), F.least(F.lit(5), F.col("n")))).select("doc_id", "pos", "sentence")
+    return P.line_range(v_line(spark, sf), "pos", 2, 5).select("doc_id", "pos", "sentence")
 
 
 @query(
@@ -495,11 +497,7 @@ def jn17(spark, sf):
     d = table(spark, sf, "documents")
     m = d.groupBy("lang").agg(F.count(F.lit(1)).cast("string").alias("n_docs"), F.sum("n_chars").cast("string").alias("n_chars"))
     u = J.unpivot_matrix(m, "lang", ["n_docs", "n_chars"], "label", "value")
-    pairs = J.ordered_pairs(spark, DOCUMENT_LANGUAGES)
-    ua = u.select(F.col("lang").alias("a"), "label", F.col("value").alias("va"))
-    ub = u.select(F.col("lang").alias("b"), "label", F.col("value").alias("vb"))
-    j = pairs.join(ua, "a").join(ub, ["b", "label"])
-    return j.select("a", "b", "label", F.concat_ws(" - ", "va", "vb").alias("title"))
+    return J.deck_titles(J.ordered_pairs(spark, DOCUMENT_LANGUAGES), u, "lang", "label", "value")
 
 
 @query(
@@ -509,9 +507,8 @@ def jn17(spark, sf):
 )
 def jn18(spark, sf):
     l = v_line(spark, sf)
-    a = l.select("doc_id", "pos", F.col("sentence").alias("from_text"))
-    b = l.select("doc_id", "pos", F.lower("sentence").alias("to_text"))
-    return a.join(b, ["doc_id", "pos"])
+    both = l.select("doc_id", "pos", F.lit("de").alias("lang"), "sentence").union(l.select("doc_id", "pos", F.lit("en"), F.lower("sentence")))
+    return J.pivot_pair(both, ["doc_id", "pos"], "lang", "sentence", "de", "en")
 
 
 # --------------------------------------------------------------- AGG ------

@@ -11,6 +11,7 @@ from ..operators import agg as G
 from ..operators import checks as C
 from ..operators import joins as J
 from ..operators import window as W
+from ..operators.columns import group_rank
 from .catalog import query
 from .views import V_LINE_SQL, V_NOTE_SQL, table, v_line, v_line_idx, v_note, v_trans
 
@@ -132,7 +133,7 @@ def or03(spark, sf):
     _numbered_sql("case when quality = 1 then 0 when quality is not null then 1 else 2 end, doc_id", DOC_LABEL_SQL, "doc_id, quality"),
 )
 def or04(spark, sf):
-    g = F.when(F.col("quality") == 1, 0).when(F.col("quality").isNotNull(), 1).otherwise(2)
+    g = group_rank([F.col("quality") == 1, F.col("quality").isNotNull()])
     x = _doc_labels(spark, sf).withColumn("__g", g)
     return W.number_rows(x, [], ["__g", "doc_id"], "pos").drop("__g")
 

@@ -610,15 +610,18 @@ def txt26(spark, sf):
 @query(
     "txt27_with_hierarchy",
     """select c.c_custkey as word_index, c.c_name as word, n.n_nationkey as topic_index, n.n_name as topic,
-              r.r_regionkey as chapter_index, r.r_name as chapter
+              r.r_regionkey as chapter_index, r.r_name as chapter, r.r_regionkey // 3 as part_index,
+              case when r.r_regionkey // 3 = 0 then 'part 1' else 'part 2' end as part
        from customer c left join nation n on c.c_nationkey = n.n_nationkey left join region r on n.n_regionkey = r.r_regionkey""",
 )
 def txt27(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("word_index"), F.col("c_name").alias("word"), F.col("c_nationkey").alias("topic_index"))
     topics = table(spark, sf, "nation").select(F.col("n_nationkey").alias("topic_index"), F.col("n_name").alias("topic"), F.col("n_regionkey").alias("chapter_index"))
-    chapters = table(spark, sf, "region").select(F.col("r_regionkey").alias("chapter_index"), F.col("r_name").alias("chapter"))
-    j = c.join(topics, "topic_index", "left").join(chapters, "chapter_index", "left")
-    return j.select("word_index", "word", "topic_index", "topic", "chapter_index", "chapter")
+    chapter_part = F.floor(F.col("r_regionkey") / 3).cast("bigint").alias("part_index")
+    chapters = table(spark, sf, "region").select(F.col("r_regionkey").cast("bigint").alias("chapter_index"), F.col("r_name").alias("chapter"), chapter_part)
+    parts = chapters.select("part_index", F.concat(F.lit("part "), (F.col("part_index") + 1).cast("string")).alias("part")).distinct()
+    j = CP.with_hierarchy(c, topics, chapters, parts)
+    return j.select("word_index", "word", "topic_index", "topic", "chapter_index", "chapter", "part_index", "part")
 
 
 # ------------------------------------------------------------- TXT-28 -----
