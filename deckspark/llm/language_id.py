@@ -59,28 +59,28 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """(lang, word, n) over whole texts; a task sums before the shuffle."""
 
     def run(batches):
-        counts: Counter = Counter()
+        counts: dict[str, Counter] = {}
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                pieces = Counter(text.lower().split())
-                for piece, n in pieces.items():
-                    if piece.isalpha():
-                        counts[lang, piece] += n
-                    else:
-                        for w in _LETTERS.findall(piece):
-                            counts[lang, w] += n
-            if len(counts) > SUMMED:
+                counts.setdefault(lang, Counter()).update(text.lower().split())
+            if sum(map(len, counts.values())) > SUMMED:
                 yield _counts(counts)
-                counts = Counter()
+                counts = {}
         yield _counts(counts)
 
     summed = rows.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
     return summed.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _counts(counts: Counter) -> pa.RecordBatch:
-    keys = list(counts)
-    cols = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(counts.values()), pa.int64())]
+def _counts(counts: dict[str, Counter]) -> pa.RecordBatch:
+    """The words of the counted pieces, by language."""
+    out: Counter = Counter()
+    for lang, pieces in counts.items():
+        for piece, n in pieces.items():
+            for w in [piece] if piece.isalpha() else _LETTERS.findall(piece):
+                out[lang, w] += n
+    keys = list(out)
+    cols = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(out.values()), pa.int64())]
     return pa.RecordBatch.from_arrays(cols, names=["lang", "word", "n"])
 
 
@@ -110,24 +110,28 @@ class Model:
         cols = {c: table.column(c).to_pylist() for c in ("lang", "size", "item", "cost")}
         self.langs = sorted(set(cols["lang"]))
         at = {lang: i for i, lang in enumerate(self.langs)}
-        self.place: dict[tuple, int] = {}
-        rows: list[int] = []
+        self.longest = max(cols["size"], default=0)
+        # item -> its row of costs, for words (0) and n-grams by length
+        self.place: list[dict[str, int]] = [{} for _ in range(self.longest + 1)]
+        rows, n = [], 0
         for size, item in zip(cols["size"], cols["item"]):
-            rows.append(self.place.setdefault((size, item), len(self.place)))
-        self.cost = np.full((len(self.place), len(self.langs)), PENALTY)
+            k = self.place[size].setdefault(item, n)
+            n += k == n
+            rows.append(k)
+        self.cost = np.full((n, len(self.langs)), PENALTY)
         self.cost[rows, [at[x] for x in cols["lang"]]] = cols["cost"]
-        self.longest = max(cols["size"], default=0)
-        self.memo: dict[str, np.ndarray] = {}
         self.id = uuid.uuid4().hex
 
     def word(self, w: str) -> np.ndarray:
-        k = self.place.get((0, w))
+        k = self.place[0].get(w)
         if k is not None:
             return self.cost[k]
+        padded = f" {w} "
         for n in range(self.longest, 0, -1):
-            known = [k for g in grams(w, n) if (k := self.place.get((n, g))) is not None]
+            get = self.place[n].get
+            known = [k for i in range(len(padded) - n + 1) if (k := get(padded[i : i + n])) is not None]
             if known:
-                return self.cost[known].mean(axis=0)
+                return np.add.reduce(self.cost.take(known, axis=0)) / len(known)
         return np.full(len(self.langs), PENALTY)
 
     def piece(self, piece: str) -> np.ndarray:
@@ -139,39 +143,45 @@ class Model:
         out[-1] = len(found)
         return out
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None, memo: _Memo) -> tuple[str, float]:
         if not text or not self.langs:
             return UND, 0.0
-        total = np.zeros(len(self.langs) + 1)
-        memo = self.memo
-        counts = Counter(text.split())
-        vectors = []
-        for piece in counts:
-            v = memo.get(piece)
-            if v is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                v = memo[piece] = self.piece(piece)
-            vectors.append(v)
-        if vectors:
-            total = np.fromiter(counts.values(), float, len(counts)) @ np.array(vectors)
+        parts, total = text.split(), np.zeros(len(self.langs) + 1)
+        for at in range(0, len(parts), MEMO // 2):
+            some = parts[at : at + MEMO // 2]
+            if len(memo) + len(some) > MEMO:
+                memo.clear()
+            total += np.add.reduce(memo.rows.take(list(map(memo.__getitem__, some)), axis=0))
         if not total[-1]:
             return UND, 0.0
         mean = total[:-1] / total[-1]
         best = int(mean.argmin())
-        p = 1.0 / sum(math.exp(min(0.0, -SHARPNESS * (x - mean[best]))) for x in mean)
+        p = 1.0 / sum(math.exp(min(0.0, -SHARPNESS * (x - mean[best]))) for x in mean.tolist())
         return self.langs[best], float(p)
 
 
-_WORKER: dict[str, Model] = {}
+class _Memo(dict):
+    """piece -> row of its costs; emptied when full."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.rows = model, np.zeros((MEMO, len(model.langs) + 1))
+
+    def __missing__(self, piece: str) -> int:
+        k = self[piece] = len(self)
+        self.rows[k] = self.model.piece(piece)
+        return k
+
+
+_WORKER: dict[str, _Memo] = {}
 
 
-def _held(broadcast) -> Model:
-    """One model with one memo per worker process."""
+def _held(broadcast) -> _Memo:
+    """One memo per worker process, that of the last model used."""
     model = broadcast.value
     if model.id not in _WORKER:
         _WORKER.clear()
-        _WORKER[model.id] = model
+        _WORKER[model.id] = _Memo(model)
     return _WORKER[model.id]
 
 
@@ -183,9 +193,9 @@ def predict(docs: DataFrame, model: DataFrame, text: str = "text") -> DataFrame:
     docs = docs.drop("lang_pred", "score")
 
     def run(batches):
-        m = _held(sent)
+        memo = _held(sent)
         for b in batches:
-            found = [m.predict(t) for t in b.column(text).to_pylist()]
+            found = [memo.model.predict(t, memo) for t in b.column(text).to_pylist()]
             cols = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, "lang_pred", "score"])
 
