@@ -63,14 +63,14 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
-def line_fingerprints(lines: list[str]) -> np.ndarray:
+def line_fingerprints(lines: list[list[str]]) -> np.ndarray:
     """SimHash of each normalised line's different words (punctuation
     aside), as signed integers."""
     known = _HASHES.__getitem__
     flat: list[int] = []
     ends = []
-    for line in lines:
-        flat += filter(None, map(known, set(line.split(" "))))
+    for words in lines:
+        flat += filter(None, map(known, set(words)))
         ends.append(len(flat))
     ends = np.array(ends)
     h = np.array(flat, np.uint64)
@@ -188,21 +188,20 @@ def lines(docs: DataFrame) -> DataFrame:
     names = [f.split()[0] for f in schema.split(", ")]
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
 
-    def batch(places: list[tuple], found: list[str]) -> pa.RecordBatch:
-        cols = [*zip(*places), [xxhash.xxh3_128_digest(x) for x in found], line_fingerprints(found)]
+    def batch(places: list[tuple], found: list[list[str]]) -> pa.RecordBatch:
+        cols = [*zip(*places), [xxhash.xxh3_128_digest(" ".join(x)) for x in found], line_fingerprints(found)]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     def run(batches):
         for b in batches:
             places: list[tuple] = []
-            found: list[str] = []
+            found: list[list[str]] = []
             for doc_id, th, text in zip(*(b.column(c).to_pylist() for c in range(3))):
                 # lower case and digits of a whole text at once, as by line
                 for pos, line in enumerate(_DIGIT.sub("0", text.lower()).split("\n")):
-                    line = " ".join(line.split())
                     if _RUNS.search(line):
                         places.append((doc_id, th, pos))
-                        found.append(line)
+                        found.append(line.split())
                 if len(found) >= 5000:
                     yield batch(places, found)
                     places, found = [], []
@@ -266,7 +265,9 @@ def _verified(members: DataFrame) -> DataFrame:
     """(lh, root) stars of the lines that a node's verified links connect.
     ``members`` (mask, pattern, lh, fp, line) is a written table.  A node
     with more than TEXT_LIMIT lines is cut into parts, and each pair of parts
-    is verified by itself, so no task holds an unbounded node."""
+    is verified by itself, so no task holds an unbounded node.  A pair that
+    meets in several nodes of the first level is verified in the first."""
+    roots = np.array(hamming.child_masks(0, RADIUS), np.int64).view(np.uint64)
     sizes = members.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = cut_lineage(sizes.withColumn("parts", F.ceil(F.col("n") / F.lit(TEXT_LIMIT)).cast("int")), "node-sizes")
     dealt = members.join(sizes.select("mask", "pattern", "parts"), ["mask", "pattern"])
@@ -275,22 +276,35 @@ def _verified(members: DataFrame) -> DataFrame:
     dealt = dealt.groupBy("mask", "pattern", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
     groups = dealt.agg(F.collect_list(F.struct("lh", "fp", "line")).alias("lines")).where(F.size("lines") > 1)
 
+    def earlier(mask: int) -> np.ndarray:
+        """Blocks of which a pair that agrees is verified elsewhere: those
+        before the node's own, if the node is of the first level."""
+        at = np.flatnonzero(roots.view(np.int64) == mask)
+        return roots[: at[0]] if len(at) else roots[:0]
+
     def run(batches):
         for b in batches:
             out = []
-            for group in b.column("lines").to_pylist():
+            for mask, group in zip(b.column("mask").to_pylist(), b.column("lines").to_pylist()):
                 group.sort(key=lambda x: x["lh"])
                 x = np.array([g["fp"] for g in group], np.int64).view(np.uint64)
+                before = earlier(mask)
                 labels = np.arange(len(group))
                 for i in range(len(group) - 1):
-                    for j in i + 1 + np.flatnonzero(hamming.distances(x[i], x[i + 1 :]) <= RADIUS):
+                    differ = x[i] ^ x[i + 1 :]
+                    near = np.bitwise_count(differ) <= RADIUS
+                    if mask != -1:  # equal ones meet in the node of all bits
+                        near &= differ != 0
+                    for block in before:
+                        near &= differ & block != 0
+                    for j in i + 1 + np.flatnonzero(near):
                         if labels[i] != labels[j] and similar(group[i]["line"], group[j]["line"]):
                             labels[labels == max(labels[i], labels[j])] = min(labels[i], labels[j])
                 out += [(group[i]["lh"], group[labels[i]]["lh"]) for i in np.flatnonzero(labels != np.arange(len(group)))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["lh", "root"])
 
-    return groups.select("lines").mapInArrow(run, "lh binary, root binary")
+    return groups.select("mask", "lines").mapInArrow(run, "lh binary, root binary")
 
 
 def line_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
