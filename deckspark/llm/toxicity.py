@@ -38,7 +38,7 @@ POSITIVES = 10_000
 UNLABELLED = 20_000
 MIN_DOCS = 8
 VOCABULARY = 20_000
-STEPS = 400
+STEPS = 200
 MEMO = 300_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
