@@ -14,8 +14,6 @@ from ..operators import window as W
 from ..schema import language_columns
 from .catalog import query
 
-# fixed values: the languages of the documents table
-DOCUMENT_LANGUAGES = ["de", "en", "es", "fr"]
 from .views import V_LINE_SQL, V_TOK_SQL, table, v_line, v_tok
 
 STRIP_SQL = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
@@ -466,11 +464,10 @@ def jn14(spark, sf):
 )
 def jn15(spark, sf):
     d = table(spark, sf, "documents")
-    pairs = J.ordered_pairs(spark, DOCUMENT_LANGUAGES)
     s = d.select("lang", "source").distinct()
     sa = s.select(F.col("lang").alias("a"), F.col("source"))
     sb = s.select(F.col("lang").alias("b"), F.col("source"))
-    return pairs.join(sa, "a").join(sb, ["b", "source"]).groupBy("a", "b").agg(F.count(F.lit(1)).cast("bigint").alias("shared_sources"))
+    return sa.join(sb, "source").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).cast("bigint").alias("shared_sources"))
 
 
 @query(
@@ -497,7 +494,9 @@ def jn17(spark, sf):
     d = table(spark, sf, "documents")
     m = d.groupBy("lang").agg(F.count(F.lit(1)).cast("string").alias("n_docs"), F.sum("n_chars").cast("string").alias("n_chars"))
     u = J.unpivot_matrix(m, "lang", ["n_docs", "n_chars"], "label", "value")
-    return J.deck_titles(J.ordered_pairs(spark, DOCUMENT_LANGUAGES), u, "lang", "label", "value")
+    langs = u.select("lang", "label")
+    pairs = langs.withColumnRenamed("lang", "a").join(langs.withColumnRenamed("lang", "b"), "label").where("a < b").select("a", "b").distinct()
+    return J.deck_titles(pairs, u, "lang", "label", "value")
 
 
 @query(
@@ -766,6 +765,4 @@ def se07(spark, sf):
 )
 def se08(spark, sf):
     """The decks of all languages as one, a row per word."""
-    d = table(spark, sf, "documents")
-    t = v_tok(spark, sf).join(d.select("doc_id", "lang"), "doc_id")
-    return J.merge_decks([t.where(F.col("lang") == x).drop("lang") for x in DOCUMENT_LANGUAGES], "token", ["doc_id", "pos", "i"])
+    return J.merge_decks([v_tok(spark, sf)], "token", ["doc_id", "pos", "i"])
