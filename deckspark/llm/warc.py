@@ -10,8 +10,13 @@ line and checks what follows: the member's checksum, the version line, the
 header block, Content-Length, the end mark and the block digest.  After a
 failed check it searches for the next place that passes all checks, member or
 version line, goes on from there and logs the bytes in between as a
-quarantined gap with its reason.  A reader holds one record and a window of
-the file.
+quarantined gap with its reason.  A member's content is searched in the same
+way: its records that pass are read, and a gap in it is logged at the member,
+with its bytes of the content in the reason.  Of a member that is truncated or
+fails its checksum, the records that pass and have a block digest are read,
+without one that ends where a truncated content ends; the member is logged as
+a gap all the same.  A reader holds one record, a window of the content and
+the compressed bytes of one member.
 
 Defined results: null html is an empty payload, null or odd urls are written
 percent-encoded; payloads shorter than ``least_bytes`` are always responses;
@@ -39,6 +44,8 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
 CHUNK = 1 << 20
+PIECE = 1 << 16  # compressed bytes inflated at a time
+TRUNCATED = "truncated member"
 
 _MAGIC = b"\x1f\x8b\x08"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/\d\.\d\r\n")
@@ -142,12 +149,6 @@ class Window:
         self.has(end - 1)
         return bytes(self.data[start - self.base : end - self.base])
 
-    def find(self, what: bytes, start: int, most: int) -> int:
-        """Offset of ``what`` within ``most`` bytes from start, or -1."""
-        self.has(start + most - 1)
-        i = self.data.find(what, start - self.base, start - self.base + most)
-        return i + self.base if i >= 0 else -1
-
     def forget(self, offset: int) -> None:
         if offset - self.base >= CHUNK:
             del self.data[: offset - self.base]
@@ -158,9 +159,6 @@ class Bad(Exception):
     pass
 
 
-MOST_HEADER = 1 << 20
-
-
 def _headers(head: bytes) -> dict[str, str]:
     out = {}
     for line in head.split(b"\r\n")[1:]:
@@ -171,13 +169,31 @@ def _headers(head: bytes) -> dict[str, str]:
     return out
 
 
+def _header_end(window: Window, at: int) -> int:
+    """Offset of the end mark of the header at the offset, as far away as
+    its lines are header lines."""
+    line = seen = at
+    while True:
+        i = window.data.find(END, seen - window.base)
+        if i >= 0:
+            return i + window.base
+        seen = max(at, window.base + len(window.data) - len(END) + 1)
+        while (j := window.data.find(b"\r\n", line - window.base)) >= 0:
+            if line > at and window.data.find(b":", line - window.base, j) < 0:
+                raise Bad("header line without a colon")
+            line = window.base + j + 2
+        rest = line - window.base
+        if len(window.data) - rest > CHUNK and window.data.find(b":", rest, rest + CHUNK) < 0:
+            raise Bad("header line without a colon")
+        if not window.more():
+            raise Bad("header does not end")
+
+
 def _plain(window: Window, at: int) -> tuple[dict, bytes, int]:
     """The record whose version line is at the offset, and its end."""
     if not _LINE.match(window.get(at, at + _LONGEST_START)):
         raise Bad("no version line")
-    stop = window.find(END, at, MOST_HEADER)
-    if stop < 0:
-        raise Bad("header does not end")
+    stop = _header_end(window, at)
     fields = _headers(window.get(at, stop))
     length = fields.get("content-length", "")
     if not length.isdigit():
@@ -197,70 +213,106 @@ def _plain(window: Window, at: int) -> tuple[dict, bytes, int]:
     return fields, block, end + len(END)
 
 
-class _Bytes:
-    def __init__(self, data: bytes):
-        self.data = data
+class _Pieces:
+    def __init__(self, pieces):
+        self.pieces = iter(pieces)
 
     def read(self, n: int) -> bytes:
-        out, self.data = self.data, b""
-        return out
-
-
-def _member(window: Window, at: int) -> tuple[list, int]:
-    """The records of the gzip member at the offset, and its end."""
-    z, parts, pos = zlib.decompressobj(31), [], at
-    try:
-        while not z.eof:
-            if not window.has(pos):
-                raise Bad("truncated member")
-            chunk = bytes(window.data[pos - window.base :][:CHUNK])
-            parts.append(z.decompress(chunk))
-            pos += len(chunk)
-            if parts and len(parts) == 1 and parts[0] and not b"WARC/".startswith(parts[0][:5]):
-                raise Bad("member does not hold a record")
-    except zlib.error as e:
-        raise Bad("member checksum" if "check" in str(e) else "broken member") from e
-    end = pos - len(z.unused_data)
-    inner, i, records = Window(_Bytes(b"".join(parts))), 0, []
-    while inner.has(i):
-        fields, block, i = _plain(inner, i)
-        records.append((fields, block))
-    if not records:
-        raise Bad("empty member")
-    return records, end
+        return next(self.pieces, b"")
+
+
+def _inflate(window: Window, at: int):
+    """Yields the content of the gzip member at the offset in pieces; returns
+    its end, or the place of its damage, and the damage or None.  A piece
+    that fails is tried again in halves, which gives all before the damage."""
+    z, pos, step = zlib.decompressobj(31), at, PIECE
+    while not z.eof:
+        if not window.has(pos):
+            return pos, TRUNCATED
+        chunk, before = window.get(pos, pos + step), z.copy()
+        try:
+            piece = z.decompress(chunk, CHUNK)
+        except zlib.error as e:
+            if len(chunk) == 1:
+                return pos, "member checksum" if "check" in str(e) else "broken member"
+            z, step = before, len(chunk) // 2
+            continue
+        pos += len(chunk) - len(z.unused_data if z.eof else z.unconsumed_tail)
+        if piece:
+            yield piece
+    return pos, None
+
+
+def _member(window: Window, at: int):
+    """What the content of the gzip member at the offset holds, as by
+    ``_walk``, the content's size, and the member's end and damage."""
+    kept, size, run = [], 0, _inflate(window, at)
+    while True:
+        try:
+            piece = next(run)
+        except StopIteration as e:
+            end, damage = e.value
+            break
+        size += len(piece)
+        if size <= CHUNK:
+            kept.append(piece)
+    pieces = kept if size <= CHUNK else _inflate(window, at)  # a large one again
+    return _walk(Window(_Pieces(pieces)), _LINE), size, end, damage
 
 
 def salvage(source):
     """Yields ("record", offset, length, fields, block) and ("gap", offset,
-    length, reason, None) in order; together they cover the whole file."""
-    window, at, gap, reason = Window(source), 0, None, ""
+    length, reason, None) in order; together they cover the whole file.  What
+    lies in a member has the member's place."""
+    return _walk(Window(source), _START)
+
+
+def _walk(window: Window, starts: re.Pattern):
+    at, gap, reason = 0, None, ""
     while window.has(at):
+        packed = starts is _START and window.get(at, at + 3) == _MAGIC
         try:
-            if window.get(at, at + 3) == _MAGIC:
-                records, end = _member(window, at)
+            if packed:
+                inner, size, end, damage = _member(window, at)
             else:
                 fields, block, end = _plain(window, at)
-                records = [(fields, block)]
+                inner, size, damage = [("record", 0, end - at, fields, block)], end - at, None
         except Bad as e:
             if gap is None:
                 gap, reason = at, str(e)
-            at = _next_start(window, at + 1)
+            at = _next_start(window, at + 1, starts)
             continue
-        if gap is not None:
-            yield "gap", gap, at - gap, reason, None
-            gap = None
-        for fields, block in records:
-            yield "record", at, end - at, fields, block
-        at = end
-        window.forget(at)
+        read, lost = False, []
+        for kind, start, length, what, block in inner:
+            if kind == "record" and damage:
+                if "warc-block-digest" not in what or damage == TRUNCATED and start + length == size:
+                    kind, what, block = "gap", damage, None
+            if kind == "record":
+                if gap is not None:
+                    yield "gap", gap, at - gap, reason, None
+                    gap = None
+                yield from lost
+                read, lost = True, []
+                yield "record", at, end - at, what, block
+            else:
+                lost.append(("gap", at, end - at, f"{what}, bytes {start} to {start + length} of the content", None))
+        if read:
+            yield from lost
+        if read and not damage:
+            at = end
+            window.forget(at)
+            continue
+        if gap is None:
+            gap, reason = at, damage or (lost[0][3] if lost else "empty member")
+        at = _next_start(window, at + 1, starts)
     if gap is not None:
         yield "gap", gap, window.base + len(window.data) - gap, reason, None
 
 
-def _next_start(window: Window, at: int) -> int:
-    """The next offset that looks like a member or version line, or the end."""
+def _next_start(window: Window, at: int, starts: re.Pattern) -> int:
+    """The next offset that looks like one of ``starts``, or the end."""
     while window.has(at):
-        found = _START.search(window.data, at - window.base)
+        found = starts.search(window.data, at - window.base)
         if found:
             return window.base + found.start()
         at = max(at, window.base + len(window.data) - _LONGEST_START + 1)

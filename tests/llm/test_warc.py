@@ -74,6 +74,47 @@ def test_record_after_a_wrong_length():
     assert got == ids([0, 1]) and gaps[0][:2] == (0, len(bad))
 
 
+def contents(data):
+    found = list(salvage(io.BytesIO(data)))
+    return [f[3]["warc-record-id"] for f in found if f[0] == "record"], [f[1:4] for f in found if f[0] == "gap"]
+
+
+@pytest.mark.parametrize("n", [12, 1500])
+def test_a_bad_record_within_one_member(n):
+    """The larger content is read in pieces."""
+    parts = archive(n, packed=False)
+    x = parts[4]
+    parts[4] = x[:-20] + bytes([x[-20] ^ 255]) + x[-19:]
+    whole, after = member(b"".join(parts)), archive(2)
+    got, gaps = contents(whole + after[0])
+    start = sum(map(len, parts[:4]))
+    assert got == ids([*range(4), *range(5, n), 0])
+    assert gaps == [(0, len(whole), f"block digest differs, bytes {start} to {start + len(x)} of the content")]
+
+
+@pytest.mark.parametrize("n", [12, 1500])
+def test_records_of_a_damaged_member(n):
+    parts, after = archive(n, packed=False), archive(2)
+    whole = member(b"".join(parts))
+    got, gaps = contents(whole[:-8] + b"checksum" + after[1])  # all content is there
+    assert got == ids([*range(n), 1]) and gaps[-1] == (0, len(whole), "member checksum")
+    got, gaps = contents(whole[: len(whole) // 2] + after[1])
+    k = len(got) - 1
+    assert n // 4 < k < n and got == ids([*range(k), 1]) and gaps[-1][:2] == (0, len(whole) // 2)
+    got, gaps = contents(whole[: len(whole) // 2])
+    assert len(got) == k and gaps[-1] == (0, len(whole) // 2, "truncated member")
+    plain = record([("WARC-Type", "resource"), ("WARC-Record-ID", "<urn:page:0>")], b"abc")  # no digest
+    assert contents(member(plain + plain)[:-8] + b"checksum" + after[1])[0] == ids([1])
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_header_of_any_length(packed):
+    long = page_record(7, "http://a/" + "é" * 700_000, b"abc", None, DATE)
+    parts = [long, *archive(2, packed=False)]
+    assert read(b"".join(member(x) if packed else x for x in parts)) == (ids([7, 0, 1]), [])
+    assert read(b"WARC/1.1\r\n" + b"x" * 3_000_000 + b"".join(parts))[0] == ids([7, 0, 1])
+
+
 def test_round_trip_with_revisits(spark):
     rows = [(5, "http://x/ é\r\n", "same"), (3, None, "same"), (9, "u", "same"), (3, "v", "same"), (1, "u", ""), (2, "u", None), (7, "u", "<p>é中" * 5000), (None, "u", "same"), (8, "u", "own"), (8, "u", "own"), (None, "u", "only")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, refers_to string").repartition(3)
