@@ -65,14 +65,29 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) of every row."""
+    return _fingerprints(docs, shingle).select("doc_id", "fp")
+
+
+def _fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, th, fp); th is a hash of the text, which tells rows with
+    equal ids apart."""
 
     def run(batches):
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fps, pa.int64())], names=["doc_id", "th", "fp"])
+
+    text = F.col("text").cast("string")
+    cols = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text")]
+    return docs.select(*cols).mapInArrow(run, "doc_id long, th long, fp long")
+
 
-    cols = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
-    return docs.select(*cols).mapInArrow(run, "doc_id long, fp long")
+def _classes(smallest: DataFrame, radius: int) -> DataFrame:
+    """``smallest`` (fp, first), a written table, with the class's ``root``."""
+    roots = components(link_stars(smallest.select("fp"), radius), "fp", "root")
+    return smallest.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
 
 
 def gray_rank(code: Column) -> Column:
@@ -166,26 +181,28 @@ def link_stars(distinct: DataFrame, radius: int, limit: int = NODE_LIMIT) -> Dat
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``."""
     fps = cut_lineage(fingerprints(docs, shingle), "fingerprints")
-    smallest = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = components(link_stars(smallest.select("fp"), radius), "fp", "root")
-    classes = smallest.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    classes = cut_lineage(classes, "classes")
+    smallest = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    classes = cut_lineage(_classes(smallest, radius), "classes")
     # the smallest id per class: combined before the shuffle, then read back
     # as a written table, so a very large class is split over tasks
-    names = cut_lineage(classes.groupBy("root").agg(F.min("first_id").alias("component_id")), "class-names")
+    names = cut_lineage(classes.groupBy("root").agg(F.min("first").alias("component_id")), "class-names")
     named = cut_lineage(classes.join(names, "root").select("fp", "component_id"), "named-fingerprints")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document whose
-    ``doc_id`` names it.  Of several rows with that id, one stays.  A row
-    without an id cannot be named as a copy and stays."""
-    found = near_duplicates(docs.where("doc_id is not null"), shingle, radius)
-    kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
-    rows = docs.join(cut_lineage(kept, "kept-ids"), F.col("doc_id").cast("long") == F.col("__id"))
-    repeated = rows.where("__n > 1").dropDuplicates(["__id"])
-    stay = rows.where("__n = 1").unionByName(repeated).drop("__id", "__n")
-    return stay.unionByName(docs.where("doc_id is null"))
+    """The rows of ``docs`` that stay: of each component the first one by
+    (doc_id, text hash), null ids last.  Of rows that repeat both, one stays.
+    A row with neither an id nor a text stays."""
+    blank = F.col("doc_id").isNull() & F.col("text").isNull()
+    full = docs.where(~blank)
+    rows = _fingerprints(full, shingle).groupBy("fp", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "n")
+    smallest = cut_lineage(rows.groupBy("fp").agg(F.min(place).alias("first")), "distinct-fingerprints")
+    kept = _classes(smallest, radius).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias("__id"), F.col("first.th").alias("__th"), F.col("first.n").alias("__n"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__th"))
+    rows = full.join(cut_lineage(kept, "kept-rows"), same)
+    repeated = rows.where("__n > 1").dropDuplicates(["__id", "__th"])
+    stay = rows.where("__n = 1").unionByName(repeated).drop("__id", "__th", "__n")
+    return stay.unionByName(docs.where(blank))

@@ -9,6 +9,8 @@ from deckspark.llm.components import components
 from deckspark.llm.simhash_gray import GrayIndex, fingerprint, fingerprints, gray_rank, keep_one, link_stars, near_duplicates, node_classes
 from deckspark.llm.storage import cut_lineage
 
+from .conftest import prose
+
 
 def slow_fingerprint(text):
     """From the definition, bit by bit."""
@@ -122,3 +124,13 @@ def test_one_of_each_group_stays(edge_docs, no_docs):
     names = {r.component_id for r in near_duplicates(edge_docs.where("doc_id is not null")).collect()}
     assert ids == sorted([*(str(x) for x in names), "None", "None"])
     assert keep_one(no_docs).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark, docs_table):
+    """Each group keeps one row, and no unrelated text goes."""
+    rnd = random.Random(12)
+    a, b, c, d, e = (prose(rnd, 80) for _ in range(5))
+    rows = [(2, a, "en"), (2, b, "en"), (2, b, "en"), (3, c, "en"), (4, c.upper(), "en"), (4, d, "en")]
+    rows += [(None, a, "en"), (None, e, "en"), (None, e, "en"), (None, e.upper(), "en")]
+    kept = sorted(((str(r.doc_id), r.text.lower()) for r in keep_one(docs_table(rows).repartition(3)).collect()), key=str)
+    assert kept == sorted([("2", a), ("2", b), ("3", c), ("4", d), ("None", e)], key=str)
