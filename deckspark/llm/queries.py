@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles as SQL
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -114,3 +116,60 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import removed_digests
 
     return removed_digests(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query("op11_url_model", SQL.url_model(URL_RULES, order=4))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_model import judge_urls, rule
+
+    found = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), [rule(*r) for r in URL_RULES])
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def rewritten(text: str = "text") -> F.Column:
+    """The words of the text, numbered from 0; in a tenth of the documents
+    (by crc32 of the id, h) those from a = g % n on repeat with period p."""
+    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    g = F.floor(h / 10)
+
+    def repeat(w):
+        n = F.size(w)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + F.pmod(i - a, p)).cast("int")))), " ")
+
+    own = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeat(w))), 0)
+    return F.when(F.pmod(h, F.lit(10)) == 0, own).otherwise(F.col(text))
+
+
+@query("op12_periodic_runs", SQL.PERIODIC_RUNS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .runs import periodic_runs
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", rewritten().alias("text"))
+    found = periodic_runs(docs)
+    # runs come by start, then period: only a greater exponent replaces the first
+    best = F.reduce("runs", F.get("runs", 0), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.concat(lines, F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_hard_negatives", SQL.HARD_NEGATIVES)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import hard_negatives
+
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.pmod("vec_id", F.lit(100)) == 0)
