@@ -83,19 +83,6 @@ def join_block(a: DataFrame, b: DataFrame, idx: str = "idx", suffix: str = "_b")
     return a.join(bb, ix.root(a[idx]) == bb["__block"], "inner").drop("__block")
 
 
-def range_join(a: DataFrame, b: DataFrame, a_val: str, b_lo: str, b_hi: str, bin_width: float) -> DataFrame:
-    """Generic ``b_lo <= a_val < b_hi`` join via binning: each b-range is
-    exploded over the bins it covers, a-rows join on their bin, then the exact
-    predicate filters.  Work grows with range width / bin width, not |a|x|b|."""
-    bins = b.withColumn(
-        "__bin",
-        F.explode(F.sequence(F.floor(F.col(b_lo) / bin_width).cast("bigint"), F.floor(F.col(b_hi) / bin_width).cast("bigint"))),
-    )
-    aa = a.withColumn("__bin", F.floor(F.col(a_val) / bin_width).cast("bigint"))
-    j = aa.join(bins, "__bin")
-    return j.where((F.col(a_val) >= F.col(b_lo)) & (F.col(a_val) < F.col(b_hi))).drop("__bin")
-
-
 # JN-12 -- membership in either of two dictionaries after normalising the key
 def is_known(df: DataFrame, col: str, dicts: list[DataFrame], dict_col: str, out: str = "known") -> DataFrame:
     u = None

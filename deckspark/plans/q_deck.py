@@ -11,8 +11,10 @@ from ..operators import agg as G
 from ..operators import checks as C
 from ..operators import joins as J
 from ..operators import window as W
+from ..operators.scan import interval_join
 from ..operators.columns import group_rank
 from .catalog import query
+from .q_core import strip_sql
 from .views import V_LINE_SQL, V_NOTE_SQL, table, v_line, v_line_idx, v_note, v_trans
 
 D = "decimal(18,6)"
@@ -276,7 +278,26 @@ def wn06(spark, sf):
     return W.positions(d, ["doc_id"], "lines", "pos", "sentence").select("doc_id", "pos", S.length("sentence").alias("len"))
 
 
-@query("wn07_pack_blocks")
+def wn07_sql(limit: int, m: int) -> str:
+    """The walk from block to block; the end of each by its prefix sums."""
+    return f"""with recursive l as (select doc_id, pos, length({strip_sql('sentence')}) + 1 as c from {V_LINE_SQL}),
+            d as (select distinct doc_id from l),
+            padded as (select doc_id, 1 as s, pos as p, c from l
+                       union all select doc_id, side, i, 1 from d, (values (0), (2)) t(side), range({m}) u(i)),
+            upto as (select doc_id, row_number() over w as e, sum(c) over w as pre from padded
+                     window w as (partition by doc_id order by s, p rows unbounded preceding)),
+            size as (select doc_id, max(e) - {2 * m} as n from upto group by doc_id),
+            asked as (select doc_id, 0 as s, {limit + m} as pre from size union all select doc_id, e, pre + {limit} from upto),
+            hops as (select a.doc_id, a.s, greatest(a.s + {m}, u.e - {m + 2}) as k
+                     from asked a asof join upto u on a.doc_id = u.doc_id and a.pre < u.pre),
+            inside as (select hops.* from hops join size using (doc_id) where k <= n + {m}),
+            walk as (select doc_id, cast(0 as bigint) as s, cast(0 as bigint) as block from size
+                     union all select w.doc_id, h.k + 1 - {m}, w.block + 1 from walk w join inside h on w.doc_id = h.doc_id and w.s = h.s)
+       select w.doc_id, w.block, w.s as start, cast(coalesce(h.k + {m}, z.n + {2 * m}) as bigint) as end
+       from walk w join size z using (doc_id) left join inside h on w.doc_id = h.doc_id and w.s = h.s"""
+
+
+@query("wn07_pack_blocks", wn07_sql(3000, 3))
 def wn07(spark, sf):
     from ..operators.packing import pack_blocks
 
@@ -284,6 +305,14 @@ def wn07(spark, sf):
     return pack_blocks(lines, "doc_id", "pos", "sentence", max_symbols=3000, margin=3)
 
 
+@query("wn07_pack_blocks_jumping", wn07_sql(500, 2))
+def wn07j(spark, sf):
+    """Every text by pointer doubling, as texts of any length are."""
+    from ..operators.packing import pack_blocks
+
+    return pack_blocks(v_line(spark, sf), "doc_id", "pos", "sentence", max_symbols=500, margin=2, fold_lines=0)
+
+
 @query(
     "wn08_with_margins",
     f"""select doc_id, pos,
@@ -381,6 +410,18 @@ def jn11(spark, sf):
     return J.join_block(v_note(spark, sf).select("idx"), o, "idx", "_b").select("idx", F.col("o_totalprice_b").alias("o_totalprice"))
 
 
+@query(
+    "jn11_interval_join",
+    """select l_orderkey, l_linenumber, c_custkey from lineitem join customer
+       on l_extendedprice >= c_acctbal and l_extendedprice < c_acctbal + 1""",
+)
+def jn11i(spark, sf):
+    """Lines whose price lies within one unit above a customer's balance."""
+    points = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"))
+    spans = table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").alias("lo"), (F.col("c_acctbal") + 1).alias("hi"))
+    return interval_join(points, spans, "price", "lo", "hi").select("l_orderkey", "l_linenumber", "c_custkey")
+
+
 @query(
     "jn13_attach_examples",
     """with rows as (select p_partkey as block, cast(u.i as bigint) as i, u.translation from part,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as S
 from ..operators import agg as G
+from ..operators.scan import asof_join
 from ..session import scratch_path
 from ..streaming import incremental as I
 from .catalog import query
@@ -40,6 +41,26 @@ def inc01(spark, sf):
     return I.resume(units, done, "doc_id", process)
 
 
+@query(
+    "inc01_resume_stream",
+    f"select doc_id, cast(count(*) as bigint) as n_lines from {V_LINE_SQL} group by doc_id",
+)
+def inc01s(spark, sf):
+    """Two runs over the same folder: the second, after more files have
+    arrived, processes only those."""
+    src, out, ckpt = (scratch_path(spark, f"units-{x}") for x in ("src", "out", "ckpt"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    first = F.col("doc_id") % 2 == 0
+
+    def process(todo):
+        return todo.select("doc_id", F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"))
+
+    for part in (docs.where(first), docs.where(~first)):
+        part.write.mode("append").parquet(src)
+        I.resume_stream(spark, src, docs.schema, out, ckpt, process)
+    return spark.read.parquet(out)
+
+
 @query("inc02_stream_responses", "select conv_id as idx, min(turn) as turn from conversations group by conv_id")
 def inc02(spark, sf):
     src = scratch_path(spark, "resp-src")
@@ -106,8 +127,8 @@ def inc03b(spark, sf):
 @query("inc03_retry_state_stream", INC03_SQL)
 def inc03s(spark, sf):
     """The same bounded-retry state kept by a stateful stream: events are
-    replayed as parquet files, ``applyInPandasWithState`` keeps per-user
-    state, and the last update per user is the result."""
+    replayed as parquet files, a stateful processor keeps per-user counts and
+    errors, and the last update per user is the result."""
     src = scratch_path(spark, "retry-src")
     out = scratch_path(spark, "retry-out")
     ckpt = scratch_path(spark, "retry-ckpt")
@@ -141,6 +162,20 @@ def inc05(spark, sf):
     return I.cooldown_flags(e, "event_id", "ts", F.col("event_type") == "error")
 
 
+@query(
+    "inc05_last_error",
+    """select event_id, e.event_id as error_id from (
+         select event_id, max(case when event_type = 'error' then struct_pack(ts := ts, event_id := event_id) end)
+                          over (partition by user_id order by ts) as e from events)""",
+)
+def inc05l(spark, sf):
+    """Each event with the last error of its user up to its time."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    errors = e.where("event_type = 'error'").select("user_id", "ts", "event_id")
+    near = asof_join(e.select("event_id", "user_id", "ts"), errors, "ts", by="user_id", order="event_id")
+    return near.select("event_id", F.col("event_id_r").alias("error_id"))
+
+
 @query(
     "inc06_iterate",
     f"""with l as (select doc_id, pos, sentence as src, length(sentence) > 60 as pending0 from {V_LINE_SQL}),

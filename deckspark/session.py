@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # State of custom stream processors has several column families.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Broadcast only what the planner has measured to be small.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }

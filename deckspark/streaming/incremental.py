@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +16,16 @@ from pyspark.sql import types as T
 from ..operators import agg as G
 from ..operators import joins as J
 from ..operators import window as W
+from ..operators.scan import MAX, prefix_scan
 from ..schema import COOLDOWN_SECONDS, LIMIT_REQUESTS_PER_MINUTE, LIMIT_TOKENS_PER_MINUTE, MAX_ATTEMPTS
 from ..functions.timefn import epoch_micros, epoch_seconds
 from ..session import cut_lineage
 from ..sources.readers import read_or_empty
+from .state import FirstSeen, RetryState, rocks_db
+
+
+def _list(x) -> list:
+    return list(x) if isinstance(x, (list, tuple)) else [x]
 
 
 # INC-01 -- resume: skip finished units, process the rest
@@ -51,22 +56,32 @@ def stream_responses(
     deck: DataFrame | None = None,
 ):
     """``parse`` turns the raw lines (value, file) into rows with ``key`` and
-    the ``order`` columns.  Each micro-batch keeps its first row per key that no earlier
-    batch holds and writes a folder of its own, replacing what a failed
-    attempt at the same batch has left, so a replay changes nothing.  Returns
-    the rows, or the ``deck`` patched with them (null columns included)."""
+    the ``order`` columns.  The state store knows the keys met so far: of a
+    micro-batch's rows of a new key the first by ``order`` passes, later files
+    with a known key are ignored, so a batch costs what it holds, however much
+    was ingested before.  Null is a key like any other.  A batch writes a
+    folder of its own, replacing what a failed attempt at it has left, so a
+    replay changes nothing.  Returns the rows, or the ``deck`` patched with
+    them (null columns included)."""
     raw = spark.readStream.text(src).select("value", F.col("_metadata.file_path").alias("file"))
+    rows = first_seen(parse(raw), key, order)
 
-    def ingest(batch: DataFrame, batch_id: int) -> None:
-        rows = G.first_per_key(parse(batch), key, order)
-        held = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
-        earlier = read_or_empty(batch.sparkSession, out, held, "parquet").where(F.col("batch_id") < batch_id)
-        J.anti(rows, earlier.select(key), key).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = raw.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with rocks_db(spark):
+        q = rows.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    rows = spark.read.parquet(out)
-    return rows if deck is None else J.patch_rows(deck, rows.drop("batch_id"), key, strip_strings=False)
+    got = read_or_empty(spark, out, rows.schema, "parquet").select(*rows.columns)
+    return got if deck is None else J.patch_rows(deck, got, key, strip_strings=False)
+
+
+def first_seen(stream: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
+    """The rows of a stream whose key was in no earlier micro-batch, the first
+    by ``order`` (nulls first, ties by all columns) of each key."""
+    keys, order = _list(key), _list(order)
+    by = [*order, *[c for c in stream.columns if c not in order]]
+    return stream.groupBy(*keys).transformWithState(FirstSeen(by, stream.columns), stream.schema, "Append", "None")
 
 
 # INC-03 -- bounded retry: attempts so far, attempts left, terminal failures
@@ -82,54 +97,39 @@ def retry_state(results: DataFrame, task: str, ts: str, ok: str, error: str, max
         F.count_if(~F.col(ok)).cast("bigint").alias("attempts"),
         F.max(F.col(ok).cast("int")).cast("boolean").alias("succeeded"),
     )
-    j = counts.join(agg_err, task, "left")
+    agg_err = agg_err.withColumnRenamed(task, "__task")
+    j = counts.join(agg_err, F.col(task).eqNullSafe(F.col("__task")), "left")
     left = F.greatest(F.lit(max_attempts) - F.col("attempts"), F.lit(0)).cast("bigint")
     status = F.when(F.col("succeeded"), "succeeded").when(F.col("attempts") >= max_attempts, "failed").otherwise("retry")
     errors = F.when(F.col("__e").isNull(), F.lit("")).otherwise(F.array_join(F.transform("__e", lambda s: s["e"]), ";"))
     return j.select(task, "attempts", left.alias("attempts_left"), status.alias("status"), errors.alias("errors"))
 
 
-RETRY_STATE_SCHEMA = "attempts long, succeeded boolean, errors string"
-
-
 def retry_state_stream(events: DataFrame, task: str, ok: str, error: str, max_attempts: int = MAX_ATTEMPTS, order: list[str] | None = None) -> DataFrame:
-    """Streaming form: state per task (attempts, success, first errors) kept
-    in the state store with ``applyInPandasWithState``; emits the task's
-    current status every time it receives events.  Within a micro-batch the
-    task's events are taken in ``order`` (default: arrival order)."""
-    out_schema = f"{task} long, attempts long, attempts_left long, status string, errors string"
-
-    def update(key, pdfs, state):
-        attempts, succeeded, errors = (state.get if state.exists else (0, False, ""))
-        errs = [e for e in errors.split(";") if e] if errors else []
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if order:
-            batch = batch.sort_values(order, kind="stable")
-        for okv, err in zip(batch[ok], batch[error]):
-            if bool(okv):
-                succeeded = True
-            else:
-                attempts += 1
-                if len(errs) < max_attempts:
-                    errs.append(str(err))
-        state.update((attempts, succeeded, ";".join(errs)))
-        status = "succeeded" if succeeded else ("failed" if attempts >= max_attempts else "retry")
-        yield pd.DataFrame(
-            {task: [key[0]], "attempts": [attempts], "attempts_left": [max(max_attempts - attempts, 0)], "status": [status], "errors": [";".join(errs)]}
-        )
-
-    return events.groupBy(task).applyInPandasWithState(update, out_schema, RETRY_STATE_SCHEMA, "update", "NoTimeout")
+    """Streaming form, with the rows of :func:`retry_state`: the state store
+    holds a task's counts and the list of its first ``max_attempts`` errors by
+    ``order`` (default: arrival) and by error; a task's current status is
+    emitted whenever it receives events.  Events are handled one by one, and a
+    late event with an earlier place takes that place, so all arrivals of the
+    same events end in the same row."""
+    kind = events.schema[task].dataType
+    schema = T.StructType([T.StructField(task, kind), *T.StructType.fromDDL("attempts long, attempts_left long, status string, errors string")])
+    places = [T.StructField(f"o{i}", events.schema[c].dataType) for i, c in enumerate(order or [])] or [T.StructField("o0", T.LongType())]
+    x = events.select(task, F.col(ok).alias("ok"), F.col(error).cast("string").alias("error"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order or [])])
+    processor = RetryState(task, max_attempts, T.StructType([*places, T.StructField("error", T.StringType())]), bool(order))
+    return x.groupBy(task).transformWithState(processor, schema, "Update", "None")
 
 
 def latest_state(spark: SparkSession, stream: DataFrame, key: str, out: str, checkpoint: str) -> DataFrame:
     """Run an update-mode stream to completion (availableNow) and return the
-    last emitted row per key: every micro-batch's updates are appended with
-    their batch id, then the latest one wins."""
+    last emitted row per key: every micro-batch writes its updates to a folder
+    of its own (a repeated attempt replaces it), then the latest one wins."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = stream.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with rocks_db(spark):
+        q = stream.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return G.last_per_key(spark.read.parquet(out), key, ["batch_id"]).drop("batch_id")
 
@@ -154,16 +154,17 @@ def rate_audit_stream(stream: DataFrame, ts: str, tokens: str, rpm: int = LIMIT_
     return rate_audit(stream.withWatermark(ts, late), ts, tokens, rpm, tpm)
 
 
-# INC-05 -- results within `secs` after a rate-limit error.  An as-of
-# question answered as a binned range join: each error covers [t, t+secs),
-# spread over the <= 2 time bins it touches; events join on their bin.
+# INC-05 -- results within `secs` after a rate-limit error: the time of the
+# last error up to each row is one prefix scan over sampled ranges.
 def cooldown_flags(df: DataFrame, key: str, ts: str, is_error, secs: int = COOLDOWN_SECONDS) -> DataFrame:
+    """(key, cooling) of every row; an error cools its own second and those
+    of the same time.  Rows without a time are not cooling."""
     t = epoch_micros(ts)
-    ev = df.select(key, t.alias("__t"))
-    errs = df.where(is_error).select(t.alias("__lo")).withColumn("__hi", F.col("__lo") + F.lit(secs * 1_000_000))
-    hits = J.range_join(ev, errs, "__t", "__lo", "__hi", bin_width=secs * 1_000_000).select(key).distinct()
-    flagged = hits.withColumn("cooling", F.lit(True))
-    return df.select(key).join(flagged, key, "left").select(key, F.coalesce("cooling", F.lit(False)).alias("cooling"))
+    x = df.select(key, t.alias("__t"), F.coalesce(is_error, F.lit(False)).alias("__err"))
+    # errors precede the other rows of their time
+    x = prefix_scan(x, [], ["__t", F.col("__err").desc()], {"__last": (F.when(F.col("__err"), F.col("__t")), MAX)})
+    cooling = F.coalesce(F.col("__t") - F.col("__last") < secs * 1_000_000, F.lit(False))
+    return x.select(key, cooling.alias("cooling"))
 
 
 # INC-06 -- repeat a step until nothing is pending; each round is written to
