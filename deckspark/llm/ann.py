@@ -2,14 +2,18 @@
 
 Equal vectors become one node that names their smallest ids (as many as a
 result can show, and one more for the query's own).  Nodes are dealt by a
-hash to shards of about ``SHARD_ROWS``; a task builds each shard's graph:
-nodes are inserted in growing batches, a greedy search from the centre
-proposes neighbours, and pruning keeps the nearest candidate, drops those
-that it is ``ALPHA`` times nearer to, and goes on with the rest; links back
-are pruned alike.  Graphs are built over vectors extended by one component
+hash to shards, as many as there are shuffle partitions while these hold
+``SHARD_ROWS``, more beyond ``MOST_ROWS`` (every query meets every shard, so
+few large ones make less work than many small ones).  A task builds each
+shard's graph: nodes are inserted in growing batches, a greedy search from
+the centre proposes neighbours, and pruning keeps the nearest candidate, drops
+those that it is ``ALPHA`` times nearer to, and goes on with the rest; links
+back are added, and a node that gathers more than ``WIDTH`` is pruned alike.
+Graphs are built in single precision over vectors extended by one component
 that gives all of a shard the same length, which makes distance and inner
 product agree.  Every block of queries is searched by beam search in every
-shard, and the shards' best are merged by exact scores.
+shard, and the shards' best are merged by exact scores of the vectors as
+given.
 
 Every vector is in the index.  A shard of at most ``EXACT_ROWS`` nodes, or a
 query whose beam does not fill, is scanned instead.
@@ -18,7 +22,8 @@ Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component, and rows without an id, take no part; vectors meet
 only vectors of their own length; repeated rows count once; if an id has
 several vectors, all are candidates and its query is the first by value;
-ties go to the smaller id; empty tables give no rows.
+ties go to the smaller id; other columns are ignored; empty tables give no
+rows.
 """
 
 from __future__ import annotations
@@ -32,11 +37,13 @@ from pyspark.sql import functions as F
 
 from .storage import cut_lineage, file_system, own_file, shared_folder, spread
 
-DEGREE = 32
+DEGREE = 32  # links that pruning leaves
+WIDTH = 48  # links a node may gather before it is pruned again
 BUILD_BEAM = 64
 SEARCH_BEAM = 128
 ALPHA = 1.2
-SHARD_ROWS = 8192
+SHARD_ROWS = 8192  # of a shard, while there are fewer shards than shuffle partitions
+MOST_ROWS = 131_072  # of any shard: some 150 MB at 64 dimensions
 EXACT_ROWS = 256
 QUERY_BLOCK = 512
 EXPAND = 4  # nodes a query expands per step
@@ -49,7 +56,7 @@ class Graph:
         self.x, self.norm = x, np.einsum("ij,ij->i", x, x)
         self.centre = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
         if links is None:
-            links = np.full((len(x), DEGREE), -1, np.int32)
+            links = np.full((len(x), WIDTH), -1, np.int32)
             self.links = links
             self._build()
         self.links = links
@@ -104,7 +111,7 @@ class Graph:
         x = self.x[cand]
         d = ((x - self.x[p][:, None, :]) ** 2).sum(axis=2)
         d[cand < 0] = np.inf
-        out = np.full((len(p), DEGREE), -1, np.int32)
+        out = np.full((len(p), WIDTH), -1, np.int32)
         rows, alive = np.arange(len(p)), d.copy()
         for k in range(DEGREE):
             best = alive.argmin(axis=1)
@@ -172,23 +179,25 @@ class Graph:
         old = self.links[nodes]
         new[(new[:, :, None] == old[:, None, :]).any(axis=2)] = -1
         both = np.hstack([old, new])
-        full = (both >= 0).sum(axis=1) > DEGREE
+        full = (both >= 0).sum(axis=1) > WIDTH
         fits = both[~full]
         order = np.argsort(fits < 0, axis=1, kind="stable")
-        self.links[nodes[~full]] = np.take_along_axis(fits, order, axis=1)[:, :DEGREE]
+        self.links[nodes[~full]] = np.take_along_axis(fits, order, axis=1)[:, :WIDTH]
         if full.any():
             self.links[nodes[full]] = self.prune(nodes[full], both[full])
 
 
 def extended(x: np.ndarray) -> np.ndarray:
-    """Rows of equal length: one more component makes up the difference."""
-    length = (x.astype(np.float64) ** 2).sum(axis=1)
+    """Rows of equal length, in single precision and to a common scale: one
+    more component makes up the difference."""
+    x = x.astype(np.float64) / np.abs(x).max()
+    length = (x**2).sum(axis=1)
     return np.column_stack([x, np.sqrt(np.maximum(length.max() - length, 0))]).astype(np.float32)
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, v array<float>, dim) of the rows that take part."""
-    v = F.col(vector).cast("array<float>")
+    """(vec_id, v array<double>, dim) of the rows that take part."""
+    v = F.col(vector).cast("array<double>")
     ok = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     return vectors.where(F.col(id_col).isNotNull() & ok).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), F.size(v).alias("dim"))
 
@@ -214,7 +223,9 @@ def build_index(rows: DataFrame, k: int, folder: str, shard_rows: int = SHARD_RO
     # sends only its smallest ids on
     few = rows.distinct().withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
     nodes = cut_lineage(few.groupBy("dim", "v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "ann-nodes")
-    sizes = {r["dim"]: max(1, math.ceil(r["n"] / shard_rows)) for r in nodes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards_of = lambda n: max(1, min(tasks, math.ceil(n / shard_rows)), math.ceil(n / MOST_ROWS))
+    sizes = {r["dim"]: shards_of(r["n"]) for r in nodes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return rows.sparkSession.createDataFrame([], "dim int, shard int, path string, n long")
     shards = F.create_map(*[F.lit(x).cast("int") for kv in sizes.items() for x in kv])
@@ -223,11 +234,11 @@ def build_index(rows: DataFrame, k: int, folder: str, shard_rows: int = SHARD_RO
         table = table.combine_chunks()
         table = table.take(pa.compute.sort_indices(pa.compute.list_element(table.column("ids"), 0)))
         dim, n = table.column("dim")[0].as_py(), table.num_rows
-        x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, dim).astype(np.float32)
+        x = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, dim)
         ids = table.column("ids").combine_chunks()
         member = ids.flatten().to_numpy(zero_copy_only=False)
         start = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
-        links = Graph(extended(x)).links if n > EXACT_ROWS else np.zeros((0, DEGREE), np.int32)
+        links = Graph(extended(x)).links if n > EXACT_ROWS else np.zeros((0, WIDTH), np.int32)
         path = _write(folder, {"x": x, "links": links, "member": member, "start": start})
         return pa.table({"dim": pa.array([dim], pa.int32()), "shard": table.column("shard").slice(0, 1), "path": [path], "n": pa.array([n], pa.int64())})
 
@@ -242,14 +253,14 @@ def search_shard(index: dict, graph: Graph | None, ids: np.ndarray, q: np.ndarra
     if graph is None:
         found = np.tile(np.arange(len(x)), (len(q), 1))
     else:
-        found, _ = graph.beam(np.column_stack([q, np.zeros(len(q), np.float32)]), SEARCH_BEAM)
+        scaled = q / np.abs(q).max(axis=1, keepdims=True)  # the order of nearness stays
+        found, _ = graph.beam(np.column_stack([scaled, np.zeros(len(q))]).astype(np.float32), SEARCH_BEAM)
     out = []
-    wide = x.astype(np.float64)
     for i in range(len(q)):
         nodes = found[i][found[i] >= 0]
         if len(nodes) < min(len(x), SEARCH_BEAM):
             nodes = np.arange(len(x))
-        score = wide[nodes] @ q[i].astype(np.float64)
+        score = x[nodes] @ q[i]
         if len(nodes) > k + 1:  # ties with the last stay
             keep = score >= np.partition(score, len(score) - k - 1)[len(score) - k - 1]
             nodes, score = nodes[keep], score[keep]
@@ -277,7 +288,7 @@ def nearest(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", ve
     def pack(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("vec_id")
         dim, n = table.column("dim")[0].as_py(), table.num_rows
-        q = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, dim).astype(np.float32)
+        q = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, dim)
         path = _write(folder, {"ids": table.column("vec_id").to_numpy(), "q": q})
         return pa.table({"dim": pa.array([dim], pa.int32()), "queries": [path]})
 
