@@ -2,8 +2,11 @@
 
 The neural lemmatiser of the original is not re-implemented: ``lemmatize``
 takes a token table that an external tagger produced (token, dependency,
-part of speech, head) plus a lemma dictionary, and does the joins.  The
-sentence splitter is a regex rule (``functions.text.split_sentences``).
+part of speech, head) plus a lemma dictionary, and does the joins; edit trees
+learnt from the dictionary derive lemmas of forms that it lacks
+(``operators.lemmas``).  Sentences are split by a rule
+(``functions.text.split_sentences``) or with abbreviations learnt from the
+texts (``operators.sentences``).
 """
 
 from __future__ import annotations
@@ -12,39 +15,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
+from ..functions import html as H
 from ..functions import text as S
 from ..operators.order import seeded_hash
 from ..operators import agg as G
 from ..operators import joins as J
+from ..operators import lemmas as LM
 from ..operators import window as W
 from ..schema import DROPPED_TOKENS
-
-# ---- fixed values: entities decoded after tag stripping, in this order ----
-HTML_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
-
+from ..session import cut_lineage
 
 # TXT-01 -- lemmatise a token table
-def lemmatize(tokens: DataFrame, lemmas: DataFrame, sent: str = "sent", sep: str = ";") -> DataFrame:
+def lemmatize(tokens: DataFrame, lemmas: DataFrame, sent: str = "sent", sep: str = ";", unseen: DataFrame | None = None) -> DataFrame:
     """``tokens``: (sent, i, token, dep, pos, head); ``lemmas``: (form, lemma).
     Lemma = dictionary lemma or the token; a separable prefix (dep 'svp' whose
     head is a VERB) is glued in front of its verb's lemma (the last such
     prefix wins); dropped tokens are removed; the sentence is rejoined in
     token order (a sentence whose tokens all drop gets an empty string).
+    With ``unseen``, a model of :func:`..operators.lemmas.learn`, tokens that
+    the dictionary lacks get the lemma it derives.
 
-    The prefix pairs are found from the few ``svp`` tokens (a small side the
-    planner broadcasts), so the token table is shuffled once, by sentence,
-    for the final ordered join."""
+    The tokens are read once: they meet the dictionary, and one shuffle by
+    sentence brings verbs and prefixes together."""
     d = G.first_per_key(lemmas, "form", ["lemma"]).select(F.col("form").alias("token"), F.col("lemma").alias("__lemma"))
-    t = tokens.join(d, "token", "left").withColumn("lemma", F.coalesce("__lemma", "token")).drop("__lemma")
-    svp = t.where(F.col("dep") == "svp").select(F.col(sent).alias("__s"), F.col("head").alias("__h"), F.col("token").alias("__prefix"), F.col("i").alias("__pi"))
-    verbs = t.where(F.col("pos") == "VERB").select(F.col(sent).alias("__s"), F.col("i").alias("__h"))
-    pairs = svp.join(verbs, ["__s", "__h"], "left_semi")
-    pairs = G.last_per_key(pairs, ["__s", "__h"], ["__pi"]).drop("__pi")
-    j = t.join(pairs, (t[sent] == pairs["__s"]) & (t["i"] == pairs["__h"]), "left")
-    lemma = F.concat(F.coalesce(F.col("__prefix"), F.lit("")), F.col("lemma"))
-    kept = F.when(~lemma.isin(*DROPPED_TOKENS), F.struct(F.col("i").alias("i"), lemma.alias("lemma")))
-    g = j.groupBy(sent).agg(F.sort_array(F.collect_list(kept)).alias("__l"))
-    return g.select(sent, F.array_join(F.col("__l.lemma"), sep).alias("lemmas"))
+    t = tokens.join(d, "token", "left")
+    if unseen is not None:
+        t = cut_lineage(t, "tokens")
+        guessed = LM.guess(t.where("__lemma is null").select("token").distinct(), unseen, "token")
+        t = t.join(guessed.select("token", F.col("lemma").alias("__guess")), "token", "left").withColumn("__lemma", F.coalesce("__lemma", "__guess"))
+    own = F.struct("i", F.coalesce("__lemma", "token").alias("lemma"), "token", "head", (F.col("dep") == "svp").alias("svp"), (F.col("pos") == "VERB").alias("verb"))
+    g = t.groupBy(sent).agg(F.array_sort(F.collect_list(own)).alias("__t"))
+    g = g.withColumn("__svp", F.filter("__t", lambda x: x["svp"]))
+
+    def lemma(x):
+        prefix = F.try_element_at(F.filter("__svp", lambda p: p["head"] == x["i"]), F.lit(-1))["token"]
+        return F.concat(F.when(x["verb"], F.coalesce(prefix, F.lit(""))).otherwise(""), x["lemma"])
+
+    kept = F.filter(F.transform("__t", lemma), lambda x: ~x.isin(*DROPPED_TOKENS))
+    return g.select(sent, F.array_join(kept, sep).alias("lemmas"))
 
 
 # TXT-02 -- keep stored lemmas by (author, title); lemmatise only new texts
@@ -133,44 +141,40 @@ def ingest_responses(
 
 
 # TXT-22 -- title and first content paragraph of a page
-def _clean_html(html) -> F.Column:
-    x = F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
-    return x
-
-
-def strip_tags(c, replacement: str = "") -> F.Column:
-    x = F.regexp_replace(c, r"<[^>]*>", replacement)
-    for ent, ch in HTML_ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
-
-
 def extract_article(pages: DataFrame, html: str = "html") -> DataFrame:
-    clean = _clean_html(F.col(html))
-    title = F.regexp_extract(clean, r"(?is)<h1[^>]*>(.*?)</h1>", 1)
-    para = F.regexp_extract(clean, r"(?is)<article[^>]*>.*?<p[^>]*>(.*?)</p>", 1)
-    t = S.strip(strip_tags(title))
-    p = S.strip(strip_tags(F.regexp_replace(para, r"(?i)<br\s*/?>", " ")))
-    return pages.select("page_id", F.nullif(t, F.lit("")).alias("title"), F.nullif(p, F.lit("")).alias("body"))
+    """The text of the first h1, and of the first paragraph of the first
+    article (up to the first end of a paragraph), null where they are
+    missing or blank."""
+    toks = pages.select("page_id", H.tokens(H.visible(html)).alias("toks"))
+    article = H.first(H.elements("toks", "article"))
+    parts = toks.select("page_id", H.first(H.elements("toks", "h1")).alias("h1"), F.array_join(article, "").alias("article"))
+    # pages leave paragraphs open, so this one ends at the first closing tag
+    para = F.regexp_extract("article", r"(?is)<p[^>]*>(.*?)</p>", 1)
+    t = S.strip(H.text_of(H.inner("h1")))
+    p = S.strip(H.strip_tags(F.regexp_replace(para, r"(?i)<br\s*/?>", " ")))
+    return parts.select("page_id", F.nullif(t, F.lit("")).alias("title"), F.nullif(p, F.lit("")).alias("body"))
 
 
 # TXT-23 -- list items with a link: href, basename, text
 def extract_items(pages: DataFrame, html: str = "html") -> DataFrame:
-    items = F.regexp_extract_all(_clean_html(F.col(html)), F.lit(r"(<li[^>]*>\s*<a [^>]*>.*?</a>)"), 1)
-    x = pages.select("page_id", F.posexplode(items).alias("k", "item"))
-    href = F.regexp_extract("item", r'href="([^"]*)"', 1)
-    text = S.strip(strip_tags(F.regexp_extract("item", r"(?s)<a [^>]*>(.*?)</a>", 1)))
-    return x.select("page_id", (F.col("k") + 1).cast("bigint").alias("k"), href.alias("href"), S.url_basename(href).alias("basename"), text.alias("text"))
+    """The first link of every list item that begins with one, items of
+    nested lists included."""
+    toks = pages.select("page_id", H.tokens(H.visible(html)).alias("toks"))
+    opens = lambda item: F.get(F.filter(item, lambda t: S.strip(t) != ""), 0)  # noqa: E731  white space may precede the link
+    items = F.filter(F.transform(H.elements("toks", "li", nested=True), H.inner), lambda item: F.coalesce(opens(item).rlike(r"(?is)^<a\s"), F.lit(False)))
+    x = toks.select("page_id", F.posexplode(items).alias("k", "item"))
+    x = x.select("page_id", (F.col("k") + 1).cast("bigint").alias("k"), H.first(H.elements("item", "a")).alias("a"))
+    href = F.coalesce(H.attribute(F.get("a", 0), "href"), F.lit(""))
+    return x.select("page_id", "k", href.alias("href"), S.url_basename(href).alias("basename"), S.strip(H.text_of(H.inner("a"))).alias("text"))
 
 
 # TXT-24 -- container texts, inner tags -> newline, parts joined by a blank line
-def extract_text(pages: DataFrame, container: str, html: str = "html") -> DataFrame:
-    """``container`` is a regex for the opening tag, e.g. ``<div class="ad">``
-    (closing tag matched lazily by name)."""
-    name = container.strip("<").split(" ")[0].split(">")[0]
-    parts = F.regexp_extract_all(_clean_html(F.col(html)), F.lit(r"(?s)" + container + r"(.*?)</" + name + ">"), 1)
-    cleaned = F.transform(parts, lambda p: S.strip(strip_tags(p, "\n")))
-    return pages.select("page_id", F.array_join(cleaned, "\n\n").alias("text"))
+def extract_text(pages: DataFrame, name: str, where=None, html: str = "html") -> DataFrame:
+    """The texts of all elements ``name`` whose opening tag meets ``where``;
+    an element's text goes on after elements of its name inside it."""
+    toks = pages.select("page_id", H.tokens(H.visible(html)).alias("toks"))
+    cleaned = F.transform(H.elements("toks", name, where), lambda e: S.strip(H.text_of(H.inner(e), "\n")))
+    return toks.select("page_id", F.array_join(cleaned, "\n\n").alias("text"))
 
 
 # TXT-26 -- "die Sonne" -> (die, Sonne); last word of a line

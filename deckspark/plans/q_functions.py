@@ -172,6 +172,45 @@ def str19(spark, sf):
     return d.select("doc_id", F.posexplode("s").alias("i", "sentence")).withColumn("i", (F.col("i") + 1).cast("bigint"))
 
 
+_BARE = "regexp_replace(regexp_replace({x}, '^[^\\p{{L}}\\p{{N}}]+', ''), '[^\\p{{L}}\\p{{N}}.!?]+\\z', '')"
+_KIND = "regexp_replace(lower(regexp_replace({x}, '\\.\\z', '')), '\\d+([.,]\\d+)*', '0', 'g')"
+_PLAIN = "regexp_replace({x}, '[!?]+\\z', '')"
+LEARNED_SENTENCES_SQL = f"""
+       with l as (select distinct md5(text) as tid, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as n from documents),
+            t as (select tid, n, list_filter(regexp_split_to_array(line, '[ \\t\\r]+'), lambda x: x <> '') as toks from l),
+            w as (select tid, n, unnest(toks) as word, generate_subscripts(toks, 1) as i from t),
+            b as (select tid, n, i, {_BARE.format(x='word')} as bare,
+                         lag({_BARE.format(x='word')}) over (partition by tid, n order by i) as prev,
+                         lead({_BARE.format(x='word')}) over (partition by tid, n order by i) as next, word from w),
+            k as (select {_KIND.format(x=_PLAIN.format(x='bare'))} as kind, ends_with(bare, '.') and not ends_with(bare, '..') as stop,
+                         regexp_matches(bare, '^\\p{{Ll}}') as small,
+                         prev is not null and not regexp_matches(prev, '[.!?]\\z') and regexp_matches(bare, '^\\p{{Lu}}') as capital
+                  from b where regexp_matches(bare, '[\\p{{L}}\\p{{N}}]')),
+            c as (select kind, count(*) filter (where stop) as a, count(*) filter (where not stop) as z,
+                         count(*) filter (where small) as small, count(*) filter (where capital) as capital,
+                         length(kind) - length(replace(kind, '.', '')) as dots from k group by kind),
+            p as (select least(greatest(sum(a) / sum(a + z), 1e-9), 1 - 1e-9) as p from c),
+            m as (select kind, a > 0 and 2 * (a * ln(0.99 / p) + z * ln((1 - 0.99) / (1 - p))) * exp(-(length(kind) - dots)) * (dots + 1)
+                                      * pow(length(kind) - dots, -z) >= 0.3 as short, small > 0 and capital = 0 as starter from c, p),
+            e as (select b.*, ends_with(bare, '.') and (ends_with(bare, '..') or coalesce(m1.short, false)) as unsure,
+                         regexp_matches(next, '^\\p{{Lu}}') and coalesce(m2.starter, false) as begins
+                  from b left join m m1 on m1.kind = {_KIND.format(x='bare')} left join m m2 on m2.kind = {_KIND.format(x=_PLAIN.format(x='next'))}),
+            s as (select tid, n, i, word, coalesce(sum((regexp_matches(bare, '[.!?]\\z') and next is not null and (not unsure or begins))::int)
+                         over (partition by tid, n order by i rows between unbounded preceding and 1 preceding), 0) as k from e),
+            g as (select tid, n, k, string_agg(word, ' ' order by i) as sentence from s group by tid, n, k)
+       select d.doc_id, row_number() over (partition by d.doc_id, d.rid order by n, k) as i, sentence
+       from (select *, row_number() over () as rid from documents) d join g on md5(d.text) = g.tid"""
+
+
+@query("str19_learned_sentences", LEARNED_SENTENCES_SQL)
+def str19l(spark, sf):
+    """With the abbreviations that the documents themselves teach."""
+    from ..operators.sentences import learn_sentence_ends, split_sentences
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return split_sentences(docs, learn_sentence_ends(docs)).select("doc_id", "i", "sentence")
+
+
 @query(
     "str20_fix_sentence",
     f"""select doc_id, pos, case when ends_with(s, '"') then replace(s, '/', '.') || '.' else replace(s, '/', '.') end as fixed

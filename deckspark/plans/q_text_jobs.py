@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import index as ix
 from ..functions import text as S
+from ..functions.html import HTML_ENTITIES
 from ..operators import cards as CD
 from ..operators import joins as J
+from ..operators import lemmas as LM
 from ..operators import window as W
 from ..schema import DROPPED_TOKENS
 from . import corpus as CP
@@ -28,7 +31,7 @@ DROPPED_SQL = "(" + ", ".join(f"'{t}'" for t in DROPPED_TOKENS) + ")"
 def _token_table(spark, sf):
     t = v_tok(spark, sf)
     return t.select(
-        (F.col("doc_id") * 100000 + F.col("pos")).alias("sent"),
+        F.concat_ws("-", "doc_id", "pos").alias("sent"),
         "i",
         "token",
         F.when(F.lower("token").isin(*SEP_PREFIXES), "svp").otherwise("").alias("dep"),
@@ -42,7 +45,7 @@ def _lemma_dict(spark, sf):
     return b.select("form", F.lower("form").alias("lemma"))
 
 
-TOKEN_TABLE_SQL = f"""(select doc_id * 100000 + pos as sent, i, token,
+TOKEN_TABLE_SQL = f"""(select doc_id::varchar || '-' || pos as sent, i, token,
         case when lower(token) in {PREFIX_SQL} then 'svp' else '' end as dep,
         case when ends_with(token, 'en') then 'VERB' else 'X' end as pos, cast(1 as bigint) as head from {V_TOK_SQL})"""
 LEMMA_DICT_SQL = "(select form, min(lower(form)) as lemma from (select unnest(string_split(text, ' ')) as form from benchmark) group by form)"
@@ -62,6 +65,14 @@ def txt01(spark, sf):
     return CP.lemmatize(_token_table(spark, sf), _lemma_dict(spark, sf))
 
 
+@query("txt01_lemmatize_unseen")
+def txt01u(spark, sf):
+    """A dictionary of half of the forms; the others by learnt edit trees."""
+    d = _lemma_dict(spark, sf)
+    half = d.where(F.pmod(F.crc32("form"), F.lit(2)) == 0)
+    return CP.lemmatize(_token_table(spark, sf), half, unseen=LM.learn(half))
+
+
 # ------------------------------------------------------------- TXT-02 -----
 
 @query(
@@ -518,7 +529,7 @@ CLEAN_HTML_SQL = "regexp_replace(html, '(?is)<script\\b.*?</script>|<style\\b.*?
 
 def _strip_tags_sql(x: str, repl: str = "''") -> str:
     out = f"regexp_replace({x}, '<[^>]*>', {repl}, 'g')"
-    for ent, ch in CP.HTML_ENTITIES:
+    for ent, ch in HTML_ENTITIES:
         esc = ch.replace("'", "''")
         out = f"replace({out}, '{ent}', '{esc}')"
     return out
@@ -569,7 +580,25 @@ def txt23(spark, sf):
               lambda p: {strip_sql(_strip_tags_sql('p', "chr(10)"))}), chr(10) || chr(10)) as text from pages""",
 )
 def txt24(spark, sf):
-    return CP.extract_text(table(spark, sf, "pages"), "<footer>")
+    return CP.extract_text(table(spark, sf, "pages"), "footer")
+
+
+@query(
+    "txt24_nested_containers",
+    f"""select page_id, {strip_sql(_strip_tags_sql("regexp_replace(" + CLEAN_HTML_SQL.replace("html", "'<div>' || html || '</div>'") + ", '^<div>|</div>$', '', 'g')", "chr(10)"))} as text,
+              array_to_string(list_transform(regexp_extract_all(regexp_extract({CLEAN_HTML_SQL}, '(?s)<nav>.*?<ul>(.*?)</ul>.*?</nav>', 1), '(?s)<li>(.*?)</li>', 1),
+                lambda x: {_strip_tags_sql('x')}), '|') as links
+       from pages""",
+)
+def txt24n(spark, sf):
+    """The text of a container that holds others of its name, and a chain of
+    searches: the items of the list in the navigation."""
+    pages = table(spark, sf, "pages").withColumn("html", F.concat(F.lit("<div>"), "html", F.lit("</div>")))
+    whole = CP.extract_text(pages, "div")
+    toks = pages.select("page_id", H.tokens(H.visible("html")).alias("toks"))
+    items = H.elements(H.first(H.elements(H.first(H.elements("toks", "nav")), "ul")), "li")
+    links = toks.select("page_id", F.array_join(F.transform(items, lambda e: H.text_of(H.inner(e))), "|").alias("links"))
+    return whole.join(links, "page_id")
 
 
 # ------------------------------------------------------------- TXT-25 -----
