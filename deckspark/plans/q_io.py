@@ -353,6 +353,38 @@ def snk10(spark, sf):
     return K.story_blocks(sentences, headers, "doc_id", "pos", "sentence", "header")
 
 
+@query(
+    "snk10_story_lines",
+    f"""select doc_id::int as n, trim(replace(trim(header), chr(10), ' ')) as header, pos, {strip_sql('sentence')} as sentence
+       from {STORY_SQL} join {V_LINE_SQL} using (doc_id) where {strip_sql('sentence')} <> ''""",
+)
+def snk10l(spark, sf):
+    """Stories written and read back line by line."""
+    path = scratch_path(spark, "story-lines")
+    sentences, headers = _stories(spark, sf)
+    K.write_stories(sentences, headers, "doc_id", "pos", "sentence", "header", path, whole=False)
+    return R.read_story_lines(spark, path).select("n", "header", "pos", "sentence")
+
+
+@query(
+    "up08_upsert_store",
+    """with inc as (select o_orderkey, o_orderpriority || '*' as o_orderpriority from orders where o_orderkey % 1000 < 10),
+            deck as (select o_orderkey, o_orderpriority from orders where o_orderdate < timestamp '1999-01-01')
+       select coalesce(d.o_orderkey, i.o_orderkey) as o_orderkey, coalesce(i.o_orderpriority, d.o_orderpriority) as o_orderpriority
+       from deck d full join inc i on d.o_orderkey = i.o_orderkey""",
+)
+def up08s(spark, sf):
+    """An upsert that rewrites the ranges of a stored deck that it touches."""
+    from ..sources import stored as ST
+
+    path = scratch_path(spark, "stored-deck")
+    o = table(spark, sf, "orders")
+    ST.create_store(o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp")).select("o_orderkey", "o_orderpriority"), path, "o_orderkey", rows=2000)
+    inc = o.where(F.pmod("o_orderkey", F.lit(1000)) < 10).select("o_orderkey", F.concat("o_orderpriority", F.lit("*")).alias("o_orderpriority"))
+    ST.upsert_store(spark, path, inc, "o_orderkey", rows=2000)
+    return ST.read_store(spark, path)
+
+
 @query(
     "snk12_block_payload",
     """select cast(block as bigint) as block, string_agg(cast(o_orderkey as varchar) || '|' || o_orderstatus, chr(10) order by o_orderkey) as payload

@@ -84,6 +84,36 @@ def read_stories(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_story_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(story, n, header, pos, sentence): one row per body line, ``pos`` from
+    1; ``story`` counts the blocks in order.  Stories of any length, also
+    across part files: each line learns its block from the lines before it by
+    prefix scans, so no story is one row.  A story without body lines, and
+    what is outside of bodies, gives no row; lines are taken as written, but
+    for white space at their ends; blank ones count but give no row."""
+    from ..operators.scan import LAST, SUM, prefix_scan
+
+    lines = read_lines(spark, path, line_col="value").withColumn("value", strip("value"))
+    v = F.col("value")
+    number, title = F.regexp_extract(v, r"^<n>\s*(\d+)\s*</n>$", 1), F.regexp_extract(v, r"^<header>(.*)</header>$", 1)
+    place = F.when(v.isin("<txt>", "</body>", "</txt>"), F.struct(F.lit(False).alias("inside"), F.col("line_no").alias("at")))
+    place = place.when(v == "<body>", F.struct(F.lit(True).alias("inside"), F.col("line_no").alias("at")))
+    x = prefix_scan(
+        lines,
+        [],
+        ["line_no"],
+        {
+            "story": ((v == "<txt>").cast("long"), SUM),
+            "n": (F.when(v == "<txt>", -1).when(number != "", number.try_cast("int")), LAST),
+            "header": (F.when(v == "<txt>", "").when(v.rlike("^<header>.*</header>$"), strip(title)), LAST),
+            "place": (place, LAST),
+        },
+    )
+    inside = F.coalesce("place.inside", F.lit(False)) & (v != "<body>") & (v != "")
+    n = F.when(F.col("n") >= 0, F.col("n"))
+    return x.where(inside).select("story", n.alias("n"), "header", (F.col("line_no") - F.col("place.at")).alias("pos"), F.col("value").alias("sentence"))
+
+
 # SRC-09 -- appended progress log of <block><index/><body/></block>; an index
 # may repeat and the last entry wins.
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -136,31 +166,51 @@ SEPARATORS = {"tab": "\t", "comma": ",", "semicolon": ";", "pipe": "|", "space":
 
 
 def _note_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(directive lines, data lines)."""
-    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__at"), "value")
-    first = raw.where(~F.col("value").startswith("#")).groupBy("__file").agg(F.min("__at").alias("__first"))
-    marked = raw.join(first, "__file", "left")
-    is_data = F.coalesce(F.col("__at") >= F.col("__first"), F.lit(False))
-    return marked.where(~is_data).select("value"), marked.where(is_data).select("value")
+    """(directive lines, data lines) with their ``__file``.  The files are
+    read once: a running count of data lines, over sampled ranges, tells
+    which lines come before a file's first."""
+    from ..operators.scan import SUM, prefix_scan
 
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__place"), "value")
+    data = (~F.col("value").startswith("#")).cast("long")
+    x = prefix_scan(raw, ["__file"], ["__place"], {"__data": (data, SUM)}).select("__file", "__place", "value", "__data")
+    return x.where("__data = 0"), x.where("__data > 0")
 
-def read_directives(spark: SparkSession, path: str) -> DataFrame:
+
+def _directives(lines: DataFrame) -> DataFrame:
     kv = F.split(F.expr("substring(value, 2)"), ":", 2)
-    return _note_lines(spark, path)[0].select(F.trim(kv[0]).alias("key"), F.trim(kv[1]).alias("value")).distinct()
+    return lines.select("__file", "__place", F.trim(kv[0]).alias("key"), F.trim(F.get(kv, 1)).alias("value"))
+
+
+def read_directives(spark: SparkSession, path: str) -> DataFrame:
+    return _directives(_note_lines(spark, path)[0]).select("key", "value").distinct()
 
 
 def read_note_file(spark: SparkSession, path: str, names: list[str], sep: str | None = None) -> DataFrame:
-    """``sep`` defaults to the file's ``#separator``, else a tab.  Under
-    ``#html:false`` the fields are plain text and their markup characters are
-    escaped, so that they show as written on a card."""
-    known = {r["key"]: r["value"] for r in read_directives(spark, path).where("key in ('separator', 'html')").limit(4).collect()}
-    sep = sep or SEPARATORS.get((known.get("separator") or "tab").lower(), known.get("separator"))
-    fields = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": sep, "quote": '"', "escape": '"'})
-    rows = _note_lines(spark, path)[1].select(fields.alias("__f")).select("__f.*")
-    if known.get("html") == "false":
-        escape = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-        rows = rows.select(*[escape(n).alias(n) for n in names])
-    return rows
+    """``sep`` defaults to the file's own ``#separator``, else a tab; of a
+    directive that a file repeats the last counts.  Under ``#html:false`` the
+    fields of a file are plain text and their markup characters are escaped,
+    so that they show as written on a card."""
+    head, data = _note_lines(spark, path)
+    last = lambda k: F.max_by("value", F.when(F.col("key") == k, F.col("__place")))
+    per_file = _directives(head).groupBy("__file").agg(last("separator").alias("__sep"), last("html").alias("__html"))
+    rows = data.join(per_file.select(F.col("__file").alias("__f"), "__sep", "__html"), F.col("__file") == F.col("__f"), "left")
+    schema = ", ".join(f"`{n}` string" for n in names)
+    parse = lambda by: F.from_csv("value", schema, {"sep": by, "quote": '"', "escape": '"'})
+    if sep is not None:
+        fields = parse(sep)
+    else:
+        # one way to parse per separator that a file names: as many as there
+        # are different ones, not files
+        used = [r[0] for r in per_file.where("__sep is not null").select("__sep").distinct().collect()]
+        fields = F.lit(None)
+        for u in used:
+            fields = F.when(F.col("__sep") == u, parse(SEPARATORS.get(u.lower(), u))).otherwise(fields)
+        fields = F.when(F.col("__sep").isNull(), parse("\t")).otherwise(fields) if used else parse("\t")
+    escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    plain = F.coalesce(F.col("__html") == "false", F.lit(False))
+    rows = rows.select(fields.alias("__fields"), plain.alias("__plain"))
+    return rows.select(*[F.when(F.col("__plain"), escaped(F.col(f"__fields.`{n}`"))).otherwise(F.col(f"__fields.`{n}`")).alias(n) for n in names])
 
 
 # SRC-15 -- crawled pages

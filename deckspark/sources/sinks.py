@@ -102,8 +102,30 @@ def story_blocks(sentences: DataFrame, headers: DataFrame, key: str, pos: str, l
     return j.select(key, text.alias("value"))
 
 
-def write_stories(sentences: DataFrame, headers: DataFrame, key: str, pos: str, line: str, header: str, path: str) -> None:
-    story_blocks(sentences, headers, key, pos, line, header).orderBy(key).select("value").write.mode("overwrite").text(path)
+def story_lines(sentences: DataFrame, headers: DataFrame, key: str, pos: str, line: str, header: str) -> DataFrame:
+    """(key, part, pos, value): the lines of the story blocks, one row each;
+    in order of these columns they are the text of the file.  Line ends
+    inside a sentence or header become spaces, so that a line is a line."""
+    one_line = lambda c: F.regexp_replace(c, "[\r\n]+", " ")
+    title = F.concat(F.lit("<header>"), one_line(F.coalesce(F.trim(F.col(header)), F.lit(""))), F.lit("</header>"))
+    opening = F.array(F.lit("<txt>"), F.concat(F.lit("<n>"), F.col(key).cast("string"), F.lit("</n>")), title, F.lit("<body>"))
+    around = F.concat(F.transform(opening, lambda v, i: F.struct(F.lit(0).alias("part"), i.cast("long").alias("pos"), v.alias("value"))),
+                      F.transform(F.array(F.lit("</body>"), F.lit("</txt>")), lambda v, i: F.struct(F.lit(2).alias("part"), i.cast("long").alias("pos"), v.alias("value"))))
+    frame = headers.where(F.col(key).isNotNull()).select(key, F.explode(around).alias("x")).select(key, "x.*")
+    body = sentences.where(F.col(line).isNotNull()).select(key, F.lit(1).alias("part"), F.col(pos).cast("long").alias("pos"), one_line(F.col(line)).alias("value"))
+    told = headers.select(key).distinct()
+    return frame.unionByName(body.join(told, key, "left_semi"))
+
+
+def write_stories(sentences: DataFrame, headers: DataFrame, key: str, pos: str, line: str, header: str, path: str, whole: bool = True) -> None:
+    """Story blocks in order of ``key``, which names each story once.  Lines
+    are written row by row: a story of any length fits.  ``whole`` keeps each
+    story in one file, for readers of blocks; otherwise long stories are
+    spread over files, in order (see ``readers.read_story_lines``)."""
+    lines = story_lines(sentences, headers, key, pos, line, header)
+    by = [key, "part", "pos"]
+    dealt = lines.repartitionByRange(key).sortWithinPartitions(*by) if whole else lines.orderBy(*by)
+    dealt.select("value").write.mode("overwrite").text(path)
 
 
 # SNK-11 -- 12-field sentence cards, zero-padded ids, quotes doubled

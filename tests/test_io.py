@@ -82,3 +82,54 @@ def test_write_parts(spark):
     back = spark.read.csv(p, sep="|", header=True)
     got = sorted((int(r.i), int(r.part)) for r in back.collect())
     assert got == [(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)]
+
+
+def test_long_stories_line_by_line(spark):
+    """One story of 20,000 lines over several files, one without lines, line
+    ends in a header and a sentence, lines that look like marks elsewhere."""
+    p = scratch_path(spark, "t-stories")
+    long_ = spark.range(20_000).selectExpr("cast(2 as int) t", "cast(id + 1 as int) p", "concat('line ', id, repeat('x', 200)) s").repartition(6)
+    few = spark.createDataFrame([(1, 1, "Eins.\nZwei"), (1, 2, "a < b <n>7</n>"), (4, 1, "Ende"), (9, 1, "no header"), (4, 2, None)], "t int, p int, s string")
+    headers = spark.createDataFrame([(1, "First\nstory"), (2, "Long"), (3, "Empty"), (4, None)], "t int, h string")
+    sizes = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        K.write_stories(long_.unionByName(few), headers, "t", "p", "s", "h", p, whole=False)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", sizes)
+    assert len([f for f in os.listdir(local(p)) if f.startswith("part")]) > 1
+    got = {}
+    for r in R.read_story_lines(spark, p).orderBy("story", "pos").collect():
+        got.setdefault((r.story, r.n, r.header), []).append((r.pos, r.sentence))
+    want_long = [(i + 1, f"line {i}" + "x" * 200) for i in range(20_000)]
+    assert got == {(1, 1, "First story"): [(1, "Eins. Zwei"), (2, "a < b <n>7</n>")], (2, 2, "Long"): want_long, (4, 4, ""): [(1, "Ende")]}
+    q = scratch_path(spark, "t-stories")
+    K.write_stories(long_.unionByName(few), headers, "t", "p", "s", "h", q)
+    blocks = {r.n: len(r.body) for r in R.read_stories(spark, q).collect()}
+    assert blocks == {1: 2, 2: 20_000, 3: 1, 4: 1}
+
+
+def test_note_files_with_their_own_directives(spark):
+    p = local(scratch_path(spark, "t-notes"))
+    os.makedirs(p)
+    texts = {
+        "a.txt": "#separator:semicolon\n#html:false\na<b;x & y\n#not;a directive\n",
+        "b.txt": "#html:true\n#separator:Pipe\n<b>1</b>|two\n",
+        "c.txt": "tab\there\n#separator:comma\tlate\n",
+        "d.txt": "#separator:comma\n#separator:$\n1$\"q$r\"\n",
+        "e.txt": "#separator:comma\n",
+    }
+    for name, text in texts.items():
+        with open(os.path.join(p, name), "w", encoding="utf8") as f:
+            f.write(text)
+    got = sorted(tuple(r) for r in R.read_note_file(spark, p, ["front", "back"]).collect())
+    assert got == sorted([("a&lt;b", "x &amp; y"), ("#not", "a directive"), ("<b>1</b>", "two"), ("tab", "here"), ("#separator:comma", "late"), ("1", "q$r")])
+    plan = R.read_note_file(spark, p, ["front", "back"])._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan  # the files themselves were read once, before
+
+
+def test_no_directives_use_tabs(spark):
+    p = local(scratch_path(spark, "t-notes"))
+    write_text(p, "a\tb\nc\n")
+    assert sorted(tuple(r) for r in R.read_note_file(spark, p, ["x", "y"]).collect()) == [("a", "b"), ("c", None)]
+    assert [tuple(r) for r in R.read_note_file(spark, p, ["x", "y"], sep="b").where("x like 'a%'").collect()] == [("a\t", None)]
