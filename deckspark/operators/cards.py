@@ -7,6 +7,8 @@ placeholders are filled with chained ``replace`` in one JVM expression.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,19 @@ def fill(template, fields: dict[str, Column]) -> Column:
 
 
 # TXT-06
-def render_template(df: DataFrame, template: str, cols: list[str], out: str = "rendered") -> DataFrame:
-    return df.withColumn(out, fill(template, {c: F.col(c) for c in cols}))
+def render_template(df: DataFrame, template: str, cols: list[str], out: str = "rendered", strict: bool = False) -> DataFrame:
+    """With ``strict`` a placeholder that is left over is an error: at once
+    if the template names what ``cols`` does not hold, and when the rows are
+    computed if a field brings one in."""
+    filled = fill(template, {c: F.col(c) for c in cols})
+    if not strict:
+        return df.withColumn(out, filled)
+    left = [p for p in re.findall(PLACEHOLDER, template) if p[2:-2] not in cols]
+    if left:
+        raise ValueError(f"nothing fills {', '.join(left)}")
+    df = df.withColumn(out, filled)
+    told = F.concat(F.lit("nothing fills "), F.array_join(unresolved(out), ", "))
+    return df.withColumn(out, F.when(F.size(unresolved(out)) > 0, F.raise_error(told)).otherwise(F.col(out)))
 
 
 def unresolved(col) -> Column:

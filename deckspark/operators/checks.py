@@ -113,11 +113,20 @@ def check_pending(pending: DataFrame) -> DataFrame:
     return pending.agg(F.count(F.lit(1)).cast("bigint").alias("n_pending")).withColumn("nothing_left", F.col("n_pending") == 0)
 
 
-# DQ-13 -- ranks must not decrease along the index.  The predecessor comes
-# from numbering + an equi-join on the position (no single-partition lag).
-def check_rank_order(df: DataFrame, order: str, rank: str) -> DataFrame:
-    from .window import number_rows
-
-    n = number_rows(df, [], [order], "__pos")
-    prev = n.select((F.col("__pos") + 1).alias("__pos"), F.col(rank).alias("prev_size"))
-    return n.join(prev, "__pos").where(F.col("prev_size") > F.col(rank)).drop("__pos")
+# DQ-13 -- ranks must not decrease along the index, and cards of equal rank
+# have consecutive indices.  The predecessor comes from a prefix scan (no
+# single-partition lag).
+def check_rank_order(df: DataFrame, order: str, rank: str, consecutive: bool = False) -> DataFrame:
+    """Offending rows with ``prev_size``, the rank before them; with
+    ``consecutive`` also those of the same rank whose index is not the next
+    whole number, and with ``prev_index``."""
+    from .scan import LAST, prefix_scan
+
+    prev = F.struct(F.col(rank).alias("rank"), F.col(order).alias("index"))
+    x = prefix_scan(df, [], [order, rank], {"__prev": (prev, LAST)}, inclusive=False)
+    falls = F.col("__prev.rank") > F.col(rank)
+    shown = [F.col("__prev.rank").alias("prev_size")]
+    if consecutive:
+        falls = falls | ((F.col("__prev.rank") == F.col(rank)) & (F.col(order) - F.col("__prev.index") != 1))
+        shown.append(F.col("__prev.index").alias("prev_index"))
+    return x.where(falls).select(*df.columns, *shown)

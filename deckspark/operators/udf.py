@@ -7,7 +7,8 @@ functions as Arrow UDTFs; the comparator becomes a sort-key expression.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import unicodedata
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,8 +37,21 @@ def map_rows(df: DataFrame, cols: list[str], fn: Callable, out: str, return_type
 
 
 # UDF-03 -- a pandas function per group
-def apply_groups(df: DataFrame, key, fn: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
+def apply_groups(df: DataFrame, key, fn: Callable[[pd.DataFrame], pd.DataFrame], schema, partial: Callable[[pd.DataFrame], pd.DataFrame] | None = None, partial_schema=None) -> DataFrame:
+    """``fn`` gets the whole group, which must be of bounded size.  With
+    ``partial`` a group of any size will do: it makes few rows of the rows
+    that a group has in one batch, before the shuffle, and ``fn`` gets those
+    of all batches."""
     keys = list(key) if isinstance(key, (list, tuple)) else [key]
+    if partial is not None:
+
+        def run(batches):
+            for pdf in batches:
+                parts = [partial(g) for _, g in pdf.groupby(keys, dropna=False, sort=False)]
+                if parts:
+                    yield pd.concat(parts, ignore_index=True)
+
+        df = df.mapInPandas(run, partial_schema)
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 
@@ -54,19 +68,58 @@ def apply_steps(df: DataFrame, steps: list[Callable[[DataFrame], DataFrame]]) ->
 
 
 # UDF-07 -- table function: one row -> many (Arrow UDTF)
-def explode_lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    from pyspark.sql.functions import udtf
+def explode_with(df: DataFrame, key: str, value: str, fn: Callable[[str], Iterable[str]], kind: str = "bigint", out: str = "line") -> DataFrame:
+    """(key, i, out): what the Python generator ``fn`` makes of each value,
+    numbered from 1; null values give nothing."""
 
-    @udtf(returnType="key: bigint, i: bigint, line: string", useArrow=True)
-    class _Lines:
+    @F.udtf(returnType=f"key: {kind}, i: bigint, line: string", useArrow=True)
+    class _Rows:
         def eval(self, k, t):
-            if t is None:
-                return
-            for i, line in enumerate(t.split("\n"), start=1):
-                yield k, i, line
-
-    spark = df.sparkSession
-    spark.udtf.register("deck_explode_lines", _Lines)
-    src = df.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"))
-    out = spark.sql("SELECT u.key, u.i, u.line FROM {src} s, LATERAL deck_explode_lines(s.k, s.t) u", src=src)
-    return out.withColumnRenamed("key", key)
+            if t is not None:
+                for i, x in enumerate(fn(t), start=1):
+                    yield k, i, x
+
+    src = df.select(F.col(key).cast(kind).alias("k"), F.col(value).alias("t"))
+    rows = src.lateralJoin(_Rows(F.col("k").outer(), F.col("t").outer()))
+    return rows.select(F.col("key").alias(key), "i", F.col("line").alias(out))
+
+
+def wrap_words(text: str, width: int) -> Iterable[str]:
+    """Lines of at most ``width`` characters, filled greedily with the words
+    between single spaces; a longer word has a line of its own."""
+    line = None
+    for word in text.split(" "):
+        if line is not None and len(line) + 1 + len(word) <= width:
+            line = f"{line} {word}"
+        else:
+            if line is not None:
+                yield line
+            line = word
+    if line is not None:
+        yield line
+
+
+def without_accents(text: str) -> str:
+    """Letters without their marks, in composed form."""
+    bare = (c for c in unicodedata.normalize("NFD", text) if not unicodedata.category(c).startswith("M"))
+    return unicodedata.normalize("NFC", "".join(bare))
+
+
+def jaro(a: str, b: str) -> float:
+    """Jaro's similarity: shared characters that are not far apart, less
+    half of those out of order."""
+    if not a or not b:
+        return float(a == b)
+    reach = max(len(a), len(b)) // 2 - 1
+    used, mine = [False] * len(b), []
+    for i, c in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if not used[j] and b[j] == c:
+                used[j] = True
+                mine.append(c)
+                break
+    if not mine:
+        return 0.0
+    theirs = [c for c, u in zip(b, used) if u]
+    m, moved = len(mine), sum(x != y for x, y in zip(mine, theirs)) // 2
+    return (m / len(a) + m / len(b) + (m - moved) / m) / 3

@@ -111,23 +111,56 @@ def suffix_occurrences(df: DataFrame, idx: str, order, step: str = "0.001", out:
     return numbered.withColumn(out, ix.suffix(F.col(idx), F.col("__occ") - 1, step)).drop("__occ")
 
 
-# WN-02 -- previous / next element within a group, "" at the edges.  Each
-# position is sent a copy of its neighbours' values and its own row in one
-# aggregation: one shuffle, no window partition, no task per group.
-def with_context(df: DataFrame, key: str, pos: str, cols: list[str], blank: str = "") -> DataFrame:
-    """Positions are dense within ``key``; rows are unique by (key, pos)."""
-    own = F.struct(*[F.col(c) for c in df.columns])
-    near = F.struct(*[F.col(c) for c in cols])
-    at = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), (F.col(pos) + s).alias("p")) for s in (-1, 0, 1)]))
-    sent = df.select(F.col(key).alias("__k"), at.alias("__at"), own.alias("__row"), near.alias("__near"))
-    shift = F.col("__at.s")
-    met = sent.groupBy("__k", F.col("__at.p").alias("__p")).agg(
-        F.max(F.when(shift == 0, F.col("__row"))).alias("__row"),
-        F.max(F.when(shift == 1, F.col("__near"))).alias("__prev"),
-        F.max(F.when(shift == -1, F.col("__near"))).alias("__next"),
+def neighbours(df: DataFrame, keys, order, cols: list[str], before: int, after: int) -> DataFrame:
+    """``df`` with ``__before`` and ``__after``: arrays of the ``cols`` of the
+    ``before`` rows before and ``after`` rows after each, nearest first, null
+    where the group of ``keys`` ends.  A row is sent to its range once; what a
+    range's borders need comes from a table of one row per range.  Every row
+    comes back, whatever its keys and order hold."""
+    keys, order = _cols(keys), _cols(order)
+    t = _ranged(df, keys, order)
+    x = t.withColumn("__x", F.struct(F.struct(*[F.col(k) for k in keys]).alias("k"), F.struct(*[F.col(c) for c in cols]).alias("v")))
+    at = F.struct(F.col("__n").alias("n"), F.col("__x").alias("x"))
+    size = t.groupBy("__p").agg(F.count(F.lit(1)).alias("__size"))
+    # the first and last rows of each range: a few rows per range
+    ends = x.join(F.broadcast(size), "__p").where((F.col("__n") < after) | (F.col("__n") >= F.col("__size") - before))
+    ends = ends.groupBy("__p", "__size").agg(
+        F.array_sort(F.collect_list(F.when(F.col("__n") < after, at))).alias("__head"),
+        F.array_sort(F.collect_list(F.when(F.col("__n") >= F.col("__size") - before, at))).alias("__tail"),
     )
-    sides = [F.coalesce(F.col(f"__{d}.{c}"), F.lit(blank)).alias(f"{c}_{d}") for d in ("prev", "next") for c in cols]
-    return met.where("__row is not null").select("__row.*", *sides)
+    ranges = Window.orderBy("__p")  # one row per range
+    over = lambda c, a, b: F.transform(F.flatten(F.collect_list(c).over(ranges.rowsBetween(a, b))), lambda e: e["x"])
+    sides = [over("__tail", -before, -1).alias("__earlier")] * (before > 0) + [over("__head", 1, after).alias("__later")] * (after > 0)
+    edges = ends.select("__p", "__size", *sides)
+    j = x.join(F.broadcast(edges), "__p")
+    rows = Window.partitionBy("__p").orderBy("__n")
+    own = F.col("__x.k")
+
+    def near(step: int) -> Column:
+        """The row ``step`` rows on (back, if negative)."""
+        if step < 0:
+            n = F.col("__n") + step
+            outside = F.try_element_at("__earlier", F.when(n < 0, n).otherwise(-1).cast("int"))
+            found = F.when(n >= 0, F.lag("__x", -step).over(rows)).otherwise(outside)
+        else:
+            n = F.col("__n") + step - F.col("__size") + 1
+            outside = F.try_element_at("__later", F.when(n > 0, n).otherwise(1).cast("int"))
+            found = F.when(n <= 0, F.lead("__x", step).over(rows)).otherwise(outside)
+        return F.when(found["k"].eqNullSafe(own), found["v"])
+
+    near_cols = {f"__b{s}": near(-s) for s in range(1, before + 1)} | {f"__a{s}": near(s) for s in range(1, after + 1)}
+    got = j.withColumns(near_cols)
+    both = [F.array(*[F.col(f"__b{s}") for s in range(1, before + 1)]).alias("__before"), F.array(*[F.col(f"__a{s}") for s in range(1, after + 1)]).alias("__after")]
+    return got.select(*df.columns, *both)
+
+
+# WN-02 -- previous / next element within a group, "" at the edges
+def with_context(df: DataFrame, key: str, pos: str, cols: list[str], blank: str = "") -> DataFrame:
+    """Rows of one ``key`` in the order of ``pos``, nulls first; rows with
+    the same ``pos`` are ordered by ``cols``."""
+    near = neighbours(df, [key], [pos, *[c for c in cols if c not in (key, pos)]], cols, 1, 1)
+    side = lambda arr, c, d: F.coalesce(F.get(arr, 0)[c], F.lit(blank)).alias(f"{c}_{d}")
+    return near.select(*df.columns, *[side("__before", c, "prev") for c in cols], *[side("__after", c, "next") for c in cols])
 
 
 # WN-03 -- start / end line offset of every story (exclusive running sum)
@@ -142,25 +175,11 @@ def positions(df: DataFrame, keys, arr: str, pos: str = "pos", value: str = "val
     return df.select(*keys, F.posexplode(arr).alias(pos, value)).withColumn(pos, (F.col(pos) + base).cast("bigint"))
 
 
-# WN-08 -- +-margin context around each line (blank beyond the ends), as
-# equi-joins on shifted dense positions.
+# WN-08 -- +-margin context around each line (blank beyond the ends)
 def with_margins(df: DataFrame, key: str, pos: str, col: str, margin: int, blank: str = "") -> DataFrame:
-    shifts = [s for s in range(-margin, margin + 1) if s != 0]
-    ex = df.select(
-        F.col(key).alias("__k"),
-        F.explode(F.array(*[F.struct(F.lit(s).alias("s"), (F.col(pos) - s).alias("p")) for s in shifts])).alias("__x"),
-        F.col(col).alias("__v"),
-    ).select("__k", F.col("__x.s").alias("__s"), F.col("__x.p").alias("__p"), "__v")
-    # __p is the row that sees this line at relative offset __s
-    ctx = ex.groupBy("__k", "__p").agg(F.map_from_entries(F.collect_list(F.struct("__s", "__v"))).alias("__m"))
-    joined = df.join(ctx, (df[key] == ctx["__k"]) & (df[pos] == ctx["__p"]), "left")
-    ctx_cols = [F.coalesce(F.element_at(F.col("__m"), F.lit(s)), F.lit(blank)) for s in range(-margin, 0)]
-    after = [F.coalesce(F.element_at(F.col("__m"), F.lit(s)), F.lit(blank)) for s in range(1, margin + 1)]
-    return joined.select(
-        *[df[c] for c in df.columns],
-        F.array(*ctx_cols).alias("before"),
-        F.array(*after).alias("after"),
-    )
+    near = neighbours(df, [key], [pos, col], [col], margin, margin)
+    text = lambda arr: F.transform(arr, lambda x: F.coalesce(x[col], F.lit(blank)))
+    return near.select(*df.columns, F.reverse(text("__before")).alias("before"), text("__after").alias("after"))
 
 
 # WN-09 -- consecutive fixed-size blocks of `size` rows, at most max_blocks

@@ -1,11 +1,13 @@
 """Deck jobs composed from the operators (TXT-03..05, 13..15, 18..21, 25, 28).
 
-Every job is one lazy plan over DataFrames; the caller decides when to
-write.  Index arithmetic stays in ``decimal(18,6)``.
+Jobs are plans over DataFrames; the caller decides when to write the result
+(jobs in rounds write each round).  Index arithmetic stays in ``decimal(18,6)``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from ..operators import agg as G
 from ..operators import joins as J
 from ..operators import window as W
 from ..schema import SENTENCE_LEN_GENERATED, SENTENCE_LEN_SHORT
+from ..session import cut_lineage
 
 
 # JN-13 -- attach the first existing example per (block, translation)
@@ -72,7 +75,9 @@ def build_deck(lemmas: DataFrame, known: DataFrame, deck: DataFrame, idx: str =
 # returns (deck, extra)
 def expand_translations(deck: DataFrame, idx: str = "idx") -> tuple[DataFrame, DataFrame]:
     """Columns: idx, word_de, part_of_speech, word_en, word_translations_en,
-    sentence_de, sentence_en."""
+    sentence_de, sentence_en.  The deck is computed once, as a table that the
+    parts below read."""
+    deck = cut_lineage(deck, "deck")
     custom_cond = ix.is_custom_note(idx)
     custom = deck.where(custom_cond)
     rest = deck.where(~custom_cond)
@@ -178,6 +183,35 @@ def partition_quality(df: DataFrame, sentence: str, word: str, translation: str,
     return df.withColumn("good", F.coalesce(good, F.lit(False)))
 
 
+def rework(
+    deck: DataFrame,
+    judge: Callable[[DataFrame], DataFrame],
+    regenerate: Callable[[DataFrame, int], DataFrame],
+    keep: list[str],
+    idx: str = "idx",
+    rounds: int | None = None,
+) -> DataFrame:
+    """``judge`` adds ``good`` to a deck.  Good rows are kept; problematic
+    ones are cut to the columns ``keep`` (the index, the word, ..), made anew
+    by ``regenerate`` and judged again, until all are good or for ``rounds``
+    rounds; then both are one deck again, by index, with ``good`` false (and
+    only ``keep``) for rows that are still problematic."""
+    from ..streaming.incremental import retry_rounds
+
+    judged = cut_lineage(judge(deck), "judged")
+    good = F.coalesce("good", F.lit(False))
+    remaining = judged.where(~good).select(*keep)
+
+    def attempt(rows: DataFrame, r: int) -> DataFrame:
+        return judge(regenerate(rows, r)).withColumn("ok", good)
+
+    done, left = retry_rounds(remaining, attempt, rounds)
+    missing = [F.lit(None).cast(t).alias(c) for c, t in deck.dtypes if c not in keep]
+    still = left.select(*keep, *missing).withColumn("good", F.lit(False))
+    columns = [*deck.columns, "good"]
+    return judged.where(good).select(*columns).unionByName(done.select(*columns)).unionByName(still.select(*columns))
+
+
 # TXT-28 -- documented cleaning recipes
 def clean_deck(df: DataFrame, verb_col: str | None = None, pos_col: str | None = None, quote_cols=(), drop=()) -> DataFrame:
     out = df

@@ -12,6 +12,7 @@ from ..operators import columns as P
 from ..operators import joins as J
 from ..operators import window as W
 from ..schema import language_columns
+from ..session import cut_lineage
 from .catalog import query
 
 from .views import V_LINE_SQL, V_TOK_SQL, table, v_line, v_tok
@@ -738,6 +739,34 @@ def se05(spark, sf):
     return J.anti(remaining, ok, ["user_id", "day"])
 
 
+@query(
+    "se05_retry_until_done",
+    """select user_id, cast(ts as date) as day, cast(count(*) - 1 as integer) as round from events where event_type = 'error' group by all""",
+)
+def se05r(spark, sf):
+    """A user's day is tried until a round's number reaches its errors less
+    one; each round leaves the days that failed."""
+    from ..streaming.incremental import retry_rounds
+
+    days = table(spark, sf, "events").where(F.col("event_type") == "error").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    done, left = retry_rounds(days, lambda rows, r: rows.withColumn("ok", F.col("n") <= r + 1))
+    return done.unionByName(left.withColumn("round", F.lit(None).cast("int"))).select("user_id", "day", "round")
+
+
+@query(
+    "se05_retry_rounds",
+    """select user_id, cast(ts as date) as day, case when count(*) <= 2 then cast(count(*) - 1 as integer) end as round
+       from events where event_type = 'error' group by all""",
+)
+def se05l(spark, sf):
+    """Two rounds only: what has failed in both remains, without a round."""
+    from ..streaming.incremental import retry_rounds
+
+    days = table(spark, sf, "events").where(F.col("event_type") == "error").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    done, left = retry_rounds(days, lambda rows, r: rows.withColumn("ok", F.col("n") <= r + 1), rounds=2)
+    return done.unionByName(left.withColumn("round", F.lit(None).cast("int"))).select("user_id", "day", "round")
+
+
 @query(
     "se06_split",
     "select o_orderkey, coalesce(o_totalprice > 100000, false) as expensive from orders",
@@ -764,5 +793,12 @@ def se07(spark, sf):
           from {V_TOK_SQL} t) where rn = 1""",
 )
 def se08(spark, sf):
-    """The decks of all languages as one, a row per word."""
-    return J.merge_decks([v_tok(spark, sf)], "token", ["doc_id", "pos", "i"])
+    """The decks of all languages, documents without one included, as one.
+    A language's deck has a row per word; all decks come from one pass."""
+    langs = table(spark, sf, "documents").select("doc_id", "lang")
+    words = v_tok(spark, sf).join(langs, "doc_id")
+    decks = cut_lineage(G.first_per_key(words, ["lang", "token"], ["doc_id", "pos", "i"]), "decks")
+    # one deck per language that occurs: a handful of names
+    names = [r[0] for r in decks.select("lang").distinct().collect()]
+    merged = J.merge_decks([decks.where(F.col("lang").eqNullSafe(F.lit(n))) for n in names], "token", ["doc_id", "pos", "i"]) if names else decks
+    return merged.select("token", "doc_id", "pos", "i")

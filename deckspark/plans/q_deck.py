@@ -14,8 +14,8 @@ from ..operators import window as W
 from ..operators.scan import interval_join
 from ..operators.columns import group_rank
 from .catalog import query
-from .q_core import strip_sql
-from .views import V_LINE_SQL, V_NOTE_SQL, table, v_line, v_line_idx, v_note, v_trans
+from .q_core import _base_form_sql, strip_sql
+from .views import V_LINE_SQL, V_NOTE_SQL, rare_sql, table, v_line, v_line_idx, v_note, v_trans
 
 D = "decimal(18,6)"
 NOTE_ORDER = ["word", "translation", "rank"]
@@ -344,6 +344,11 @@ def wn10(spark, sf):
 
 @query(
     "wn11_filter_rare_sentences",
+    rare_sql(
+        f"""select r, cast(r as {D}) as idx, word, lemmas, {_base_form_sql('word')} as target from (
+              select row_number() over (order by doc_id, pos) as r, split_part(sentence, ' ', 1) as word, replace(sentence, ' ', ';') as lemmas from {V_LINE_SQL})""",
+        "select idx, word, lemmas, accepted from deck join decided using (r)",
+    ),
 )
 def wn11(spark, sf):
     from ..operators.rare import filter_rare_sentences
@@ -581,3 +586,16 @@ def dq12(spark, sf):
 def dq13(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_size")
     return C.check_rank_order(p, "p_partkey", "p_size").select("p_partkey", "p_size", "prev_size")
+
+
+@query(
+    "dq13_consecutive_indices",
+    """select o_orderkey, o_shippriority, prev_size, prev_index from (
+         select o_orderkey, cast(o_custkey // 100 as bigint) as o_shippriority, lag(cast(o_custkey // 100 as bigint)) over w as prev_size, lag(o_orderkey) over w as prev_index
+         from orders window w as (order by o_orderkey))
+       where prev_size > o_shippriority or (prev_size = o_shippriority and o_orderkey - prev_index <> 1)""",
+)
+def dq13c(spark, sf):
+    """Orders as cards, a hundred customers to a rank."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.floor(F.col("o_custkey") / 100).alias("o_shippriority"))
+    return C.check_rank_order(o, "o_orderkey", "o_shippriority", consecutive=True)

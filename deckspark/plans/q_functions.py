@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import arrays as A
 from ..functions import index as ix
@@ -523,17 +524,20 @@ def dq08(spark, sf):
 
 @query(
     "udf01_map_column",
-    "select p_partkey, case when p_size > 45 then null else array_to_string(list_reverse(string_split(p_name, ' ')), ' ') end as reversed from part",
+    f"select doc_id, pos, case when pos % 5 > 0 then strip_accents(sentence) end as plain from {V_LINE_SQL}",
 )
 def udf01(spark, sf):
-    p = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") > 45, None).otherwise(F.col("p_name")).alias("n"))
-    return U.map_column(p, "n", lambda s: " ".join(reversed(s.split(" "))), "reversed").drop("n")
+    """Letters without their marks: no built-in does this."""
+    l = v_line(spark, sf).select("doc_id", "pos", F.when(F.col("pos") % 5 > 0, F.col("sentence")).alias("s"))
+    return U.map_column(l, "s", U.without_accents, "plain").drop("s")
 
 
-@query("udf02_map_rows", "select p_partkey, p_name || ':' || cast(p_size * 2 as varchar) as label from part")
+@query("udf02_map_rows", "select p_partkey, round(jaro_similarity(p_name, p_type), 9) as alike from part")
 def udf02(spark, sf):
+    """A similarity of two columns that built-ins lack."""
     p = table(spark, sf, "part")
-    return U.map_rows(p, ["p_name", "p_size"], lambda r: f"{r['p_name']}:{r['p_size'] * 2}", "label").select("p_partkey", "label")
+    alike = U.map_rows(p, ["p_name", "p_type"], lambda r: U.jaro(r["p_name"], r["p_type"]), "alike", T.DoubleType())
+    return alike.select("p_partkey", F.round("alike", 9).alias("alike"))
 
 
 @query(
@@ -541,14 +545,17 @@ def udf02(spark, sf):
     """select l_partkey, string_agg(distinct l_returnflag, ';' order by l_returnflag) as flags, cast(count(*) as bigint) as n from lineitem group by l_partkey""",
 )
 def udf03(spark, sf):
+    """Parts of any number of lines: each batch is folded before the shuffle."""
     import pandas as pd
 
-    def per_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        flags = ";".join(sorted(set(pdf["l_returnflag"].dropna())))
-        return pd.DataFrame({"l_partkey": [int(pdf["l_partkey"].iloc[0])], "flags": [flags], "n": [len(pdf)]})
+    def merged(pdf: pd.DataFrame, n) -> pd.DataFrame:
+        flags = sorted({f for x in pdf["l_returnflag"].dropna() for f in x.split(";")})
+        return pd.DataFrame({"l_partkey": [int(pdf["l_partkey"].iloc[0])], "l_returnflag": [";".join(flags)], "n": [int(n)]})
 
     li = table(spark, sf, "lineitem").select("l_partkey", "l_returnflag")
-    return U.apply_groups(li, "l_partkey", per_part, "l_partkey long, flags string, n long")
+    schema = "l_partkey long, l_returnflag string, n long"
+    out = U.apply_groups(li, "l_partkey", lambda g: merged(g, g["n"].sum()), schema, lambda g: merged(g, len(g)), schema)
+    return out.withColumnRenamed("l_returnflag", "flags")
 
 
 @query(
@@ -579,8 +586,13 @@ def udf05(spark, sf):
 
 @query(
     "udf07_table_function",
-    """select doc_id, cast(u.i as bigint) as i, u.line from documents,
-       lateral (select unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i) u""",
+    f"""select doc_id, cast(u.i as bigint) as i, u.line from (
+          select doc_id, string_split(list_reduce(string_split(sentence, ' '), lambda a, w:
+                   case when length(string_split(a, chr(10))[-1]) + 1 + length(w) <= 40 then a || ' ' || w else a || chr(10) || w end), chr(10)) as lines
+          from {V_LINE_SQL} where pos = 1),
+        lateral (select unnest(lines) as line, generate_subscripts(lines, 1) as i) u""",
 )
 def udf07(spark, sf):
-    return U.explode_lines(table(spark, sf, "documents"), "doc_id", "text")
+    """Titles (first lines) wrapped to lines of forty characters."""
+    titles = v_line(spark, sf).where("pos = 1").select("doc_id", "sentence")
+    return U.explode_with(titles, "doc_id", "sentence", lambda t: U.wrap_words(t, 40))

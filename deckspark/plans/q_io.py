@@ -17,6 +17,7 @@ from ..session import scratch_path
 from ..sources import readers as R
 from ..sources import sinks as K
 from .catalog import query
+from .q_core import strip_sql
 from .views import V_LINE_SQL, table, v_line
 
 D = "decimal(18,6)"
@@ -355,8 +356,8 @@ def snk10(spark, sf):
 
 @query(
     "snk10_story_lines",
-    f"""select doc_id::int as n, trim(replace(trim(header), chr(10), ' ')) as header, pos, {strip_sql('sentence')} as sentence
-       from {STORY_SQL} join {V_LINE_SQL} using (doc_id) where {strip_sql('sentence')} <> ''""",
+    f"""select doc_id::int as n, trim(replace(trim(header), chr(10), ' ')) as header, pos - 1 as pos, {strip_sql('sentence')} as sentence
+       from {STORY_SQL} join {V_LINE_SQL} using (doc_id) where pos > 1 and {strip_sql('sentence')} <> ''""",
 )
 def snk10l(spark, sf):
     """Stories written and read back line by line."""

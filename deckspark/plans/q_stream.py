@@ -204,6 +204,22 @@ def inc06(spark, sf):
     return out.select("doc_id", "pos", "sentence")
 
 
+@query(
+    "inc06_iterate_rounds",
+    f"""select doc_id, pos, case when length(sentence) <= 60 or pos % 3 < 2 then sentence end as sentence from {V_LINE_SQL}""",
+)
+def inc06r(spark, sf):
+    """Three rounds: the last settles nothing and is a round like any other."""
+    l = v_line(spark, sf).select("doc_id", "pos", F.col("sentence").alias("src"), F.when(F.char_length("sentence") <= 60, F.col("sentence")).alias("sentence"))
+
+    def step(df, r):
+        turn = F.col("sentence").isNull() & (F.col("pos") % 3 == r) & F.lit(r < 2)
+        return df.withColumn("sentence", F.when(turn, F.col("src")).otherwise(F.col("sentence")))
+
+    out = I.iterate(l, step, lambda df: df.where(F.col("sentence").isNull()), rounds=3)
+    return out.select("doc_id", "pos", "sentence")
+
+
 @query("inc04_rate_audit_stream", INC04_SQL)
 def inc04s(spark, sf):
     """Event-time minutes with a watermark, update mode: the last update of

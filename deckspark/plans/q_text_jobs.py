@@ -16,9 +16,9 @@ from ..schema import DROPPED_TOKENS
 from . import corpus as CP
 from . import deck_jobs as DJ
 from .catalog import query
-from .q_core import strip_sql
+from .q_core import _base_form_sql, strip_sql
 from .q_functions import BIGRAM_SQL
-from .views import V_LINE_SQL, V_NOTE_SQL, V_TOK_SQL, table, v_line, v_line_idx, v_note, v_tok
+from .views import V_LINE_SQL, V_NOTE_SQL, V_TOK_SQL, rare_sql, table, v_line, v_line_idx, v_note, v_tok
 
 D = "decimal(18,6)"
 SEP_PREFIXES = ["ab", "an", "auf", "aus", "bei", "ein", "mit", "nach", "vor", "weg", "zu"]
@@ -151,10 +151,10 @@ def txt04(spark, sf):
 
 @query(
     "txt05_build_deck",
-    f"""with lem as (select token as word, cast(min(doc_id) as {D}) as idx from {V_TOK_SQL} where doc_id in (select doc_id from documents where lang = 'de') group by token),
+    f"""with lem as (select token as word, cast(min(doc_id) as {D}) as idx from {V_TOK_SQL} group by token),
             known as (select distinct unnest(string_split(text, ' ')) as word from benchmark),
-            deck as (select t.token as word, min(t.doc_id * 100000 + t.pos) as sentence_key from {V_TOK_SQL} t
-                     where t.doc_id in (select doc_id from documents where lang = 'es') group by t.token),
+            said as (select conv_id, turn, unnest(string_split(text, ' ')) as word from conversations),
+            deck as (select word, min(cast(conv_id as varchar) || '-' || cast(turn as varchar)) as sentence_key from said group by word),
             new as (select * from lem where word not in (select word from known where word is not null) and not starts_with(word, '-')),
             attached as (select new.word, new.idx, cast(deck.sentence_key as varchar) as sentence from new left join deck on new.word = deck.word),
             custom as (select word || '*' as word, cast(idx + 0.0001 as {D}) as idx, null as sentence from lem where length(word) > 12),
@@ -164,13 +164,11 @@ def txt04(spark, sf):
        select word, idx, sentence, cast(sentence is null as integer) as __complete from f2""",
 )
 def txt05(spark, sf):
-    d = table(spark, sf, "documents")
-    t = v_tok(spark, sf)
-    de = t.join(d.where(F.col("lang") == "de").select("doc_id"), "doc_id", "left_semi")
-    es = t.join(d.where(F.col("lang") == "es").select("doc_id"), "doc_id", "left_semi")
-    lemmas = de.groupBy(F.col("token").alias("word")).agg(F.min("doc_id").cast(D).alias("idx"))
+    """Words of all documents; sentences come from the conversations."""
+    lemmas = v_tok(spark, sf).groupBy(F.col("token").alias("word")).agg(F.min("doc_id").cast(D).alias("idx"))
     known = table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("word")).distinct()
-    existing = es.groupBy(F.col("token").alias("word")).agg(F.min(F.col("doc_id") * 100000 + F.col("pos")).cast("string").alias("sentence"))
+    said = table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("said"), F.explode(F.split("text", " ")).alias("word"))
+    existing = said.groupBy("word").agg(F.min("said").alias("sentence"))
     custom = lemmas.where(F.char_length("word") > 12).select(
         F.concat("word", F.lit("*")).alias("word"), ix.suffix(F.col("idx"), F.lit(1), "0.0001").alias("idx"), F.lit(None).cast("string").alias("sentence")
     )
@@ -187,7 +185,7 @@ def txt05(spark, sf):
 )
 def txt06(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
-    r = CD.render_template(c, "{{name}} ({{segment}}) has {{balance}}", ["name", "segment", "balance"], "rendered")
+    r = CD.render_template(c, "{{name}} ({{segment}}) has {{balance}}", ["name", "segment", "balance"], "rendered", strict=True)
     return r.select("c_custkey", "rendered")
 
 
@@ -477,7 +475,17 @@ def txt19(spark, sf):
 
 # ------------------------------------------------------------- TXT-20 -----
 
-@query("txt20_partition_deck")
+@query(
+    "txt20_partition_deck",
+    rare_sql(
+        f"""select r, cast(r as {D}) as idx, word, sentence, replace(sentence, ' ', ';') as lemmas,
+                   case when ends_with(word, '.') then regexp_replace(word, '\\.$', '') else {_base_form_sql('word')} end as target
+            from (select row_number() over (order by doc_id, pos) as r, split_part(sentence, ' ', 1) as word,
+                         case when length(sentence) between 30 and 200 then sentence end as sentence from {V_LINE_SQL})""",
+        """select idx, word, case when accepted then sentence end as sentence, case when accepted then lemmas end as lemmas, coalesce(accepted, false) as accepted
+           from deck left join decided using (r)""",
+    ),
+)
 def txt20(spark, sf):
     deck = v_line_idx(spark, sf).select("idx", F.split_part("sentence", F.lit(" "), F.lit(1)).alias("word"), "sentence")
     irregular = deck.where(F.col("word").endswith(".")).select("idx", "word", F.regexp_replace("word", r"\.$", "").alias("baseform"))
@@ -615,6 +623,29 @@ def txt25(spark, sf):
     return DJ.partition_quality(l, "sentence", "word", "word_tr", "sentence_tr").select("doc_id", "pos", "good")
 
 
+@query(
+    "txt25_rework",
+    f"""with l as (select doc_id, pos, sentence, split_part(sentence, ' ', 2) as word from {V_LINE_SQL}),
+            g as (select *, length(sentence) between 30 and 45 and contains(sentence, word) as good, 2 * length(word) + 21 as n from l),
+            r as (select *, case when n + 0 between 30 and 45 then 0 when n + 8 between 30 and 45 then 1 when n + 16 between 30 and 45 then 2 end as round from g)
+       select doc_id, pos, word, good or round is not null as good,
+              case when good then sentence when round is not null then word || ' ' || repeat('x', (20 + 8 * round + length(word))::int) end as sentence from r""",
+)
+def txt25r(spark, sf):
+    """Lines that are not good are cut to their key and word, made anew and
+    judged again, three times; the rest stays without a sentence."""
+    deck = v_line(spark, sf).withColumn("word", F.split_part("sentence", F.lit(" "), F.lit(2)))
+
+    def judge(rows):
+        return DJ.partition_quality(rows, "sentence", "word", "word", "sentence")
+
+    def regenerate(rows, r):
+        filler = F.repeat(F.lit("x"), F.char_length("word") + (20 + 8 * r))
+        return rows.withColumn("sentence", F.concat("word", F.lit(" "), filler))
+
+    return DJ.rework(deck, judge, regenerate, ["doc_id", "pos", "word"], rounds=3).select("doc_id", "pos", "word", "sentence", "good")
+
+
 # ------------------------------------------------------------- TXT-26 -----
 
 @query(

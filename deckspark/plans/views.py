@@ -92,3 +92,28 @@ def v_trans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(
         "p_partkey", F.posexplode(F.split("p_name", " ")).alias("i", "translation")
     ).select("p_partkey", (F.col("i") + 1).cast("bigint").alias("i"), "translation")
+
+
+def rare_sql(deck: str, out: str, max_occ: int = 3, min_rare: int = 2) -> str:
+    """The rare-word filter over ``deck`` (r, target, lemmas): row r is the
+    r-th from below.  ``walk`` goes round by round (r, state: 0 rejected, 1
+    accepted, 2 open) until no row is open."""
+    return f"""with recursive deck as materialized ({deck}),
+            occ as (select r, t, coalesce(t = target, false) as own, count(*) as n
+                    from (select r, target, unnest(string_split(lemmas, ';')) as t from deck where lemmas is not null) group by all),
+            o as materialized (select occ.*, sum(n) over (partition by t) as total from occ),
+            walk as (
+              select r, 2 as state from deck where lemmas is not null
+              union all
+              select w.r, case when w.state <> 2 then w.state when not s.own then 0 when s.sure >= {min_rare} then 1 when s.hope < {min_rare} then 0 else 2 end
+              from walk w join (
+                select r, bool_or(own) as own, coalesce(sum(n) filter (where not own and total - gone <= {max_occ}), 0) as sure,
+                       coalesce(sum(n) filter (where not own and total - gone - pending <= {max_occ}), 0) as hope
+                from (select o.*, coalesce(sum(case when x.state = 0 then o.n end) over above, 0) as gone,
+                             coalesce(sum(case when x.state = 2 then o.n end) over above, 0) as pending
+                      from o join walk x on x.r = o.r
+                      window above as (partition by o.t order by -o.r range between unbounded preceding and 1 preceding))
+                group by r) s on s.r = w.r
+              where exists (select 1 from walk where state = 2)),
+            decided as (select distinct r, state = 1 as accepted from walk where state <> 2)
+       {out}"""

@@ -167,18 +167,44 @@ def cooldown_flags(df: DataFrame, key: str, ts: str, is_error, secs: int = COOLD
     return x.select(key, cooling.alias("cooling"))
 
 
-# INC-06 -- repeat a step until nothing is pending; each round is written to
-# the shared folder (lineage stays short and a lost executor recomputes one
-# round, not the whole history).
-def iterate(deck: DataFrame, step: Callable[[DataFrame, int], DataFrame], pending: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Every step must settle some of the pending rows; one that settles none
-    is an error, since it would go on for ever."""
+# INC-06 -- repeat a step until nothing is pending or for a number of rounds;
+# each round is written to the shared folder (lineage stays short and a lost
+# executor recomputes one round, not the whole history).
+def iterate(deck: DataFrame, step: Callable[[DataFrame, int], DataFrame], pending: Callable[[DataFrame], DataFrame], rounds: int | None = None) -> DataFrame:
+    """At most ``rounds`` rounds, if given; a round that settles nothing is
+    then one of them.  Without a limit it is an error, since a step that
+    settles nothing would go on for ever."""
     current, r = cut_lineage(deck), 0
     left = pending(current).count()
-    while left:
+    while left and (rounds is None or r < rounds):
         current, before = cut_lineage(step(current, r)), left
         left = pending(current).count()
-        if left >= before:
+        if rounds is None and left >= before:
             raise ValueError(f"round {r} settled nothing: {left} rows are pending")
         r += 1
     return current
+
+
+# SE-05 -- remaining <- problematic, repeated until no failures
+def retry_rounds(remaining: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``attempt`` takes the remaining units and the round's number and
+    returns them with ``ok`` and whatever it got for them; units that are not
+    ok (false or null) remain for the next round.  Returns (results with
+    ``round``, units that still remain after ``rounds``: none without a
+    limit).  A round without any success is an error if there is no limit."""
+    columns = remaining.columns
+    left, done, r = cut_lineage(remaining, "remaining"), None, 0
+    while rounds is None or r < rounds:
+        if left.isEmpty():
+            break
+        tried = cut_lineage(attempt(left, r).withColumn("round", F.lit(r)), "attempt")
+        ok = F.coalesce("ok", F.lit(False))
+        good = tried.where(ok).drop("ok")
+        if rounds is None and good.isEmpty():
+            raise ValueError(f"round {r} settled nothing")
+        done = good if done is None else done.unionByName(good)
+        left = tried.where(~ok).select(*columns)
+        r += 1
+    if done is None:
+        done = attempt(left, 0).where(F.lit(False)).withColumn("round", F.lit(0)).drop("ok")
+    return done, left
