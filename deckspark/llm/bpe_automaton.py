@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import held
 from .words import Disputed, Memo, byte_alphabet, disputed_characters, split_words
 
 NEVER = 1 << 60
@@ -201,16 +202,11 @@ def _encoder(tokenizer_path: str):
     disputed = disputed_characters(Tokenizer.from_file(tokenizer_path))
 
     def codec() -> Codec:
-        return _worker_codec(tokenizer_path, disputed)
+        return held(("codec", tokenizer_path), lambda: Codec(tokenizer_path, disputed))
 
     return codec
 
 
-@functools.lru_cache(maxsize=2)
-def _worker_codec(path: str, disputed: str) -> Codec:
-    return Codec(path, disputed)
-
-
 def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """(doc_id, ids array<int>): one row per row of ``docs``."""
     codec = _encoder(tokenizer_path)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .storage import cut_lineage
+from .storage import cut_lineage, held
 
 NGRAMS = 5
 MIN_SHARE = 2e-6
@@ -41,6 +41,7 @@ SHARPNESS = 8.0  # score differences to probabilities
 UND = "und"
 MEMO = 300_000
 SUMMED = 200_000  # distinct words a task sums before it hands counts on
+ROWS = 512  # rows of a batch that are texts in Python at a time
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -173,34 +174,24 @@ class _Memo(dict):
         return k
 
 
-_WORKER: dict[str, _Memo] = {}
-
-
-def _held(broadcast) -> _Memo:
-    """One memo per worker process, that of the last model used."""
-    model = broadcast.value
-    if model.id not in _WORKER:
-        _WORKER.clear()
-        _WORKER[model.id] = _Memo(model)
-    return _WORKER[model.id]
-
-
-def predict(docs: DataFrame, model: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (columns of those names are
-    replaced); only ``text`` is read.  One scan, no shuffle."""
+def predict(docs: DataFrame, model: DataFrame, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and its score under ``names`` (columns of
+    those names are replaced); only ``text`` is read.  One scan, no shuffle."""
     # bounded: at most (NGRAMS + 1) / MIN_SHARE items per language
     sent = docs.sparkSession.sparkContext.broadcast(Model(model.toArrow()))
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*names)
 
     def run(batches):
-        memo = _held(sent)
-        for b in batches:
-            found = [memo.model.predict(t, memo) for t in b.column(text).to_pylist()]
-            cols = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, "lang_pred", "score"])
+        memo = held(("languages", sent.value.id), lambda: _Memo(sent.value))
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                b = batch.slice(at, ROWS)
+                found = [memo.model.predict(t, memo) for t in b.column(text).to_pylist()]
+                cols = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *names])
 
     fields = [StructField(f.name, f.dataType) for f in docs.schema]
-    return docs.mapInArrow(run, StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))
 
 
 def held_out(mod: int, remainder: int):
@@ -214,6 +205,6 @@ def filter_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
     of at least ``least`` (languages that are close share the probability).
     Learns from the rows of ``docs`` with a language."""
     model = train(docs.where(~held_out(4, 2)))
-    row = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
-    found = predict(row, model)
-    return found.where((F.col("lang_pred") != UND) & (F.col("score") >= least)).select("row.*")
+    lang, sure = "__lang_found", "__score_found"
+    found = predict(docs, model, names=(lang, sure))
+    return found.where((F.col(lang) != UND) & (F.col(sure) >= least)).select(*docs.columns)

@@ -32,7 +32,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from . import hamming
 from .components import components
-from .storage import cut_lineage
+from .storage import cut_lineage, held
 
 RADIUS = 3
 SIMILARITY = 0.8
@@ -41,7 +41,8 @@ TEXT_LIMIT = 512  # lines verified together
 
 _DIGIT = re.compile(r"\d")
 _RUNS = re.compile(r"[^\W_]+")
-MEMO = 500_000  # words of some 150 bytes
+MEMO = 300_000  # words of some 150 bytes
+ROWS = 512  # rows of a batch that are texts in Python at a time
 
 
 def normalise(line: str) -> str:
@@ -60,13 +61,10 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
 def line_fingerprints(lines: list[list[str]]) -> np.ndarray:
     """SimHash of each normalised line's different words (punctuation
     aside), as signed integers."""
-    known = _HASHES.__getitem__
+    known = held("line hashes", _Hashes).__getitem__
     flat: list[int] = []
     ends = []
     for words in lines:
@@ -181,6 +179,12 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b, most) <= most
 
 
+def _slices(batches):
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, th, pos, lh, fp) of every line that can be a duplicate; th is
     a hash of the whole text, which tells rows with equal ids apart."""
@@ -193,7 +197,7 @@ def lines(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             places: list[tuple] = []
             found: list[list[str]] = []
             for doc_id, th, text in zip(*(b.column(c).to_pylist() for c in range(3))):
@@ -249,7 +253,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = _keyed(docs).join(places, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             out = []
             for text, wanted in zip(b.column("text").to_pylist(), b.column("wanted").to_pylist()):
                 cut = text.split("\n")
@@ -354,7 +358,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                 yield "\n".join(x for i, x in enumerate(t.split("\n")) if i not in r)
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             i = b.schema.get_field_index("text")
             new = pa.array(cut(b.column(i).to_pylist(), b.column("__gone").to_pylist()), pa.string())
             n = pa.array([len(r or ()) for r in b.column("__gone").to_pylist()], pa.int64())

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir, cut_lineage
 
-__all__ = ["cut_lineage", "shared_folder", "file_system", "own_file", "spread"]
+__all__ = ["cut_lineage", "shared_folder", "file_system", "own_file", "held", "spread"]
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -44,6 +44,19 @@ def own_file(folder: str, suffix: str) -> tuple:
     return filesystem, f"{path}/{name}", f"{folder}/{name}"
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """In a worker process, the object of ``key``, kept for its next tasks.
+    Only that of the last key asked for is kept, so the memos of one operator
+    do not weigh on the stages of the next."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def spread(df: DataFrame, *keys) -> DataFrame:
     """One Python task per shuffle partition instead of AQE's merged ones:
     for stages whose work per row is heavy although the rows are few."""
