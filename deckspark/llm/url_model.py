@@ -34,7 +34,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import cut_lineage
+from .storage import cut_lineage, spread
 
 ORDER = 4  # characters of context
 BIN = 0.001  # of the score, for calibration
@@ -170,7 +170,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", order: int
     text = F.coalesce(F.col(url).cast("string"), F.lit(""))
     ident = F.unhex(F.md5(text)).alias("id")
     urls = ruled.select(ident, text.alias("url"), "verdict").groupBy("id", "url", "verdict").agg(F.count(F.lit(1)).alias("n"))
-    urls = cut_lineage(urls, "urls")
+    urls = cut_lineage(spread(urls, "id"), "urls")  # few bytes that become many rows
     scored = cut_lineage(scores(urls, order), "url-scores")
     cut = cut_bin(scored)
     judged = F.when(score_bin(F.col("score")) >= cut, "allow").otherwise("block")
