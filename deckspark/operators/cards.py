@@ -87,12 +87,12 @@ def expand_cloze(notes: DataFrame, text: str, out_n: str = "cloze") -> DataFrame
         F.regexp_extract_all(t, F.lit(CLOZE_ID), 1).alias("n"),
         F.regexp_extract_all(t, F.lit(CLOZE_TEXT), 1).alias("v"),
     )
+    # numbers are compared as written, and need not fit an int
     x = notes.withColumn("__d", dels)
-    x = x.withColumn(out_n, F.explode(F.array_distinct(F.transform("__d", lambda d: d["n"])))).withColumn(out_n, F.col(out_n).cast("int"))
-    n = F.col(out_n).cast("string")
-    front = F.aggregate("__d", t, lambda acc, d: F.replace(acc, d["m"], F.when(d["n"] == n, F.lit("[...]")).otherwise(d["v"])))
+    x = x.withColumn("__n", F.explode(F.array_distinct(F.transform("__d", lambda d: d["n"])))).withColumn(out_n, F.col("__n").try_cast("int"))
+    front = F.aggregate("__d", t, lambda acc, d: F.replace(acc, d["m"], F.when(d["n"] == F.col("__n"), F.lit("[...]")).otherwise(d["v"])))
     back = F.aggregate("__d", t, lambda acc, d: F.replace(acc, d["m"], d["v"]))
-    return x.withColumn("front", front).withColumn("back", back).drop("__d")
+    return x.withColumn("front", front).withColumn("back", back).drop("__d", "__n")
 
 
 # TXT-09 -- the typed answer of cloze n

@@ -68,10 +68,9 @@ def filter_rare_sentences(
     occ = toks.groupBy("r", "t", (F.col("t") == F.col("__target")).alias("is_target")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     occ = cut_lineage(occ, "rare-occ")
     total = cut_lineage(occ.groupBy("t").agg(F.sum("n").alias("total")), "rare-total")
-    occ_tot = cut_lineage(occ.join(total, "t"), "rare-occ-total")
 
     other = F.coalesce(~F.col("is_target"), F.lit(True))
-    base = occ_tot.groupBy("r").agg(
+    base = occ.join(total, "t").groupBy("r").agg(
         F.coalesce(F.max("is_target"), F.lit(False)).alias("in_sentence"),
         F.sum(F.when((F.col("total") <= max_occ) & other, F.col("n")).otherwise(0)).cast("bigint").alias("static"),
         F.sum(F.when((F.col("total") > max_occ) & other, F.col("n")).otherwise(0)).cast("bigint").alias("most"),
@@ -82,9 +81,10 @@ def filter_rare_sentences(
     settled = [rows_now.where(F.col("state") != OPEN).select("r", "state")]
 
     # live: occurrences of a token that could become rare, in rows that count
-    # for it (rejected now or still open); gone: rejected occurrences above
-    left = occ_tot.where(F.col("total") > max_occ).join(rows_now.where(F.col("state") != ACCEPTED), "r")
-    left = left.withColumn("gone", F.lit(0).cast("bigint"))
+    # for it (rejected now or still open); gone: rejected occurrences above.
+    # Only these are written a second time.
+    left = occ.join(rows_now.where(F.col("state") != ACCEPTED), "r").join(total.where(F.col("total") > max_occ), "t")
+    left = cut_lineage(left.withColumn("gone", F.lit(0).cast("bigint")), "rare-live")
     while not rows_now.where(F.col("state") == OPEN).isEmpty():
         # below a token's least count: what its lowest row has, less all that may go
         could = left.groupBy("t").agg((F.min(F.col("total") - F.col("gone")) - F.sum("n")).alias("least")).where(F.col("least") <= max_occ)

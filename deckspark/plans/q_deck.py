@@ -305,6 +305,20 @@ def wn07(spark, sf):
     return pack_blocks(lines, "doc_id", "pos", "sentence", max_symbols=3000, margin=3)
 
 
+@query(
+    "wn07_block_lines",
+    f"""with b as ({wn07_sql(3000, 3)}), k as (select doc_id, block, unnest(range(start, "end" + 1)) as k from b)
+       select k.doc_id, k.block, k.k, coalesce({strip_sql('l.sentence')}, '') as sentence
+       from k left join {V_LINE_SQL} l on l.doc_id = k.doc_id and l.pos = k.k - 2""",
+)
+def wn07l(spark, sf):
+    """The lines that every block holds, margins included."""
+    from ..operators.packing import block_lines, pack_blocks
+
+    lines = v_line(spark, sf)
+    return block_lines(pack_blocks(lines, "doc_id", "pos", "sentence"), lines, "doc_id", "pos", "sentence")
+
+
 @query("wn07_pack_blocks_jumping", wn07_sql(500, 2))
 def wn07j(spark, sf):
     """Every text by pointer doubling, as texts of any length are."""

@@ -25,3 +25,9 @@ def test_render_cards_front_side_and_sections(spark):
     out = {r.en: (r.front, r.back) for r in CD.render_cards(notes, tpl, ["en", "de", "hint"]).collect()}
     assert out["go"] == ("go", "go|gehen {{tts de_DE:de}}")
     assert out["eat"] == ("eat (verb)", "eat (verb)|essen {{tts de_DE:de}}")
+
+
+def test_cloze_numbers_of_any_length(spark):
+    df = spark.createDataFrame([("{{c99999999999::a}} {{c2::b}}",), ("none",), (None,)], "text string")
+    out = sorted((tuple(r) for r in CD.expand_cloze(df, "text").select("cloze", "front", "back").collect()), key=str)
+    assert out == [(2, "a [...]", "a b"), (None, "[...] b", "a b")]
