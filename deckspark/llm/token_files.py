@@ -25,6 +25,7 @@ columns are ignored.
 from __future__ import annotations
 
 import functools
+import math
 import zlib
 from bisect import bisect_right
 
@@ -33,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .storage import cut_lineage, file_system, own_file, shared_folder
+from .storage import cut_lineage, file_system, held, own_file, shared_folder
 from .words import SPECIAL, Disputed, Memo, disputed_characters
 
 SEQ_LEN = 2048
 ROWS_PER_BATCH = 64
 SAMPLE = 40  # rows sampled for a shard's bounds
-MOST_SAMPLED = 1_000_000
+MOST_SAMPLED = 200_000  # rows of three numbers that come to the driver
+SHARD_DOCS = 50_000  # documents of a shard, at most about
 SHARD_ROWS = "shard long, first_doc long, path string, index_path string, n_docs long, n_sequences long, n_tokens long"
 
 
@@ -166,20 +168,20 @@ def library_encoder(tokenizer_path: str, dtype, disputed: str):
     return encode
 
 
-def _bounds(docs: DataFrame, shards: int) -> list[tuple]:
+def _bounds(docs: DataFrame, shards: int, n_docs: int) -> list[tuple]:
     """Upper bounds of all shards but the last, as (has an id, id, hash),
     from a sample of SAMPLE rows a shard, MOST_SAMPLED at most."""
     most = min(SAMPLE * shards, MOST_SAMPLED)
-    share = min(1.0, most / max(docs.count(), 1))
+    share = min(1.0, most / max(n_docs, 1))
     rows = docs.sample(False, share, 17).select("doc_id", F.xxhash64("text").alias("h")).collect()
     keys = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["h"]) for r in rows)
     return [keys[i * len(keys) // shards] for i in range(1, shards)] if keys else []
 
 
-def _packed(docs: DataFrame, shards: int) -> DataFrame:
+def _packed(docs: DataFrame, shards: int, n_docs: int) -> DataFrame:
     """(shard, doc_id, h, size, z): texts compressed for the shuffle, with
     their range of ids."""
-    bounds = _bounds(docs, shards)
+    bounds = _bounds(docs, shards, n_docs)
     names = ["shard", "doc_id", "h", "size", "z"]
     kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
 
@@ -208,12 +210,15 @@ def write_token_files(
     """Write ``docs(doc_id, text)``; returns the manifest: one row per shard
     in stream order, with ``first_token`` and ``first_sequence`` counted over
     all shards.  Shards are ranges of ``doc_id`` found by sampling, one task
-    each; a task holds one record batch and one document at a time."""
+    each: as many as there are shuffle partitions, more where these would hold
+    more than SHARD_DOCS documents; a task holds one record batch and one
+    document at a time."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "tokens")
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_docs = docs.count()
+    n = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_docs / SHARD_DOCS))
     tok = Tokenizer.from_file(tokenizer_path)
     id_type, disputed = _id_type(tok.get_vocab_size()), disputed_characters(tok)
 
@@ -226,7 +231,8 @@ def write_token_files(
 
     def write(batches):
         dtype = id_type.to_pandas_dtype()
-        encode, codec, end = library_encoder(tokenizer_path, dtype, disputed), pa.Codec("zstd"), np.array([end_id], dtype)
+        encode = held(("library", tokenizer_path, str(id_type)), lambda: library_encoder(tokenizer_path, dtype, disputed))
+        codec, end = pa.Codec("zstd"), np.array([end_id], dtype)
         writer, shard, first = None, None, None
         for b in batches:
             for at in range(0, b.num_rows, 256):
@@ -243,7 +249,7 @@ def write_token_files(
             yield closed(writer, shard, first)
 
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    packed = _packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text), n)
+    packed = _packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text), n, n_docs)
     ordered = packed.repartitionById(n, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "h")
     manifest = cut_lineage(ordered.select("shard", "doc_id", "size", "z").mapInArrow(write, SHARD_ROWS), "token-manifest")
     # one row per shard: a small table, whatever the number of documents
@@ -290,12 +296,19 @@ def read_documents(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
 
 def read_shard(m: dict):
-    """The documents of one shard, found by the document-end mask."""
+    """The documents of one shard, found by the document-end mask; both files
+    are streamed."""
     fs, p = file_system(m["index_path"])
     with fs.open_input_stream(p) as f:
-        names = [d for b in pa.ipc.open_stream(f) for d in b.column("doc_id").to_pylist()]
+        names = (d for b in pa.ipc.open_stream(f) for d in b.column("doc_id").to_pylist())
+        yield from _found(m, names)
+        if next(names, m) is not m:
+            raise ValueError(f"{m['path']}: more documents in the index than in the file")
+
+
+def _found(m: dict, names):
     fs, p = file_system(m["path"])
-    crc, size, start, k, out = 0, 0, m["first_token"], 0, []
+    crc, size, start, out = 0, 0, m["first_token"], []
     with fs.open_input_stream(p) as f:
         for b in pa.ipc.open_stream(f):
             ids = b.column(0).flatten().to_numpy(zero_copy_only=True)
@@ -305,15 +318,18 @@ def read_shard(m: dict):
             for e in np.flatnonzero(ends):
                 crc = zlib.crc32(ids[at : e + 1].tobytes(), crc)
                 size += int(e) + 1 - at
-                out.append((names[k], start, size, crc, size))
-                start, size, crc, at, k = start + size, 0, 0, int(e) + 1, k + 1
+                name = next(names, m)
+                if name is m:
+                    raise ValueError(f"{m['path']}: fewer documents in the index than in the file")
+                out.append((name, start, size, crc, size))
+                start, size, crc, at = start + size, 0, 0, int(e) + 1
             crc = zlib.crc32(ids[at:].tobytes(), crc)
             size += len(ids) - at
             if len(out) >= 10_000:
                 yield _documents(out)
                 out = []
-    if k != len(names) or size:
-        raise ValueError(f"{m['path']}: {len(names)} documents in the index, {k} in the file")
+    if size:
+        raise ValueError(f"{m['path']}: the last document has no end")
     if out:
         yield _documents(out)
 

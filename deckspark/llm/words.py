@@ -3,7 +3,7 @@
 The public split pattern never joins text across a single space that a
 non-space follows, so a text is cut there first and each piece (with its
 space before it) is looked up in a memo; only pieces not met before are split
-by the pattern and encoded.  The memo is emptied when full, which bounds a
+by the pattern and encoded.  The memo forgets when full, which bounds a
 worker's memory and never changes a result.
 """
 
@@ -84,11 +84,14 @@ class Disputed:
 class Memo:
     """Encodes texts piece by piece.  ``encode_first`` gives the bytes of a
     text's first piece, ``encode_many`` those of a list of later pieces, each
-    with the space before it."""
+    with the space before it.  Pieces are known in two generations of at most
+    ``limit / 2``: when the younger is full it becomes the older, and what the
+    older held and was not met again is forgotten."""
 
     def __init__(self, encode_first, encode_many, limit: int = MEMO):
         self.encode_first, self.encode_many, self.limit = encode_first, encode_many, limit
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces(t) for t in texts]
@@ -96,12 +99,15 @@ class Memo:
         for c, f in zip(cut, found):
             f[0] = self.encode_first(c[0])
         holes = [[i for i, x in enumerate(f) if x is None] for f in found]
-        new = list({c[i] for c, h in zip(cut, holes) for i in h})
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
+        unknown = {c[i] for c, h in zip(cut, holes) for i in h}
+        got = {p: x for p in unknown if (x := self.old.get(p)) is not None}
+        new = [p for p in unknown if p not in got]
         if new:
-            self.known.update(zip(new, self.encode_many([" " + p for p in new])))
+            got.update(zip(new, self.encode_many([" " + p for p in new])))
+        if len(self.known) + len(got) > self.limit // 2:
+            self.old, self.known = self.known, {}
+        self.known.update(got)
         for c, f, h in zip(cut, found, holes):
             for i in h:
-                f[i] = self.known[c[i]]
+                f[i] = got[c[i]]
         return list(map(b"".join, found))
