@@ -115,7 +115,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import removed_digests
 
-    return removed_digests(table(spark, sf_dir, "documents"))
+    return removed_digests(table(spark, sf_dir, "documents")).withColumn("repeated", F.col("n_removed") > 0)
 
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
