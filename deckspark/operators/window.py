@@ -111,12 +111,13 @@ def suffix_occurrences(df: DataFrame, idx: str, order, step: str = "0.001", out:
     return numbered.withColumn(out, ix.suffix(F.col(idx), F.col("__occ") - 1, step)).drop("__occ")
 
 
-def neighbours(df: DataFrame, keys, order, cols: list[str], before: int, after: int) -> DataFrame:
+def neighbours(df: DataFrame, keys, order, cols: list[str], before: int, after: int, number: str | None = None) -> DataFrame:
     """``df`` with ``__before`` and ``__after``: arrays of the ``cols`` of the
     ``before`` rows before and ``after`` rows after each, nearest first, null
     where the group of ``keys`` ends.  A row is sent to its range once; what a
     range's borders need comes from a table of one row per range.  Every row
-    comes back, whatever its keys and order hold."""
+    comes back, whatever its keys and order hold.  ``number`` names a column
+    for the row's number in the order of keys and ``order``, which comes free."""
     keys, order = _cols(keys), _cols(order)
     t = _ranged(df, keys, order)
     x = t.withColumn("__x", F.struct(F.struct(*[F.col(k) for k in keys]).alias("k"), F.struct(*[F.col(c) for c in cols]).alias("v")))
@@ -131,6 +132,8 @@ def neighbours(df: DataFrame, keys, order, cols: list[str], before: int, after:
     ranges = Window.orderBy("__p")  # one row per range
     over = lambda c, a, b: F.transform(F.flatten(F.collect_list(c).over(ranges.rowsBetween(a, b))), lambda e: e["x"])
     sides = [over("__tail", -before, -1).alias("__earlier")] * (before > 0) + [over("__head", 1, after).alias("__later")] * (after > 0)
+    if number:
+        sides.append(F.coalesce(F.sum("__size").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
     edges = ends.select("__p", "__size", *sides)
     j = x.join(F.broadcast(edges), "__p")
     rows = Window.partitionBy("__p").orderBy("__n")
@@ -151,16 +154,18 @@ def neighbours(df: DataFrame, keys, order, cols: list[str], before: int, after:
     near_cols = {f"__b{s}": near(-s) for s in range(1, before + 1)} | {f"__a{s}": near(s) for s in range(1, after + 1)}
     got = j.withColumns(near_cols)
     both = [F.array(*[F.col(f"__b{s}") for s in range(1, before + 1)]).alias("__before"), F.array(*[F.col(f"__a{s}") for s in range(1, after + 1)]).alias("__after")]
-    return got.select(*df.columns, *both)
+    nth = [(F.col("__off") + F.col("__n") + 1).alias(number)] if number else []
+    return got.select(*df.columns, *both, *nth)
 
 
 # WN-02 -- previous / next element within a group, "" at the edges
-def with_context(df: DataFrame, key: str, pos: str, cols: list[str], blank: str = "") -> DataFrame:
+def with_context(df: DataFrame, key: str, pos: str, cols: list[str], blank: str = "", number: str | None = None) -> DataFrame:
     """Rows of one ``key`` in the order of ``pos``, nulls first; rows with
-    the same ``pos`` are ordered by ``cols``."""
-    near = neighbours(df, [key], [pos, *[c for c in cols if c not in (key, pos)]], cols, 1, 1)
+    the same ``pos`` are ordered by ``cols``.  ``number`` names a column for
+    the row's number in this order over all keys."""
+    near = neighbours(df, [key], [pos, *[c for c in cols if c not in (key, pos)]], cols, 1, 1, number)
     side = lambda arr, c, d: F.coalesce(F.get(arr, 0)[c], F.lit(blank)).alias(f"{c}_{d}")
-    return near.select(*df.columns, *[side("__before", c, "prev") for c in cols], *[side("__after", c, "next") for c in cols])
+    return near.select(*df.columns, *[side("__before", c, "prev") for c in cols], *[side("__after", c, "next") for c in cols], *[number] * bool(number))
 
 
 # WN-03 -- start / end line offset of every story (exclusive running sum)

@@ -76,13 +76,11 @@ def simple_lemmas(text: str = "text", sep: str = ";"):
 # TXT-10 -- sentence cards: ids, both sentences, neighbours, titles, tokens
 def sentence_cards(from_lines: DataFrame, to_lines: DataFrame, headers: DataFrame, key: str = "text_id", pos: str = "pos") -> DataFrame:
     """``from_lines`` / ``to_lines``: (text_id, pos, line); ``headers``:
-    (text_id, from_title, to_title).  Python zip semantics: a pair exists
-    only where both sides have the position."""
+    (text_id, from_title, to_title), one per text.  Python zip semantics: a
+    pair exists only where both sides have the position.  One ordering of the
+    pairs gives both the neighbours and the sentence numbers."""
     pair = from_lines.select(key, pos, F.col("line").alias("from")).join(to_lines.select(key, pos, F.col("line").alias("to")), [key, pos])
-    ctx = W.with_context(pair, key, pos, ["from", "to"])
-    ctx = ctx.withColumnsRenamed({"from_prev": "from_prev", "to_prev": "to_prev"})
-    cards = ctx.join(headers, key, "left")
-    numbered = W.number_rows(cards, [], [key, pos], "sentence_id")
+    numbered = W.with_context(pair, key, pos, ["from", "to"], number="sentence_id").join(headers, key, "left")
     return numbered.select(
         "sentence_id", F.col(key).alias("text_id"), "from", "to", "from_prev", "to_prev", "from_next", "to_next",
         "from_title", "to_title",

@@ -26,7 +26,11 @@ def test_neighbours(spark, n, before, after):
     rows = [(rnd.choice(["hot"] * 9 + ["a", None]), rnd.choice([None, *range(n // 2 + 1)]), rnd.choice(["x", "y", None, f"v{rnd.randrange(n)}"])) for _ in range(n)]
     df = spark.createDataFrame(rows, "k string, p int, v string").repartition(4)
     got = []
-    for r in W.neighbours(df, ["k"], ["p", "v"], ["v"], before, after).collect():
+    found = W.neighbours(df, ["k"], ["p", "v"], ["v"], before, after, number="nth").collect()
+    in_order = sorted(found, key=lambda r: r.nth)
+    assert [r.nth for r in in_order] == list(range(1, n + 1))
+    assert [(r.k, r.p, r.v) for r in in_order] == sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))
+    for r in found:
         values = [[x and x.v for x in side] for side in (r["__before"], r["__after"])]
         got.append((r.k, r.p, r.v, *values, [x is not None for x in r["__before"]]))
     assert sorted(got, key=str) == by_hand(rows, before, after)
