@@ -11,6 +11,7 @@ import unicodedata
 from collections.abc import Callable, Iterable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +38,20 @@ def map_rows(df: DataFrame, cols: list[str], fn: Callable, out: str, return_type
 
 
 # UDF-03 -- a pandas function per group
-def apply_groups(df: DataFrame, key, fn: Callable[[pd.DataFrame], pd.DataFrame], schema, partial: Callable[[pd.DataFrame], pd.DataFrame] | None = None, partial_schema=None) -> DataFrame:
+def apply_groups(df: DataFrame, key, fn: Callable[[pd.DataFrame], pd.DataFrame], schema, partial: Callable[[pd.DataFrame], pd.DataFrame] | None = None, partial_schema=None, many: bool = False) -> DataFrame:
     """``fn`` gets the whole group, which must be of bounded size.  With
     ``partial`` a group of any size will do: it makes few rows of the rows
     that a group has in one batch, before the shuffle, and ``fn`` gets those
-    of all batches."""
+    of all batches.
+
+    A call costs more than a small group's work.  With ``many`` both functions
+    get frames of many groups, each whole for ``fn``, and treat them group by
+    group as pandas does; integers are ``Int64``, null where the row is."""
     keys = list(key) if isinstance(key, (list, tuple)) else [key]
+    if many:
+        if partial is not None:
+            df = _map_frames(df, lambda frames: (partial(x) for x in frames), partial_schema)
+        return _map_frames(df.repartition(*keys).sortWithinPartitions(*keys), lambda frames: (fn(x) for x in _whole_groups(frames, keys)), schema)
     if partial is not None:
 
         def run(batches):
@@ -55,6 +64,42 @@ def apply_groups(df: DataFrame, key, fn: Callable[[pd.DataFrame], pd.DataFrame],
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 
+def _map_frames(df: DataFrame, fn: Callable[[Iterable[pd.DataFrame]], Iterable[pd.DataFrame]], schema: str) -> DataFrame:
+    """``mapInPandas`` that keeps integers of columns with nulls exact."""
+    kinds = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
+
+    def run(batches):
+        frames = (b.to_pandas(types_mapper=kinds.get) for b in batches if b.num_rows)
+        for out in fn(frames):
+            yield from pa.Table.from_pandas(out, preserve_index=False).to_batches()
+
+    return df.mapInArrow(run, schema)
+
+
+def _whole_groups(frames: Iterable[pd.DataFrame], keys: list[str]) -> Iterable[pd.DataFrame]:
+    """The rows of ``frames``, which come in order of ``keys``, in frames that
+    end where a group does: a frame's last group waits for the next frame."""
+    held = []
+    for x in frames:
+        codes = x.groupby(keys, dropna=False, sort=False).ngroup()
+        if held:
+            last = held[-1][keys].iloc[-1:]
+            if pd.concat([last, x[keys].iloc[:1]]).duplicated().iloc[-1]:
+                n = int((codes != codes.iloc[0]).to_numpy().argmax()) or len(x)
+                held.append(x.iloc[:n])
+                x, codes = x.iloc[n:], codes.iloc[n:]
+            if len(x):
+                yield pd.concat(held, ignore_index=True)
+                held = []
+        if len(x):
+            n = int((codes == codes.iloc[-1]).to_numpy().argmax())
+            if n:
+                yield x.iloc[:n].reset_index(drop=True)
+            held = [x.iloc[n:]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 # UDF-04 -- the deck comparator as a sort key (see functions.index)
 def order_by_key(idx: Column) -> list[Column]:
     return deck_order_key(idx)

@@ -545,16 +545,22 @@ def udf02(spark, sf):
     """select l_partkey, string_agg(distinct l_returnflag, ';' order by l_returnflag) as flags, cast(count(*) as bigint) as n from lineitem group by l_partkey""",
 )
 def udf03(spark, sf):
-    """Parts of any number of lines: each batch is folded before the shuffle."""
+    """Parts of any number of lines: each batch is folded before the shuffle,
+    all parts of a batch at once."""
     import pandas as pd
 
-    def merged(pdf: pd.DataFrame, n) -> pd.DataFrame:
-        flags = sorted({f for x in pdf["l_returnflag"].dropna() for f in x.split(";")})
-        return pd.DataFrame({"l_partkey": [int(pdf["l_partkey"].iloc[0])], "l_returnflag": [";".join(flags)], "n": [int(n)]})
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        flags = pdf[["l_partkey", "l_returnflag"]].dropna(subset=["l_returnflag"])
+        flags = flags.assign(l_returnflag=flags["l_returnflag"].str.split(";")).explode("l_returnflag").drop_duplicates().sort_values("l_returnflag")
+        several = flags.duplicated("l_partkey", keep=False)
+        joined = flags[several].groupby("l_partkey", dropna=False, sort=False)["l_returnflag"].agg(";".join).reset_index()
+        flags = pd.concat([flags[~several], joined])
+        n = pdf.groupby("l_partkey", dropna=False, sort=False)["n"].sum().reset_index()
+        return n.merge(flags, on="l_partkey", how="left")[["l_partkey", "l_returnflag", "n"]]
 
-    li = table(spark, sf, "lineitem").select("l_partkey", "l_returnflag")
+    li = table(spark, sf, "lineitem").select(F.col("l_partkey").cast("long"), F.col("l_returnflag").cast("string"))
     schema = "l_partkey long, l_returnflag string, n long"
-    out = U.apply_groups(li, "l_partkey", lambda g: merged(g, g["n"].sum()), schema, lambda g: merged(g, len(g)), schema)
+    out = U.apply_groups(li, "l_partkey", merged, schema, lambda g: merged(g.assign(n=1)), schema, many=True)
     return out.withColumnRenamed("l_returnflag", "flags")
 
 

@@ -102,3 +102,34 @@ def test_groups_of_any_size(spark):
 
     out = U.apply_groups(df, "k", lambda g: fold(g, g["n"].sum()), schema, lambda g: fold(g, len(g)), schema)
     assert sorted((tuple(r) for r in out.collect()), key=str) == [("hot", 24_999, 20_000), (None, 24_995, 5_000)]
+
+
+def test_many_groups_in_a_call(spark):
+    """As one by one: few calls, whole groups, null keys, integers no float holds."""
+    big = 2**60
+    df = spark.range(30_000).selectExpr(f"if(id % 7 = 0, null, if(id < 12000, 1, {big} + id % 9001)) as k", "id as v").repartition(3)
+    calls = spark.sparkContext.accumulator(0)
+
+    def fold(g):
+        calls.add(1)
+        return g.groupby("k", dropna=False, sort=False).agg(v=("v", "max"), n=("n", "sum")).reset_index()
+
+    schema = "k long, v long, n long"
+    out = U.apply_groups(df, "k", fold, schema, lambda g: fold(g.assign(n=1)), schema, many=True)
+    want = df.selectExpr("k", "v").groupBy("k").agg({"v": "max", "*": "count"}).select("k", "max(v)", "count(1)")
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted((tuple(r) for r in want.collect()), key=str)
+    assert calls.value < 100
+
+
+def test_group_function_takes_few_calls(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as E
+
+    li = spark.range(40_000).select((F.col("id") % 20_000).alias("l_partkey"), F.when(F.col("id") % 3 > 0, F.chr(65 + F.col("id") % 5)).alias("l_returnflag"))
+    li = li.unionByName(spark.createDataFrame([(None, "N"), (None, "A"), (7, "N")], li.schema))
+    li.write.parquet(f"{tmp_path}/lineitem.parquet")
+    flags = F.array_join(F.array_sort(F.collect_set("l_returnflag")), ";")
+    want = li.groupBy("l_partkey").agg(F.when(flags != "", flags).alias("flags"), F.count("*").alias("n"))
+    got = E.queries()["udf03_apply_groups"](spark, str(tmp_path))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted((tuple(r) for r in want.collect()), key=str)
