@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 
 from ..functions.text import strip
 from ..schema import IDX, RECORD_SCHEMA
+from ..session import cut_lineage
 
 
 def _schema(names: list[str], types: dict | None = None) -> T.StructType:
@@ -166,15 +167,15 @@ SEPARATORS = {"tab": "\t", "comma": ",", "semicolon": ";", "pipe": "|", "space":
 
 
 def _note_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(directive lines, data lines) with their ``__file``.  The files are
-    read once: a running count of data lines, over sampled ranges, tells
-    which lines come before a file's first."""
-    from ..operators.scan import SUM, prefix_scan
-
+    """(directive lines, data lines) with their ``__file``: those before and
+    from each file's first data line, whose place is one row per file.  The
+    files are read once, and their lines written as they are read."""
     raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__place"), "value")
-    data = (~F.col("value").startswith("#")).cast("long")
-    x = prefix_scan(raw, ["__file"], ["__place"], {"__data": (data, SUM)}).select("__file", "__place", "value", "__data")
-    return x.where("__data = 0"), x.where("__data > 0")
+    raw = cut_lineage(raw, "note-lines")
+    first = raw.where(~F.col("value").startswith("#")).groupBy(F.col("__file").alias("__f")).agg(F.min("__place").alias("__first"))
+    x = raw.join(F.broadcast(first), F.col("__file") == F.col("__f"), "left").drop("__f")
+    data = F.coalesce(F.col("__place") >= F.col("__first"), F.lit(False))
+    return x.where(~data).drop("__first"), x.where(data).drop("__first")
 
 
 def _directives(lines: DataFrame) -> DataFrame:
@@ -194,7 +195,8 @@ def read_note_file(spark: SparkSession, path: str, names: list[str], sep: str |
     head, data = _note_lines(spark, path)
     last = lambda k: F.max_by("value", F.when(F.col("key") == k, F.col("__place")))
     per_file = _directives(head).groupBy("__file").agg(last("separator").alias("__sep"), last("html").alias("__html"))
-    rows = data.join(per_file.select(F.col("__file").alias("__f"), "__sep", "__html"), F.col("__file") == F.col("__f"), "left")
+    # one row per file
+    rows = data.join(F.broadcast(per_file.select(F.col("__file").alias("__f"), "__sep", "__html")), F.col("__file") == F.col("__f"), "left")
     schema = ", ".join(f"`{n}` string" for n in names)
     parse = lambda by: F.from_csv("value", schema, {"sep": by, "quote": '"', "escape": '"'})
     if sep is not None:

@@ -155,6 +155,15 @@ def block_payload(df: DataFrame, block: str, order: str, cols: list[str], sep: s
     return g.select(block, F.array_join(F.transform("__p", lambda s: s["r"]), "\n").alias("payload"))
 
 
+# read back by SRC-14 -- lines under the directives of their file: each file
+# begins with them, so that rows need no order and no file all of them
+def write_note_file(df: DataFrame, col: str, directives: list[str], path: str) -> None:
+    x = df.select(F.col(col).alias("__line"), F.monotonically_increasing_id().alias("__at"))
+    begins = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) == 0  # a task's first row
+    lines = F.when(begins, F.array(*[F.lit(d) for d in directives], F.col("__line"))).otherwise(F.array("__line"))
+    x.select(F.explode(lines).alias("value")).write.mode("overwrite").text(path)
+
+
 # SNK-13 -- nested title/author/text records
 def write_records(df: DataFrame, path: str) -> None:
     df.select("title", "author", "text").write.mode("overwrite").json(path)
