@@ -7,7 +7,7 @@ returns a DataFrame whose work is split by Spark over file splits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -52,25 +52,25 @@ def read_matrix(spark: SparkSession, path: str, columns: list[str], sep: str = "
 
 
 # SRC-07 / SRC-12 -- one record per line with its 1-based line number.
-# Within one file the text source yields lines in split order, and
-# monotonically_increasing_id keeps (split, offset) order, so the numbering is
-# a per-file running count over sampled ranges -- no whole-file task.
+# A split's lines are read by one task in their order, so
+# monotonically_increasing_id less the split's least value is a line's place in
+# it; one row per split says how many lines come before.  Lines stay where
+# they are read, and no task holds a whole file.
 def read_lines(spark: SparkSession, path: str, skip_header: bool = False, line_col: str = "line", across_files: bool = True) -> DataFrame:
     """``line_no`` counts within each file; with ``across_files`` the files
     (part files of one ordered write) are chained in name order."""
-    from ..operators.window import number_rows, running_sum
-
     raw = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__mid"), F.col("value").alias(line_col)
+        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__mid"), F.col("value").alias(line_col)
     )
-    numbered = number_rows(raw, ["__file"], ["__mid"], "line_no")
-    if skip_header:
-        numbered = numbered.where(F.col("line_no") > 1).withColumn("line_no", F.col("line_no") - 1)
-    if across_files:
-        sizes = numbered.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
-        offs = running_sum(sizes, [], ["__file"], F.col("__n"), "__file_off", inclusive=False)
-        numbered = numbered.join(offs.select("__file", "__file_off"), "__file").withColumn("line_no", F.col("line_no") + F.col("__file_off"))
-    return numbered.select(F.col("line_no").cast("bigint").alias("line_no"), line_col)
+    splits = raw.groupBy(F.col("__file").alias("__f"), F.col("__start").alias("__s")).agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    header = F.when(F.row_number().over(Window.partitionBy("__f").orderBy("__s")) == 1, 1).otherwise(0) if skip_header else F.lit(0)
+    splits = splits.withColumn("__header", header).withColumn("__n", F.col("__n") - F.col("__header"))
+    order = Window.orderBy("__f", "__s") if across_files else Window.partitionBy("__f").orderBy("__s")  # one row per split
+    before = F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.withColumn("__before", before)
+    j = raw.join(F.broadcast(splits), (F.col("__file") == F.col("__f")) & (F.col("__start") == F.col("__s")))
+    place = F.col("__mid") - F.col("__first") + 1 - F.col("__header")
+    return j.where(place > 0).select((F.col("__before") + place).cast("bigint").alias("line_no"), line_col)
 
 
 # SRC-08 -- <txt><n/><header/><body>one sentence per line</body></txt> blocks
