@@ -23,6 +23,7 @@ from ..functions import index as ix
 from ..session import cut_lineage
 
 _ROW_BITS = 33  # of monotonically_increasing_id: the row's place in its range
+_CHUNK_BITS = 16  # of these: the row's place in a chunk of its range
 
 
 def _cols(x) -> list:
@@ -120,42 +121,46 @@ def neighbours(df: DataFrame, keys, order, cols: list[str], before: int, after:
     for the row's number in the order of keys and ``order``, which comes free."""
     keys, order = _cols(keys), _cols(order)
     t = _ranged(df, keys, order)
-    x = t.withColumn("__x", F.struct(F.struct(*[F.col(k) for k in keys]).alias("k"), F.struct(*[F.col(c) for c in cols]).alias("v")))
-    at = F.struct(F.col("__n").alias("n"), F.col("__x").alias("x"))
-    size = t.groupBy("__p").agg(F.count(F.lit(1)).alias("__size"))
-    # the first and last rows of each range: a few rows per range
-    ends = x.join(F.broadcast(size), "__p").where((F.col("__n") < after) | (F.col("__n") >= F.col("__size") - before))
-    ends = ends.groupBy("__p", "__size").agg(
-        F.array_sort(F.collect_list(F.when(F.col("__n") < after, at))).alias("__head"),
-        F.array_sort(F.collect_list(F.when(F.col("__n") >= F.col("__size") - before, at))).alias("__tail"),
+    # __q: chunks of a range, dealt evenly to the tasks; __m: place in a chunk
+    at = F.shiftleft(F.col("__p").cast("long"), _ROW_BITS).bitwiseOR(F.col("__n"))
+    t = t.withColumns({"__q": F.shiftright(at, _CHUNK_BITS), "__m": at.bitwiseAND(F.lit((1 << _CHUNK_BITS) - 1))}).drop("__p", "__n")
+    size = t.groupBy("__q").agg(F.count(F.lit(1)).alias("__size"))
+    # the first and last rows of each chunk: a few rows per chunk
+    first, last = F.col("__m") < after, F.col("__m") >= F.col("__size") - before
+    pair = lambda of: F.struct(F.struct(*[of(k).alias(k) for k in keys]).alias("k"), F.struct(*[of(c).alias(c) for c in cols]).alias("v"))
+    place = F.struct(F.col("__m").alias("n"), pair(F.col).alias("x"))
+    ends = t.join(F.broadcast(size), "__q").where(first | last).groupBy("__q", "__size").agg(
+        F.array_sort(F.collect_list(F.when(first, place))).alias("__head"), F.array_sort(F.collect_list(F.when(last, place))).alias("__tail")
     )
-    ranges = Window.orderBy("__p")  # one row per range
-    over = lambda c, a, b: F.transform(F.flatten(F.collect_list(c).over(ranges.rowsBetween(a, b))), lambda e: e["x"])
+    chunks = Window.orderBy("__q")  # one row per chunk
+    over = lambda c, a, b: F.transform(F.flatten(F.collect_list(c).over(chunks.rowsBetween(a, b))), lambda e: e["x"])
     sides = [over("__tail", -before, -1).alias("__earlier")] * (before > 0) + [over("__head", 1, after).alias("__later")] * (after > 0)
     if number:
-        sides.append(F.coalesce(F.sum("__size").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    edges = ends.select("__p", "__size", *sides)
-    j = x.join(F.broadcast(edges), "__p")
-    rows = Window.partitionBy("__p").orderBy("__n")
-    own = F.col("__x.k")
+        sides.append(F.coalesce(F.sum("__size").over(chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    edges = ends.select("__q", "__size", *sides)
+    # plain columns only are sent to a chunk; what they make is put together there
+    rows = Window.partitionBy("__q").orderBy("__m")
+    steps = [*range(-before, 0), *range(1, after + 1)]
+    names = {(c, s): f"__w{i}_{s + before}" for i, c in enumerate(dict.fromkeys([*keys, *cols])) for s in steps}
+    got = t.withColumns({name: F.lag(c, -s).over(rows) if s < 0 else F.lead(c, s).over(rows) for (c, s), name in names.items()})
+    j = got.join(F.broadcast(edges), "__q")
 
     def near(step: int) -> Column:
         """The row ``step`` rows on (back, if negative)."""
+        inside = pair(lambda c: F.col(names[c, step]))
         if step < 0:
-            n = F.col("__n") + step
+            n = F.col("__m") + step
             outside = F.try_element_at("__earlier", F.when(n < 0, n).otherwise(-1).cast("int"))
-            found = F.when(n >= 0, F.lag("__x", -step).over(rows)).otherwise(outside)
+            found = F.when(n >= 0, inside).otherwise(outside)
         else:
-            n = F.col("__n") + step - F.col("__size") + 1
+            n = F.col("__m") + step - F.col("__size") + 1
             outside = F.try_element_at("__later", F.when(n > 0, n).otherwise(1).cast("int"))
-            found = F.when(n <= 0, F.lead("__x", step).over(rows)).otherwise(outside)
-        return F.when(found["k"].eqNullSafe(own), found["v"])
-
-    near_cols = {f"__b{s}": near(-s) for s in range(1, before + 1)} | {f"__a{s}": near(s) for s in range(1, after + 1)}
-    got = j.withColumns(near_cols)
-    both = [F.array(*[F.col(f"__b{s}") for s in range(1, before + 1)]).alias("__before"), F.array(*[F.col(f"__a{s}") for s in range(1, after + 1)]).alias("__after")]
-    nth = [(F.col("__off") + F.col("__n") + 1).alias(number)] if number else []
-    return got.select(*df.columns, *both, *nth)
+            found = F.when(n <= 0, inside).otherwise(outside)
+        return F.when(found["k"].eqNullSafe(F.struct(*[F.col(k) for k in keys])), found["v"])
+
+    both = [F.array(*[near(-s) for s in range(1, before + 1)]).alias("__before"), F.array(*[near(s) for s in range(1, after + 1)]).alias("__after")]
+    nth = [(F.col("__off") + F.col("__m") + 1).alias(number)] if number else []
+    return j.select(*df.columns, *both, *nth)
 
 
 # WN-02 -- previous / next element within a group, "" at the edges
