@@ -38,17 +38,20 @@ def lemmatize(tokens: DataFrame, lemmas: DataFrame, sent: str = "sent", sep: str
     The tokens are read once: they meet the dictionary, and one shuffle by
     sentence brings verbs and prefixes together."""
     d = G.first_per_key(lemmas, "form", ["lemma"]).select(F.col("form").alias("token"), F.col("lemma").alias("__lemma"))
-    t = tokens.join(d, "token", "left")
+    # of prefixes alone the head counts, and of other tokens the lemma
+    svp = F.col("dep") == "svp"
+    slim = tokens.select(sent, "i", "token", F.when(svp, F.col("head")).alias("head"), svp.alias("svp"), (F.col("pos") == "VERB").alias("verb"))
+    t = slim.join(d, "token", "left")
     if unseen is not None:
         t = cut_lineage(t, "tokens")
         guessed = LM.guess(t.where("__lemma is null").select("token").distinct(), unseen, "token")
         t = t.join(guessed.select("token", F.col("lemma").alias("__guess")), "token", "left").withColumn("__lemma", F.coalesce("__lemma", "__guess"))
-    own = F.struct("i", F.coalesce("__lemma", "token").alias("lemma"), "token", "head", (F.col("dep") == "svp").alias("svp"), (F.col("pos") == "VERB").alias("verb"))
+    own = F.struct("i", F.coalesce("__lemma", "token").alias("lemma"), F.when(F.col("svp"), F.struct("token", "head")).alias("svp"), "verb")
     g = t.groupBy(sent).agg(F.array_sort(F.collect_list(own)).alias("__t"))
-    g = g.withColumn("__svp", F.filter("__t", lambda x: x["svp"]))
+    g = g.withColumn("__svp", F.filter("__t", lambda x: x["svp"].isNotNull()))
 
     def lemma(x):
-        prefix = F.try_element_at(F.filter("__svp", lambda p: p["head"] == x["i"]), F.lit(-1))["token"]
+        prefix = F.try_element_at(F.filter("__svp", lambda p: p["svp"]["head"] == x["i"]), F.lit(-1))["svp"]["token"]
         return F.concat(F.when(x["verb"], F.coalesce(prefix, F.lit(""))).otherwise(""), x["lemma"])
 
     kept = F.filter(F.transform("__t", lemma), lambda x: ~x.isin(*DROPPED_TOKENS))
