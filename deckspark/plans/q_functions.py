@@ -330,8 +330,10 @@ def arr01(spark, sf):
 
 @query("arr02_array_join", f"select doc_id, pos, string_agg(token, ' ' order by i) as sentence from {V_TOK_SQL} group by doc_id, pos")
 def arr02(spark, sf):
-    t = v_tok(spark, sf)
-    g = t.groupBy("doc_id", "pos").agg(F.sort_array(F.collect_list(F.struct("i", "token"))).alias("__t"))
+    """Lines are gathered by key as they are and cut into tokens after that."""
+    g = v_line(spark, sf).groupBy("doc_id", "pos").agg(F.collect_list("sentence").alias("__s"))
+    tokens = F.transform("__s", lambda s: F.transform(F.split(s, " "), lambda t, i: F.struct(i.alias("i"), t.alias("token"))))
+    g = g.withColumn("__t", F.sort_array(F.flatten(tokens)))
     return g.select("doc_id", "pos", F.array_join(F.transform("__t", lambda s: s["token"]), " ").alias("sentence"))
 
 
