@@ -31,13 +31,17 @@ CLOSING = r"[^\p{L}\p{N}.!?]+\z"  # quotes and brackets behind a word
 NUMBER = r"\d+([.,]\d+)*"
 
 
-def _lines(texts: DataFrame, text: str) -> DataFrame:
-    """(tid, line, toks) of the different texts: their lines as arrays of
-    words."""
+def text_lines(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(tid, line, words) of the different texts, written: their lines with
+    words in them.  Learning and splitting may share it."""
     each = texts.select(F.unhex(F.md5(text)).alias("tid"), F.col(text).alias("__text")).where("__text is not null").dropDuplicates(["tid"])
     lines = each.select("tid", F.posexplode(F.split("__text", "\n")).alias("line", "__line"))
-    words = F.filter(F.split("__line", r"[ \t\r]+"), lambda x: x != "")
-    return lines.select("tid", "line", words.alias("toks")).where(F.size("toks") > 0)
+    return cut_lineage(lines.select("tid", "line", F.col("__line").alias("words")).where(F.col("words").rlike(r"[^ \t\r]")), "text-lines")
+
+
+def _toks() -> Column:
+    """The words of a line, which is passed on as it is: an array is larger."""
+    return F.filter(F.split("words", r"[ \t\r]+"), lambda x: x != "")
 
 
 def _bare(word: Column) -> Column:
@@ -71,11 +75,12 @@ def _words(lines: DataFrame) -> DataFrame:
     )
 
 
-def learn_sentence_ends(texts: DataFrame, text: str = "text") -> DataFrame:
+def learn_sentence_ends(texts: DataFrame, text: str = "text", lines: DataFrame | None = None) -> DataFrame:
     """(kind, abbreviation, starter): word types that are abbreviations, and
     those whose capital tells that a sentence starts.  Texts that occur
     several times teach once."""
-    kinds = _words(_lines(texts, text)).groupBy("kind").agg(
+    lines = text_lines(texts, text) if lines is None else lines
+    kinds = _words(lines.select(_toks().alias("toks"))).groupBy("kind").agg(
         F.count_if("stop").alias("n_stop"), F.count_if(~F.col("stop")).alias("n_plain"), F.count_if("small").alias("n_small"), F.count_if("capital").alias("n_capital")
     )
     kinds = cut_lineage(kinds, "word-kinds")
@@ -109,15 +114,15 @@ def sentence_ends(lines: DataFrame, model: DataFrame) -> DataFrame:
     return j.where(~unsure | begins).select("tid", "line", "i")
 
 
-def split_sentences(texts: DataFrame, model: DataFrame, text: str = "text") -> DataFrame:
+def split_sentences(texts: DataFrame, model: DataFrame, text: str = "text", lines: DataFrame | None = None) -> DataFrame:
     """``texts`` with ``i`` (from 1) and ``sentence``, one row per sentence; a
     text without words has none.  A line ends a sentence, too; white space
     inside a sentence becomes one space; null texts and texts of white space
     give no row."""
-    lines = cut_lineage(_lines(texts, text), "text-lines")
-    ends = sentence_ends(lines, model).groupBy("tid", "line").agg(F.collect_list(F.col("i") + 1).alias("ends"))
+    lines = text_lines(texts, text) if lines is None else lines
+    ends = sentence_ends(lines.select("tid", "line", _toks().alias("toks")), model).groupBy("tid", "line").agg(F.collect_list(F.col("i") + 1).alias("ends"))
     stops = F.concat(F.array(F.lit(0)), F.coalesce("ends", F.array().cast("array<int>")), F.array(F.size("toks")))
-    cut = lines.join(ends, ["tid", "line"], "left").withColumn("stops", F.array_sort(stops))
+    cut = lines.join(ends, ["tid", "line"], "left").withColumn("toks", _toks()).withColumn("stops", F.array_sort(stops))
     each = F.transform(F.slice("stops", 1, F.size("stops") - 1), lambda s, k: F.array_join(F.slice("toks", s + 1, F.get("stops", k + 1) - s), " "))
     whole = cut.select("tid", F.struct("line", each.alias("s")).alias("l")).groupBy(F.col("tid").alias("__id")).agg(F.array_sort(F.collect_list("l")).alias("__lines"))
     j = texts.drop("i", "sentence").withColumn("__id", F.unhex(F.md5(text))).join(whole, "__id")

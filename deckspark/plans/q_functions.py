@@ -206,10 +206,11 @@ LEARNED_SENTENCES_SQL = f"""
 @query("str19_learned_sentences", LEARNED_SENTENCES_SQL)
 def str19l(spark, sf):
     """With the abbreviations that the documents themselves teach."""
-    from ..operators.sentences import learn_sentence_ends, split_sentences
+    from ..operators.sentences import learn_sentence_ends, split_sentences, text_lines
 
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return split_sentences(docs, learn_sentence_ends(docs)).select("doc_id", "i", "sentence")
+    lines = text_lines(docs)
+    return split_sentences(docs, learn_sentence_ends(docs, lines=lines), lines=lines).select("doc_id", "i", "sentence")
 
 
 @query(
