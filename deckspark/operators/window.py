@@ -40,7 +40,7 @@ def _ranged(df: DataFrame, keys: list, order: list) -> DataFrame:
     ordered = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__at", at)
     p = F.shiftright("__at", _ROW_BITS).cast("int")
     n = F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return cut_lineage(ordered.withColumn("__p", p).withColumn("__n", n).drop("__at"), "ordered")
+    return cut_lineage(ordered.withColumn("__p", p).withColumn("__n", n).drop("__at"), "ordered", "zstd")
 
 
 def _same(a: DataFrame, b: DataFrame, keys: list) -> Column:
