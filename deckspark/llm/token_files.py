@@ -146,8 +146,8 @@ def library_encoder(tokenizer_path: str, dtype, disputed: str):
 
     def many(new: list[str]) -> list[bytes]:
         out = []
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+        for at in range(0, len(new), 256):
+            part = new[at : at + 256]
             ids = np.array(tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype)
             ends = np.cumsum([len(p.encode()) for p in part])
             cuts = (size * np.searchsorted(np.cumsum(n_bytes[ids]), ends, side="right")).tolist()
