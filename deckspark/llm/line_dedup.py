@@ -21,10 +21,13 @@ an empty table gives an empty table; other columns pass through.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +35,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from . import hamming
 from .components import components
-from .storage import cut_lineage, held
+from .storage import cut_lineage, release
 
 RADIUS = 3
 SIMILARITY = 0.8
@@ -40,55 +43,75 @@ FP_LIMIT = 2048  # distinct fingerprints of a node
 TEXT_LIMIT = 512  # lines verified together
 
 _DIGIT = re.compile(r"\d")
+_HIGH = re.compile("[\u0660-\U0010ffff]")  # from the first digit that is not ASCII on
 _RUNS = re.compile(r"[^\W_]+")
-MEMO = 300_000  # words of some 150 bytes
+_OTHER = re.compile(r"[^\w\n]+|_+")
 ROWS = 512  # rows of a batch that are texts in Python at a time
 
 
-def normalise(line: str) -> str:
-    return " ".join(_DIGIT.sub("0", line.lower()).split())
+def _folded(text: str) -> str:
+    """Lower case, digits as 0."""
+    text = text.lower()
+    if not text.isascii() and _HIGH.search(text):
+        return _DIGIT.sub("0", text)
+    for digit in "123456789":
+        text = text.replace(digit, "0")
+    return text
+
 
+def normalise(line: str) -> str:
+    return " ".join(_folded(line).split())
 
-class _Hashes(dict):
-    """word -> hash of its letters and digits, 0 without any; emptied when
-    full, which bounds a worker's memory."""
 
-    def __missing__(self, word: str) -> int:
-        bare = "".join(_RUNS.findall(word))
-        if len(self) >= MEMO:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(bare) if bare else 0
-        return h
+def _word_hashes(words: list[str]) -> np.ndarray:
+    """Hash of each word's letters and digits, 0 without any."""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    odd = [i for i, w in enumerate(words) if not w.isalnum()]
+    bare = _OTHER.sub("", "\n".join([words[i] for i in odd])).split("\n")
+    h[odd] = [xxhash.xxh64_intdigest(w) if w else 0 for w in bare[: len(odd)]]
+    return h
 
 
-def line_fingerprints(lines: list[list[str]]) -> np.ndarray:
+def line_fingerprints(lines: list[str]) -> np.ndarray:
     """SimHash of each normalised line's different words (punctuation
     aside), as signed integers."""
-    known = held("line hashes", _Hashes).__getitem__
-    flat: list[int] = []
-    ends = []
-    for words in lines:
-        flat += filter(None, map(known, set(words)))
-        ends.append(len(flat))
-    ends = np.array(ends)
-    h = np.array(flat, np.uint64)
     out = np.zeros(len(lines), np.uint64)
+    if not lines:
+        return out.view(np.int64)
+    cut = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+    coded = cut.values.dictionary_encode()
+    hashes = _word_hashes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    # a word's repeats within its line count once
+    own = np.repeat(np.arange(len(lines)), np.diff(cut.offsets.to_numpy()))
+    key = np.sort(own << 32 | coded.indices.to_numpy())
+    key = key[np.append(True, key[1:] != key[:-1])]
+    h, own = hashes[key & 0xFFFFFFFF], key >> 32
+    h, own = h[h != 0], own[h != 0]
+    sizes = np.bincount(own, minlength=len(lines))
+    ends = np.append(0, np.cumsum(sizes))
     first = 0
     while first < len(lines):  # about 100,000 words at a time
-        start = ends[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, start + 100_000)))
-        part, cut = h[start : ends[last - 1]], np.append(0, ends[first:last] - start)
-        size = np.diff(cut)
-        some = size > 0
-        if some.any():
-            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts = np.add.reduceat(bits, cut[:-1][some], axis=0, dtype=np.int32)
-            marks = np.packbits(2 * counts > size[some][:, None], axis=1, bitorder="little")
-            out[first:last][some] = marks.view(np.uint64).ravel()
+        last = min(len(lines), max(first + 1, int(np.searchsorted(ends, ends[first] + 100_000))))
+        some = np.flatnonzero(sizes[first:last]) + first
+        if len(some):
+            out[some] = _majorities(h[ends[first] : ends[last]], ends[some] - ends[first], sizes[some])
         first = last
     return out.view(np.int64)
 
 
+def _majorities(h: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bits set in more than half of the hashes of each run of ``h``.
+    Eight bytes are added at once: a byte counts 255 words at most, so longer
+    runs are counted in parts."""
+    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    parts = -(-size // 255)
+    begin = np.cumsum(parts) - parts
+    places = np.repeat(start, parts) + 255 * (np.arange(parts.sum()) - np.repeat(begin, parts))
+    counts = np.add.reduceat(bits.view(np.uint64), places, axis=0).view(np.uint8)
+    counts = np.add.reduceat(counts, begin, axis=0, dtype=np.int32)
+    return np.packbits(2 * counts > size[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
 def _equal_run(a: str, i: int, b: str, j: int) -> int:
     """Length of the common prefix of a[i:] and b[j:], by growing slices."""
     n, got, step = min(len(a) - i, len(b) - j), 0, 16
@@ -146,7 +169,7 @@ def edit_distance(a: str, b: str, most: int) -> int:
     if not a:
         return min(len(b), most + 1)
     if len(a) > 500:
-        few = min(most, 64 + len(a) // 50)
+        few = min(most, 8 + math.isqrt(len(a) * (40_000 + len(a)) // 100_000))
         found = _by_diagonals(a, b, few)
         if found is not None or few == most:
             return most + 1 if found is None else found
@@ -172,11 +195,48 @@ def _by_bits(a: str, b: str, most: int) -> int:
     return score
 
 
+def _bound(a: str, b: str) -> int:
+    """At least the distance: words that both strings hold just once and in
+    the same order stay, and so do equal ends between two of them; the rest
+    between them is replaced as a whole."""
+    x, y = a.split(" "), b.split(" ")
+    once: list[dict[str, int]] = []
+    for words in (x, y):
+        at: dict[str, int] = {}
+        for i, w in enumerate(words):
+            at[w] = -1 if w in at else i
+        once.append(at)
+    pairs = [(i, j) for w, i in once[0].items() if i >= 0 and (j := once[1].get(w, -1)) >= 0]
+    # longest increasing run of places in b: the last pair of each length
+    tails: list[int] = []
+    last: list[int] = []
+    back: list[int] = []
+    for k, (_, j) in enumerate(pairs):
+        n = bisect_left(tails, j)
+        tails[n : n + 1], last[n : n + 1] = [j], [k]
+        back.append(last[n - 1] if n else -1)
+    stay, k = [(len(x), len(y))], last[-1] if last else -1
+    while k >= 0:
+        stay.append(pairs[k])
+        k = back[k]
+    total = i = j = 0
+    for k, m in reversed(stay):
+        hi, hj = k, m
+        while i < hi and j < hj and x[i] == y[j]:
+            i, j = i + 1, j + 1
+        while i < hi and j < hj and x[hi - 1] == y[hj - 1]:
+            hi, hj = hi - 1, hj - 1
+        # each word with a space
+        total += max(sum(map(len, x[i:hi])) + hi - i, sum(map(len, y[j:hj])) + hj - j)
+        i, j = k + 1, m + 1
+    return total
+
+
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     """Is 1 - distance / longer length at least ``least``?"""
     longer = max(len(a), len(b))
     most = int((1 - least) * longer + 1e-9)
-    return edit_distance(a, b, most) <= most
+    return _bound(a, b) <= most or edit_distance(a, b, most) <= most
 
 
 def _slices(batches):
@@ -192,20 +252,21 @@ def lines(docs: DataFrame) -> DataFrame:
     names = [f.split()[0] for f in schema.split(", ")]
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
 
-    def batch(places: list[tuple], found: list[list[str]]) -> pa.RecordBatch:
-        cols = [*zip(*places), [xxhash.xxh3_128_digest(" ".join(x)) for x in found], line_fingerprints(found)]
+    def batch(places: list[tuple], found: list[str]) -> pa.RecordBatch:
+        cols = [*zip(*places), list(map(xxhash.xxh3_128_digest, found)), line_fingerprints(found)]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     def run(batches):
+        release()
         for b in _slices(batches):
             places: list[tuple] = []
-            found: list[list[str]] = []
+            found: list[str] = []
             for doc_id, th, text in zip(*(b.column(c).to_pylist() for c in range(3))):
                 # lower case and digits of a whole text at once, as by line
-                for pos, line in enumerate(_DIGIT.sub("0", text.lower()).split("\n")):
+                for pos, line in enumerate(_folded(text).split("\n")):
                     if _RUNS.search(line):
                         places.append((doc_id, th, pos))
-                        found.append(line.split())
+                        found.append(" ".join(line.split()))
                 if len(found) >= 5000:
                     yield batch(places, found)
                     places, found = [], []

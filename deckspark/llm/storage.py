@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir, cut_lineage
 
-__all__ = ["cut_lineage", "shared_folder", "file_system", "own_file", "held", "spread"]
+__all__ = ["cut_lineage", "shared_folder", "file_system", "own_file", "held", "release", "spread"]
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -57,6 +57,12 @@ def held(key, make):
     return _HELD[key]
 
 
+def release() -> None:
+    """Frees what a worker process keeps.  The tasks of an operator that
+    keeps nothing begin with it: a worker serves the stages of many."""
+    _HELD.clear()
+
+
 def spread(df: DataFrame, *keys) -> DataFrame:
     """One Python task per shuffle partition instead of AQE's merged ones:
     for stages whose work per row is heavy although the rows are few."""

@@ -91,3 +91,42 @@ def test_as_by_hand(spark, docs_table, edge_rows, monkeypatch, limit):
 
 def test_no_documents(no_docs):
     assert L.dedup_lines(no_docs).count() == 0
+
+
+def test_folding_as_by_character():
+    for text in ("", "Page 1907, No 5²", "Σ 42 ÉTÉ", "١٢ and 12 ３", "İ 7 ๓"):
+        assert L._folded(text) == L._DIGIT.sub("0", text.lower())
+
+
+def test_fingerprints_of_long_lines():
+    """Runs of more than 255 words are counted in parts."""
+    rnd = random.Random(3)
+    lines = ["a", "--- _ !", "one two two", "don't don't stop_here"]
+    for n in (254, 255, 256, 511, 1300):
+        words = [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+        lines += [" ".join(words), " ".join(words + words[: n // 2])]
+    assert [x % 2**64 for x in L.line_fingerprints(lines).tolist()] == [slow_fingerprint(x) for x in lines]
+    assert L.line_fingerprints([]).tolist() == []
+
+
+def test_near_copies_need_no_exact_distance(monkeypatch):
+    rnd = random.Random(12)
+    for _ in range(300):
+        a = " ".join(rnd.choice(["x", "yy", "zig", "zag", "w" * 9, ""]) for _ in range(rnd.randint(0, 14)))
+        b = a.split(" ")
+        for _ in range(rnd.randint(0, 4)):
+            i = rnd.randrange(len(b) + 1)
+            b[i : i + rnd.randrange(3)] = rnd.choice([[], ["new"], ["zag", "x"]])
+        b = " ".join(b)
+        assert L._bound(a, b) >= levenshtein(a, b)
+        assert L.similar(a, b) == (levenshtein(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))
+
+    def never(*_):
+        raise AssertionError("the exact distance of an evident copy")
+
+    monkeypatch.setattr(L, "edit_distance", never)
+    words = [f"{prose(rnd, 1)}{rnd.randrange(400)}" for _ in range(900)]
+    other = list(words)
+    for i in range(0, 900, 20):
+        other[i : i + 1] = rnd.choice([[], ["changed"], [words[i], "added"]])
+    assert L.similar(" ".join(words), " ".join(other))
