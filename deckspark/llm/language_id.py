@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .storage import cut_lineage, held
+from .storage import cut_lineage, held, release
 
 NGRAMS = 5
 MIN_SHARE = 2e-6
@@ -60,6 +60,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """(lang, word, n) over whole texts; a task sums before the shuffle."""
 
     def run(batches):
+        release()
         counts: dict[str, Counter] = {}
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
@@ -121,7 +122,6 @@ class Model:
             rows.append(k)
         self.cost = np.full((n, len(self.langs)), PENALTY)
         self.cost[rows, [at[x] for x in cols["lang"]]] = cols["cost"]
-        self.id = uuid.uuid4().hex
 
     def word(self, w: str) -> np.ndarray:
         k = self.place[0].get(w)
@@ -179,10 +179,10 @@ def predict(docs: DataFrame, model: DataFrame, text: str = "text", names: tuple[
     those names are replaced); only ``text`` is read.  One scan, no shuffle."""
     # bounded: at most (NGRAMS + 1) / MIN_SHARE items per language
     sent = docs.sparkSession.sparkContext.broadcast(Model(model.toArrow()))
-    docs = docs.drop(*names)
+    docs, key = docs.drop(*names), ("languages", uuid.uuid4().hex)
 
     def run(batches):
-        memo = held(("languages", sent.value.id), lambda: _Memo(sent.value))
+        memo = held(key, lambda: _Memo(sent.value))  # loaded when others are freed
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 b = batch.slice(at, ROWS)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import hamming
 from .components import components
-from .storage import cut_lineage
+from .storage import cut_lineage, release
 
 SHINGLE = 3
 RADIUS = 3
@@ -73,6 +73,7 @@ def _fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     equal ids apart."""
 
     def run(batches):
+        release()
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fps, pa.int64())], names=["doc_id", "th", "fp"])

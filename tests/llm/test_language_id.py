@@ -1,7 +1,11 @@
 import math
 from collections import Counter
+from unittest.mock import MagicMock
+
+import pyarrow as pa
 
 from deckspark.llm import language_id as I
+from deckspark.llm import line_dedup, simhash_gray, storage
 from deckspark.llm.queries import QUERIES, table
 
 
@@ -64,3 +68,63 @@ def test_held_out_accuracy(spark):
     assert len(got) == 1000 and len(held) > 150
     assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97
     assert all(0 <= r.score <= 1 for r in got)
+
+
+class _Captured:
+    """Stands for a table and its session; keeps the function of its tasks."""
+
+    schema: list = []
+
+    def __init__(self, value=None):
+        self.sparkSession = self.sparkContext = self
+        self.found = value
+
+    def broadcast(self, value):
+        return _Loaded(value)
+
+    def same(self, *_):
+        return self
+
+    select = drop = where = withColumn = groupBy = agg = same
+
+    def mapInArrow(self, run, _schema):
+        self.run = run
+        return self
+
+
+class _Loaded:
+    def __init__(self, model):
+        self.model = model
+
+    @property
+    def value(self):
+        assert not storage._HELD  # what others keep is freed before the model is loaded
+        return self.model
+
+
+class _Trained:
+    def toArrow(self):
+        return pa.table({"lang": ["en"], "size": [0], "item": ["a"], "cost": [0.0]})
+
+
+def test_tasks_free_what_other_stages_keep(monkeypatch):
+    kept: dict = {}
+    monkeypatch.setattr(storage, "_HELD", kept)
+    monkeypatch.setattr(I, "F", MagicMock())
+    for make in (I.word_counts, lambda t: I.predict(t, _Trained())):
+        kept["codec"] = object()
+        make(table := _Captured())
+        list(table.run([]))
+        assert "codec" not in kept
+        kept.clear()
+
+
+def test_other_stages_free_it_too(monkeypatch):
+    kept: dict = {}
+    monkeypatch.setattr(storage, "_HELD", kept)
+    for module, make in ((line_dedup, line_dedup.lines), (simhash_gray, lambda t: simhash_gray._fingerprints(t, 3))):
+        monkeypatch.setattr(module, "F", MagicMock())
+        kept["codec"] = object()
+        make(table := _Captured())
+        list(table.run([]))
+        assert not kept
