@@ -24,7 +24,6 @@ pass through untouched except ``doc_id``/``text``.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -144,7 +143,6 @@ class Automaton:
         return b"".join(map(self.labels.__getitem__, ids))
 
 
-@functools.lru_cache(maxsize=2)
 def compile_file(path: str) -> tuple[Automaton, dict[str, int]]:
     """The automaton of a tokenizer file and its special strings' ids."""
     with open(path, encoding="utf-8") as f:

@@ -11,6 +11,7 @@ unreferenced file.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 
@@ -52,15 +53,20 @@ def held(key, make):
     Only that of the last key asked for is kept, so the memos of one operator
     do not weigh on the stages of the next."""
     if key not in _HELD:
-        _HELD.clear()
+        release()
         _HELD[key] = make()
     return _HELD[key]
 
 
 def release() -> None:
     """Frees what a worker process keeps.  The tasks of an operator that
-    keeps nothing begin with it: a worker serves the stages of many."""
-    _HELD.clear()
+    keeps nothing begin with it: a worker serves the stages of many.  The C
+    library keeps freed memory unless asked to return it."""
+    if _HELD:
+        _HELD.clear()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def spread(df: DataFrame, *keys) -> DataFrame:

@@ -1,12 +1,14 @@
+import gc
 import math
+import weakref
 from collections import Counter
 from unittest.mock import MagicMock
 
 import pyarrow as pa
 
 from deckspark.llm import language_id as I
-from deckspark.llm import line_dedup, simhash_gray, storage
-from deckspark.llm.queries import QUERIES, table
+from deckspark.llm import bpe_automaton, line_dedup, simhash_gray, storage
+from deckspark.llm.queries import QUERIES, table, tokenizer_path
 
 
 def by_hand(teach, text):
@@ -128,3 +130,14 @@ def test_other_stages_free_it_too(monkeypatch):
         make(table := _Captured())
         list(table.run([]))
         assert not kept
+
+
+def test_a_codec_is_freed_whole(monkeypatch):
+    """With its automaton and the transitions that it has computed."""
+    monkeypatch.setattr(storage, "_HELD", {})
+    path = tokenizer_path()
+    automaton = weakref.ref(storage.held("codec", lambda: bpe_automaton.Codec(path, "")).machine)
+    assert automaton() is not None
+    storage.release()
+    gc.collect()
+    assert automaton() is None
