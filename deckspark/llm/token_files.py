@@ -25,20 +25,23 @@ columns are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import zlib
 from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import cut_lineage, file_system, held, own_file, shared_folder
-from .words import SPECIAL, Disputed, Memo, disputed_characters
+from .words import MEMO, SPECIAL, Disputed, disputed_characters, has_wide_space, pieces
 
 SEQ_LEN = 2048
 ROWS_PER_BATCH = 64
+SLICE = 4 << 20  # bytes of text encoded at once, about
 SAMPLE = 40  # rows sampled for a shard's bounds
 MOST_SAMPLED = 200_000  # rows of three numbers that come to the driver
 SHARD_DOCS = 50_000  # documents of a shard, at most about
@@ -122,12 +125,47 @@ class _ShardWriter:
             x.close()
 
 
+class _PieceIds:
+    """Numbers pieces of text and keeps their ids by number: those of piece
+    ``i`` are ``ids[ends[i]:ends[i + 1]]``.  ``encode`` gives the ids of a
+    list of pieces in one array, and the place after each piece's last.
+    Everything is forgotten when ``limit`` pieces are exceeded."""
+
+    def __init__(self, encode, dtype, limit: int = MEMO):
+        self.encode, self.limit = encode, limit
+        self.nothing = np.zeros(0, dtype)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.ends = self.nothing, np.zeros(1, np.int64)
+
+    def numbers(self, distinct: list[str]) -> np.ndarray:
+        def known() -> np.ndarray:
+            return np.fromiter(map(self.number.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
+
+        found = known()
+        if len(self.number) + np.count_nonzero(found < 0) > self.limit:
+            self._forget()
+            found = known()
+        holes = np.flatnonzero(found < 0)
+        if len(holes):
+            new, first = [distinct[i] for i in holes.tolist()], len(self.number)
+            ids, ends = self.encode(new)
+            found[holes] = np.arange(first, first + len(new))
+            self.number.update(zip(new, range(first, first + len(new))))
+            self.ids = np.concatenate([self.ids, ids])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+        return found
+
+
 @functools.lru_cache(maxsize=2)
 def library_encoder(tokenizer_path: str, dtype, disputed: str):
-    """Kept per worker.  A function texts -> list of id bytes, by the
-    tokenizers library.  Pieces repeat and come from a memo; new ones are
-    encoded as one text, whose ids are cut by the bytes they stand for.
-    Texts with a special string or a disputed character are encoded whole."""
+    """Kept per worker.  A function texts -> list of id arrays, by the
+    tokenizers library.  Pieces repeat: Arrow finds the distinct ones of the
+    texts, these are looked up once each, new ones are encoded as one text
+    whose ids are cut by the bytes they stand for.  Texts with a special
+    string or a disputed character are encoded whole."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -136,33 +174,61 @@ def library_encoder(tokenizer_path: str, dtype, disputed: str):
     tok = Tokenizer.from_file(tokenizer_path)
     tok.no_truncation()
     tok.no_padding()
-    vocab, size = tok.get_vocab(), np.dtype(dtype).itemsize
+    vocab = tok.get_vocab()
     n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
     for token, i in vocab.items():  # byte-level: a character is a byte
         n_bytes[i] = len(token)
 
-    def whole(text: str) -> bytes:
-        return np.array(tok.encode(text, add_special_tokens=False).ids, dtype).tobytes()
+    def whole(text: str) -> np.ndarray:
+        return np.array(tok.encode(text, add_special_tokens=False).ids, dtype)
 
-    def many(new: list[str]) -> list[bytes]:
-        out = []
+    def later(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = []
         for at in range(0, len(new), 256):
-            part = new[at : at + 256]
-            ids = np.array(tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype)
-            ends = np.cumsum([len(p.encode()) for p in part])
-            cuts = (size * np.searchsorted(np.cumsum(n_bytes[ids]), ends, side="right")).tolist()
-            data = ids.tobytes()
-            out += [data[i:j] for i, j in zip([0, *cuts], cuts)]
-        return out
-
-    memo, odd = Memo(functools.lru_cache(100_000)(whole), many), Disputed(disputed)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        plain = [SPECIAL not in t and odd.free(t) for t in texts]
-        out = memo.encode([t if p else "" for t, p in zip(texts, plain)])
-        for i, p in enumerate(plain):
-            if not p:
-                out[i] = whole(texts[i])
+            ids.append(np.array(tok.encode_batch_fast([" " + " ".join(new[at : at + 256])], add_special_tokens=False)[0].ids, dtype))
+        ids = np.concatenate(ids)
+        sizes = pc.binary_length(pa.array(new, pa.large_string())).to_numpy()
+        return ids, np.searchsorted(np.cumsum(n_bytes[ids]), np.cumsum(sizes + 1), side="right")
+
+    memo, first, odd = _PieceIds(later, dtype), functools.lru_cache(100_000)(whole), Disputed(disputed)
+
+    def joined(cut: pa.LargeListArray) -> list[np.ndarray]:
+        """The ids of texts cut into pieces."""
+        strings = cut.flatten().dictionary_encode()
+        codes, distinct = strings.indices.to_numpy(), strings.dictionary.to_numpy(zero_copy_only=False)
+        begin = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
+        is_first = np.zeros(len(codes), bool)
+        is_first[begin] = True
+        wanted = np.zeros(len(distinct), bool)  # as a later piece
+        wanted[codes[~is_first]] = True
+        number = np.zeros(len(distinct), np.int64)
+        number[wanted] = memo.numbers(distinct[wanted].tolist())
+        # a text's first piece has no space before it: numbers beyond the memo's
+        heads = [first(p) for p in distinct[codes[begin]].tolist()]
+        ids = np.concatenate([memo.ids, *heads])
+        ends = np.concatenate([memo.ends, memo.ends[-1] + np.cumsum([len(x) for x in heads])])
+        number = number[codes]
+        number[begin] = len(memo.ends) - 1 + np.arange(len(begin))
+        lens = np.diff(ends)[number]
+        place = np.cumsum(lens)
+        at = np.repeat(ends[number] - place + lens, lens)
+        at += np.arange(len(at))
+        return np.split(ids[at], place[begin[1:] - 1])
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        out: list = [None] * len(texts)
+        plain, spaced = [], []
+        for i, t in enumerate(texts):
+            if SPECIAL in t or not odd.free(t):
+                out[i] = whole(t)
+            else:
+                (spaced if has_wide_space(t) else plain).append(i)
+        if plain:
+            for i, ids in zip(plain, joined(pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " "))):
+                out[i] = ids
+        if spaced:
+            for i, ids in zip(spaced, joined(pa.array([pieces(texts[i]) for i in spaced], pa.large_list(pa.large_string())))):
+                out[i] = ids
         return out
 
     return encode
@@ -235,8 +301,10 @@ def write_token_files(
         codec, end = pa.Codec("zstd"), np.array([end_id], dtype)
         writer, shard, first = None, None, None
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                rows = [b.column(c).slice(at, 256).to_pylist() for c in range(4)]
+            group = np.cumsum(b.column(2).to_numpy(), dtype=np.int64) // SLICE
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), b.num_rows]
+            for at, to in zip(cuts, cuts[1:]):
+                rows = [b.column(c).slice(at, to - at).to_pylist() for c in range(4)]
                 texts = [codec.decompress(z, size, asbytes=True).decode() for size, z in zip(rows[2], rows[3])]
                 for s, doc_id, ids in zip(rows[0], rows[1], encode(texts)):
                     if writer is not None and s != shard:
@@ -244,7 +312,7 @@ def write_token_files(
                         writer = None
                     if writer is None:
                         writer, shard, first = _ShardWriter(folder, seq_len, rows_per_batch, id_type), s, doc_id
-                    writer.add(doc_id, np.append(np.frombuffer(ids, dtype), end))
+                    writer.add(doc_id, np.append(ids, end))
         if writer is not None:
             yield closed(writer, shard, first)
 

@@ -31,10 +31,15 @@ def split_words(text: str) -> list[str]:
 _split = regex.compile(SPLIT).findall
 
 
+def has_wide_space(text: str) -> bool:
+    """Whether some space has no non-space behind it."""
+    return bool(_ODD.search(text))
+
+
 def pieces(text: str) -> list[str]:
     """``text`` cut before every single space that a non-space follows,
     without that space: " ".join of the pieces is the text."""
-    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    return _CUT.split(text) if has_wide_space(text) else text.split(" ")
 
 
 def byte_alphabet() -> dict[str, int]:

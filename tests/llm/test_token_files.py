@@ -1,11 +1,14 @@
+import random
 import zlib
 
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from deckspark.llm import token_files as T
 from deckspark.llm.queries import tokenizer_path
 from deckspark.llm.token_files import open_sequences, read_documents, sequence, write_token_files
+from deckspark.llm.words import disputed_characters
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +56,40 @@ def test_random_access_without_copies(spark, library, edge_docs):
 def test_no_documents(spark, no_docs):
     manifest = write_token_files(no_docs, tokenizer_path(), 2)
     assert manifest.count() == 0 and read_documents(spark, manifest).count() == 0
+
+
+@pytest.mark.parametrize("limit", [5, 1000])
+def test_distinct_pieces_are_asked_for_once(library, monkeypatch, limit):
+    """Words that repeat within the texts encoded together cost one look-up;
+    ids stay those of the library, also when the memo forgets."""
+    disputed, asked = disputed_characters(library), []
+    numbers = T._PieceIds.numbers
+
+    def recorded(self, distinct):
+        self.limit = limit
+        asked.append(distinct)
+        return numbers(self, distinct)
+
+    monkeypatch.setattr(T._PieceIds, "numbers", recorded)
+    encode = T.library_encoder.__wrapped__(tokenizer_path(), np.uint16, disputed)
+    texts = ["first one two one two", "one two one", "two first"]
+    assert [x.tolist() for x in encode(texts)] == [library.encode(t).ids for t in texts]
+    assert [sorted(x) for x in asked] == [["first", "one", "two"]]
+    odd = ["", " ", "  ", " a", "a ", "a  b", "a \n b", "\n\n a\t b", "don't  stop 'll", "a<|endoftext|> b", "é ü　 中文 ß", "a" + disputed[:2] + " b", "x\x1c y \x85z", "\x00 \x00"]
+    rnd = random.Random(7)
+    for _ in range(6):
+        texts = odd + ["".join(rnd.choice(" \n\tab.'1é中") for _ in range(rnd.randint(0, 60))) for _ in range(80)]
+        rnd.shuffle(texts)
+        got = encode(texts)
+        assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert all(x.dtype == np.uint16 for x in got)
+
+
+def test_texts_beyond_one_slice(spark, library, docs_table, monkeypatch):
+    """Documents of a batch that are encoded in several parts."""
+    monkeypatch.setattr(T, "SLICE", 40)
+    rows = [(i, None if i == 5 else f"text {i} " + "word " * (i % 9), "en") for i in range(40)]
+    for slices in (T.SLICE, 1 << 20):
+        monkeypatch.setattr(T, "SLICE", slices)
+        got = read_documents(spark, write_token_files(docs_table(rows), tokenizer_path(), 2, shards=2)).collect()
+        assert sorted(tuple(r)[:4] for r in got) == expected(library, rows)
