@@ -12,7 +12,9 @@ ending with the largest share (with one form added against it, so that an
 ending seen once is no sure sign), ties to the longest.
 
 Distinct pairs and distinct unseen forms are what is worked on, an ending
-brings one tree to a form, and the trie is a table: nothing is collected.
+brings one tree to a form, and the trie is a table: nothing is collected.  A
+trie of at most ``BROADCAST_ROWS`` endings goes to every task, where a form
+finds its trees and takes one at once; a larger one is met by a shuffle.
 """
 
 from __future__ import annotations
@@ -23,8 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 ENDING = 12  # characters of the longest ending
 HEAD = 2  # characters of a form's start that an ending may go with
+BROADCAST_ROWS = 1_000_000  # endings
 LONGEST = 64  # characters of a word that inflects; longer ones are left as they are
 
 
@@ -96,23 +101,60 @@ def learn(lemmas: DataFrame) -> DataFrame:
     return best.select("key.head", "key.ending", "b.tree", (-F.col("b.less") / (F.col("total") + 1)).alias("share"))
 
 
+def _first(form: str, trees, known: dict) -> str | None:
+    """The lemma by the first of ``trees`` that applies; ``known``: trees read before."""
+    for t in trees:
+        if t not in known:
+            if len(known) > 100_000:
+                known.clear()
+            known[t] = json.loads(t)
+        x = apply_tree(known[t], form)
+        if x:
+            return x
+    return None
+
+
+def _taken(batches):
+    """(form, lemma) of rows (form, trees in their order)."""
+    known = {}
+    for b in batches:
+        out = [_first(f, trees, known) for f, trees in zip(*(c.to_pylist() for c in b.columns))]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["__form", "__lemma"])
+
+
+def _taken_of_rows(batches):
+    """(form, lemma) of rows (form, place and tree), those of a form together."""
+    known, form, places = {}, None, []
+    for b in batches:
+        forms, out = [], []
+        for f, *place in zip(*(c.to_pylist() for c in b.columns)):
+            if f != form:
+                if places:
+                    forms.append(form)
+                    out.append(_first(form, [p[-1] for p in sorted(places)], known))
+                form, places = f, []
+            places.append(place)
+        yield pa.RecordBatch.from_arrays([pa.array(forms, pa.string()), pa.array(out, pa.string())], names=["__form", "__lemma"])
+    if places:
+        last = [_first(form, [p[-1] for p in sorted(places)], known)]
+        yield pa.RecordBatch.from_arrays([pa.array([form], pa.string()), pa.array(last, pa.string())], names=["__form", "__lemma"])
+
+
 def guess(forms: DataFrame, model: DataFrame, form: str = "form") -> DataFrame:
     """``forms`` (distinct) with ``lemma``: that of the surest ending whose
     tree applies, the form itself if none does."""
+    model = cut_lineage(model, "endings", "zstd")
     short = forms.where(F.length(form).between(1, LONGEST)).select(F.col(form).alias("__form"))
-    met = short.select("__form", _keys("__form").alias("key")).select("__form", "key.*").join(model, ["head", "ending"])
+    keys = short.select("__form", _keys("__form").alias("key")).select("__form", "key.*")
     place = F.struct((-F.col("share")).alias("share"), (-F.length("ending")).alias("ending"), (-F.length("head")).alias("head"), "tree")
-    trees = met.groupBy("__form").agg(F.array_sort(F.collect_list(place)).alias("places"))
-    trees = trees.select("__form", F.col("places.tree").alias("trees"))
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for f, trees in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = (apply_tree(json.loads(t), f) for t in trees)
-                out.append(next((x for x in found if x), None))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["__form", "__lemma"])
-
+    if model.count() <= BROADCAST_ROWS:
+        # the trees of a form follow each other, as its keys do
+        trees = keys.join(F.broadcast(model), ["head", "ending"]).select("__form", place.alias("place")).select("__form", "place.*")
+        run = _taken_of_rows
+    else:
+        trees = keys.join(model, ["head", "ending"]).groupBy("__form").agg(F.array_sort(F.collect_list(place)).alias("places"))
+        trees = trees.select("__form", F.col("places.tree").alias("trees"))
+        run = _taken
     found = trees.mapInArrow(run, "__form string, __lemma string")
     j = forms.drop("lemma").join(found, forms[form] == F.col("__form"), "left")
     return j.withColumn("lemma", F.coalesce("__lemma", form)).drop("__form", "__lemma")

@@ -11,8 +11,11 @@ texts (``operators.sentences``).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import arrays as A
 from ..functions import html as H
@@ -25,6 +28,9 @@ from ..operators import window as W
 from ..schema import DROPPED_TOKENS
 from ..session import cut_lineage
 
+COMMON = 400_000  # forms that every task knows the lemmas of
+
+
 # TXT-01 -- lemmatise a token table
 def lemmatize(tokens: DataFrame, lemmas: DataFrame, sent: str = "sent", sep: str = ";", unseen: DataFrame | None = None) -> DataFrame:
     """``tokens``: (sent, i, token, dep, pos, head); ``lemmas``: (form, lemma).
@@ -35,19 +41,22 @@ def lemmatize(tokens: DataFrame, lemmas: DataFrame, sent: str = "sent", sep: str
     With ``unseen``, a model of :func:`..operators.lemmas.learn`, tokens that
     the dictionary lacks get the lemma it derives.
 
-    The tokens are read once: they meet the dictionary, and one shuffle by
-    sentence brings verbs and prefixes together."""
+    The tokens are never sorted or sent one by one: those of a sentence that
+    follow each other go to it as one row.  Forms the dictionary lacks are
+    counted; the lemmas of the COMMON ones are known to every task, and only
+    tokens of the others meet theirs by a shuffle."""
     d = G.first_per_key(lemmas, "form", ["lemma"]).select(F.col("form").alias("token"), F.col("lemma").alias("__lemma"))
     # of prefixes alone the head counts, and of other tokens the lemma
     svp = F.col("dep") == "svp"
     slim = tokens.select(sent, "i", "token", F.when(svp, F.col("head")).alias("head"), svp.alias("svp"), (F.col("pos") == "VERB").alias("verb"))
     t = slim.join(d, "token", "left")
     if unseen is not None:
-        t = cut_lineage(t, "tokens")
-        guessed = LM.guess(t.where("__lemma is null").select("token").distinct(), unseen, "token")
-        t = t.join(guessed.select("token", F.col("lemma").alias("__guess")), "token", "left").withColumn("__lemma", F.coalesce("__lemma", "__guess"))
-    own = F.struct("i", F.coalesce("__lemma", "token").alias("lemma"), F.when(F.col("svp"), F.struct("token", "head")).alias("svp"), "verb")
-    g = t.groupBy(sent).agg(F.array_sort(F.collect_list(own)).alias("__t"))
+        t = _with_guesses(t, unseen)
+    own = t.select(sent, "i", F.coalesce("__lemma", "token").alias("lemma"), F.when(F.col("svp"), F.struct("token", "head")).alias("svp"), "verb")
+    runs = _runs(own, sent).repartition(sent)
+    g = runs.groupBy(sent).agg(F.collect_list(F.struct("i", "lemma", "svp", "verb")).alias("__r"))
+    zipped = lambda r: F.arrays_zip(r["i"].alias("i"), r["lemma"].alias("lemma"), r["svp"].alias("svp"), r["verb"].alias("verb"))
+    g = g.select(sent, F.array_sort(F.flatten(F.transform("__r", zipped))).alias("__t"))
     g = g.withColumn("__svp", F.filter("__t", lambda x: x["svp"].isNotNull()))
 
     def lemma(x):
@@ -58,6 +67,46 @@ def lemmatize(tokens: DataFrame, lemmas: DataFrame, sent: str = "sent", sep: str
     return g.select(sent, F.array_join(kept, sep).alias("lemmas"))
 
 
+def _with_guesses(t: DataFrame, unseen: DataFrame) -> DataFrame:
+    """``t`` with ``__lemma`` derived where it is null."""
+    forms = t.where("__lemma is null and token is not null").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    guessed = LM.guess(cut_lineage(forms, "forms", "zstd"), unseen, "token").withColumn("level", F.floor(8 * F.log2("n")).cast("int"))
+    guessed = cut_lineage(guessed.select("token", "level", F.col("lemma").alias("__guess")), "guesses", "zstd")
+    # the lowest level at which no more than COMMON forms are as frequent
+    above, lowest = 0, 0
+    for level, n in sorted((tuple(r) for r in guessed.groupBy("level").count().collect()), reverse=True):  # a few hundred rows
+        above += n
+        if above > COMMON:
+            lowest = level + 1
+            break
+    met = t.join(F.broadcast(guessed.where(F.col("level") >= lowest).drop("level")), "token", "left")
+    met = met.withColumn("__lemma", F.coalesce("__lemma", "__guess")).drop("__guess")
+    if not lowest:
+        return met
+    changed = guessed.where((F.col("level") < lowest) & (F.col("__guess") != F.col("token"))).drop("level")
+    others = met.where("__lemma is null").join(changed, "token", "left").withColumn("__lemma", F.col("__guess")).drop("__guess")
+    return met.where("__lemma is not null").unionByName(others)
+
+
+def _runs(own: DataFrame, sent: str) -> DataFrame:
+    """The columns of ``own`` as arrays, one row per run of rows with the
+    same ``sent``."""
+    others = [c for c in own.columns if c != sent]
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at = b.column(sent).dictionary_encode(null_encoding="encode").indices.to_numpy()
+            starts = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
+            ends = pa.array(np.append(starts, b.num_rows), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, b.column(c)) for c in others]
+            yield pa.RecordBatch.from_arrays([b.column(sent).take(pa.array(starts)), *lists], names=[sent, *others])
+
+    fields = [own.schema[sent], *(T.StructField(c, T.ArrayType(own.schema[c].dataType)) for c in others)]
+    return own.mapInArrow(run, T.StructType(fields))
+
+
 # TXT-02 -- keep stored lemmas by (author, title); lemmatise only new texts
 def update_lemmatized(sources: DataFrame, stored: DataFrame, lemmatize_fn) -> DataFrame:
     keys = ["author", "title"]

@@ -3,7 +3,9 @@ import random
 import pytest
 
 from deckspark.operators import lemmas as LM
+from deckspark.plans import corpus as CP
 from deckspark.plans.corpus import lemmatize
+from deckspark.schema import DROPPED_TOKENS
 
 # regular verbs and nouns, inflected by rule
 STEMS = "mach lern kauf spiel koch such hol frag leb lieb glaub dreh brauch bau teil wein lach zahl schick stell wohn hör sag schau pack dank pfleg träum klopf tanz reis folg fühl führ".split()
@@ -106,3 +108,30 @@ def test_the_token_table_is_read_once(spark, tmp_path):
     spark.createDataFrame(rows, "sent string, i int, token string, dep string, pos string, head int").write.parquet(f"{tmp_path}/t")
     out = lemmatize(spark.read.parquet(f"{tmp_path}/t"), spark.createDataFrame([("a", "b")], "form string, lemma string"))
     assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
+@pytest.mark.parametrize("common,rows", [(400_000, 0), (3, 1_000_000), (0, 1_000_000)])
+def test_tokens_stay_with_their_sentence(spark, monkeypatch, common, rows):
+    """Forms known to all tasks, others by a shuffle, a trie met by a shuffle."""
+    monkeypatch.setattr(CP, "COMMON", common)
+    rnd = random.Random(11)
+    pairs = dictionary()
+    forms = [f for f, _ in pairs] + ["zzz", "ab"]
+    toks = [(f"s{n}" if n else None, i, rnd.choice(forms[: 1 + rnd.randrange(len(forms))])) for n in range(60) for i in range(1, 9)] + [("s1", 9, None)]
+    tokens = [(s, i, f, "svp" if f == "ab" else "", "VERB" if f and f[0].islower() else "X", 2) for s, i, f in toks]
+    taught = pairs[::3]
+    d = spark.createDataFrame(taught, "form string, lemma string")
+    df = spark.createDataFrame(tokens, "sent string, i int, token string, dep string, pos string, head int")
+    model = LM.learn(d)
+    of = {f: by_hand(taught, f) for f in forms} | {f: min(x for g, x in taught if g == f) for f, _ in taught}
+    monkeypatch.setattr(LM, "BROADCAST_ROWS", rows)
+    scattered = [tuple(r) for r in lemmatize(df.repartition(5), d, unseen=model).collect()]
+    together = lemmatize(df.repartition(3, "sent").sortWithinPartitions("sent"), d, unseen=model)
+    want = {}
+    for s, i, f, dep, pos, _ in tokens:
+        prefix = "ab" if pos == "VERB" and i == 2 and any(x[0] == s and x[3] == "svp" for x in tokens) else ""
+        want.setdefault(s, []).extend([prefix + of[f]] if f else [])
+    want = {s: ";".join(x for x in found if x not in DROPPED_TOKENS) for s, found in want.items()}
+    assert dict(scattered) == want == {r.sent: r.lemmas for r in together.collect()} and len(scattered) == len(want)
+    assert not any("/tokens-" in f for f in together.inputFiles())  # tokens are not written
+    assert "MapInArrow" in together._jdf.queryExecution().optimizedPlan().toString()
