@@ -16,14 +16,17 @@ Null groups and null order values are kept and sort first.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import index as ix
 from ..session import cut_lineage
 
 _ROW_BITS = 33  # of monotonically_increasing_id: the row's place in its range
 _CHUNK_BITS = 16  # of these: the row's place in a chunk of its range
+PACK_ROWS, PACK_BYTES = 4096, 8 << 20  # of a pack of rows, at most
 
 
 def _cols(x) -> list:
@@ -167,10 +170,46 @@ def neighbours(df: DataFrame, keys, order, cols: list[str], before: int, after:
 def with_context(df: DataFrame, key: str, pos: str, cols: list[str], blank: str = "", number: str | None = None) -> DataFrame:
     """Rows of one ``key`` in the order of ``pos``, nulls first; rows with
     the same ``pos`` are ordered by ``cols``.  ``number`` names a column for
-    the row's number in this order over all keys."""
-    near = neighbours(df, [key], [pos, *[c for c in cols if c not in (key, pos)]], cols, 1, 1, number)
-    side = lambda arr, c, d: F.coalesce(F.get(arr, 0)[c], F.lit(blank)).alias(f"{c}_{d}")
-    return near.select(*df.columns, *[side("__before", c, "prev") for c in cols], *[side("__after", c, "next") for c in cols], *[number] * bool(number))
+    the row's number in this order over all keys.
+
+    The rows are sent to their range once and written there in packs; a pack
+    holds its rows' neighbours but for those of its first and last row, which
+    come from a table of one row per pack."""
+    by = [F.col(c).asc_nulls_first() for c in dict.fromkeys([key, pos, *cols])]
+    packed = _packed(df.repartitionByRange(*by).sortWithinPartitions(*by))
+    ends = lambda at: F.struct(*[F.get(c, at).alias(c) for c in dict.fromkeys([key, *cols])])
+    size = F.size(key)
+    packed = packed.withColumns({"__c": F.monotonically_increasing_id(), "__size": size, "__first": ends(F.lit(0)), "__last": ends(size - 1)})
+    t = cut_lineage(packed, "packed", "zstd")
+    packs = Window.orderBy("__c")  # one row per pack
+    off = F.coalesce(F.sum("__size").over(packs.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off")
+    edges = t.select("__c", off, F.lag("__last").over(packs).alias("__earlier"), F.lead("__first").over(packs).alias("__later"))
+    j = t.drop("__first", "__last").join(F.broadcast(edges), "__c")
+    rest = F.col("__size") - 1
+    prev = lambda c: F.concat(F.array(F.col("__earlier")[c]), F.slice(c, F.lit(1), rest)).alias(f"__prev_{c}")
+    later = lambda c: F.concat(F.slice(c, F.lit(2), rest), F.array(F.col("__later")[c])).alias(f"__next_{c}")
+    near = [side(c) for side in (prev, later) for c in dict.fromkeys([key, *cols])]
+    rows = j.select("__off", *df.columns, *near)
+    x = rows.select("__off", F.posexplode(F.arrays_zip(*[c for c in rows.columns if c != "__off"])).alias("__n", "__row")).select("__off", "__n", "__row.*")
+    of = lambda c, d: F.when(F.col(f"__{d}_{key}").eqNullSafe(F.col(key)), F.col(f"__{d}_{c}"))
+    side = lambda c, d: F.coalesce(of(c, d), F.lit(blank)).alias(f"{c}_{d}")
+    nth = [(F.col("__off") + F.col("__n") + 1).alias(number)] if number else []
+    return x.select(*df.columns, *[side(c, "prev") for c in cols], *[side(c, "next") for c in cols], *nth)
+
+
+def _packed(ordered: DataFrame) -> DataFrame:
+    """The columns of ``ordered`` as arrays: packs of rows that follow each
+    other, in their order.  A pack is a row, so it is read by one task."""
+
+    def run(batches):
+        for b in batches:
+            n = max(1, min(PACK_ROWS, b.num_rows * PACK_BYTES // max(1, b.nbytes)))
+            for at in range(0, b.num_rows, n):
+                part = b.slice(at, n)
+                ends = pa.array([0, part.num_rows], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, c) for c in part.columns], names=part.schema.names)
+
+    return ordered.mapInArrow(run, T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in ordered.schema]))
 
 
 # WN-03 -- start / end line offset of every story (exclusive running sum)

@@ -292,7 +292,7 @@ def snk11(spark, sf):
     from ..sources import sinks as K
 
     path = scratch_path(spark, "sdeck")
-    K.write_sentence_deck(_sentence_cards(spark, sf), path)
+    K.write_sentence_deck(_sentence_cards(spark, sf), path, codec="gzip")
     back = R.read_lines(spark, path, line_col="value")
     return back.select(F.col("line_no").alias("sentence_id"), "value")
 

@@ -144,8 +144,9 @@ def sentence_deck_lines(cards: DataFrame) -> DataFrame:
     return cards.select("sentence_id", escape_quotes(F.concat_ws("|", *fields)).alias("value"))
 
 
-def write_sentence_deck(cards: DataFrame, path: str) -> None:
-    sentence_deck_lines(cards).orderBy("sentence_id").select("value").write.mode("overwrite").text(path)
+def write_sentence_deck(cards: DataFrame, path: str, codec: str | None = None) -> None:
+    """``codec`` compresses the files: a line repeats those beside it."""
+    sentence_deck_lines(cards).orderBy("sentence_id").select("value").write.mode("overwrite").text(path, compression=codec)
 
 
 # SNK-12 -- every block of rows as one payload "idx|word\n..."

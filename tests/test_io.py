@@ -133,3 +133,15 @@ def test_no_directives_use_tabs(spark):
     write_text(p, "a\tb\nc\n")
     assert sorted(tuple(r) for r in R.read_note_file(spark, p, ["x", "y"]).collect()) == [("a", "b"), ("c", None)]
     assert [tuple(r) for r in R.read_note_file(spark, p, ["x", "y"], sep="b").where("x like 'a%'").collect()] == [("a\t", None)]
+
+
+def test_sentence_deck_with_codec(spark, tmp_path):
+    rows = [(i, 7, f'a "{i}"', "b|c", "", "x", "y", "", "T", None) for i in range(1, 301)]
+    names = "sentence_id long, text_id long, `from` string, `to` string, from_prev string, to_prev string, from_next string, to_next string, from_title string, to_title string"
+    cards = spark.createDataFrame(rows, names).repartition(5)
+    lines = []
+    for codec in (None, "gzip"):
+        K.write_sentence_deck(cards, f"{tmp_path}/{codec}", codec)
+        lines.append(sorted(tuple(r) for r in R.read_lines(spark, f"{tmp_path}/{codec}", line_col="value").collect()))
+    assert lines[0] == lines[1] and len(lines[0]) == 300
+    assert lines[0][0] == (1, '00001|0007|a ""1""|b|c||x|y||T|02|01')

@@ -44,3 +44,22 @@ def test_context_keeps_every_row(spark):
     assert W.with_context(df.limit(0), "t", "p", ["s"]).count() == 0
     margins = W.with_margins(df, "t", "p", "s", 2).where("s = 'b'").first()
     assert (margins.before, margins.after) == (["", "a"], ["c", "c"])
+
+
+@pytest.mark.parametrize("most,size", [(4096, 8 << 20), (3, 8 << 20), (4096, 40)])
+def test_context_of_packs(spark, monkeypatch, most, size):
+    """Rows go to their range once, in packs of many rows, few and one."""
+    monkeypatch.setattr(W, "PACK_ROWS", most)
+    monkeypatch.setattr(W, "PACK_BYTES", size)
+    rnd = random.Random(most + size)
+    rows = [(rnd.choice(["hot"] * 9 + ["a", "b", None]), rnd.choice([None, *range(150)]), rnd.choice(["x", None, f"v{rnd.randrange(300)}"]), rnd.random()) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, p int, v string, other double").repartition(4)
+    x = W.with_context(df, "k", "p", ["v"], number="nth")
+    found = sorted(x.collect(), key=lambda r: r.nth)
+    assert x.columns == ["k", "p", "v", "other", "v_prev", "v_next", "nth"] and [r.nth for r in found] == list(range(1, 301))
+    assert [(r.k, r.p, r.v) for r in found] == sorted([r[:3] for r in rows], key=lambda r: tuple((x is not None, x) for x in r))
+    assert sorted(r.other for r in found) == sorted(r[3] for r in rows)
+    want = [(*r[:3], *[(side and side[0]) or "" for side in r[3:5]]) for r in by_hand([r[:3] for r in rows], 1, 1)]
+    assert sorted([(r.k, r.p, r.v, r.v_prev, r.v_next) for r in found], key=str) == sorted(want, key=str)
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [lag(v" not in plan and "Repartition" not in plan  # no shuffle of the rows after their range's
