@@ -16,7 +16,9 @@ Null groups and null order values are kept and sort first.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,49 +169,96 @@ def neighbours(df: DataFrame, keys, order, cols: list[str], before: int, after:
 
 
 # WN-02 -- previous / next element within a group, "" at the edges
-def with_context(df: DataFrame, key: str, pos: str, cols: list[str], blank: str = "", number: str | None = None) -> DataFrame:
+def with_context(df: DataFrame, key: str, pos: str, cols: list[str], blank: str = "", number: str | None = None, heads: DataFrame | None = None) -> DataFrame:
     """Rows of one ``key`` in the order of ``pos``, nulls first; rows with
     the same ``pos`` are ordered by ``cols``.  ``number`` names a column for
     the row's number in this order over all keys.
 
     The rows are sent to their range once and written there in packs; a pack
     holds its rows' neighbours but for those of its first and last row, which
-    come from a table of one row per pack."""
-    by = [F.col(c).asc_nulls_first() for c in dict.fromkeys([key, pos, *cols])]
-    packed = _packed(df.repartitionByRange(*by).sortWithinPartitions(*by))
+    come from a table of one row per pack.
+
+    ``heads`` (``key`` and other columns) is left-joined by ``key`` once the
+    rows are numbered: its rows go in front of their key's, so that no row is
+    sent again."""
+    kind = df.schema[key].dataType
+    if heads is not None and (heads.schema[key].dataType != kind or isinstance(kind, T.FractionalType)):
+        return with_context(df, key, pos, cols, blank, number).join(heads, key, "left")
+    lines, titles = df, []
+    if heads is not None:
+        titles = [c for c in heads.columns if c != key]
+        each = heads.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(*titles)).alias("__heads"))
+        lines = df.withColumn("__line", F.lit(True)).unionByName(each.withColumn("__line", F.lit(False)), allowMissingColumns=True)
+    by = [F.col(c).asc_nulls_first() for c in dict.fromkeys([key, *["__line"] * bool(titles), pos, *cols])]
+    packed = _packed(lines.repartitionByRange(*by).sortWithinPartitions(*by), key if titles else None)
     ends = lambda at: F.struct(*[F.get(c, at).alias(c) for c in dict.fromkeys([key, *cols])])
     size = F.size(key)
     packed = packed.withColumns({"__c": F.monotonically_increasing_id(), "__size": size, "__first": ends(F.lit(0)), "__last": ends(size - 1)})
     t = cut_lineage(packed, "packed", "zstd")
     packs = Window.orderBy("__c")  # one row per pack
-    off = F.coalesce(F.sum("__size").over(packs.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off")
-    edges = t.select("__c", off, F.lag("__last").over(packs).alias("__earlier"), F.lead("__first").over(packs).alias("__later"))
-    j = t.drop("__first", "__last").join(F.broadcast(edges), "__c")
+    before = packs.rowsBetween(Window.unboundedPreceding, -1)
+    head = lambda: F.last(F.when(F.col("__head")[key].isNotNull(), F.col("__head")), True).over(before).alias("__head")
+    edges = t.select("__c", "__size", "__first", "__last", *[head() for _ in titles[:1]]).where("__size > 0")
+    off = F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__off")
+    edges = edges.select("__c", off, F.lag("__last").over(packs).alias("__earlier"), F.lead("__first").over(packs).alias("__later"), *["__head"] * bool(titles))
+    j = t.select("__c", "__size", *[c for c in packed.columns if not c.startswith("__") or c == "__heads"]).join(F.broadcast(edges), "__c")
     rest = F.col("__size") - 1
     prev = lambda c: F.concat(F.array(F.col("__earlier")[c]), F.slice(c, F.lit(1), rest)).alias(f"__prev_{c}")
     later = lambda c: F.concat(F.slice(c, F.lit(2), rest), F.array(F.col("__later")[c])).alias(f"__next_{c}")
     near = [side(c) for side in (prev, later) for c in dict.fromkeys([key, *cols])]
-    rows = j.select("__off", *df.columns, *near)
-    x = rows.select("__off", F.posexplode(F.arrays_zip(*[c for c in rows.columns if c != "__off"])).alias("__n", "__row")).select("__off", "__n", "__row.*")
+    kept = ["__off", *["__head"] * bool(titles)]
+    rows = j.select(*kept, *df.columns, *["__heads"] * bool(titles), *near)
+    x = rows.select(*kept, F.posexplode(F.arrays_zip(*[c for c in rows.columns if c not in kept])).alias("__n", "__row")).select(*kept, "__n", "__row.*")
+    if titles:  # those of a key that began in an earlier range come from there
+        own = F.coalesce("__heads", F.when(F.col("__head")[key] == F.col(key), F.col("__head.heads")))
+        x = x.select("*", F.explode_outer(own).alias("__t"))
     of = lambda c, d: F.when(F.col(f"__{d}_{key}").eqNullSafe(F.col(key)), F.col(f"__{d}_{c}"))
     side = lambda c, d: F.coalesce(of(c, d), F.lit(blank)).alias(f"{c}_{d}")
     nth = [(F.col("__off") + F.col("__n") + 1).alias(number)] if number else []
-    return x.select(*df.columns, *[side(c, "prev") for c in cols], *[side(c, "next") for c in cols], *nth)
+    return x.select(*df.columns, *[side(c, "prev") for c in cols], *[side(c, "next") for c in cols], *nth, *[F.col("__t")[c].alias(c) for c in titles])
 
 
-def _packed(ordered: DataFrame) -> DataFrame:
+def _packed(ordered: DataFrame, key: str | None = None) -> DataFrame:
     """The columns of ``ordered`` as arrays: packs of rows that follow each
-    other, in their order.  A pack is a row, so it is read by one task."""
+    other, in their order.  A pack is a row, so it is read by one task.
+
+    With ``key``, rows that are no ``__line`` hold the ``__heads`` of the lines
+    of their key that follow.  These get a copy; the last pack of a batch, which
+    may be empty, has the last ``__head`` up to its end."""
+    fields = [T.StructField(f.name, T.ArrayType(f.dataType)) for f in ordered.schema if f.name != "__line"]
+    if key:
+        types = {c: ordered.schema[c].dataType for c in (key, "__heads")}
+        fields.append(T.StructField("__head", T.StructType([T.StructField(key, types[key]), T.StructField("heads", types["__heads"])])))
+
+    def with_heads(batches):
+        last = None
+        for b in batches:
+            if last is None:
+                last = [pa.nulls(1, b.column(c).type) for c in (key, "__heads")]
+            keys, heads = (pa.concat_arrays([x, b.column(c)]) for x, c in zip(last, (key, "__heads")))
+            line = b.column("__line").to_numpy(zero_copy_only=False)
+            at = np.maximum.accumulate(np.where(line, 0, np.arange(1, len(line) + 1)))  # the head before each row
+            lines = np.flatnonzero(line)
+            own = pc.fill_null(pc.equal(keys.take(pa.array(at[lines])), b.column(key).take(pa.array(lines))), False).to_numpy(zero_copy_only=False)
+            copies = heads.take(pa.array(at[lines], mask=~own))
+            last = [x.take(pa.array(at[-1:])) for x in (keys, heads)]
+            part = b.take(pa.array(lines))
+            names = [c for c in part.schema.names if c != "__line"]
+            yield pa.RecordBatch.from_arrays([copies if c == "__heads" else part.column(c) for c in names], names=names), last
 
     def run(batches):
-        for b in batches:
+        for b, last in with_heads(b for b in batches if b.num_rows) if key else ((b, None) for b in batches):
             n = max(1, min(PACK_ROWS, b.num_rows * PACK_BYTES // max(1, b.nbytes)))
-            for at in range(0, b.num_rows, n):
+            for at in range(0, max(b.num_rows, 1 if key else 0), n):
                 part = b.slice(at, n)
                 ends = pa.array([0, part.num_rows], pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, c) for c in part.columns], names=part.schema.names)
+                columns = [pa.ListArray.from_arrays(ends, c) for c in part.columns]
+                if key:
+                    head = pa.StructArray.from_arrays(last, names=[key, "heads"])
+                    columns.append(head if at + n >= b.num_rows else pa.nulls(1, head.type))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return ordered.mapInArrow(run, T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in ordered.schema]))
+    return ordered.mapInArrow(run, T.StructType(fields))
 
 
 # WN-03 -- start / end line offset of every story (exclusive running sum)

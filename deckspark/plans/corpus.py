@@ -130,9 +130,9 @@ def sentence_cards(from_lines: DataFrame, to_lines: DataFrame, headers: DataFram
     """``from_lines`` / ``to_lines``: (text_id, pos, line); ``headers``:
     (text_id, from_title, to_title), one per text.  Python zip semantics: a
     pair exists only where both sides have the position.  One ordering of the
-    pairs gives both the neighbours and the sentence numbers."""
+    pairs gives the neighbours, the sentence numbers and the titles."""
     pair = from_lines.select(key, pos, F.col("line").alias("from")).join(to_lines.select(key, pos, F.col("line").alias("to")), [key, pos])
-    numbered = W.with_context(pair, key, pos, ["from", "to"], number="sentence_id").join(headers, key, "left")
+    numbered = W.with_context(pair, key, pos, ["from", "to"], number="sentence_id", heads=headers)
     return numbered.select(
         "sentence_id", F.col(key).alias("text_id"), "from", "to", "from_prev", "to_prev", "from_next", "to_next",
         "from_title", "to_title",

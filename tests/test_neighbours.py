@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from deckspark.operators import window as W
 
@@ -63,3 +64,29 @@ def test_context_of_packs(spark, monkeypatch, most, size):
     assert sorted([(r.k, r.p, r.v, r.v_prev, r.v_next) for r in found], key=str) == sorted(want, key=str)
     plan = x._jdf.queryExecution().optimizedPlan().toString()
     assert "Window [lag(v" not in plan and "Repartition" not in plan  # no shuffle of the rows after their range's
+
+
+@pytest.mark.parametrize("most", [4096, 3])
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_context_with_heads(spark, monkeypatch, most, kind):
+    """Keys of no row, of no head and of several, a hot key over the ranges."""
+    monkeypatch.setattr(W, "PACK_ROWS", most)
+    rnd = random.Random(most)
+    rows = [(rnd.choice(["7"] * 9 + ["1", "2", "8", None]), rnd.randrange(200), f"v{rnd.randrange(300)}") for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, p int, v string").repartition(4)
+    heads = spark.createDataFrame([("7", "x", 1), ("7", "y", None), ("1", None, 2), ("5", "z", 3), (None, "n", 4), ("8", "w", 5), ("9", "q", 6)], "k string, title string, c int")
+    heads = heads.withColumn("k", F.col("k").cast(kind))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else the rows are in one range
+    try:
+        got = W.with_context(df, "k", "p", ["v"], number="nth", heads=heads)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = W.with_context(df, "k", "p", ["v"], number="nth").join(heads, "k", "left")
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted((tuple(r) for r in want.collect()), key=str)
+    if kind == "string":
+        packs = spark.read.parquet(*got.inputFiles())  # the hot key's head is before several ranges
+        assert packs.where(F.get("k", 0) == "7").select(F.shiftright("__c", 33)).distinct().count() > 1
+        assert "Join LeftOuter" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert W.with_context(df.limit(0), "k", "p", ["v"], heads=heads).count() == 0
+    assert W.with_context(df, "k", "p", ["v"], heads=heads.limit(0)).where("title is null").count() == 300
